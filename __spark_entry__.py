@@ -17,7 +17,15 @@ from qtrail.functions import predicates as P
 from qtrail.operators import classify as CL
 from qtrail.operators import enrich as EN
 from qtrail.operators import reports as R
+from qtrail.operators.ingest import history_rows
+from qtrail.plans.events_job import run_range
+from qtrail.plans.history_job import build_history
+from qtrail.session import scratch_path
 from qtrail.sources.derived import audit_inputs
+from qtrail.sources.events import read_events, write_events
+from qtrail.sources.executions import derived_executions
+from qtrail.sources.history import read_history
+from qtrail.sources.trail import read_trail, write_trail
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 # The derived data spans January 2024; report ranges cover all of it.
@@ -57,6 +65,39 @@ def _inputs_q(fn):
     return run
 
 
+def _history_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "history")
+    build_history(derived_executions(spark, sf_dir), root)
+    return read_history(spark, root)
+
+
+def _trail_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inp = audit_inputs(spark, sf_dir)
+    root = scratch_path(spark, "trail")
+    write_trail(inp.trail, root)
+    return EN.staging(read_trail(spark, root, layout="hive"), inp.history)
+
+
+def _events_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "events")
+    write_events(_audit(spark, sf_dir), root)
+    return read_events(spark, root)
+
+
+def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    inp = audit_inputs(spark, sf_dir)
+    root = scratch_path(spark, "events")
+    run_range(spark, inp.trail, inp.history, inp.tiers, root, FROM_DAY, TO_DAY)
+    return read_events(spark, root)
+
+
+def _csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
+    search = R.user_search(_audit(spark, sf_dir), _search_pred())
+    root = scratch_path(spark, "export")
+    R.export_csv(search, root)
+    return spark.read.schema(search.schema).option("header", True).csv(root)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     strict = AuditConfig(strict_not_in=True)
     return {
@@ -89,6 +130,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "events_count": lambda s, d: R.events_count(_audit(s, d), FROM_DAY, TO_DAY),
         "latest_partition": lambda s, d: R.latest_day(_audit(s, d)),
         "run_report": lambda s, d: R.events_run_report(_audit(s, d), FROM_DAY, TO_DAY),
+        "history_day": lambda s, d: history_rows(derived_executions(s, d)),
+        "history_scan": _history_scan,
+        "trail_scan": _trail_scan,
+        "events_sink_roundtrip": _events_roundtrip,
+        "backfill": _backfill,
+        "csv_export": _csv_export,
     }
 
 
@@ -108,7 +155,7 @@ def _prefix(wg_filter: str = "") -> str:
     wg2 = f"\n    AND lower(h.workgroup) LIKE '%{wg_filter}%'" if wg_filter else ""
     return f"""
 WITH ev AS (
-  SELECT event_id, user_id, event_type, value,
+  SELECT event_id, user_id, event_type, value, ts,
     'q' || CAST(event_id AS VARCHAR) AS qid,
     CASE WHEN user_id % 2 = 0 THEN 'us-east-1' ELSE 'eu-west-1' END AS region,
     'wg-' || CAST(user_id % 4 AS VARCHAR) AS wg,
@@ -198,6 +245,24 @@ audit AS (
     st.database, st.status, st.state_change_reason, st.data_scanned, st.cost, b.classification_tier,
     st.region, st.day
   FROM staging st LEFT JOIN best b ON b.day = st.day AND b.query_id = st.query_id),
+execs AS (
+  SELECT qid AS query_id, qt AS query, wg AS workgroup, region,
+    CASE WHEN event_type = 'view' AND event_id % 4 = 0 THEN NULL
+      ELSE CAST(floor(value * 1e9) AS BIGINT) END AS scanned,
+    CASE WHEN event_type = 'click' AND event_id % 6 = 0 THEN 'RUNNING'
+      WHEN event_type = 'purchase' AND event_id % 6 = 1 THEN 'QUEUED'
+      WHEN event_type = 'error' THEN 'FAILED' WHEN event_id % 10 = 1 THEN 'CANCELLED'
+      ELSE 'SUCCEEDED' END AS state,
+    CASE WHEN event_id % 13 = 0 THEN NULL ELSE ts END AS submitted_ts,
+    ts + to_minutes(event_id % 240) AS completed_ts
+  FROM ev),
+hist_day AS (
+  SELECT query_id, query, COALESCE(scanned, 0) AS data_scanned, state AS status,
+    CASE WHEN state = 'FAILED' THEN 'SYNTAX_ERROR: line 1:1'
+      WHEN state = 'CANCELLED' THEN 'Query cancelled by user' ELSE '' END AS state_change_reason,
+    COALESCE(strftime(submitted_ts, '%Y-%m-%dT%H:%M:%S.%f+00:00'), '') AS submission_time,
+    region, strftime(COALESCE(submitted_ts, completed_ts), '%Y-%m-%d') AS day, workgroup
+  FROM execs WHERE state IN ('SUCCEEDED', 'FAILED', 'CANCELLED')),
 rng AS (SELECT * FROM audit WHERE day BETWEEN '{FROM_DAY}' AND '{TO_DAY}'),
 search AS (
   SELECT event_time, source_identity, workgroup, status, substr(query, 1, 300) AS query_text, database,
@@ -275,6 +340,12 @@ _FINAL = {
       GROUP BY 1, 2, 3 ORDER BY cnt DESC, 1, 2 NULLS LAST, 3 NULLS LAST LIMIT 50""",
     "events_count": f"SELECT COUNT(*) AS events FROM audit WHERE day BETWEEN '{FROM_DAY}' AND '{TO_DAY}'",
     "latest_partition": "SELECT MAX(day) AS latest_day FROM audit",
+    "history_day": "SELECT * FROM hist_day",
+    "history_scan": "SELECT * FROM hist_day",
+    "trail_scan": "SELECT * FROM staging",
+    "events_sink_roundtrip": "SELECT * FROM audit",
+    "backfill": "SELECT * FROM audit",
+    "csv_export": "SELECT * FROM search",
     "run_report": f"""SELECT '{FROM_DAY}' AS from_day, '{TO_DAY}' AS to_day, COUNT(*) AS events
       FROM audit WHERE day BETWEEN '{FROM_DAY}' AND '{TO_DAY}'""",
 }

@@ -146,6 +146,12 @@ def search_status_summary(search: DataFrame) -> DataFrame:
     return search.where(F.col("status").isNotNull()).groupBy("status").agg(*aggs)
 
 
+# S15 -- the (limited) search result as CSV with a header; one file, which is
+# safe only because the input is already bounded by its LIMIT.
+def export_csv(search: DataFrame, path: str) -> None:
+    search.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+
 def search_total_cost(search: DataFrame) -> DataFrame:
     return search.agg(F.sum("cost_usd").alias("total_cost"))
 
