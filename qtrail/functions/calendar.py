@@ -33,4 +33,5 @@ def day_range_df(spark: SparkSession, from_day: str, to_day: str) -> DataFrame:
     """The inclusive range as a one-column DataFrame (``sequence`` + ``explode``)."""
     _parse(from_day), _parse(to_day)
     seq = F.sequence(F.to_date(F.lit(from_day)), F.to_date(F.lit(to_day)), F.expr("interval 1 day"))
-    return spark.range(1).select(F.date_format(F.explode(seq), "yyyy-MM-dd").alias("day"))
+    return (spark.range(1).select(F.explode(seq).alias("d"))
+            .select(F.date_format("d", "yyyy-MM-dd").alias("day")))
