@@ -6,14 +6,13 @@ Plan shape: regex extraction and ``explode`` run map-side; the tier map is
 joined by broadcast only after its row count has been checked against
 ``cfg.tier_broadcast_max_rows`` -- above that bound the lookup is a shuffle
 join whose hot table keys are salted, so one popular table cannot land in a
-single task. ``min(tier)`` per (day, query_id) is a partial (map-side
-combined) aggregate, and the write-back is an equi left join on
-(day, query_id) with NULL ids salted away from one reducer.
+single task. The write-back is a window ``min`` over (day, query_id), so the
+enriched rows are computed once and shuffled once (see ``classify``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from qtrail.config import AuditConfig
@@ -52,19 +51,20 @@ def _normalised_tiers(tiers: DataFrame, cfg: AuditConfig) -> DataFrame:
 
 
 def tier_lookup(refs: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfig(),
-                salt_cols=("day", "query_id")) -> DataFrame:
-    """Inner join of references with the tier map on (db, tbl)."""
+                salt_cols=("day", "query_id"), how: str = "inner") -> DataFrame:
+    """Join of references with the tier map on (db, tbl) -> ``tier``.
+    ``how="left"`` keeps references without a tier (tier NULL)."""
     t = _normalised_tiers(tiers, cfg)
     if cfg.tiers_case_insensitive:
         refs = refs.withColumn("db", F.lower("db")).withColumn("tbl", F.lower("tbl"))
     if fits_broadcast(t, cfg.tier_broadcast_max_rows):
-        return refs.join(F.broadcast(t), ["db", "tbl"], "inner")
+        return refs.join(F.broadcast(t), ["db", "tbl"], how)
     # Large tier map: spread every reference key over ``n`` salt buckets and
     # replicate each tier row into all of them.
     n = cfg.tier_salt_buckets
     salted = refs.withColumn("_salt", F.pmod(F.xxhash64(*salt_cols), F.lit(n)))
     fan = t.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>")))
-    return salted.join(fan, ["db", "tbl", "_salt"], "inner").drop("_salt")
+    return salted.join(fan, ["db", "tbl", "_salt"], how).drop("_salt")
 
 
 def best_tiers(events: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfig()) -> DataFrame:
@@ -75,11 +75,29 @@ def best_tiers(events: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConf
 
 def classify(staging: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfig()) -> DataFrame:
     """Staging rows + ``classification_tier``; every row sharing a
-    (day, query_id) gets that query's tier. Output in declared column order."""
-    best = best_tiers(staging, tiers, cfg).select(
-        F.col("day").alias("_bday"), F.col("query_id").alias("_bqid"), "classification_tier")
-    left = staging.withColumn("_k", X.null_safe_join_key("query_id", "e"))
-    out = left.join(best, (F.col("day") == F.col("_bday")) & (F.col("_k") == F.col("_bqid")), "left")
+    (day, query_id) gets the smallest tier any of those rows' texts reach.
+
+    One pass, one shuffle: each row is exploded into its table references
+    (``posexplode_outer`` keeps rows without any), the tier of each reference
+    is looked up (broadcast, size-checked), and ``min(tier)`` is taken over a
+    window partitioned by (day, query_id); then only the first element of
+    every row is kept. Elements after the first carry nothing but the window
+    key and the tier through the shuffle. NULL query ids never share a tier
+    (an id test never matches NULL), so they get per-row random window keys
+    -- no single task receives them all -- and a NULL tier.
+    """
+    fallback = F.coalesce(F.nullif(F.col("database"), F.lit("")), F.lit(cfg.audit_db))
+    x = (staging.withColumn("_kk", X.null_safe_join_key("query_id", "e"))
+         .select("*", F.posexplode_outer(table_refs_col("query")).alias("_pos", "_ref")))
+    refs = x.select(
+        *[F.when(F.col("_pos") > 0, F.lit(None)).otherwise(F.col(c)).alias(c)
+          if c not in ("day", "query_id") else F.col(c) for c in staging.columns],
+        "_kk", "_pos",
+        F.coalesce(F.col("_ref.db"), fallback).alias("db"), F.col("_ref.tbl").alias("tbl"))
+    tagged = tier_lookup(refs, tiers, cfg, salt_cols=("day", "_kk"), how="left")
+    w = Window.partitionBy("day", "_kk")
+    tier = F.when(F.col("query_id").isNull(), F.lit(None).cast("string")).otherwise(F.min("tier").over(w))
+    out = tagged.withColumn("classification_tier", tier).where(F.col("_pos").isNull() | (F.col("_pos") == 0))
     return out.select(*EVENT_COLUMNS)
 
 

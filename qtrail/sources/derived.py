@@ -69,8 +69,8 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def derived_trail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    b = _base(spark, sf_dir).where(F.col("event_id") % 7 != 0)
+def derived_trail(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    b = (base if base is not None else _base(spark, sf_dir)).where(F.col("event_id") % 7 != 0)
     eid, uid = F.col("event_id"), F.col("user_id")
     arn = (F.when(uid == 11, F.lit("arn:x/AthenaEventsLambda-R"))
            .when(uid == 12, F.lit("arn:x/AthenaHistoryLambda-R"))
@@ -109,9 +109,9 @@ def derived_trail(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def derived_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derived_history(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     eid = F.col("event_id")
-    b = _base(spark, sf_dir).where((eid % 3 != 0) | (eid % 7 == 0))
+    b = (base if base is not None else _base(spark, sf_dir)).where((eid % 3 != 0) | (eid % 7 == 0))
     status = (F.when(F.col("event_type") == "error", F.lit("FAILED"))
               .when(eid % 10 == 1, F.lit("CANCELLED"))
               .otherwise(F.lit("SUCCEEDED")))
@@ -131,9 +131,11 @@ def derived_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def derived_tiers(spark: SparkSession) -> DataFrame:
-    from qtrail.schemas import TIERS
-    return spark.createDataFrame(list(TIER_ROWS), TIERS)
+    from qtrail.sources.tiers import tiers_from_rows
+    return tiers_from_rows(spark, TIER_ROWS)
 
 
 def audit_inputs(spark: SparkSession, sf_dir: str) -> AuditInputs:
-    return AuditInputs(derived_trail(spark, sf_dir), derived_history(spark, sf_dir), derived_tiers(spark))
+    base = _base(spark, sf_dir)
+    return AuditInputs(derived_trail(spark, sf_dir, base), derived_history(spark, sf_dir, base),
+                       derived_tiers(spark))

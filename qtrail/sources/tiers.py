@@ -30,4 +30,14 @@ def tiers_from_tag_dump(spark: SparkSession, path: str) -> DataFrame:
 
 
 def tiers_from_rows(spark: SparkSession, rows) -> DataFrame:
-    return spark.createDataFrame(list(rows), TIERS)
+    """A small literal tier map as a local relation (planned as
+    ``LocalTableScan``: no RDD, no Python worker). Values are bound as
+    parameters, never spliced into the SQL text."""
+    rows = list(rows)
+    if not rows:
+        return spark.createDataFrame([], TIERS)
+    args, tuples = {}, []
+    for i, (db, tbl, tier) in enumerate(rows):
+        args.update({f"d{i}": db, f"t{i}": tbl, f"r{i}": tier})
+        tuples.append(f"(CAST(:d{i} AS STRING), CAST(:t{i} AS STRING), CAST(:r{i} AS STRING))")
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(tuples)} AS t(db, tbl, tier)", args=args)
