@@ -210,3 +210,18 @@ def latest_day(events: DataFrame) -> DataFrame:
 def events_run_report(events: DataFrame, from_day: str, to_day: str) -> DataFrame:
     return events_count(events, from_day, to_day).select(
         F.lit(from_day).alias("from_day"), F.lit(to_day).alias("to_day"), "events")
+
+
+# P14 as a view, X6 -- user SQL over the events view.
+def register_events_view(events: DataFrame, name: str = "events") -> None:
+    events.createOrReplaceTempView(name)
+
+
+def create_audit_report_view(events: DataFrame, name: str = "audit_report") -> None:
+    audit_report(events).createOrReplaceTempView(name)
+
+
+def adhoc_sql(events: DataFrame, sql: str, view: str = "events") -> DataFrame:
+    """Run a user-supplied SELECT against the events registered as ``view``."""
+    register_events_view(events, view)
+    return events.sparkSession.sql(sql)
