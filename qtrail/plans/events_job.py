@@ -5,15 +5,14 @@ references -> tier lookup -> min tier per (day, query_id) -> write-back ->
 dynamic partition overwrite of exactly the (region, day) partitions built.
 All regions and days run together; nothing is looped on the driver except
 the tiny list of (region, day) pairs that turned out empty, whose stale
-partitions are dropped so a re-run leaves exactly what the inputs say.
+partitions are removed so a re-run leaves exactly what the inputs say.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from qtrail.config import BACKFILL_DAYS_ON_RECREATE, AuditConfig
@@ -49,15 +48,14 @@ def run_range(spark: SparkSession, trail: DataFrame, history: DataFrame, tiers:
     same table."""
     days = days_between(from_day, to_day)  # raises on a reversed range
     regions = list(cfg.regions) or None
-    # Persisted (memory + disk, recomputable from lineage if an executor is
-    # lost) because it feeds both the write and the list of built partitions.
-    out = build_events(trail, history, tiers, cfg, days, regions).persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        write_events(out, events_root)
-        # At most regions x days rows.
-        built = {(r["region"], r["day"]) for r in out.select("region", "day").distinct().collect()}
-    finally:
-        out.unpersist()
+    # The set of (region, day) partitions written is observed during the
+    # write itself (at most regions x days values; a retried task can only
+    # re-add members), so the build runs exactly once and nothing is cached.
+    obs = Observation("events_build")
+    out = build_events(trail, history, tiers, cfg, days, regions).observe(
+        obs, F.collect_set(F.struct("region", "day")).alias("pairs"))
+    write_events(out, events_root)
+    built = {(p["region"], p["day"]) for p in (obs.get.get("pairs") or [])}
     table = read_events(spark, events_root).where(F.col("day").isin(*days))
     if regions:
         table = table.where(F.col("region").isin(*regions))

@@ -47,8 +47,13 @@ def init_tables(spark: SparkSession, db: str, events_root: str, history_root: st
 
 
 def repair(spark: SparkSession, table: str) -> None:
-    """Register partitions found under the table location."""
-    spark.sql(f"MSCK REPAIR TABLE {table}")
+    """Register partitions found under the table location. A
+    location that does not exist yet simply has no partitions."""
+    try:
+        spark.sql(f"MSCK REPAIR TABLE {table}")
+    except Exception as e:  # noqa: BLE001 -- only the missing-folder case is tolerated
+        if "does not exist" not in str(e):
+            raise
 
 
 def drop_partitions(spark: SparkSession, table: str, pairs) -> None:

@@ -26,8 +26,7 @@ def derived_executions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One execution record per driver ``events`` row. Some are still running
     or queued, some lack statistics or a submission time (then the completion
     time, a few minutes later and possibly on the next day, decides the day)."""
-    b = _base(spark, sf_dir).join(
-        spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts"), "event_id")
+    b = _base(spark, sf_dir)
     eid, et = F.col("event_id"), F.col("event_type")
     state = (F.when((et == "click") & (eid % 6 == 0), F.lit("RUNNING"))
              .when((et == "purchase") & (eid % 6 == 1), F.lit("QUEUED"))

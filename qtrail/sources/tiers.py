@@ -20,11 +20,11 @@ def tiers_from_tag_dump(spark: SparkSession, path: str) -> DataFrame:
         "_f", "_line", "_pos",
         F.col("t.Table.DatabaseName").alias("db"), F.col("t.Table.Name").alias("tbl"),
         # Later tag entries overwrite earlier ones; entries without values are ignored.
-        F.element_at(F.filter("t.LFTagsOnTable",
-                              lambda g: (g["TagKey"] == TIER_TAG_KEY) & (F.size(g["TagValues"]) > 0)),
-                     -1)["TagValues"].alias("vals"))
+        F.try_element_at(F.filter("t.LFTagsOnTable",
+                                  lambda g: (g["TagKey"] == TIER_TAG_KEY) & (F.size(g["TagValues"]) > 0)),
+                         F.lit(-1))["TagValues"].alias("vals"))
     tiered = tagged.select("_f", "_line", "_pos", "db", "tbl",
-                           F.element_at("vals", 1).alias("tier")).where(F.col("tier").isNotNull())
+                           F.try_element_at("vals", F.lit(1)).alias("tier")).where(F.col("tier").isNotNull())
     w = Window.partitionBy("db", "tbl").orderBy(F.desc("_f"), F.desc("_line"), F.desc("_pos"))
     return tiered.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select("db", "tbl", "tier")
 
