@@ -130,6 +130,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "events_count": lambda s, d: R.events_count(_audit(s, d), FROM_DAY, TO_DAY),
         "latest_partition": lambda s, d: R.latest_day(_audit(s, d)),
         "run_report": lambda s, d: R.events_run_report(_audit(s, d), FROM_DAY, TO_DAY),
+        "summary_no_cost": lambda s, d: R.summary(_audit(s, d), _range_pred(), with_cost=False),
+        "workgroup_usage_by_gb": lambda s, d: R.workgroup_usage(_audit(s, d), _range_pred(), with_cost=False),
+        "user_search_no_cost": lambda s, d: R.user_search(_audit(s, d), _search_pred(), with_cost=False),
+        "search_total_cost": lambda s, d: R.search_total_cost(R.user_search(_audit(s, d), _search_pred())),
+        "cross_day_duplicates": lambda s, d: R.cross_day_duplicates(_audit(s, d)),
         "history_day": lambda s, d: history_rows(derived_executions(s, d)),
         "history_scan": _history_scan,
         "trail_scan": _trail_scan,
@@ -340,6 +345,19 @@ _FINAL = {
       GROUP BY 1, 2, 3 ORDER BY cnt DESC, 1, 2 NULLS LAST, 3 NULLS LAST LIMIT 50""",
     "events_count": f"SELECT COUNT(*) AS events FROM audit WHERE day BETWEEN '{FROM_DAY}' AND '{TO_DAY}'",
     "latest_partition": "SELECT MAX(day) AS latest_day FROM audit",
+    "summary_no_cost": f"""SELECT COUNT(*) AS total, COUNT(DISTINCT source_identity) AS users,
+      COUNT(DISTINCT workgroup) AS workgroups,
+      CAST(SUM(CASE WHEN status = 'SUCCEEDED' THEN 1 ELSE 0 END) AS BIGINT) AS ok,
+      CAST(SUM(CASE WHEN status = 'FAILED' THEN 1 ELSE 0 END) AS BIGINT) AS fail,
+      CAST(SUM(CASE WHEN status = 'CANCELLED' THEN 1 ELSE 0 END) AS BIGINT) AS cancel,
+      {_GB} AS gb FROM rng""",
+    "workgroup_usage_by_gb": f"""SELECT workgroup, COUNT(*) AS cnt, {_GB} AS gb
+      FROM rng WHERE workgroup IS NOT NULL GROUP BY 1 ORDER BY gb DESC, workgroup""",
+    "user_search_no_cost": "SELECT * EXCLUDE (cost_usd) FROM search",
+    "search_total_cost": "SELECT CAST(SUM(cost_usd) AS DECIMAL(28,6)) AS total_cost FROM search",
+    "cross_day_duplicates": """SELECT query_id, COUNT(DISTINCT day) AS days, MIN(day) AS first_day,
+      MAX(day) AS last_day, COUNT(*) AS "rows" FROM audit WHERE query_id IS NOT NULL
+      GROUP BY query_id HAVING COUNT(DISTINCT day) > 1""",
     "history_day": "SELECT * FROM hist_day",
     "history_scan": "SELECT * FROM hist_day",
     "trail_scan": "SELECT * FROM staging",

@@ -129,10 +129,13 @@ def status_or_unknown(s="status") -> Column:
     return F.coalesce(_c(s), F.lit(C.UNKNOWN_STATUS))
 
 
-def null_safe_join_key(key, side: str) -> Column:
-    """Join key whose NULLs are replaced by per-row random strings that can
-    never equal a real id (prefix NUL + side tag). SQL equality never matches
-    NULL anyway, so results are unchanged; what changes is that NULL-id rows
-    no longer hash into one shuffle partition."""
-    salt = F.concat(F.lit("\u0000" + side), F.rand().cast(T.StringType()))
+def null_safe_join_key(key, side: str, salt_cols) -> Column:
+    """Join key whose NULLs are replaced by a string that can never equal a
+    real id (prefix NUL + side tag) built from a hash of the row's own
+    columns. SQL equality never matches NULL anyway, so results are
+    unchanged; what changes is that NULL-id rows spread over all reducers
+    instead of piling into one. The salt is a pure function of the row, so a
+    recomputed task (lost executor) routes every row exactly as before."""
+    cols = [F.col(c) if isinstance(c, str) else c for c in salt_cols]
+    salt = F.concat(F.lit("\u0000" + side), F.xxhash64(*cols).cast(T.StringType()))
     return F.coalesce(_c(key), salt)

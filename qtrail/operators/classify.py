@@ -83,11 +83,11 @@ def classify(staging: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfi
     window partitioned by (day, query_id); then only the first element of
     every row is kept. Elements after the first carry nothing but the window
     key and the tier through the shuffle. NULL query ids never share a tier
-    (an id test never matches NULL), so they get per-row random window keys
-    -- no single task receives them all -- and a NULL tier.
+    (an id test never matches NULL), so they get per-row window keys hashed
+    from the row itself -- no single task receives them all -- and a NULL tier.
     """
     fallback = F.coalesce(F.nullif(F.col("database"), F.lit("")), F.lit(cfg.audit_db))
-    x = (staging.withColumn("_kk", X.null_safe_join_key("query_id", "e"))
+    x = (staging.withColumn("_kk", X.null_safe_join_key("query_id", "e", staging.columns))
          .select("*", F.posexplode_outer(table_refs_col("query")).alias("_pos", "_ref")))
     refs = x.select(
         *[F.when(F.col("_pos") > 0, F.lit(None)).otherwise(F.col(c)).alias(c)

@@ -12,7 +12,8 @@ records and history rows on (region, day, query_id).
 Compared with a left join followed by a separate anti join this reads and
 shuffles each input once. NULL query ids are given non-matching random keys
 before the shuffle (SQL equality never matches NULL) so that a flood of
-failed starts cannot pile into one reducer.
+failed starts cannot pile into one reducer; the keys hash the row's own
+columns, so a recomputed task routes every row the same way.
 
 ``strict_not_in`` reproduces the null-aware ``NOT IN`` of the original pass 2
 for every (region, day): a start record with a NULL id in that region/day
@@ -72,8 +73,8 @@ def joined(trail: DataFrame, history: DataFrame, cfg: AuditConfig = AuditConfig(
         h = (h.join(_strict_flags(s), ["region", "day"], "left")
               .where(F.col("_null_ids").isNull()
                      | ((F.col("_null_ids") == 0) & F.col("query_id").isNotNull())))
-    s = s.withColumn("_k", X.null_safe_join_key("query_id", "s"))
-    h = h.withColumn("_k", X.null_safe_join_key("query_id", "h"))
+    s = s.withColumn("_k", X.null_safe_join_key("query_id", "s", s.columns))
+    h = h.withColumn("_k", X.null_safe_join_key("query_id", "h", h.columns))
     s, h = s.alias("s"), h.alias("h")
     j = s.join(h, (F.col("s.region") == F.col("h.region")) & (F.col("s.day") == F.col("h.day"))
                & (F.col("s._k") == F.col("h._k")), "full_outer")

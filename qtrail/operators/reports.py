@@ -153,7 +153,7 @@ def export_csv(search: DataFrame, path: str) -> None:
 
 
 def search_total_cost(search: DataFrame) -> DataFrame:
-    return search.agg(F.sum("cost_usd").alias("total_cost"))
+    return search.agg(F.sum("cost_usd").cast(T.DecimalType(28, 6)).alias("total_cost"))
 
 
 # A11 + F9 -- ``user`` of the original text is ``source_identity``; GB are 10^9 bytes.
@@ -225,3 +225,13 @@ def adhoc_sql(events: DataFrame, sql: str, view: str = "events") -> DataFrame:
     """Run a user-supplied SELECT against the events registered as ``view``."""
     register_events_view(events, view)
     return events.sparkSession.sql(sql)
+
+
+# T19 check -- a query kept on more than one day (e.g. started just before
+# midnight in the trail, and listed as history-only on the next day).
+def cross_day_duplicates(events: DataFrame) -> DataFrame:
+    g = (events.where(F.col("query_id").isNotNull())
+         .groupBy("query_id").agg(F.countDistinct("day").alias("days"),
+                                  F.min("day").alias("first_day"), F.max("day").alias("last_day"),
+                                  _count().alias("rows")))
+    return g.where(F.col("days") > 1)

@@ -15,7 +15,10 @@ def read_events(spark: SparkSession, root: str) -> DataFrame:
 def write_events(df: DataFrame, root: str) -> None:
     """Replace exactly the (region, day) partitions present in ``df``; other
     days are left alone. Columns are selected by name in declared order, so
-    positional writers can never swap values."""
-    (df.select(*EVENT_COLUMNS).write.mode("overwrite")
+    positional writers can never swap values. The REBALANCE hint lets
+    adaptive execution gather each partition's rows into few, evenly sized
+    files and split an oversized (region, day) over several tasks, instead of
+    every task writing a small file into every partition it holds rows for."""
+    (df.select(*EVENT_COLUMNS).hint("rebalance", *EVENT_PARTITIONS).write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*EVENT_PARTITIONS).parquet(root))

@@ -32,5 +32,6 @@ def write_history(df: DataFrame, root: str) -> None:
     exactly the partitions present in ``df`` (``workgroup=a`` never touches
     ``workgroup=ab``); an empty result writes no file."""
     cols = [f.name for f in HISTORY_FILE.fields] + list(HISTORY_PARTITIONS)
-    (df.select(*cols).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    # REBALANCE: about one file per partition, oversized ones split by AQE.
+    (df.select(*cols).hint("rebalance", *HISTORY_PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .option("compression", "gzip").partitionBy(*HISTORY_PARTITIONS).json(root))
