@@ -37,6 +37,20 @@ def trail_database(req="requestParameters") -> Column:
     return json_field(req, C.JSON_DATABASE)
 
 
+# The three request fields in one parse of the JSON text (instead of three
+# ``get_json_object`` scans). A non-scalar value read as STRING keeps its
+# JSON text, like ``get_json_object``; malformed text gives NULL fields.
+REQUEST_FIELDS = T.StructType([
+    T.StructField("queryString", T.StringType()),
+    T.StructField("queryExecutionContext", T.StructType([T.StructField("database", T.StringType())])),
+    T.StructField("workGroup", T.StringType()),
+])
+
+
+def trail_request(req="requestParameters") -> Column:
+    return F.from_json(_c(req), REQUEST_FIELDS)
+
+
 # P2 -- identity navigation; an absent level yields NULL.
 IDENTITY_FIELDS = {
     "source_identity": "userIdentity.sessionContext.sourceIdentity",

@@ -1,6 +1,7 @@
 """Table names after FROM / JOIN / INTO in SQL text, as native regex
-functions (no Python UDF). Two ``regexp_extract_all`` calls share one pattern
-so their arrays line up element by element; ``arrays_zip`` pairs them."""
+functions (no Python UDF). The full text is scanned once for whole matches;
+each (short) match is then re-read with the same pattern for its two groups,
+which yields exactly the groups of the original match."""
 
 from __future__ import annotations
 
@@ -15,10 +16,11 @@ def table_refs(query_col) -> Column:
     unqualified name; an empty / NULL text gives an empty array."""
     q = F.coalesce(F.col(query_col) if isinstance(query_col, str) else query_col, F.lit(""))
     pat = F.lit(TABLE_REF_PATTERN)
-    pairs = F.arrays_zip(F.regexp_extract_all(q, pat, 1).alias("a"),
-                         F.regexp_extract_all(q, pat, 2).alias("b"))
-    # Unmatched second group is '' in Spark: then the first group is the table.
-    return F.transform(pairs, lambda p: F.struct(
-        F.when(p["b"] == "", F.lit(None)).otherwise(p["a"]).alias("db"),
-        F.when(p["b"] == "", p["a"]).otherwise(p["b"]).alias("tbl"),
-    ))
+    matches = F.regexp_extract_all(q, pat, 0)
+
+    def pair(m):
+        a, b = F.regexp_extract(m, TABLE_REF_PATTERN, 1), F.regexp_extract(m, TABLE_REF_PATTERN, 2)
+        # Unmatched second group is '': then the first group is the table.
+        return F.struct(F.when(b == "", F.lit(None)).otherwise(a).alias("db"),
+                        F.when(b == "", a).otherwise(b).alias("tbl"))
+    return F.transform(matches, pair)

@@ -44,10 +44,13 @@ def trail_starts(trail: DataFrame, days=None, regions=None) -> DataFrame:
         *[F.col(path).alias(name) for name, path in X.IDENTITY_FIELDS.items()],
         F.col("userAgent").alias("user_agent"),
         F.col("sourceIPAddress").alias("source_ip"),
-        X.trail_query_string().alias("query_string"),
-        X.trail_database().alias("database"),
-        X.trail_workgroup().alias("workgroup"),
-    )
+        X.trail_request().alias("_req"),
+    ).select(
+        "*",
+        F.col("_req.queryString").alias("query_string"),
+        F.col("_req.queryExecutionContext.database").alias("database"),
+        F.col("_req.workGroup").alias("workgroup"),
+    ).drop("_req")
 
 
 def history_rows(history: DataFrame, days=None, regions=None) -> DataFrame:

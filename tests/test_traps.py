@@ -192,3 +192,14 @@ def test_salted_tier_join_matches_broadcast(spark):
     salted = AuditConfig(tier_broadcast_max_rows=1, tier_salt_buckets=4)
     b = sorted(map(tuple, CL.classify(st, tiers, salted).select("query_id", "classification_tier").collect()))
     assert a == b and any(t is not None for _, t in a)
+
+
+def test_t4_request_fields_one_parse_match_get_json_object(spark):
+    texts = ['{"queryString":"SELECT 1","queryExecutionContext":{"database":"db"},"workGroup":"wg"}',
+             '{"queryString":{"nested":1},"workGroup":7}', '{not json', None, '{}',
+             '{"queryExecutionContext":null,"queryString":null}']
+    df = spark.createDataFrame([(t,) for t in texts], "r string")
+    one = df.select(X.trail_request("r").alias("q")).select("q.queryString", "q.queryExecutionContext.database",
+                                                         "q.workGroup").collect()
+    three = df.select(X.trail_query_string("r"), X.trail_database("r"), X.trail_workgroup("r")).collect()
+    assert [tuple(a) for a in one] == [tuple(b) for b in three]
