@@ -42,12 +42,13 @@ def table_refs(events: DataFrame, cfg: AuditConfig = AuditConfig(), keys=("day",
 
 
 def _normalised_tiers(tiers: DataFrame, cfg: AuditConfig) -> DataFrame:
+    """One tier per (db, tbl): the lookup is a left join, so a repeated key
+    would duplicate events. A repeated key (or two names that fold together
+    when matching case-insensitively) keeps its most sensitive tier."""
     t = tiers.select("db", "tbl", "tier").where(F.col("tier").isNotNull())
     if cfg.tiers_case_insensitive:
         t = t.select(F.lower("db").alias("db"), F.lower("tbl").alias("tbl"), "tier")
-        # Two tags that fold to the same name: the smaller tier wins.
-        t = t.groupBy("db", "tbl").agg(F.min("tier").alias("tier"))
-    return t
+    return t.groupBy("db", "tbl").agg(F.min("tier").alias("tier"))
 
 
 def tier_lookup(refs: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfig(),

@@ -203,3 +203,10 @@ def test_t4_request_fields_one_parse_match_get_json_object(spark):
                                                          "q.workGroup").collect()
     three = df.select(X.trail_query_string("r"), X.trail_database("r"), X.trail_workgroup("r")).collect()
     assert [tuple(a) for a in one] == [tuple(b) for b in three]
+
+
+def test_duplicate_tier_keys_do_not_duplicate_events(spark):
+    trail = trail_df(spark, [trail_row("a", text="SELECT * FROM t1"), trail_row("b", text="SELECT 1")])
+    tiers = _tiers(spark, (("db", "t1", "tier_3"), ("db", "t1", "tier_2"), ("db", "t1", "tier_2")))
+    ev = CL.classify(EN.staging(trail, history_df(spark, [])), tiers)
+    assert sorted((r.query_id, r.classification_tier) for r in ev.collect()) == [("a", "tier_2"), ("b", None)]
