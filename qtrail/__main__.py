@@ -93,6 +93,8 @@ def main(argv=None) -> None:
     common.add_argument("--from", dest="from_day")
     common.add_argument("--to", dest="to_day")
     common.add_argument("--workgroups-filter", default="")
+    common.add_argument("--input-bytes", type=int, help="expected input size; sizes shuffle partitions")
+    common.add_argument("--total-cores", type=int, default=0, help="cluster cores (default: session parallelism)")
     e = sub.add_parser("events", parents=[common])
     e.add_argument("--trail-root", required=True)
     e.add_argument("--trail-layout", choices=("native", "hive"), default="native")
@@ -123,8 +125,11 @@ def main(argv=None) -> None:
     r.add_argument("--show", type=int, default=50)
     a = ap.parse_args(argv)
 
-    from qtrail.session import build_session
+    from qtrail.session import apply_conf, build_session, cluster_conf
     spark = build_session(master=a.master)
+    if a.input_bytes:
+        cores = a.total_cores or spark.sparkContext.defaultParallelism
+        apply_conf(spark, cluster_conf(a.input_bytes, cores))
     if a.cmd == "events":
         print(json.dumps(cmd_events(spark, a)))
     elif a.cmd == "history":

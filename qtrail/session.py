@@ -51,3 +51,37 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint location."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/qtrail/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:
+    """Settings that keep every shuffle partition near ``target_partition_bytes``
+    for a job reading ``input_bytes`` on ``total_cores`` cores.
+
+    * shuffle partitions: enough for the target size, at least 2 waves of
+      cores, so each reducer's sort / window buffer fits in executor memory;
+      adaptive execution then coalesces small ones and splits skewed ones;
+    * file splits of the same size for splittable inputs (Parquet);
+    * broadcast only below 64 MB (the tier map is checked separately by rows).
+    """
+    parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
+    parts = min(parts, 200_000)
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(2 * target_partition_bytes),
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
+        "spark.sql.sources.partitionOverwriteMode": "dynamic",
+        "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict) -> None:
+    """Set runtime SQL options on an existing (cluster-provided) session."""
+    for k, v in conf.items():
+        spark.conf.set(k, v)
