@@ -48,3 +48,14 @@ def test_reports_read_only_needed_columns(spark, tmp_path, sf_small):
     p = plan(df)
     schema = p.split("ReadSchema:")[1].split("\n")[0]
     assert "query" not in schema and "workgroup" in schema and "cost" in schema
+
+
+def test_events_build_has_no_python_and_three_big_exchanges(spark, sf_small):
+    inp = audit_inputs(spark, sf_small)
+    p = plan(CL.classify(EN.staging(inp.trail, inp.history), inp.tiers))
+    for py in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas"):
+        assert py not in p
+    hashed = [l for l in p.splitlines() if "Exchange hashpartitioning" in l and "db#" not in l]
+    # trail starts, history (region, day, key) and the tier window (day, key)
+    assert len(hashed) == 3, hashed
+    assert sum("hashpartitioning(day#" in l for l in hashed) == 1
