@@ -1,5 +1,6 @@
 """Command line: ``python -m qtrail {events,history,report} ...``.
 
+tables   create (or force re-create) the catalog tables and register partitions (S9-S13)
 events   rebuild a day / day range of the events table (X4, X5)
 history  build history partitions from landed execution records (X3)
 report   run one report over the events table and print or export it
@@ -51,6 +52,12 @@ def cmd_history(spark, a) -> dict:
     return {"days": [r.asDict() for r in rep.orderBy("day").collect()]}
 
 
+def cmd_tables(spark, a) -> dict:
+    from qtrail.plans.tables import init_tables
+    created = init_tables(spark, a.db, a.events_root, a.history_root, force=a.force)
+    return {"created": created}
+
+
 REPORTS = ("summary", "queries_per_user_status", "status_breakdown", "queries_per_day", "workgroup_usage",
            "cost_per_user", "available_users", "available_workgroups", "distinct_users",
            "distinct_workgroups", "user_search", "search_status_summary", "top_users_by_scan",
@@ -107,6 +114,11 @@ def main(argv=None) -> None:
     e.add_argument("--force-recreate", action="store_true")
     e.add_argument("--strict-not-in", action="store_true")
     e.add_argument("--keep-null-arn", action="store_true")
+    t = sub.add_parser("tables", parents=[common])
+    t.add_argument("--db", default="default")
+    t.add_argument("--events-root", required=True)
+    t.add_argument("--history-root", required=True)
+    t.add_argument("--force", action="store_true")
     h = sub.add_parser("history", parents=[common])
     h.add_argument("--executions", required=True)
     h.add_argument("--history-root", required=True)
@@ -132,6 +144,8 @@ def main(argv=None) -> None:
         apply_conf(spark, cluster_conf(a.input_bytes, cores))
     if a.cmd == "events":
         print(json.dumps(cmd_events(spark, a)))
+    elif a.cmd == "tables":
+        print(json.dumps(cmd_tables(spark, a)))
     elif a.cmd == "history":
         print(json.dumps(cmd_history(spark, a)))
     else:

@@ -74,5 +74,6 @@ def write_trail(df: DataFrame, root: str, mode: str = "overwrite", compression:
     out = df.select(rec.alias("Records"), "region",
                     F.substring("day", 1, 4).alias("year"), F.substring("day", 6, 2).alias("month"),
                     F.substring("day", 9, 2).alias("day"))
-    (out.write.mode(mode).option("compression", compression)
-        .partitionBy("region", "year", "month", "day").json(root))
+    parts = ("region", "year", "month", "day")
+    (out.hint("rebalance", *parts).write.mode(mode).option("compression", compression)
+        .partitionBy(*parts).json(root))
