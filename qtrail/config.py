@@ -58,7 +58,9 @@ class AuditConfig:
     keep_null_arn: bool = False
     tiers_case_insensitive: bool = False
     # Largest tier map (rows) that is shipped to every executor; above it the
-    # lookup becomes a salted shuffle join.
+    # lookup becomes a shuffle join in which every reference key is spread
+    # over ``tier_salt_buckets`` buckets (the tier map is replicated that many
+    # times); adaptive skew-join splitting divides any bucket still too big.
     tier_broadcast_max_rows: int = 1_000_000
     tier_salt_buckets: int = 32
     # Storage locations (any Hadoop-compatible URI).

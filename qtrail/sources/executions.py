@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from qtrail.schemas import EXECUTION
-from qtrail.sources.derived import CANCELLED_REASON, FAILED_REASON, QUERY_TEXTS, _base
+from qtrail.sources.derived import CANCELLED_REASON, FAILED_REASON, _base
 
 
 def read_executions(spark: SparkSession, path: str, region: str | None = None) -> DataFrame:
@@ -50,5 +50,3 @@ def derived_executions(spark: SparkSession, sf_dir: str) -> DataFrame:
         "region",
     )
 
-
-__all__ = ["read_executions", "derived_executions", "QUERY_TEXTS"]
