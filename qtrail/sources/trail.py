@@ -18,6 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from qtrail.functions.columns import day_parts
 from qtrail.schemas import TRAIL, TRAIL_FILE, TRAIL_RECORD
 
 _PATH_RE = r"/(?:region=)?([^/]+)/(?:year=)?(\d{4})/(?:month=)?(\d{2})/(?:day=)?(\d{2})/[^/]*$"
@@ -71,9 +72,8 @@ def write_trail(df: DataFrame, root: str, mode: str = "overwrite", compression:
     """Write trail rows (schema ``TRAIL``) as JSON lines in the Hive-style
     layout, one record per ``Records`` array so no group is ever collected."""
     rec = F.array(F.struct(*[F.col(f.name) for f in TRAIL_RECORD.fields]))
-    out = df.select(rec.alias("Records"), "region",
-                    F.substring("day", 1, 4).alias("year"), F.substring("day", 6, 2).alias("month"),
-                    F.substring("day", 9, 2).alias("day"))
+    y, m, d = day_parts("day")
+    out = df.select(rec.alias("Records"), "region", y.alias("year"), m.alias("month"), d.alias("day"))
     parts = ("region", "year", "month", "day")
     (out.hint("rebalance", *parts).write.mode(mode).option("compression", compression)
         .partitionBy(*parts).json(root))

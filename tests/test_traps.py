@@ -210,3 +210,13 @@ def test_duplicate_tier_keys_do_not_duplicate_events(spark):
     tiers = _tiers(spark, (("db", "t1", "tier_3"), ("db", "t1", "tier_2"), ("db", "t1", "tier_2")))
     ev = CL.classify(EN.staging(trail, history_df(spark, [])), tiers)
     assert sorted((r.query_id, r.classification_tier) for r in ev.collect()) == [("a", "tier_2"), ("b", None)]
+
+
+def test_t23_force_recreate_range_ignores_day():
+    from datetime import date
+    from qtrail.functions.calendar import day_back, yesterday
+    from qtrail.plans.events_job import range_for
+    assert range_for(True, "2020-01-01") == (day_back(14), yesterday())
+    assert range_for(False, "2020-01-01") == ("2020-01-01", "2020-01-01")
+    assert range_for(False) == (yesterday(), yesterday())
+    assert day_back(1, date(2024, 3, 1)) == "2024-02-29"
