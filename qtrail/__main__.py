@@ -69,7 +69,10 @@ def cmd_report(spark, a):
     from qtrail.functions import predicates as P
     from qtrail.operators import reports as R
     from qtrail.sources.events import read_events
-    ev = read_events(spark, a.events_root)
+    from qtrail.functions.calendar import days_between
+    days = days_between(a.from_day, a.to_day) if a.from_day and a.to_day else None
+    # A bounded range lists only its day folders; otherwise the whole table.
+    ev = read_events(spark, a.events_root, days if days and len(days) <= 400 else None)
     lo, hi = a.from_day or "0000-01-01", a.to_day or "9999-12-31"
     pred = P.search_filter(lo, hi, a.user, a.workgroup, a.status, a.contains)
     n = a.name

@@ -62,14 +62,12 @@ def run_range(spark: SparkSession, trail: DataFrame, history: DataFrame, tiers:
             raise
         pairs = []
     built = {(p["region"], p["day"]) for p in pairs}
-    table = read_events(spark, events_root).where(F.col("day").isin(*days))
-    if regions:
-        table = table.where(F.col("region").isin(*regions))
+    table = read_events(spark, events_root, days, regions).where(F.col("day").isin(*days))
     present = {(r["region"], r["day"]) for r in table.select("region", "day").distinct().collect()}
     stale = sorted(present - built)
     if stale:  # (region, day) that is empty now but held rows from an earlier run
         delete_partition_dirs(spark, events_root, stale)
-    row = (read_events(spark, events_root).where(F.col("day").isin(*days))
+    row = (read_events(spark, events_root, days).where(F.col("day").isin(*days))
            .agg(F.count(F.lit(1)).alias("n"), F.count("classification_tier").alias("c")).first())
     return EventsRun(from_day, to_day, int(row["n"]), int(row["c"]))
 

@@ -2,14 +2,27 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from qtrail.schemas import EVENT_COLUMNS, EVENT_PARTITIONS, EVENTS
+from qtrail.sources.trail import hive_glob
 
 
-def read_events(spark: SparkSession, root: str) -> DataFrame:
-    """Declared schema: ``day`` stays a string, ``event_time`` zone-less."""
-    return spark.read.schema(EVENTS).parquet(root)
+def read_events(spark: SparkSession, root: str, days=None, regions=None) -> DataFrame:
+    """Declared schema: ``day`` stays a string, ``event_time`` zone-less.
+    With ``days`` only those partition folders are listed (a glob under
+    ``basePath``); predicates on ``day`` / ``region`` prune partitions
+    either way."""
+    glob = hive_glob(root, days, regions)
+    if glob is None:
+        return spark.read.schema(EVENTS).parquet(root)
+    try:
+        return spark.read.schema(EVENTS).option("basePath", root).parquet(glob)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
+            return spark.createDataFrame([], EVENTS)
+        raise
 
 
 def write_events(df: DataFrame, root: str) -> None:

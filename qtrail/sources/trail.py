@@ -29,6 +29,15 @@ def _alt(items) -> str:
     return items[0] if len(items) == 1 else "{" + ",".join(items) + "}"
 
 
+def hive_glob(root: str, days=None, regions=None, tail: str = "") -> str | None:
+    """Glob of the ``region=/day=`` folders of a Hive-layout table for the
+    requested days (None when no day is requested: read the whole root)."""
+    if not days:
+        return None
+    reg = _alt(regions) if regions else "*"
+    return f"{root.rstrip('/')}/region={reg}/day={_alt(days)}{tail}"
+
+
 def trail_glob(root: str, days=None, regions=None, layout: str = "native") -> str:
     """One Hadoop glob selecting exactly the requested region/day folders."""
     root = root.rstrip("/")

@@ -84,3 +84,17 @@ def test_trail_glob_selects_only_requested_days(spark, tmp_path):
                                                               ("us-east-1", "2024-02-01")]
     assert read_trail(spark, root, days=["2023-05-05"]).count() == 0
     assert read_trail(spark, root).count() == 4
+
+
+def test_day_globs_for_hive_tables(spark, tmp_path):
+    from qtrail.sources.events import read_events
+    from qtrail.sources.history import read_history
+    from tests.fixtures import GOLDEN_HISTORY, write_history_file
+    for d in ("2024-03-03", "2024-03-04"):
+        write_history_file(str(tmp_path / "h"), "us-east-1", d, "primary", GOLDEN_HISTORY)
+    write_history_file(str(tmp_path / "h"), "eu-west-1", "2024-03-04", "wg2", GOLDEN_HISTORY)
+    h = read_history(spark, str(tmp_path / "h"), days=["2024-03-04"], regions=["eu-west-1"])
+    assert {(r.region, r.day, r.workgroup) for r in h.collect()} == {("eu-west-1", "2024-03-04", "wg2")}
+    assert read_history(spark, str(tmp_path / "h"), days=["2030-01-01"]).count() == 0
+    assert read_history(spark, str(tmp_path / "h")).count() == 6
+    assert read_events(spark, str(tmp_path / "nothing"), days=["2024-03-04"]).count() == 0
