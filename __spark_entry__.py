@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from qtrail.config import AuditConfig
+from qtrail.config import QUERY_SERVICE_SOURCE, SELF_ROLE_MARKERS, TABLE_REF_PATTERN, AuditConfig
 from qtrail.functions import predicates as P
 from qtrail.operators import classify as CL
 from qtrail.operators import enrich as EN
@@ -167,7 +167,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # JOIN for pass 1, NOT EXISTS / NOT IN for pass 2, UNION ALL, regex table
 # references, MIN(tier) per (day, query_id), and a LEFT JOIN write-back.
 # ---------------------------------------------------------------------------
-_PATTERN = r"\b(?:FROM|JOIN|INTO)\s+`?(\w+)`?(?:\s*\.\s*`?(\w+)`?)?"
+_PATTERN = TABLE_REF_PATTERN.replace("(?iU)", "")  # DuckDB takes the flags as 'i'
+SRC = QUERY_SERVICE_SOURCE
+ROLE1, ROLE2 = SELF_ROLE_MARKERS
 _COST = "CAST(COALESCE(h.data_scanned, 0) / 1099511627776.0 * 5.00 AS DECIMAL(12,8))"
 _ISO = "'%Y-%m-%dT%H:%M:%SZ'"
 
@@ -190,16 +192,16 @@ WITH ev AS (
   FROM events),
 trail AS (
   SELECT region, day, iso AS eventtime,
-    CASE WHEN event_id % 11 = 0 THEN 's3.amazonaws.com' ELSE 'athena.amazonaws.com' END AS eventsource,
+    CASE WHEN event_id % 11 = 0 THEN 'storage.example.com' ELSE '{SRC}' END AS eventsource,
     CASE WHEN event_type = 'signup' THEN 'GetQueryExecution' ELSE 'StartQueryExecution' END AS eventname,
     CASE user_id % 3 WHEN 0 THEN 'Root' WHEN 1 THEN 'IAMUser' ELSE 'AssumedRole' END AS user_identity_type,
     'AID' || CAST(user_id AS VARCHAR) AS principal,
-    CASE WHEN user_id = 11 THEN 'arn:x/AthenaEventsLambda-R' WHEN user_id = 12 THEN 'arn:x/AthenaHistoryLambda-R'
+    CASE WHEN user_id = 11 THEN 'arn:x/{ROLE1}-R' WHEN user_id = 12 THEN 'arn:x/{ROLE2}-R'
       WHEN user_id % 50 = 13 THEN NULL ELSE 'arn:u' || CAST(user_id AS VARCHAR) END AS arn,
     CASE WHEN user_id % 5 = 0 THEN NULL ELSE 'user' || CAST(user_id AS VARCHAR) END AS source_identity,
     CASE WHEN user_id % 7 = 3 THEN 'idc-' || CAST(user_id AS VARCHAR) END AS on_behalf_of_user_id,
     '10.0.' || CAST(user_id % 200 AS VARCHAR) || '.' || CAST(event_id % 250 AS VARCHAR) AS source_ip,
-    CASE user_id % 3 WHEN 0 THEN 'Boto3/1.26.82' WHEN 1 THEN 'aws-cli/2.15.0' ELSE 'JDBC/2.1.1' END AS user_agent,
+    CASE user_id % 3 WHEN 0 THEN 'sdk-python/1.26' WHEN 1 THEN 'cli/2.15' ELSE 'jdbc/2.1' END AS user_agent,
     '{{"queryString":"' || CASE WHEN user_id % 2 = 0 THEN '***OMITTED***' ELSE qt END
       || '","queryExecutionContext":{{"database":"sales"}},"workGroup":"' || wg || '"}}' AS requestparameters,
     CASE WHEN event_id % 97 = 0 THEN NULL ELSE '{{"queryExecutionId":"' || qid || '"}}' END AS responseelements
@@ -220,7 +222,7 @@ starts AS (
     json_extract_string(requestparameters, '$.queryExecutionContext.database') AS database,
     json_extract_string(requestparameters, '$.workGroup') AS workgroup
   FROM trail t
-  WHERE eventsource = 'athena.amazonaws.com' AND eventname IN ('StartQueryExecution')),
+  WHERE eventsource = '{SRC}' AND eventname IN ('StartQueryExecution')),
 pass1 AS (
   SELECT s.query_id, try_strptime(s.eventtime, {_ISO}) AS event_time,
     s.source_identity, s.on_behalf_of_user_id, s.user_identity_type,
@@ -230,7 +232,7 @@ pass1 AS (
     s.region, s.day
   FROM starts s LEFT JOIN history h
     ON s.query_id = h.query_id AND h.day = s.day AND h.region = s.region
-  WHERE s.arn NOT LIKE '%AthenaEventsLambda%' AND s.arn NOT LIKE '%AthenaHistoryLambda%'
+  WHERE s.arn NOT LIKE '%{ROLE1}%' AND s.arn NOT LIKE '%{ROLE2}%'
     AND COALESCE(h.query, NULLIF(s.query_string, '***OMITTED***')) IS NOT NULL{wg1}),
 hist_cols AS (
   SELECT h.query_id, try_strptime(h.submission_time, {_ISO}) AS event_time,

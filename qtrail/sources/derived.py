@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from qtrail import config as C
+
 # Fixed values of the derived fixture (kept identical in the oracle SQL).
 QUERY_TEXTS = (
     "SELECT * FROM sales.orders",
@@ -35,7 +37,8 @@ TIER_ROWS = (
     ("default", "orders", "tier_3"),
 )
 IDENTITY_TYPES = ("Root", "IAMUser", "AssumedRole")
-USER_AGENTS = ("Boto3/1.26.82", "aws-cli/2.15.0", "JDBC/2.1.1")
+USER_AGENTS = ("sdk-python/1.26", "cli/2.15", "jdbc/2.1")
+OTHER_EVENT_SOURCE = "storage.example.com"
 TRAIL_DATABASE = "sales"
 FAILED_REASON = "SYNTAX_ERROR: line 1:1"
 CANCELLED_REASON = "Query cancelled by user"
@@ -82,13 +85,13 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
 def derived_trail(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     b = (base if base is not None else _base(spark, sf_dir)).where(F.col("event_id") % 7 != 0)
     eid, uid = F.col("event_id"), F.col("user_id")
-    arn = (F.when(uid == 11, F.lit("arn:x/AthenaEventsLambda-R"))
-           .when(uid == 12, F.lit("arn:x/AthenaHistoryLambda-R"))
+    arn = (F.when(uid == 11, F.lit(f"arn:x/{C.SELF_ROLE_MARKERS[0]}-R"))
+           .when(uid == 12, F.lit(f"arn:x/{C.SELF_ROLE_MARKERS[1]}-R"))
            .when(uid % 50 == 13, F.lit(None).cast("string"))
            .otherwise(F.concat(F.lit("arn:u"), uid.cast("string"))))
     source_identity = F.when(uid % 5 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("user"), uid.cast("string")))
     on_behalf = F.when(uid % 7 == 3, F.concat(F.lit("idc-"), uid.cast("string"))).otherwise(F.lit(None).cast("string"))
-    shown_text = F.when(uid % 2 == 0, F.lit("***OMITTED***")).otherwise(F.col("qt"))
+    shown_text = F.when(uid % 2 == 0, F.lit(C.REDACTED_QUERY_TEXT)).otherwise(F.col("qt"))
     request = F.concat(
         F.lit('{"queryString":"'), shown_text,
         F.lit('","queryExecutionContext":{"database":"' + TRAIL_DATABASE + '"},"workGroup":"'), F.col("wg"),
@@ -109,8 +112,9 @@ def derived_trail(spark: SparkSession, sf_dir: str, base: DataFrame | None = Non
     return b.select(
         identity.alias("userIdentity"),
         F.col("iso").alias("eventTime"),
-        F.when(eid % 11 == 0, F.lit("s3.amazonaws.com")).otherwise(F.lit("athena.amazonaws.com")).alias("eventSource"),
-        F.when(F.col("event_type") == "signup", F.lit("GetQueryExecution")).otherwise(F.lit("StartQueryExecution")).alias("eventName"),
+        F.when(eid % 11 == 0, F.lit(OTHER_EVENT_SOURCE)).otherwise(F.lit(C.QUERY_SERVICE_SOURCE)).alias("eventSource"),
+        F.when(F.col("event_type") == "signup", F.lit("GetQueryExecution"))
+         .otherwise(F.lit(C.START_EVENT_NAMES[0])).alias("eventName"),
         F.concat(F.lit("10.0."), (uid % 200).cast("string"), F.lit("."), (eid % 250).cast("string")).alias("sourceIPAddress"),
         _case(uid % 3, USER_AGENTS).alias("userAgent"),
         request.alias("requestParameters"),

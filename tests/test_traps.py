@@ -5,7 +5,7 @@ from decimal import ROUND_HALF_UP, Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from qtrail.config import AuditConfig
+from qtrail.config import QUERY_SERVICE_SOURCE, SELF_ROLE_MARKERS, AuditConfig
 from qtrail.functions import columns as X
 from qtrail.functions.calendar import day_range_df, days_between
 from qtrail.operators import classify as CL
@@ -46,7 +46,7 @@ def test_t1_null_history_id(spark):
 
 
 def test_t2_null_arn_dropped_and_not_resurrected(spark):
-    trail = trail_df(spark, [trail_row("a", arn=None), trail_row("b", arn="arn:x/AthenaEventsLambda-1"),
+    trail = trail_df(spark, [trail_row("a", arn=None), trail_row("b", arn=f"arn:x/{SELF_ROLE_MARKERS[0]}-1"),
                              trail_row("c")])
     hist = history_df(spark, [history_row("a"), history_row("b"), history_row("c")])
     st = EN.staging(trail, hist)
@@ -131,7 +131,7 @@ def test_t12_malformed_history_lines(spark, tmp_path):
 def test_t14_trail_keys_are_case_sensitive(spark, tmp_path):
     from qtrail.sources.trail import read_trail
     from tests.fixtures import write_trail_file
-    rec = {"eventSource": "athena.amazonaws.com", "sourceIpAddress": "9.9.9.9", "sourceIPAddress": "1.1.1.1",
+    rec = {"eventSource": QUERY_SERVICE_SOURCE, "sourceIpAddress": "9.9.9.9", "sourceIPAddress": "1.1.1.1",
            "userIdentity": {"principalid": "lower", "principalId": "UPPER"}}
     write_trail_file(str(tmp_path), "r1", D, [rec])
     r = read_trail(spark, str(tmp_path)).first()
