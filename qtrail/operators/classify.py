@@ -58,7 +58,9 @@ def tier_lookup(refs: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfi
     t = _normalised_tiers(tiers, cfg)
     if cfg.tiers_case_insensitive:
         refs = refs.withColumn("db", F.lower("db")).withColumn("tbl", F.lower("tbl"))
-    if fits_broadcast(t, cfg.tier_broadcast_max_rows):
+    # Bound the raw tag rows (de-duplication can only shrink them), so the
+    # check reads at most max_rows + 1 rows instead of aggregating the source.
+    if fits_broadcast(tiers.select("tier"), cfg.tier_broadcast_max_rows):
         return refs.join(F.broadcast(t), ["db", "tbl"], how)
     # Large tier map: spread every reference key over ``n`` salt buckets and
     # replicate each tier row into all of them.
