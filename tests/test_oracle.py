@@ -24,6 +24,10 @@ def _norm(v):
     return v
 
 
+_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+          "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN", "date": "DATE"}
+
+
 def _rows(cols, rows):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=lambda t: tuple(map(repr, t)))
@@ -46,6 +50,9 @@ def test_query_matches_oracle(spark, sf_small, con, name):
         pytest.skip("no SQL form")
     rel = con.sql(sql)
     assert sorted(df.columns) == sorted(rel.columns)
+    stypes = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
+              for f in df.schema.fields}
+    assert stypes == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     assert _rows(df.columns, s_rows) == _rows(rel.columns, rel.fetchall())
 
 
