@@ -184,6 +184,7 @@ WITH ev AS (
     CASE WHEN user_id % 2 = 0 THEN 'us-east-1' ELSE 'eu-west-1' END AS region,
     'wg-' || CAST(user_id % 4 AS VARCHAR) AS wg,
     strftime(ts, '%Y-%m-%d') AS day,
+    strftime(CASE WHEN event_id % 17 = 0 THEN ts + INTERVAL 30 MINUTE ELSE ts END, '%Y-%m-%d') AS hday,
     strftime(ts, {_ISO}) AS iso,
     CASE event_id % 5 WHEN 0 THEN 'SELECT * FROM sales.orders'
       WHEN 1 THEN 'SELECT * FROM orders JOIN hr.people ON 1=1'
@@ -211,7 +212,7 @@ history AS (
     CASE WHEN event_type = 'error' THEN 'FAILED' WHEN event_id % 10 = 1 THEN 'CANCELLED' ELSE 'SUCCEEDED' END AS status,
     CASE WHEN event_type = 'error' THEN 'SYNTAX_ERROR: line 1:1'
       WHEN event_id % 10 = 1 THEN 'Query cancelled by user' ELSE '' END AS state_change_reason,
-    iso AS submission_time, region, day, wg AS workgroup
+    iso AS submission_time, region, hday AS day, wg AS workgroup
   FROM ev WHERE event_id % 3 <> 0 OR event_id % 7 = 0),
 tiers AS (
   SELECT * FROM (VALUES ('sales', 'orders', 'tier_2'), ('hr', 'people', 'tier_1'),
