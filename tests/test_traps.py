@@ -3,7 +3,6 @@
 from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from qtrail.config import QUERY_SERVICE_SOURCE, SELF_ROLE_MARKERS, AuditConfig
 from qtrail.functions import columns as X
