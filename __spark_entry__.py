@@ -2,8 +2,10 @@
 (the same results written as DuckDB SQL over the driver's tables).
 
 The audit inputs (trail records, query history, tier map) are derived from
-the driver's ``events`` table by fixed column rules (FIXTURES.md §5); every
-query below runs the real pipeline over all of them.
+the driver's ``events`` table by fixed column rules (FIXTURES.md §5). The
+pipeline keys run the whole build over all of them; the report keys query
+the events table that build writes (once per application, under the shared
+checkpoint folder), as the audit's own reports do.
 """
 
 from __future__ import annotations
@@ -55,10 +57,14 @@ _EVENTS_TABLES: dict[tuple[str, str], str] = {}
 def _events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     root = _EVENTS_TABLES.get(key)
-    if root is None:
-        root = scratch_path(spark, "events-table")
-        write_events(_audit(spark, sf_dir), root)
-        _EVENTS_TABLES[key] = root
+    if root is not None:
+        try:
+            return read_events(spark, root)
+        except Exception:  # noqa: BLE001 -- folder gone (scratch cleaned): rebuild below
+            _EVENTS_TABLES.pop(key, None)
+    root = scratch_path(spark, "events-table")
+    write_events(_audit(spark, sf_dir), root)
+    _EVENTS_TABLES[key] = root
     return read_events(spark, root)
 
 
