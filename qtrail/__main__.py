@@ -25,7 +25,7 @@ def _cfg(a) -> AuditConfig:
 def cmd_events(spark, a) -> dict:
     from qtrail.plans.events_job import range_for, run_range
     from qtrail.sources.history import read_history
-    from qtrail.sources.tiers import tiers_from_rows, tiers_from_tag_dump
+    from qtrail.sources.tiers import tiers_from_rows, tiers_from_table, tiers_from_tag_dump
     from qtrail.sources.trail import read_trail
     from qtrail.functions.calendar import days_between
     cfg = _cfg(a)
@@ -37,7 +37,12 @@ def cmd_events(spark, a) -> dict:
     regions = list(cfg.regions) or None
     trail = read_trail(spark, a.trail_root, days, regions, layout=a.trail_layout)
     hist = read_history(spark, a.history_root, days, regions)
-    tiers = tiers_from_tag_dump(spark, a.tiers) if a.tiers else tiers_from_rows(spark, [])
+    if a.tiers:
+        tiers = tiers_from_tag_dump(spark, a.tiers)
+    elif a.tiers_table:
+        tiers = tiers_from_table(spark, a.tiers_table)
+    else:  # no tier map: every event keeps a NULL tier
+        tiers = tiers_from_rows(spark, [])
     run = run_range(spark, trail, hist, tiers, a.events_root, lo, hi, cfg)
     return {"from_day": run.from_day, "to_day": run.to_day, "events": run.events, "classified": run.classified}
 
@@ -111,6 +116,7 @@ def main(argv=None) -> None:
     e.add_argument("--history-root", required=True)
     e.add_argument("--events-root", required=True)
     e.add_argument("--tiers", help="tag-search JSON dump")
+    e.add_argument("--tiers-table", help="(db, tbl, tier) table: .parquet folder, .csv or .json")
     e.add_argument("--regions")
     e.add_argument("--audit-db", default="default")
     e.add_argument("--cost-per-tb", default=DEFAULT_COST_PER_TB)

@@ -29,6 +29,16 @@ def tiers_from_tag_dump(spark: SparkSession, path: str) -> DataFrame:
     return tiered.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").select("db", "tbl", "tier")
 
 
+def tiers_from_table(spark: SparkSession, path: str) -> DataFrame:
+    """A tier map kept as a plain (db, tbl, tier) table: Parquet, CSV with a
+    header, or JSON lines, chosen by the path's extension."""
+    fmt = "csv" if path.rstrip("/").endswith(".csv") else "json" if path.rstrip("/").endswith(
+        (".json", ".jsonl")) else "parquet"
+    r = spark.read.schema(TIERS)
+    df = r.option("header", True).csv(path) if fmt == "csv" else r.json(path) if fmt == "json" else r.parquet(path)
+    return df.select("db", "tbl", "tier")
+
+
 def tiers_from_rows(spark: SparkSession, rows) -> DataFrame:
     """A small literal tier map as a local relation (planned as
     ``LocalTableScan``: no RDD, no Python worker). Values are bound as

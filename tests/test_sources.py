@@ -98,3 +98,10 @@ def test_day_globs_for_hive_tables(spark, tmp_path):
     assert read_history(spark, str(tmp_path / "h"), days=["2030-01-01"]).count() == 0
     assert read_history(spark, str(tmp_path / "h")).count() == 6
     assert read_events(spark, str(tmp_path / "nothing"), days=["2024-03-04"]).count() == 0
+
+
+def test_tiers_from_table(spark, tmp_path):
+    from qtrail.sources.tiers import tiers_from_table
+    (tmp_path / "t.csv").write_text("db,tbl,tier\nsales,orders,tier_2\nhr,people,tier_1\n")
+    got = sorted(map(tuple, tiers_from_table(spark, str(tmp_path / "t.csv")).collect()))
+    assert got == [("hr", "people", "tier_1"), ("sales", "orders", "tier_2")]
