@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from qtrail.config import QUERY_SERVICE_SOURCE, SELF_ROLE_MARKERS, TABLE_REF_PATTERN, AuditConfig
 from qtrail.functions import predicates as P
+from qtrail.functions.calendar import days_between
 from qtrail.operators import classify as CL
 from qtrail.operators import enrich as EN
 from qtrail.operators import reports as R
@@ -91,7 +92,8 @@ def _inputs_q(fn):
 def _history_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "history")
     build_history(derived_executions(spark, sf_dir), root)
-    return read_history(spark, root)
+    # Read back through the day-folder globs; the range spans every day of the data.
+    return read_history(spark, root, days=days_between(FROM_DAY, TO_DAY))
 
 
 def _trail_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
