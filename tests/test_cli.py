@@ -22,3 +22,19 @@ def test_cli_events_and_report(spark, tmp_path, capsys):
     main(["report", "status_breakdown", "--events-root", str(tmp_path / "e"), "--csv", str(tmp_path / "csv")])
     rows = spark.read.option("header", True).csv(str(tmp_path / "csv")).collect()
     assert {(r.status, r.cnt) for r in rows} == {("UNKNOWN", "2")}
+
+
+def test_cli_every_report_runs(spark, sf_small, tmp_path, capsys):
+    import __spark_entry__ as E
+    from qtrail.__main__ import REPORTS, main
+    from qtrail.sources.events import write_events
+    root = str(tmp_path / "events")
+    write_events(E._audit(spark, sf_small), root)
+    for name in REPORTS:
+        args = ["report", name, "--events-root", root, "--from", "2024-01-01", "--to", "2024-01-31",
+                "--as-of", "2024-01-31", "--show", "1"]
+        if name == "sql":
+            args += ["--sql", "SELECT count(1) AS n FROM events"]
+        main(args)
+    out = capsys.readouterr().out
+    assert out.count("+") > len(REPORTS)  # every report printed a table
