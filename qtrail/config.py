@@ -63,6 +63,12 @@ class AuditConfig:
     # times); adaptive skew-join splitting divides any bucket still too big.
     tier_broadcast_max_rows: int = 1_000_000
     tier_salt_buckets: int = 32
+    # Tier write-back: "window" (default; one shuffle of the enriched rows) or
+    # "join" (min per (day, query_id) as a partially aggregated group-by,
+    # joined back; survives a single query id holding a large share of rows
+    # because AQE splits the hot join partition, at the cost of evaluating the
+    # enriched rows twice unless the caller persists them).
+    tier_writeback: str = "window"
     # Storage locations (any Hadoop-compatible URI).
     trail_root: str | None = None
     history_root: str | None = None

@@ -89,6 +89,8 @@ def classify(staging: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfi
     (an id test never matches NULL), so they get per-row window keys hashed
     from the row itself -- no single task receives them all -- and a NULL tier.
     """
+    if cfg.tier_writeback == "join":
+        return _classify_by_join(staging, tiers, cfg)
     fallback = F.coalesce(F.nullif(F.col("database"), F.lit("")), F.lit(cfg.audit_db))
     x = (staging.withColumn("_kk", X.null_safe_join_key("query_id", "e", staging.columns))
          .select("*", F.posexplode_outer(table_refs_col("query")).alias("_pos", "_ref")))
@@ -104,6 +106,17 @@ def classify(staging: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfi
     return out.select(*EVENT_COLUMNS)
 
 
+def _classify_by_join(staging: DataFrame, tiers: DataFrame, cfg: AuditConfig) -> DataFrame:
+    """Skew-safe write-back: ``best_tiers`` is a group-by with map-side partial
+    aggregation (a hot id collapses to one row per task), and the left join
+    back on (day, key) lets AQE split a hot partition of the enriched side."""
+    best = best_tiers(staging.where(F.col("query_id").isNotNull()), tiers, cfg).select(
+        F.col("day").alias("_bday"), F.col("query_id").alias("_bqid"), "classification_tier")
+    left = staging.withColumn("_k", X.null_safe_join_key("query_id", "e", staging.columns))
+    out = left.join(best, (F.col("day") == F.col("_bday")) & (F.col("_k") == F.col("_bqid")), "left")
+    return out.select(*EVENT_COLUMNS)
+
+
 def tier_counts(staging: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfig()) -> DataFrame:
     """How many staged records were classified, by the record's own best
     tier. A record's tier depends only on (query, database), so records are
