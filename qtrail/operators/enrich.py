@@ -34,8 +34,10 @@ from qtrail.functions import predicates as P
 from qtrail.schemas import STAGING_COLUMNS
 
 
-def trail_starts(trail: DataFrame, days=None, regions=None) -> DataFrame:
-    """F1 + F3: start-query records of the service, JSON fields parsed once."""
+def trail_starts(trail: DataFrame, days=None, regions=None, keep_null_arn: bool = False) -> DataFrame:
+    """F1 + F3: start-query records of the service, JSON fields parsed once.
+    The request text is parsed only for records pass 1 can keep: the
+    pipeline's own records only need their (region, day, id) for pass 2."""
     cond = P.all_of(P.start_query_only(), P.in_days(days), P.in_regions(regions))
     return trail.where(cond).select(
         "region", "day",
@@ -44,7 +46,7 @@ def trail_starts(trail: DataFrame, days=None, regions=None) -> DataFrame:
         *[F.col(path).alias(name) for name, path in X.IDENTITY_FIELDS.items()],
         F.col("userAgent").alias("user_agent"),
         F.col("sourceIPAddress").alias("source_ip"),
-        X.trail_request().alias("_req"),
+        F.when(P.exclude_self("userIdentity.arn", keep_null_arn), X.trail_request()).alias("_req"),
     ).select(
         "*",
         F.col("_req.queryString").alias("query_string"),
@@ -70,7 +72,7 @@ def joined(trail: DataFrame, history: DataFrame, cfg: AuditConfig = AuditConfig(
            days=None, regions=None) -> DataFrame:
     """Full outer join of starts and history; columns in staging order plus a
     boolean ``from_trail`` (True = pass 1, False = history-only pass 2)."""
-    s = trail_starts(trail, days, regions)
+    s = trail_starts(trail, days, regions, cfg.keep_null_arn)
     h = history_rows(history, days, regions)
     if cfg.strict_not_in:
         h = (h.join(_strict_flags(s), ["region", "day"], "left")
