@@ -11,6 +11,7 @@ checkpoint folder), as the audit's own reports do.
 from __future__ import annotations
 
 from collections.abc import Callable
+from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -123,6 +124,13 @@ def _csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(search.schema).option("header", True).csv(root)
 
 
+# Queries of the training-data operators, where that subpackage is present.
+if find_spec("qtrail.llm") is not None:
+    from qtrail.llm import queries as _llm
+else:
+    _llm = None
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     strict = AuditConfig(strict_not_in=True)
     return {
@@ -166,6 +174,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "events_sink_roundtrip": _events_roundtrip,
         "backfill": _backfill,
         "csv_export": _csv_export,
+        **(_llm.queries() if _llm else {}),
     }
 
 
@@ -406,4 +415,4 @@ def oracle_sql() -> dict[str, str]:
         else:
             out[name] = prefix + final
     out["workgroup_filtered"] = _prefix(WG_FILTER.strip().lower()) + "SELECT * FROM staging"
-    return out
+    return out | (_llm.oracle_sql() if _llm else {})
