@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from qtrail.llm import ann_multi_index as ann
 from qtrail.llm import chat_format as chat
-from qtrail.llm import packing, quality_ordinal, spotsigs, token_counts, toxicity_pu, warc_zip
+from qtrail.llm import ngram_join, packing, quality_ordinal, spotsigs, token_counts, toxicity_pu, warc_zip
 
 from qtrail.llm.common import ship_package
 
@@ -37,6 +37,10 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
+def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.linked_components(table(spark, sf_dir, "documents"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = token_counts.token_counts(table(spark, sf_dir, "documents"))
     return counts.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -88,10 +92,16 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of ``corpus_pipeline.py`` over ``documents``."""
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_chat_format, op2_packing, op4_token_counts, op5_quality_ordinal, op7_multi_index, op8_spotsigs,
-        op9_warc, op10_toxicity)}
+        op1_chat_format, op2_packing, op3_ngram_join, op4_token_counts, op5_quality_ordinal, op7_multi_index, op8_spotsigs,
+        op9_warc, op10_toxicity, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
