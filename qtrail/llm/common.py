@@ -51,6 +51,14 @@ def by_bytes(sizes: Iterable[int], limit: int) -> Iterator[tuple[int, int]]:
         yield start, stop + 1
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches: what a task builds from a batch of
+    texts stays small beside the batch itself."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def text_column(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
     """UTF-8 bytes of a text column, null as empty."""
     return batch.column(name).fill_null("").cast(pa.large_binary()).to_pylist()
@@ -69,7 +77,7 @@ BYTE_LOWER[65:91] = _BYTE[97:123]
 BYTE_LOWER[_SPACE] = 0
 _BASE = 0x9E3779B97F4A7C15  # odd, so it has an inverse modulo 2**64
 _SHINGLE = _RNG.integers(1, 2**63, 8, dtype=np.uint64) * U64(2) + U64(1)
-SEGMENT = 1 << 20  # bytes hashed at once
+SEGMENT = 1 << 19  # bytes hashed at once
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qtrail.llm.common import BYTE_LOWER, SEGMENT, U64, by_bytes, hash_runs, mix, text_column
+from qtrail.llm.common import BYTE_LOWER, SEGMENT, U64, by_bytes, hash_runs, mix, slices, text_column
 
 BITS = 18
 BEGINNING = 5  # bytes
@@ -173,7 +173,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int, key: str = "
             .join(F.broadcast(chosen), F.col("_id") == F.col("_key")).select("_key", "_text", "_label"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             found = [f.astype("<i4").tobytes() for f in features(text_column(b, "_text"))]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.binary()), b.column(2)],
                                              names=["_key", "features", "label"])
@@ -193,7 +193,7 @@ def score_texts(docs: DataFrame, score: Callable[[list[np.ndarray]], dict[str, n
     schema = T.StructType([rows.schema["row"], *(T.StructField(n, T.DoubleType()) for n in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             got = score(list(features(text_column(b, "_text"))))
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(got[n], pa.float64()) for n in names)],
                                              names=schema.names)

@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qtrail.llm.common import U64, batch_word_hashes, materialize, mix, shingle_hashes, text_column
+from qtrail.llm.common import U64, batch_word_hashes, materialize, mix, shingle_hashes, slices, text_column
 from qtrail.llm.components import components
 from qtrail.llm.count_rtree import CountRTree, count_vector, fold, linked, may_link
 
@@ -89,7 +89,7 @@ def _statistics(docs: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, kind = np.zeros(1 << SKETCH_BITS, np.uint32), None
-        for b in batches:
+        for b in slices(batches):
             kind = b.column(0).type
             n, d, held, waiting = [], [], [], 0
             for _, s in documents_shingles(b, size):
@@ -144,7 +144,7 @@ def _cells(docs: DataFrame, sketch: np.ndarray, size: int, percent: int) -> Data
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = shared.value, set()
-        for b in batches:
+        for b in slices(batches):
             h, d, n = [], [], []
             for _, s in documents_shingles(b, size):
                 if not s.size or (key := digest(s)) in seen:
@@ -182,11 +182,12 @@ def _bitmap(cells: DataFrame) -> np.ndarray:
                 out |= np.frombuffer(zlib.decompress(raw), np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(out.tobytes(), 1)], pa.binary())], names=["bits"])
 
-    rows = cells.select("d").mapInArrow(bits, "bits binary").coalesce(4).mapInArrow(joined, "bits binary").collect()
+    rows = (cells.select("d").mapInArrow(bits, "bits binary").repartition(1)
+            .mapInArrow(joined, "bits binary").collect())
     out = np.zeros((1 << BITMAP_BITS) // 8, np.uint8)
     for r in rows:
         out |= np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
-    return np.unpackbits(out).astype(bool)
+    return out
 
 
 def _points(docs: DataFrame, cells: DataFrame, size: int) -> DataFrame:
@@ -196,10 +197,13 @@ def _points(docs: DataFrame, cells: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = wanted.value, set()
-        for b in batches:
+        for b in slices(batches):
             out = []
             for _, s in documents_shingles(b, size):
-                if not s.size or (key := digest(s)) in seen or not bits[(key & (2**64 - 1)) >> (64 - BITMAP_BITS)]:
+                if not s.size or (key := digest(s)) in seen:
+                    continue
+                bit = (key & (2**64 - 1)) >> (64 - BITMAP_BITS)
+                if not bits[bit >> 3] >> (7 - (bit & 7)) & 1:
                     continue
                 seen.add(key)
                 out.append((key, s.size, count_vector(s).tobytes(), s.tobytes()))

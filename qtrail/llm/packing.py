@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qtrail.llm.common import by_bytes, local_rows, materialize, tokenizer_file
+from qtrail.llm.common import by_bytes, local_rows, materialize, slices, tokenizer_file
 from qtrail.llm.wordmemo import WordMemo, dropped_space_pieces, load_tokenizer, plain_words, segments, split_flags
 
 CAPACITY = 2048
@@ -100,7 +100,7 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = word_encoder(path)
-        for b in batches:
+        for b in slices(batches):
             rows, starts, tokens, ids, held = [], [], [], [], 0
 
             def flush() -> pa.RecordBatch:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qtrail.llm.common import by_bytes, tokenizer_file
+from qtrail.llm.common import by_bytes, slices, tokenizer_file
 from qtrail.llm.wordmemo import WordMemo, load_tokenizer, segments, spaced_pieces, split_flags
 
 BATCH_BYTES = 1 << 20
@@ -71,7 +71,7 @@ def token_counts(docs: DataFrame, path: str | None = None, text: str = "text",
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = spaced_counter(path)
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(len(keep)).fill_null("").to_pylist()
             sizes = pa.array([len(t.encode()) for t in texts], pa.int64())
             counts = pa.array(count_batch(memo, texts), pa.int64())
