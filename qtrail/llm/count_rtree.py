@@ -14,7 +14,7 @@ LEAST_GROUPS = 64
 
 def groups_for(n: int) -> int:
     """Number of groups for a set of ``n`` shingles: a power of two."""
-    return max(LEAST_GROUPS, 1 << max(0, (n - 1) // 4).bit_length())
+    return max(LEAST_GROUPS, 1 << max(0, (n - 1) // 2).bit_length())
 
 
 def count_vector(hashes: np.ndarray) -> np.ndarray:

@@ -16,8 +16,9 @@ Steps.
 1. One pass: each document's set size and set digest, and the sketch (fixed
    width) of shingle frequencies. Equal sets are one class from here on.
 2. One pass: cell rows (shingle, digest, size). Cells of one class are dropped.
-3. One pass: count vectors and sets of the classes that are left, chosen by a
-   bitmap of fixed width.
+3. One pass: count vectors of the classes that are left, one document of each,
+   chosen by a bitmap of fixed width. (Sets are derived in the same way, only
+   for classes in pairs that the bound lets pass.)
 4. Links are found in three rounds, each over what the rounds before have not
    connected: (a) every class with the first of its cell, (b) classes of
    crowded cells among themselves, in blocks bounded by bytes, a union-find
@@ -84,8 +85,8 @@ def prefix_length(n: int, percent: int) -> int:
 def _statistics(docs: DataFrame, size: int) -> DataFrame:
     """Per document ``key, n, d``; per task chunks of its sketch."""
     schema = T.StructType([T.StructField("key", docs.schema["key"].dataType), T.StructField("n", T.LongType()),
-                           T.StructField("d", T.LongType()), T.StructField("chunk", T.IntegerType()),
-                           T.StructField("counts", T.BinaryType())])
+                           T.StructField("d", T.LongType()), T.StructField("_key", T.LongType()),
+                           T.StructField("chunk", T.IntegerType()), T.StructField("counts", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, kind = np.zeros(1 << SKETCH_BITS, np.uint32), None
@@ -103,14 +104,14 @@ def _statistics(docs: DataFrame, size: int) -> DataFrame:
             if held:
                 np.add.at(sketch, (np.concatenate(held) >> U64(64 - SKETCH_BITS)).astype(np.int64), 1)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n, pa.int64()), pa.array(d, pa.int64()), pa.nulls(len(n), pa.int32()),
-                 pa.nulls(len(n), pa.binary())], names=schema.names)
+                [b.column(0), pa.array(n, pa.int64()), pa.array(d, pa.int64()), b.column("_key"),
+                 pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names=schema.names)
         if kind is not None:
             parts = sketch.reshape(SKETCH_CHUNKS, -1)
             kept = [i for i in range(SKETCH_CHUNKS) if parts[i].any()]
             k = len(kept)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(k, kind), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array(kept, pa.int32()),
+                [pa.nulls(k, kind), *(pa.nulls(k, pa.int64()) for _ in range(3)), pa.array(kept, pa.int32()),
                  pa.array([zlib.compress(parts[i].tobytes(), 1) for i in kept], pa.binary())], names=schema.names)
 
     return materialize(docs.mapInArrow(run, schema), "statistics")
@@ -166,12 +167,17 @@ def _cells(docs: DataFrame, sketch: np.ndarray, size: int, percent: int) -> Data
     return materialize(crowd.select("h", "d", "n").distinct(), "cells")
 
 
-def _bitmap(cells: DataFrame) -> np.ndarray:
-    """Bits of the digests in ``cells``: fixed size, false hits harmless."""
+def _place(d: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Bits of documents, by digest and hashed key."""
+    return (mix(d.view(np.uint64) ^ mix(key.view(np.uint64))) >> U64(64 - BITMAP_BITS)).astype(np.int64)
+
+
+def _bitmap(rows: DataFrame) -> np.ndarray:
+    """Bits of ``d, _key``: fixed size, false hits harmless."""
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out = np.zeros(1 << BITMAP_BITS, bool)
         for b in batches:
-            out[b.column(0).to_numpy().view(np.uint64) >> U64(64 - BITMAP_BITS)] = True
+            out[_place(b.column(0).to_numpy(), b.column(1).to_numpy())] = True
         raw = zlib.compress(np.packbits(out).tobytes(), 1)
         yield pa.RecordBatch.from_arrays([pa.array([raw], pa.binary())], names=["bits"])
 
@@ -182,38 +188,41 @@ def _bitmap(cells: DataFrame) -> np.ndarray:
                 out |= np.frombuffer(zlib.decompress(raw), np.uint8)
         yield pa.RecordBatch.from_arrays([pa.array([zlib.compress(out.tobytes(), 1)], pa.binary())], names=["bits"])
 
-    rows = (cells.select("d").mapInArrow(bits, "bits binary").repartition(1)
-            .mapInArrow(joined, "bits binary").collect())
+    got = rows.mapInArrow(bits, "bits binary").repartition(1).mapInArrow(joined, "bits binary").collect()
     out = np.zeros((1 << BITMAP_BITS) // 8, np.uint8)
-    for r in rows:
+    for r in got:
         out |= np.frombuffer(zlib.decompress(r["bits"]), np.uint8)
     return out
 
 
-def _points(docs: DataFrame, cells: DataFrame, size: int) -> DataFrame:
-    """``d, n, vec, items`` (count vector, sorted hashes) of the classes in
-    ``cells``, each once."""
-    wanted = docs.sparkSession.sparkContext.broadcast(_bitmap(cells))
+def _derived(docs: DataFrame, statistics: DataFrame, wanted: DataFrame, size: int, name: str,
+             derive: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """``d`` and a binary column ``name`` for the classes of ``wanted`` (column
+    ``d``), from one document of each: that of the smallest hashed key. (A
+    false hit of the bitmap may repeat a row; pairs are distinct again in the
+    end.)"""
+    one = statistics.where("d IS NOT NULL").groupBy("d").agg(F.min("_key").alias("_key"))
+    shared = docs.sparkSession.sparkContext.broadcast(
+        _bitmap(one.join(wanted.select("d").distinct(), "d", "left_semi").select("d", "_key")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits, seen = wanted.value, set()
+        bits, seen = shared.value, set()
         for b in slices(batches):
-            out = []
-            for _, s in documents_shingles(b, size):
-                if not s.size or (key := digest(s)) in seen:
+            keys, ids, out = b.column("_key").to_numpy(), [], []
+            for row, s in documents_shingles(b, size):
+                if not s.size:
                     continue
-                bit = (key & (2**64 - 1)) >> (64 - BITMAP_BITS)
-                if not bits[bit >> 3] >> (7 - (bit & 7)) & 1:
-                    continue
-                seen.add(key)
-                out.append((key, s.size, count_vector(s).tobytes(), s.tobytes()))
+                key = digest(s)
+                bit = int(_place(np.array([key]), keys[row:row + 1])[0])
+                if bits[bit >> 3] >> (7 - (bit & 7)) & 1 and key not in seen:
+                    seen.add(key)
+                    ids.append(key)
+                    out.append(derive(s).tobytes())
             if out:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.binary(), pa.binary()))],
-                    names=["d", "n", "vec", "items"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(out, pa.binary())],
+                                                 names=["d", name])
 
-    rows = docs.mapInArrow(run, "d long, n int, vec binary, items binary")
-    return materialize(rows.dropDuplicates(["d"]), "points")
+    return materialize(docs.mapInArrow(run, f"d long, {name} binary"), name)
 
 
 # -- links -------------------------------------------------------------------
@@ -226,22 +235,26 @@ def _pair_filter(columns: tuple[str, str], test: Callable) -> Callable:
     return run
 
 
-def verified(pairs: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """Pairs (``a, b``) that pass the bound and then the exact test."""
-    def bound(x: bytes, y: bytes) -> bool:
-        # The counts of a point sum to its size.
-        p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
-        return may_link(p, int(p.sum(dtype=np.int64)), q, int(q.sum(dtype=np.int64)), percent)
+def _bounded(x: bytes, y: bytes, percent: int) -> bool:
+    # The counts of a point sum to its size.
+    p, q = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    return may_link(p, int(p.sum(dtype=np.int64)), q, int(q.sum(dtype=np.int64)), percent)
+
+
+def _exact(x: bytes, y: bytes, percent: int) -> bool:
+    return linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
+
 
-    def exact(x: bytes, y: bytes) -> bool:
-        return linked(np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64), percent)
+def _passing(pairs: DataFrame, points: DataFrame, column: str, test: Callable, percent: int) -> DataFrame:
+    """Pairs (``a, b``) whose values in ``points`` pass the test."""
+    a = points.select(F.col("d").alias("a"), F.col(column).alias("x"))
+    b = points.select(F.col("d").alias("b"), F.col(column).alias("y"))
+    run = _pair_filter(("x", "y"), lambda x, y: test(x, y, percent))
+    return materialize(pairs.join(a, "a").join(b, "b").mapInArrow(run, "a long, b long"), f"pairs-{column}")
 
-    for column, test in (("vec", bound), ("items", exact)):
-        a = points.select(F.col("d").alias("a"), F.col(column).alias("x"))
-        b = points.select(F.col("d").alias("b"), F.col(column).alias("y"))
-        pairs = materialize(pairs.join(a, "a").join(b, "b").mapInArrow(
-            _pair_filter(("x", "y"), test), "a long, b long"), f"pairs-{column}")
-    return pairs
+
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.explode(F.array("a", "b")).alias("d"))
 
 
 class _Union:
@@ -334,9 +347,11 @@ def _streamed_cells(percent: int) -> Callable:
 
 
 def _labelled(cells: DataFrame, labels: DataFrame) -> DataFrame:
-    """Cells that hold several components, with ``c`` and the cell's sizes."""
+    """Cells that still hold several components, without their first member
+    (round (a) has tested all its pairs), with ``c`` and the cell's sizes."""
     cell = Window.partitionBy("h")
-    rows = cells.join(labels, cells["d"] == labels["v"], "left").select("h", "d", "n", F.coalesce("c", "d").alias("c"))
+    rows = (cells.withColumn("_first", F.min("d").over(cell)).where("d <> _first")
+            .join(labels, F.col("d") == labels["v"], "left").select("h", "d", "n", F.coalesce("c", "d").alias("c")))
     return (rows.withColumns({"_lo": F.min("c").over(cell), "_hi": F.max("c").over(cell),
                               "crowd": F.count(F.lit(1)).over(cell), "total": F.sum("n").over(cell)})
             .where("_lo < _hi").drop("_lo", "_hi"))
@@ -349,20 +364,22 @@ def _first_of_cell(cells: DataFrame) -> DataFrame:
     return rows.select(F.col("f.d").alias("a"), F.col("d").alias("b"), F.col("f.n").alias("na"), "n")
 
 
-def _crowded_blocks(cells: DataFrame, labels: DataFrame, points: DataFrame, percent: int) -> DataFrame:
-    """Round (b): every class in the two most crowded of its cells."""
+def _crowded(cells: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows of round (b): every class in the two most crowded of its cells."""
     rows = _labelled(cells, labels).where(F.col("crowd") >= CROWDED)
     top = Window.partitionBy("d").orderBy(F.desc("crowd"), "h")
     rows = rows.withColumn("_k", F.row_number().over(top)).where("_k <= 2")
     blocks = F.greatest(F.ceil(F.col("total") * 8 / BLOCK_BYTES), F.ceil(F.col("crowd") / BLOCK_ROWS))
     rows = rows.select("h", "d", F.pmod(F.xxhash64("d", "h"), blocks.cast("long")).alias("block"))
+    return materialize(rows, "crowded")
+
 
+def _crowded_links(rows: DataFrame, vecs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def run(t: pa.Table) -> pa.Table:
         found = block_links(t.column("d").to_pylist(), t.column("vec").to_pylist(), t.column("items").to_pylist(), percent)
         return pa.table([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
 
-    return (rows.join(points.select("d", "vec", "items"), "d").groupBy("h", "block")
-            .applyInArrow(run, "a long, b long"))
+    return (rows.join(vecs, "d").join(sets, "d").groupBy("h", "block").applyInArrow(run, "a long, b long"))
 
 
 def _remaining_pairs(cells: DataFrame, labels: DataFrame, points: DataFrame, percent: int) -> DataFrame:
@@ -374,25 +391,33 @@ def _remaining_pairs(cells: DataFrame, labels: DataFrame, points: DataFrame, per
     others = F.transform(F.sequence(F.lit(0), F.col("_blocks") - 1), lambda k: (
         F.least(own, k) * F.col("_blocks") + F.greatest(own, k)).cast("long"))
     rows = rows.select("h", F.explode(others).alias("cell"), "d", "c")
-    dealt = (rows.join(points.select("d", "vec"), "d").repartition("h", "cell")
+    dealt = (rows.join(points, "d").repartition("h", "cell")
              .sortWithinPartitions("h", "cell").select("h", "cell", "d", "c", "vec"))
-    return dealt.mapInArrow(_streamed_cells(percent), "a long, b long").distinct()
+    return materialize(dealt.mapInArrow(_streamed_cells(percent), "a long, b long").distinct(), "pairs-c")
 
 
 def linked_components(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = SIZE,
                       percent: int = PERCENT) -> DataFrame:
     """``key, n_shingles, component_id`` of every document."""
-    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("_text"))
+    rows = docs.select(F.col(key).alias("key"), F.col(text).alias("_text"),
+                       F.xxhash64(F.col(key)).alias("_key"))
     statistics = _statistics(rows, size)
-    sketch = _sketch(statistics)
-    cells = _cells(rows, sketch, size, percent)
-    points = _points(rows, cells, size)
-    near = (F.least("na", "n") * 100 >= F.greatest("na", "n") * percent)
-    links = verified(_first_of_cell(cells).where(near).select("a", "b").distinct(), points, percent)
-    labels = components(links)
-    links = materialize(links.union(_crowded_blocks(cells, labels, points, percent)), "links-b")
+    cells = _cells(rows, _sketch(statistics), size, percent)
+    vecs = _derived(rows, statistics, cells, size, "vec", count_vector)
+    near = F.least("na", "n") * 100 >= F.greatest("na", "n") * percent
+    firsts = _first_of_cell(cells).where(near).select("a", "b").distinct()
+    likely = _passing(firsts, vecs, "vec", _bounded, percent)
+    links = _passing(likely, _derived(rows, statistics, _ends(likely), size, "items", lambda s: s),
+                     "items", _exact, percent)
     labels = components(links)
-    rest = verified(_remaining_pairs(cells, labels, points, percent), points, percent)
+    crowded = _crowded(cells, labels)
+    if not crowded.isEmpty():
+        sets = _derived(rows, statistics, crowded, size, "items", lambda s: s)
+        links = materialize(links.union(_crowded_links(crowded, vecs, sets, percent)), "links-b")
+        labels = components(links)
+    likely = _remaining_pairs(cells, labels, vecs, percent)
+    rest = _passing(likely, _derived(rows, statistics, _ends(likely), size, "items", lambda s: s),
+                    "items", _exact, percent)
     labels = components(links.union(rest))
     own = statistics.where("chunk IS NULL").select("key", "n", "d")
     classed = own.join(labels, own["d"] == labels["v"], "left").select("key", "n", F.coalesce("c", "d").alias("c"))
