@@ -6,7 +6,8 @@
    more go;
 3. near duplicates: n-gram Jaccard join; of each group of linked documents the
    one with the smallest id stays;
-4. packing: what is left, as pieces of fixed-length sequences with their ids.
+4. packing: what is left, as pieces of fixed-length sequences (their places,
+   lengths and id checksums; the ids themselves are not shuffled).
 
 Each stage works on all that its predecessor kept, learns from that and from
 the labels, and returns the columns of ``documents`` (the last: pieces).
@@ -62,7 +63,7 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return packing.pack_documents(docs)
+    return packing.pack_documents(docs, with_ids=False)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
