@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from qtrail.llm import ann_multi_index as ann
 from qtrail.llm import chat_format as chat
-from qtrail.llm import ngram_join, packing, quality_ordinal, spotsigs, token_counts, toxicity_pu, warc_zip
+from qtrail.llm import ngram_join, packing, piece_lattice, quality_ordinal, spotsigs, token_counts, toxicity_pu, warc_zip
 
-from qtrail.llm.common import ship_package
+from qtrail.llm.common import materialize, ship_package
 
 TOKEN_LIMIT = 1024
 KEEP_FROM = 0.5  # tail probability from which a document is kept
@@ -61,6 +61,13 @@ def op5_quality_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("tail_probability") >= KEEP_FROM).alias("kept"))
 
 
+def op6_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = materialize(piece_lattice.encode(table(spark, sf_dir, "documents")), "encoded")
+    decoded = piece_lattice.decode(encoded).select("row", F.sha2("text", 256).alias("decoded_sha256"))
+    return encoded.join(decoded, "row").select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "decoded_sha256")
+
+
 def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     return ann.nearest(vectors, vectors.where(F.col("vec_id") % 100 == 0))
@@ -100,7 +107,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op1_chat_format, op2_packing, op3_ngram_join, op4_token_counts, op5_quality_ordinal, op7_multi_index, op8_spotsigs,
+        op1_chat_format, op2_packing, op3_ngram_join, op4_token_counts, op5_quality_ordinal, op6_piece_lattice, op7_multi_index, op8_spotsigs,
         op9_warc, op10_toxicity, pipeline)}
 
 
