@@ -121,7 +121,8 @@ def _csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     search = R.user_search(_events_table(spark, sf_dir), _search_pred())
     root = scratch_path(spark, "export")
     R.export_csv(search, root)
-    return spark.read.schema(search.schema).option("header", True).csv(root)
+    return (spark.read.schema(search.schema).option("header", True).option("escape", '"')
+            .option("multiLine", True).csv(root))
 
 
 # Queries of the training-data operators, where that subpackage is present.

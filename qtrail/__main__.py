@@ -22,6 +22,11 @@ def _cfg(a) -> AuditConfig:
                        strict_not_in=a.strict_not_in, keep_null_arn=a.keep_null_arn)
 
 
+def _whole_range(a) -> None:
+    if bool(a.from_day) != bool(a.to_day):
+        raise SystemExit("--from and --to go together")
+
+
 def cmd_events(spark, a) -> dict:
     from qtrail.plans.events_job import range_for, run_range
     from qtrail.sources.history import read_history
@@ -29,6 +34,7 @@ def cmd_events(spark, a) -> dict:
     from qtrail.sources.trail import read_trail
     from qtrail.functions.calendar import days_between
     cfg = _cfg(a)
+    _whole_range(a)
     if a.from_day and a.to_day:
         lo, hi = a.from_day, a.to_day
     else:
@@ -51,6 +57,7 @@ def cmd_history(spark, a) -> dict:
     from qtrail.functions.calendar import days_between, yesterday
     from qtrail.plans.history_job import build_history
     from qtrail.sources.executions import read_executions
+    _whole_range(a)
     days = days_between(a.from_day, a.to_day) if a.from_day and a.to_day else [a.day or yesterday()]
     ex = read_executions(spark, a.executions, region=a.region)
     rep = build_history(ex, a.history_root, days, a.workgroups_filter or "")
@@ -74,11 +81,13 @@ def cmd_report(spark, a):
     from qtrail.functions import predicates as P
     from qtrail.operators import reports as R
     from qtrail.sources.events import read_events
-    from qtrail.functions.calendar import days_between
+    from qtrail.functions.calendar import day_back, days_between
     days = days_between(a.from_day, a.to_day) if a.from_day and a.to_day else None
-    # A bounded range lists only its day folders; otherwise the whole table.
-    ev = read_events(spark, a.events_root, days if days and len(days) <= 400 else None)
     lo, hi = a.from_day or "0000-01-01", a.to_day or "9999-12-31"
+    # A bounded range lists only its day folders; the range holds for every report.
+    ev = read_events(spark, a.events_root, days)
+    if a.from_day or a.to_day:
+        ev = ev.where(P.search_filter(lo, hi))
     pred = P.search_filter(lo, hi, a.user, a.workgroup, a.status, a.contains)
     n = a.name
     if n == "sql":
@@ -91,7 +100,7 @@ def cmd_report(spark, a):
     if n in ("distinct_users", "distinct_workgroups", "cost_listing", "audit_report", "latest_day"):
         return getattr(R, n)(ev)
     if n == "top_users_by_scan":
-        return R.top_users_by_scan(ev, a.as_of)
+        return R.top_users_by_scan(ev, a.as_of or day_back(0))
     if n == "adhoc_rollup":
         return R.adhoc_rollup(ev, lo)
     if n in ("latest_events", "classified_only"):
@@ -143,9 +152,10 @@ def main(argv=None) -> None:
     r.add_argument("--as-of")
     r.add_argument("--sql")
     r.add_argument("--csv", help="export the result as CSV to this folder")
-    r.add_argument("--show", type=int, default=50)
+    r.add_argument("--show", type=int, default=2**31 - 2)
     a = ap.parse_args(argv)
 
+    from qtrail.operators.reports import export_csv
     from qtrail.session import apply_conf, build_session, cluster_conf
     spark = build_session(master=a.master)
     if a.input_bytes:
@@ -160,9 +170,9 @@ def main(argv=None) -> None:
     else:
         df = cmd_report(spark, a)
         if a.csv:
-            df.write.mode("overwrite").option("header", True).csv(a.csv)
+            export_csv(df, a.csv)
         else:
-            df.show(a.show, truncate=80)
+            df.show(a.show, truncate=False)
 
 
 if __name__ == "__main__":

@@ -149,7 +149,10 @@ def search_status_summary(search: DataFrame) -> DataFrame:
 # S15 -- the (limited) search result as CSV with a header; one file, which is
 # safe only because the input is already bounded by its LIMIT.
 def export_csv(search: DataFrame, path: str) -> None:
-    search.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """One CSV file that reads back as written: quotes doubled, line breaks
+    quoted, outer blanks kept."""
+    (search.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
 
 
 def search_total_cost(search: DataFrame) -> DataFrame:

@@ -65,6 +65,11 @@ def run_range(spark: SparkSession, trail: DataFrame, history: DataFrame, tiers:
     table = read_events(spark, events_root, days, regions).where(F.col("day").isin(*days))
     present = {(r["region"], r["day"]) for r in table.select("region", "day").distinct().collect()}
     stale = sorted(present - built)
+    if stale and not regions:
+        # Only regions that the inputs speak for are cleared; inputs that are
+        # there but hold nothing clear the requested days of every region.
+        spoken = {r["region"] for r in trail.select("region").union(history.select("region")).distinct().collect()}
+        stale = [p for p in stale if not spoken or p[0] in spoken]
     if stale:  # (region, day) that is empty now but held rows from an earlier run
         delete_partition_dirs(spark, events_root, stale)
     row = (read_events(spark, events_root, days).where(F.col("day").isin(*days))

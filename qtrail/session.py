@@ -24,10 +24,13 @@ DEFAULTS = {
 
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app: str = "qtrail", extra: dict | None = None) -> SparkSession:
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    b = (SparkSession.builder.master(master or f"local[{cpus}]").appName(app)
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
-         .config("spark.driver.memory", os.environ.get("QTRAIL_DRIVER_MEMORY", "8g")))
+    """Master and shuffle partitions are those of the launcher unless given
+    (tests, tools and the bench give them)."""
+    b = SparkSession.builder.appName(app)
+    if master:
+        b = b.master(master).config("spark.driver.memory", os.environ.get("QTRAIL_DRIVER_MEMORY", "8g"))
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**DEFAULTS, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -41,6 +44,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     configured (local tests) is a private one set."""
     d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         d = tempfile.mkdtemp(prefix="qtrail-ckpt-")
         spark.sparkContext.setCheckpointDir(d)
         d = spark.sparkContext.getCheckpointDir()
@@ -64,7 +69,6 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
     * broadcast only below 64 MB (the tier map is checked separately by rows).
     """
     parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
-    parts = min(parts, 200_000)
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.enabled": "true",

@@ -58,18 +58,9 @@ def _case(key: Column, values) -> Column:
     return out
 
 
-def _spread(df: DataFrame) -> DataFrame:
-    """A single-row-group Parquet file is read by one task. When the scan
-    yields fewer partitions than the session's parallelism, spread the rows
-    (round-robin, deterministic on retry) so the per-row derivations run in
-    parallel; with many input files this is a no-op."""
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
 def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _spread(spark.read.parquet(f"{sf_dir}/events.parquet")
-                 .select("event_id", "ts", "user_id", "event_type", "value"))
+    ev = (spark.read.parquet(f"{sf_dir}/events.parquet")
+          .select("event_id", "ts", "user_id", "event_type", "value"))
     eid, uid = F.col("event_id"), F.col("user_id")
     return ev.select(
         "event_id", "ts", "user_id", "event_type", "value",

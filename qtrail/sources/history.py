@@ -15,19 +15,19 @@ from pyspark.sql import functions as F
 
 from qtrail.functions import predicates as P
 from qtrail.schemas import HISTORY, HISTORY_FILE, HISTORY_PARTITIONS
-from qtrail.sources.trail import hive_glob
+from qtrail.sources.trail import empty_or_raise, hive_glob
 
 
 def read_history(spark: SparkSession, root: str, days=None, regions=None) -> DataFrame:
     """With ``days`` only those day folders are listed (a glob under
     ``basePath``), not the whole history tree."""
-    glob = hive_glob(root, days, regions, "/workgroup=*")
+    glob = hive_glob(root, days, regions)
     reader = spark.read.schema(HISTORY).option("mode", "PERMISSIVE")
     try:
         df = reader.option("basePath", root).json(glob) if glob else reader.json(root)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return spark.createDataFrame([], HISTORY)
+            return empty_or_raise(spark, root, HISTORY)
         raise
     return df.where(P.all_of(F.col("query_id").isNotNull(), P.in_days(days), P.in_regions(regions)))
 

@@ -47,7 +47,7 @@ def trail_glob(root: str, days=None, regions=None, layout: str = "native") -> st
         reg = "region=" + reg if regions else "region=*"
     if not days:
         tail = "year=*/month=*/day=*" if hive else "*/*/*"
-        return f"{root}/{reg}/{tail}/*"
+        return f"{root}/{reg}/{tail}"
     by_month = defaultdict(list)
     for d in days:
         by_month[(d[:4], d[5:7])].append(d[8:10])
@@ -55,7 +55,16 @@ def trail_glob(root: str, days=None, regions=None, layout: str = "native") -> st
     for (y, m), dds in sorted(by_month.items()):
         dd = _alt(dds)
         parts.append(f"year={y}/month={m}/day={dd}" if hive else f"{y}/{m}/{dd}")
-    return f"{root}/{reg}/{_alt(parts)}/*"
+    return f"{root}/{reg}/{_alt(parts)}"
+
+
+def empty_or_raise(spark: SparkSession, root: str, schema) -> DataFrame:
+    """No folder of the requested days exists: an empty table, but only where
+    the root itself does (a mistyped root must not look like no data)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        raise FileNotFoundError(f"input folder does not exist: {root}")
+    return spark.createDataFrame([], schema)
 
 
 def read_trail(spark: SparkSession, root: str, days=None, regions=None, layout: str = "native",
@@ -67,7 +76,7 @@ def read_trail(spark: SparkSession, root: str, days=None, regions=None, layout:
                .option("mode", "PERMISSIVE").json(path))
     except AnalysisException as e:  # no folder matched: an empty day is not an error
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return spark.createDataFrame([], TRAIL)
+            return empty_or_raise(spark, root, TRAIL)
         raise
     p = F.col("_metadata.file_path")
     rec = raw.select(F.explode("Records").alias("r"), p.alias("_p"))

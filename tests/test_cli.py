@@ -6,7 +6,7 @@ from tests.fixtures import GOLDEN_HISTORY, GOLDEN_RECORD, write_history_file, wr
 
 def test_cluster_conf_sizes_partitions():
     c = cluster_conf(100 * 2 ** 40, 8000)          # 100 TB on 8,000 cores
-    assert c["spark.sql.shuffle.partitions"] == "200000"  # 409,600 wanted, capped
+    assert c["spark.sql.shuffle.partitions"] == "409600"
     small = cluster_conf(10 << 20, 8)
     assert small["spark.sql.shuffle.partitions"] == "16"
 

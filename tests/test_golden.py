@@ -1,4 +1,6 @@
-"""Golden cases of the reference's own tests, re-run on files."""
+"""Golden cases on files: absent roots, one region only, trail and history."""
+
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from tests.fixtures import (GOLDEN_HISTORY, GOLDEN_QID, GOLDEN_QID2, GOLDEN_RECO
 
 
 def _run(spark, tmp_path, day):
+    for root in ("trail", "history"):  # an absent root is an error, an absent day is not
+        (tmp_path / root).mkdir(exist_ok=True)
     trail = read_trail(spark, str(tmp_path / "trail"), days=[day])
     hist = read_history(spark, str(tmp_path / "history"), days=[day])
     tiers = tiers_from_rows(spark, TIER_ROWS)
@@ -27,9 +31,9 @@ def test_trail_record_parsed_from_file(spark, tmp_path):
     assert len(rows) == 1
     r = rows[0]
     assert (r.region, r.day) == ("us-east-1", "2024-03-02")
-    assert r.userIdentity.principalId == "SOME_USER"
+    assert r.userIdentity.principalId == "AUDITED:maria"
     assert r.userIdentity.sessionContext is None
-    assert r.sourceIPAddress == "1.1.1.1"
+    assert r.sourceIPAddress == "10.20.30.40"
     assert '"queryExecutionId":"%s"' % GOLDEN_QID in r.responseElements.replace(" ", "")
 
 
@@ -38,11 +42,11 @@ def test_trail_only_day_gives_one_event(spark, tmp_path):
     run, ev = _run(spark, tmp_path, "2024-03-02")
     assert run.events == 1
     r = ev.collect()[0]
-    assert r.query.startswith("ALTER TABLE some_database.some_table")
+    assert r.query.startswith("INSERT INTO mart.visits")
     assert r.data_scanned == 0 and r.cost == 0 and r.status is None
-    assert r.database == "default" and r.workgroup == "some-workgroup"
-    # day from the partition, not from the 2023 event time
-    assert r.day == "2024-03-02" and str(r.event_time) == "2023-05-28 08:30:14"
+    assert r.database == "mart" and r.workgroup == "analysts"
+    # day from the partition, not from the 2022 event time
+    assert r.day == "2024-03-02" and str(r.event_time) == "2022-11-03 21:05:40"
 
 
 def test_trail_and_history(spark, tmp_path):
@@ -54,7 +58,7 @@ def test_trail_and_history(spark, tmp_path):
     assert run.events == 2 and set(rows) == {GOLDEN_QID, GOLDEN_QID2}
     a = rows[GOLDEN_QID]
     assert (a.day, a.region, a.user_identity_principal, a.query, a.data_scanned) == \
-        ("2024-03-03", "us-east-1", "SOME_USER", "SELECT 1", 100)
+        ("2024-03-03", "us-east-1", "AUDITED:maria", "SELECT * FROM raw.visits", 4096)
     b = rows[GOLDEN_QID2]
     assert b.event_time is None and b.user_identity_principal is None and b.workgroup == "primary"
 
@@ -76,8 +80,8 @@ def test_history_file_read_with_partitions(spark, tmp_path):
     df = read_history(spark, str(tmp_path))
     rows = df.orderBy("query_id").collect()
     assert [(r.query_id, r.workgroup, r.day, r.region, r.data_scanned) for r in rows] == [
-        (GOLDEN_QID, "primary", "2024-03-03", "us-east-1", 100),
-        (GOLDEN_QID2, "primary", "2024-03-03", "us-east-1", 100)]
+        (GOLDEN_QID, "primary", "2024-03-03", "us-east-1", 4096),
+        (GOLDEN_QID2, "primary", "2024-03-03", "us-east-1", 512)]
     assert dict(df.dtypes)["day"] == "string"
     assert rows[0].status is None and rows[0].submission_time is None
 
@@ -97,3 +101,22 @@ def test_ingest_many_workgroups(spark, tmp_path):
     rep = build_history(ex, str(tmp_path / "h"), days=["2024-03-03"]).collect()
     assert len(rep) == 1 and rep[0].records == 1000 and rep[0].workgroups == 10
     assert read_history(spark, str(tmp_path / "h")).where(F.col("workgroup") == "wg3").count() == 100
+
+
+def test_absent_root_is_an_error(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        read_trail(spark, str(tmp_path / "typo"), days=["2024-03-02"])
+    with pytest.raises(FileNotFoundError):
+        read_history(spark, str(tmp_path / "typo"), days=["2024-03-02"])
+
+
+def test_inputs_of_one_region_leave_the_other_alone(spark, tmp_path):
+    for region in ("us-east-1", "eu-west-1"):
+        write_trail_file(str(tmp_path / "trail"), region, "2024-03-02", [GOLDEN_RECORD])
+    _, both = _run(spark, tmp_path, "2024-03-02")
+    assert both.count() == 2
+    trail = read_trail(spark, str(tmp_path / "trail"), days=["2024-03-02"], regions=["us-east-1"])
+    hist = read_history(spark, str(tmp_path / "history"), days=["2024-03-02"])
+    run_range(spark, trail, hist, tiers_from_rows(spark, TIER_ROWS), str(tmp_path / "events"), "2024-03-02", "2024-03-02")
+    left = read_events(spark, str(tmp_path / "events"))
+    assert {r.region for r in left.collect()} == {"us-east-1", "eu-west-1"}
