@@ -43,11 +43,11 @@ def con(sf_small):
 
 @pytest.mark.parametrize("name", sorted(E.queries()))
 def test_query_matches_oracle(spark, sf_small, con, name):
-    df = E.queries()[name](spark, sf_small)
-    s_rows = [tuple(r) for r in df.collect()]
     sql = E.oracle_sql().get(name)
     if sql is None:
-        pytest.skip("no SQL form")
+        pytest.skip("no SQL form: tested against a plain version elsewhere")
+    df = E.queries()[name](spark, sf_small)
+    s_rows = [tuple(r) for r in df.collect()]
     rel = con.sql(sql)
     assert sorted(df.columns) == sorted(rel.columns)
     stypes = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString().upper())
