@@ -2,10 +2,8 @@
 (the same results written as DuckDB SQL over the driver's tables).
 
 The audit inputs (trail records, query history, tier map) are derived from
-the driver's ``events`` table by fixed column rules (FIXTURES.md §5). The
-pipeline keys run the whole build over all of them; the report keys query
-the events table that build writes (once per application, under the shared
-checkpoint folder), as the audit's own reports do.
+the driver's ``events`` table by fixed column rules (FIXTURES.md §5). Every
+key, the reports included, runs the build over them on each call.
 """
 
 from __future__ import annotations
@@ -14,6 +12,7 @@ from collections.abc import Callable
 from importlib.util import find_spec
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from qtrail.config import QUERY_SERVICE_SOURCE, SELF_ROLE_MARKERS, TABLE_REF_PATTERN, AuditConfig
 from qtrail.functions import predicates as P
@@ -23,16 +22,15 @@ from qtrail.operators import enrich as EN
 from qtrail.operators import reports as R
 from qtrail.operators.ingest import history_rows
 from qtrail.plans.events_job import run_range
-from qtrail.plans.history_job import build_history
 from qtrail.session import scratch_path
 from qtrail.sources.derived import audit_inputs
 from qtrail.sources.events import read_events, write_events
 from qtrail.sources.executions import derived_executions
-from qtrail.sources.history import read_history
+from qtrail.sources.history import read_history, write_history
 from qtrail.sources.trail import read_trail, write_trail
 
 SMOKE_DIR = "/root/testdata/sf0.001"
-# The derived data spans January 2024; report ranges cover all of it.
+# The range of the reports, the same in both engines.
 FROM_DAY, TO_DAY = "2024-01-01", "2024-01-31"
 AS_OF = "2024-01-31"
 SEARCH_TEXT = "orders"
@@ -49,25 +47,10 @@ def _audit(spark: SparkSession, sf_dir: str, cfg: AuditConfig = AuditConfig()) -
     return CL.classify(EN.staging(inp.trail, inp.history, cfg), inp.tiers, cfg)
 
 
-# Reports run where the audit's reports run: on the written events table.
-# It is built once per Spark application from the driver tables and written
-# under the cluster's shared checkpoint folder (which also cuts the lineage);
-# report plans then show Parquet column pruning and day-partition pruning.
-_EVENTS_TABLES: dict[tuple[str, str], str] = {}
-
-
-def _events_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    root = _EVENTS_TABLES.get(key)
-    if root is not None:
-        try:
-            return read_events(spark, root)
-        except Exception:  # noqa: BLE001 -- folder gone (scratch cleaned): rebuild below
-            _EVENTS_TABLES.pop(key, None)
-    root = scratch_path(spark, "events-table")
-    write_events(_audit(spark, sf_dir), root)
-    _EVENTS_TABLES[key] = root
-    return read_events(spark, root)
+def _days_of(df: DataFrame) -> tuple[str, str]:
+    """First and last day of the data (one row)."""
+    r = df.agg(F.min("day").alias("lo"), F.max("day").alias("hi")).first()
+    return r["lo"] or FROM_DAY, r["hi"] or TO_DAY
 
 
 def _search_pred():
@@ -92,9 +75,10 @@ def _inputs_q(fn):
 
 def _history_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "history")
-    build_history(derived_executions(spark, sf_dir), root)
-    # Read back through the day-folder globs; the range spans every day of the data.
-    return read_history(spark, root, days=days_between(FROM_DAY, TO_DAY))
+    rows = history_rows(derived_executions(spark, sf_dir))
+    write_history(rows, root)
+    # Read back through the day-folder globs of every day of the data.
+    return read_history(spark, root, days=days_between(*_days_of(rows)))
 
 
 def _trail_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,12 +97,13 @@ def _events_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     inp = audit_inputs(spark, sf_dir)
     root = scratch_path(spark, "events")
-    run_range(spark, inp.trail, inp.history, inp.tiers, root, FROM_DAY, TO_DAY)
+    lo, hi = _days_of(inp.trail.select("day").union(inp.history.select("day")))
+    run_range(spark, inp.trail, inp.history, inp.tiers, root, lo, hi)
     return read_events(spark, root)
 
 
 def _csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    search = R.user_search(_events_table(spark, sf_dir), _search_pred())
+    search = R.user_search(_audit(spark, sf_dir), _search_pred())
     root = scratch_path(spark, "export")
     R.export_csv(search, root)
     return (spark.read.schema(search.schema).option("header", True).option("escape", '"')
@@ -143,32 +128,32 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "table_refs": lambda s, d: CL.table_refs(_staging(s, d)),
         "classified_events": lambda s, d: _audit(s, d),
         "tier_counts": _inputs_q(lambda i: CL.tier_counts(EN.staging(i.trail, i.history), i.tiers)),
-        "classified_only": lambda s, d: R.latest_events(_events_table(s, d), classified_only=True),
-        "latest_events": lambda s, d: R.latest_events(_events_table(s, d)),
-        "summary": lambda s, d: R.summary(_events_table(s, d), _range_pred()),
-        "queries_per_user_status": lambda s, d: R.queries_per_user_status(_events_table(s, d), _range_pred()),
-        "status_breakdown": lambda s, d: R.status_breakdown(_events_table(s, d), _range_pred()),
-        "queries_per_day": lambda s, d: R.queries_per_day(_events_table(s, d), _range_pred()),
-        "workgroup_usage": lambda s, d: R.workgroup_usage(_events_table(s, d), _range_pred()),
-        "cost_per_user": lambda s, d: R.cost_per_user(_events_table(s, d), _range_pred()),
-        "available_users": lambda s, d: R.available_users(_events_table(s, d), FROM_DAY, TO_DAY),
-        "available_workgroups": lambda s, d: R.available_workgroups(_events_table(s, d), FROM_DAY, TO_DAY),
-        "distinct_users": lambda s, d: R.distinct_users(_events_table(s, d)),
-        "distinct_workgroups": lambda s, d: R.distinct_workgroups(_events_table(s, d)),
-        "user_search": lambda s, d: R.user_search(_events_table(s, d), _search_pred()),
-        "search_status_summary": lambda s, d: R.search_status_summary(R.user_search(_events_table(s, d), _search_pred())),
-        "top_users_by_scan": lambda s, d: R.top_users_by_scan(_events_table(s, d), AS_OF),
-        "cost_listing": lambda s, d: R.cost_listing(_events_table(s, d)),
-        "audit_report": lambda s, d: R.audit_report(_events_table(s, d)),
-        "adhoc_rollup": lambda s, d: R.adhoc_rollup(_events_table(s, d), FROM_DAY),
-        "events_count": lambda s, d: R.events_count(_events_table(s, d), FROM_DAY, TO_DAY),
-        "latest_partition": lambda s, d: R.latest_day(_events_table(s, d)),
-        "run_report": lambda s, d: R.events_run_report(_events_table(s, d), FROM_DAY, TO_DAY),
-        "summary_no_cost": lambda s, d: R.summary(_events_table(s, d), _range_pred(), with_cost=False),
-        "workgroup_usage_by_gb": lambda s, d: R.workgroup_usage(_events_table(s, d), _range_pred(), with_cost=False),
-        "user_search_no_cost": lambda s, d: R.user_search(_events_table(s, d), _search_pred(), with_cost=False),
-        "search_total_cost": lambda s, d: R.search_total_cost(R.user_search(_events_table(s, d), _search_pred())),
-        "cross_day_duplicates": lambda s, d: R.cross_day_duplicates(_events_table(s, d)),
+        "classified_only": lambda s, d: R.latest_events(_audit(s, d), classified_only=True),
+        "latest_events": lambda s, d: R.latest_events(_audit(s, d)),
+        "summary": lambda s, d: R.summary(_audit(s, d), _range_pred()),
+        "queries_per_user_status": lambda s, d: R.queries_per_user_status(_audit(s, d), _range_pred()),
+        "status_breakdown": lambda s, d: R.status_breakdown(_audit(s, d), _range_pred()),
+        "queries_per_day": lambda s, d: R.queries_per_day(_audit(s, d), _range_pred()),
+        "workgroup_usage": lambda s, d: R.workgroup_usage(_audit(s, d), _range_pred()),
+        "cost_per_user": lambda s, d: R.cost_per_user(_audit(s, d), _range_pred()),
+        "available_users": lambda s, d: R.available_users(_audit(s, d), FROM_DAY, TO_DAY),
+        "available_workgroups": lambda s, d: R.available_workgroups(_audit(s, d), FROM_DAY, TO_DAY),
+        "distinct_users": lambda s, d: R.distinct_users(_audit(s, d)),
+        "distinct_workgroups": lambda s, d: R.distinct_workgroups(_audit(s, d)),
+        "user_search": lambda s, d: R.user_search(_audit(s, d), _search_pred()),
+        "search_status_summary": lambda s, d: R.search_status_summary(R.user_search(_audit(s, d), _search_pred())),
+        "top_users_by_scan": lambda s, d: R.top_users_by_scan(_audit(s, d), AS_OF),
+        "cost_listing": lambda s, d: R.cost_listing(_audit(s, d)),
+        "audit_report": lambda s, d: R.audit_report(_audit(s, d)),
+        "adhoc_rollup": lambda s, d: R.adhoc_rollup(_audit(s, d), FROM_DAY),
+        "events_count": lambda s, d: R.events_count(_audit(s, d), FROM_DAY, TO_DAY),
+        "latest_partition": lambda s, d: R.latest_day(_audit(s, d)),
+        "run_report": lambda s, d: R.events_run_report(_audit(s, d), FROM_DAY, TO_DAY),
+        "summary_no_cost": lambda s, d: R.summary(_audit(s, d), _range_pred(), with_cost=False),
+        "workgroup_usage_by_gb": lambda s, d: R.workgroup_usage(_audit(s, d), _range_pred(), with_cost=False),
+        "user_search_no_cost": lambda s, d: R.user_search(_audit(s, d), _search_pred(), with_cost=False),
+        "search_total_cost": lambda s, d: R.search_total_cost(R.user_search(_audit(s, d), _search_pred())),
+        "cross_day_duplicates": lambda s, d: R.cross_day_duplicates(_audit(s, d)),
         "history_day": lambda s, d: history_rows(derived_executions(s, d)),
         "history_scan": _history_scan,
         "trail_scan": _trail_scan,

@@ -55,13 +55,15 @@ def cmd_events(spark, a) -> dict:
 
 def cmd_history(spark, a) -> dict:
     from qtrail.functions.calendar import days_between, yesterday
+    from qtrail.operators.ingest import undated_executions
     from qtrail.plans.history_job import build_history
     from qtrail.sources.executions import read_executions
     _whole_range(a)
     days = days_between(a.from_day, a.to_day) if a.from_day and a.to_day else [a.day or yesterday()]
     ex = read_executions(spark, a.executions, region=a.region)
-    rep = build_history(ex, a.history_root, days, a.workgroups_filter or "")
-    return {"days": [r.asDict() for r in rep.orderBy("day").collect()]}
+    rep = build_history(ex, a.history_root, days, a.workgroups_filter or "", a.workgroup, a.force)
+    return {"days": [r.asDict() for r in rep.orderBy("day").collect()],
+            "undated": undated_executions(ex).first()["undated"]}
 
 
 def cmd_tables(spark, a) -> dict:
@@ -141,6 +143,8 @@ def main(argv=None) -> None:
     h.add_argument("--executions", required=True)
     h.add_argument("--history-root", required=True)
     h.add_argument("--region")
+    h.add_argument("--workgroup", help="this workgroup alone, by its exact name")
+    h.add_argument("--force", action="store_true", help="clear the days first")
     r = sub.add_parser("report", parents=[common])
     r.add_argument("name", choices=REPORTS)
     r.add_argument("--events-root", required=True)

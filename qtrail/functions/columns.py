@@ -95,9 +95,18 @@ def day_parts(day) -> tuple[Column, Column, Column]:
     return F.substring(d, 1, 4), F.substring(d, 6, 2), F.substring(d, 9, 2)
 
 
+# Service dumps hold ISO text or epoch seconds; the latter become ISO text in UTC.
+def iso_time(x) -> Column:
+    t = _c(x)
+    seconds = t.try_cast(T.DecimalType(20, 6))
+    epoch = F.timestamp_micros((seconds * 1000000).cast(T.LongType()))
+    utc = F.convert_timezone(F.current_timezone(), F.lit("UTC"), epoch.cast(T.TimestampNTZType()))
+    return F.when(t.rlike(r"^\d{9,11}(\.\d+)?$"), F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")).otherwise(t)
+
+
 # P10 -- the day an execution belongs to: submission, else completion.
 def execution_day(submitted, completed) -> Column:
-    ts = F.coalesce(event_time(submitted), event_time(completed))
+    ts = F.coalesce(event_time(iso_time(submitted)), event_time(iso_time(completed)))
     return F.date_format(ts, "yyyy-MM-dd")
 
 

@@ -2,12 +2,10 @@
 tier per query (A13), write-back onto every row of that query (J4), and the
 per-tier counts (A14).
 
-Plan shape: regex extraction and ``explode`` run map-side; the tier map is
-joined by broadcast only after its row count has been checked against
-``cfg.tier_broadcast_max_rows`` -- above that bound the lookup is a shuffle
-join whose hot table keys are salted, so one popular table cannot land in a
-single task. The write-back is a window ``min`` over (day, query_id), so the
-enriched rows are computed once and shuffled once (see ``classify``).
+Plan shape: regex extraction and ``explode`` run map-side; the tier lookup is
+a plain equi-join whose strategy Spark picks by measured bytes. The write-back
+is a window ``min`` over (day, query_id), so the enriched rows are computed
+once and shuffled once (see ``classify``).
 """
 
 from __future__ import annotations
@@ -21,12 +19,6 @@ from qtrail.functions.tablerefs import table_refs as table_refs_col
 from qtrail.schemas import EVENT_COLUMNS
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Reads at most
-    ``max_rows + 1`` rows, so the check itself stays bounded."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def table_refs(events: DataFrame, cfg: AuditConfig = AuditConfig(), keys=("day", "query_id"),
                distinct: bool = True) -> DataFrame:
     """X1 as a job: one row per (key..., db, tbl) a query's text references,
@@ -52,22 +44,21 @@ def _normalised_tiers(tiers: DataFrame, cfg: AuditConfig) -> DataFrame:
 
 
 def tier_lookup(refs: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfig(),
-                salt_cols=("day", "query_id"), how: str = "inner") -> DataFrame:
+                row_cols=("day", "query_id"), how: str = "inner") -> DataFrame:
     """Join of references with the tier map on (db, tbl) -> ``tier``.
-    ``how="left"`` keeps references without a tier (tier NULL)."""
-    t = _normalised_tiers(tiers, cfg)
+    ``how="left"`` keeps references without a tier (tier NULL). One plan at
+    every size: Spark broadcasts the map where its measured bytes are under
+    the session's threshold, and else splits the tasks of a hot table (AQE
+    skew join). A row without a table gets a key hashed from ``row_cols``, so
+    such rows do not meet in one task."""
+    t = _normalised_tiers(tiers, cfg).withColumnRenamed("tbl", "_tbl")
     if cfg.tiers_case_insensitive:
         refs = refs.withColumn("db", F.lower("db")).withColumn("tbl", F.lower("tbl"))
-    # Bound the raw tag rows (de-duplication can only shrink them), so the
-    # check reads at most max_rows + 1 rows instead of aggregating the source.
-    if fits_broadcast(tiers.select("tier"), cfg.tier_broadcast_max_rows):
-        return refs.join(F.broadcast(t), ["db", "tbl"], how)
-    # Large tier map: spread every reference key over ``n`` salt buckets and
-    # replicate each tier row into all of them.
-    n = cfg.tier_salt_buckets
-    salted = refs.withColumn("_salt", F.pmod(F.xxhash64(*salt_cols), F.lit(n)))
-    fan = t.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1)).cast("array<bigint>")))
-    return salted.join(fan, ["db", "tbl", "_salt"], how).drop("_salt")
+    if how == "left":
+        refs = refs.withColumn("_tbl", X.null_safe_join_key("tbl", "r", row_cols))
+    else:
+        refs = refs.where(F.col("tbl").isNotNull()).withColumn("_tbl", F.col("tbl"))
+    return refs.join(t, ["db", "_tbl"], how).drop("_tbl")
 
 
 def best_tiers(events: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfig()) -> DataFrame:
@@ -82,7 +73,7 @@ def classify(staging: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfi
 
     One pass, one shuffle: each row is exploded into its table references
     (``posexplode_outer`` keeps rows without any), the tier of each reference
-    is looked up (broadcast, size-checked), and ``min(tier)`` is taken over a
+    is looked up, and ``min(tier)`` is taken over a
     window partitioned by (day, query_id); then only the first element of
     every row is kept. Elements after the first carry nothing but the window
     key and the tier through the shuffle. NULL query ids never share a tier
@@ -99,7 +90,7 @@ def classify(staging: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfi
           if c not in ("day", "query_id") else F.col(c) for c in staging.columns],
         "_kk", "_pos",
         F.coalesce(F.col("_ref.db"), fallback).alias("db"), F.col("_ref.tbl").alias("tbl"))
-    tagged = tier_lookup(refs, tiers, cfg, salt_cols=("day", "_kk"), how="left")
+    tagged = tier_lookup(refs, tiers, cfg, row_cols=("day", "_kk"), how="left")
     w = Window.partitionBy("day", "_kk")
     tier = F.when(F.col("query_id").isNull(), F.lit(None).cast("string")).otherwise(F.min("tier").over(w))
     out = tagged.withColumn("classification_tier", tier).where(F.col("_pos").isNull() | (F.col("_pos") == 0))
@@ -124,6 +115,6 @@ def tier_counts(staging: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditCo
     recs = (staging.where(F.col("query").isNotNull())
             .groupBy("query", "database").agg(F.count(F.lit(1)).alias("n")))
     refs = table_refs(recs, cfg, keys=("query", "database", "n"), distinct=False)
-    per_rec = (tier_lookup(refs, tiers, cfg, salt_cols=("query", "database"))
+    per_rec = (tier_lookup(refs, tiers, cfg)
                .groupBy("query", "database", "n").agg(F.min("tier").alias("classification_tier")))
     return per_rec.groupBy("classification_tier").agg(F.sum("n").alias("classified"))

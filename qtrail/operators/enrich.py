@@ -1,7 +1,8 @@
 """Trail x history enrichment: pass 1 (J1), history-only pass 2 (J2), union.
 
-Both passes come out of ONE shuffle: a full outer equi-join of trail start
-records and history rows on (region, day, query_id).
+In a build both passes come out of ONE shuffle: a full outer equi-join of
+trail start records and history rows on (region, day, query_id). Pass 2 alone
+(``history_only``) is an anti join on those three columns.
 
 * a row with a trail side is a pass-1 row (trail LEFT JOIN history); the
   exclude-self, workgroup and text-present filters apply to it;
@@ -68,6 +69,12 @@ def _strict_flags(starts: DataFrame) -> DataFrame:
         F.max(F.col("query_id").isNull().cast("int")).alias("_null_ids"))
 
 
+def _strict_history(history: DataFrame, starts: DataFrame) -> DataFrame:
+    return (history.join(_strict_flags(starts), ["region", "day"], "left")
+            .where(F.col("_null_ids").isNull()
+                   | ((F.col("_null_ids") == 0) & F.col("query_id").isNotNull())).drop("_null_ids"))
+
+
 def joined(trail: DataFrame, history: DataFrame, cfg: AuditConfig = AuditConfig(),
            days=None, regions=None) -> DataFrame:
     """Full outer join of starts and history; columns in staging order plus a
@@ -75,9 +82,7 @@ def joined(trail: DataFrame, history: DataFrame, cfg: AuditConfig = AuditConfig(
     s = trail_starts(trail, days, regions, cfg.keep_null_arn)
     h = history_rows(history, days, regions)
     if cfg.strict_not_in:
-        h = (h.join(_strict_flags(s), ["region", "day"], "left")
-              .where(F.col("_null_ids").isNull()
-                     | ((F.col("_null_ids") == 0) & F.col("query_id").isNotNull())))
+        h = _strict_history(h, s)
     s = s.withColumn("_k", X.null_safe_join_key("query_id", "s", s.columns))
     h = h.withColumn("_k", X.null_safe_join_key("query_id", "h", h.columns))
     s, h = s.alias("s"), h.alias("h")
@@ -133,5 +138,22 @@ def pass1(trail: DataFrame, history: DataFrame, cfg: AuditConfig = AuditConfig()
 
 def history_only(trail: DataFrame, history: DataFrame, cfg: AuditConfig = AuditConfig(),
                  days=None, regions=None) -> DataFrame:
-    """J2 alone: history rows without a start record in the same region/day."""
-    return joined(trail, history, cfg, days, regions).where(~F.col("from_trail")).drop("from_trail")
+    """J2 alone: history rows without a start record in the same region/day.
+    An anti join: of the start records only (region, day, query_id) is read
+    and shuffled. NULL ids match nothing, so those of the starts are left out
+    and those of the history get row-hash keys."""
+    starts = (trail.where(P.all_of(P.start_query_only(), P.in_days(days), P.in_regions(regions)))
+              .select("region", "day", X.trail_query_id().alias("query_id")))
+    h = history_rows(history, days, regions)
+    if cfg.strict_not_in:
+        h = _strict_history(h, starts)
+    h = h.where(P.all_of(F.col("query").isNotNull(), P.workgroup_contains("workgroup", cfg.wg_filter)))
+    h = h.withColumn("_k", X.null_safe_join_key("query_id", "h", h.columns))
+    claimed = starts.where(F.col("query_id").isNotNull()).withColumnRenamed("query_id", "_k")
+    scanned = X.bytes_or_zero("data_scanned")
+    cols = {"event_time": X.event_time("submission_time"), "data_scanned": scanned,
+            "cost": X.cost(scanned, cfg.rate)}
+    cols |= {c: F.col(c) for c in ("query_id", "workgroup", "query", "status", "state_change_reason",
+                                   "region", "day")}
+    return (h.join(claimed, ["region", "day", "_k"], "left_anti")
+            .select(*[cols.get(c, X.null_string()).alias(c) for c in STAGING_COLUMNS]))

@@ -17,10 +17,13 @@ from qtrail.functions import predicates as P
 from qtrail.schemas import HISTORY
 
 
-def history_rows(executions: DataFrame, days=None, workgroups_filter: str = "") -> DataFrame:
+def history_rows(executions: DataFrame, days=None, workgroups_filter: str = "",
+                 workgroup: str | None = None) -> DataFrame:
+    """``workgroup`` names one workgroup exactly; the substring filter is then not used."""
+    wanted = (P.workgroup_contains("WorkGroup", workgroups_filter) if workgroup is None
+              else F.col("WorkGroup") == F.lit(workgroup))
     day = X.execution_day("Status.SubmissionDateTime", "Status.CompletionDateTime")
-    e = executions.where(P.all_of(P.terminal_state("Status.State"),
-                                  P.workgroup_contains("WorkGroup", workgroups_filter)))
+    e = executions.where(P.all_of(P.terminal_state("Status.State"), wanted))
     e = e.withColumn("_day", day).where(P.all_of(F.col("_day").isNotNull(), P.in_days(days, "_day")))
     out = e.select(
         F.col("QueryExecutionId").alias("query_id"),
@@ -28,7 +31,7 @@ def history_rows(executions: DataFrame, days=None, workgroups_filter: str = "")
         X.bytes_or_zero("Statistics.DataScannedInBytes").alias("data_scanned"),
         F.col("Status.State").alias("status"),
         F.coalesce(F.col("Status.StateChangeReason"), F.lit("")).alias("state_change_reason"),
-        F.coalesce(F.col("Status.SubmissionDateTime"), F.lit("")).alias("submission_time"),
+        F.coalesce(X.iso_time("Status.SubmissionDateTime"), F.lit("")).alias("submission_time"),
         F.col("region"),
         F.col("_day").alias("day"),
         F.col("WorkGroup").alias("workgroup"),
@@ -36,9 +39,32 @@ def history_rows(executions: DataFrame, days=None, workgroups_filter: str = "")
     return out.select(*[f.name for f in HISTORY.fields])
 
 
-def history_run_report(history: DataFrame) -> DataFrame:
-    """A15 (history job): per day, how many workgroups wrote rows and how many records."""
-    return history.groupBy("day").agg(
-        F.countDistinct("workgroup").alias("workgroups"),
-        F.lit(0).cast("long").alias("skipped_workgroups"),
-        F.count(F.lit(1)).alias("records"))
+def undated_executions(executions: DataFrame) -> DataFrame:
+    """How many terminal executions carry no readable time and so reach no day."""
+    day = X.execution_day("Status.SubmissionDateTime", "Status.CompletionDateTime")
+    return executions.where(P.terminal_state("Status.State") & day.isNull()).agg(
+        F.count(F.lit(1)).alias("undated"))
+
+
+def history_run_report(history: DataFrame, days=None, workgroups=None) -> DataFrame:
+    """A15 (history job): per day, workgroups and records. With ``days`` an
+    empty day has a row of zeros. With ``workgroups`` -- rows (workgroup,
+    readable), the service's listing -- the listed ones are counted, those
+    that hold no record included, and those not readable are the skipped."""
+    spark = history.sparkSession
+    out = history.groupBy("day").agg(F.countDistinct("workgroup").alias("workgroups"),
+                                     F.count(F.lit(1)).alias("records"))
+    if days:
+        wanted = spark.range(1).select(F.explode(F.array(*[F.lit(d) for d in days])).alias("day"))
+        out = wanted.join(out, "day", "left")
+    zero = F.lit(0).cast("long")
+    if workgroups is None:
+        return out.select("day", F.coalesce("workgroups", zero).alias("workgroups"),
+                          zero.alias("skipped_workgroups"), F.coalesce("records", zero).alias("records"))
+    # One row for all listed workgroups, so the join adds no rows.
+    listed = workgroups.agg(F.countDistinct("workgroup").alias("_listed"),
+                            F.countDistinct(F.when(~F.col("readable"), F.col("workgroup"))).alias("_skipped"))
+    one = F.lit(1)
+    return (out.withColumn("_one", one).join(listed.withColumn("_one", one), "_one")
+            .select("day", F.col("_listed").alias("workgroups"), F.col("_skipped").alias("skipped_workgroups"),
+                    F.coalesce("records", zero).alias("records")))

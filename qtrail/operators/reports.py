@@ -233,8 +233,9 @@ def adhoc_sql(events: DataFrame, sql: str, view: str = "events") -> DataFrame:
 # T19 check -- a query kept on more than one day (e.g. started just before
 # midnight in the trail, and listed as history-only on the next day).
 def cross_day_duplicates(events: DataFrame) -> DataFrame:
-    g = (events.where(F.col("query_id").isNotNull())
-         .groupBy("query_id").agg(F.countDistinct("day").alias("days"),
-                                  F.min("day").alias("first_day"), F.max("day").alias("last_day"),
-                                  _count().alias("rows")))
+    """Counts per (query_id, day) first: the second group-by starts from one
+    row per id and day, and no distinct aggregate is left."""
+    per_day = events.where(F.col("query_id").isNotNull()).groupBy("query_id", "day").agg(_count().alias("n"))
+    g = per_day.groupBy("query_id").agg(_count().alias("days"), F.min("day").alias("first_day"),
+                                        F.max("day").alias("last_day"), F.sum("n").alias("rows"))
     return g.where(F.col("days") > 1)

@@ -48,13 +48,12 @@ def run_range(spark: SparkSession, trail: DataFrame, history: DataFrame, tiers:
     same table."""
     days = days_between(from_day, to_day)  # raises on a reversed range
     regions = list(cfg.regions) or None
-    # The set of (region, day) partitions written is observed during the
-    # write itself (at most regions x days values; a retried task can only
-    # re-add members), so the build runs exactly once and nothing is cached.
+    # The (region, day) partitions written are observed during the write (at
+    # most regions x days values; a retried task can only re-add members), so
+    # the build runs exactly once and nothing is cached.
     obs = Observation("events_build")
-    out = build_events(trail, history, tiers, cfg, days, regions).observe(
-        obs, F.collect_set(F.struct("region", "day")).alias("pairs"))
-    write_events(out, events_root)
+    out = build_events(trail, history, tiers, cfg, days, regions)
+    write_events(out, events_root, seen=obs)
     try:
         pairs = obs.get.get("pairs") or []
     except Exception:  # noqa: BLE001 -- no task ran (empty input): no metrics row

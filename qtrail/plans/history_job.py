@@ -4,14 +4,31 @@ write it as gzip JSON lines per region/day/workgroup (S4)."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from qtrail.operators.ingest import history_rows, history_run_report
+from qtrail.plans.tables import delete_folders
 from qtrail.sources.history import read_history, write_history
 
 
-def build_history(executions: DataFrame, history_root: str, days=None,
-                  workgroups_filter: str = "") -> DataFrame:
-    """Write the history partitions, then report from what was written."""
-    rows = history_rows(executions, days, workgroups_filter)
+def build_history(executions: DataFrame, history_root: str, days=None, workgroups_filter: str = "",
+                  workgroup: str | None = None, force: bool = False, regions=None,
+                  workgroups: DataFrame | None = None) -> DataFrame:
+    """Write the history partitions, then report from what was written.
+
+    ``force`` first clears the named days (of ``workgroup`` alone, if given) in
+    ``regions``, default those of the executions, so that a workgroup gone from
+    the dump leaves no stale rows; without it, partitions that the dump holds
+    nothing for stay. ``workgroups`` is the listing for the report."""
+    spark = executions.sparkSession
+    rows = history_rows(executions, days, workgroups_filter, workgroup)
+    if regions:
+        rows = rows.where(F.col("region").isin(*regions))
+    if force:
+        if not days:
+            raise ValueError("force clears named days: give days")
+        named = regions or [r["region"] for r in executions.select("region").distinct().collect()]
+        tail = f"/workgroup={workgroup}" if workgroup is not None else ""
+        delete_folders(spark, [f"{history_root.rstrip('/')}/region={r}/day={d}{tail}" for r in named for d in days])
     write_history(rows, history_root)
-    return history_run_report(read_history(executions.sparkSession, history_root, days))
+    return history_run_report(read_history(spark, history_root, days, regions), days, workgroups)

@@ -47,13 +47,20 @@ def init_tables(spark: SparkSession, db: str, events_root: str, history_root: st
 
 
 def repair(spark: SparkSession, table: str) -> None:
-    """Register partitions found under the table location. A
-    location that does not exist yet simply has no partitions."""
-    try:
+    """Register the partitions found under the table's location. A
+    location that does not exist yet has none."""
+    where = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()
+    if where is not None and folder_exists(spark, where["data_type"]):
         spark.sql(f"MSCK REPAIR TABLE {table}")
-    except Exception as e:  # noqa: BLE001 -- only the missing-folder case is tolerated
-        if "does not exist" not in str(e):
-            raise
+
+
+def add_partitions(spark: SparkSession, table: str, root: str, days, regions) -> None:
+    """S11 / S12 for named days and regions: registers those whose folder
+    exists, without listing the whole table."""
+    specs = [f"PARTITION (region='{r}', day='{d}')" for r in regions for d in days
+             if folder_exists(spark, f"{root.rstrip('/')}/region={r}/day={d}")]
+    if specs:
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(specs)}")
 
 
 def drop_partitions(spark: SparkSession, table: str, pairs) -> None:
@@ -64,15 +71,25 @@ def drop_partitions(spark: SparkSession, table: str, pairs) -> None:
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
 
 
-def delete_partition_dirs(spark: SparkSession, root: str, pairs) -> int:
-    """S8 for a path-based table: delete ``region=r/day=d`` folders exactly
-    (no prefix matching). Returns how many folders were removed."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+def _folder(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _folder(spark, path)
+    return fs.exists(p)
+
+
+def delete_folders(spark: SparkSession, paths) -> int:
+    """Deletes exactly these folders (no prefix matching); returns how many there were."""
     removed = 0
-    for r, d in pairs:
-        p = jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/region={r}/day={d}")
-        fs = p.getFileSystem(conf)
-        if fs.exists(p) and fs.delete(p, True):
-            removed += 1
+    for path in paths:
+        p, fs = _folder(spark, path)
+        removed += bool(fs.exists(p) and fs.delete(p, True))
     return removed
+
+
+def delete_partition_dirs(spark: SparkSession, root: str, pairs) -> int:
+    """S8 for a path-based table: the ``region=r/day=d`` folders."""
+    return delete_folders(spark, [f"{root.rstrip('/')}/region={r}/day={d}" for r, d in pairs])

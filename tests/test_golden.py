@@ -103,6 +103,46 @@ def test_ingest_many_workgroups(spark, tmp_path):
     assert read_history(spark, str(tmp_path / "h")).where(F.col("workgroup") == "wg3").count() == 100
 
 
+def _executions(spark, rows):
+    from qtrail.schemas import EXECUTION
+    from pyspark.sql import types as T
+    return spark.createDataFrame(
+        [(i, "SELECT 1", wg, (5,), ("SUCCEEDED", None, at, None), "us-east-1") for i, wg, at in rows],
+        T.StructType(EXECUTION.fields + [T.StructField("region", T.StringType())]))
+
+
+def test_history_report_counts_listed_workgroups(spark, tmp_path):
+    from qtrail.plans.history_job import build_history
+    ex = _executions(spark, [(f"id-{w}-{i}", f"wg{w}", "2024-03-03T10:00:00+00:00") for w in range(10) for i in range(100)])
+    listed = spark.createDataFrame([(f"wg{w}", True) for w in range(10)] + [("primary", True)], "workgroup string, readable boolean")
+    rep = build_history(ex, str(tmp_path / "h"), days=["2024-03-03"], workgroups=listed).collect()
+    assert [tuple(r) for r in rep] == [("2024-03-03", 11, 0, 1000)]
+    empty = build_history(ex, str(tmp_path / "h"), days=["2024-03-04"]).collect()
+    assert [tuple(r) for r in empty] == [("2024-03-04", 0, 0, 0)]
+
+
+def test_history_force_and_exact_workgroup(spark, tmp_path):
+    from qtrail.plans.history_job import build_history
+    root, day = str(tmp_path / "h"), ["2024-03-03"]
+    at = "2024-03-03T10:00:00+00:00"
+    both = _executions(spark, [("1", "a", at), ("2", "ab", at)])
+    build_history(both, root, days=day, workgroup="a")
+    assert [r.workgroup for r in read_history(spark, root).collect()] == ["a"]
+    build_history(both, root, days=day)
+    build_history(_executions(spark, [("1", "a", at)]), root, days=day)
+    assert read_history(spark, root).count() == 2          # without force, absent groups stay
+    build_history(_executions(spark, [("1", "a", at)]), root, days=day, force=True)
+    assert [r.workgroup for r in read_history(spark, root).collect()] == ["a"]
+
+
+def test_epoch_times_are_dated_and_undated_counted(spark):
+    from qtrail.operators.ingest import history_rows, undated_executions
+    ex = _executions(spark, [("1", "a", "1709460000.123"), ("2", "a", "2024-03-03T10:00:00Z"), ("3", "a", "soon")])
+    rows = {r.query_id: (r.day, r.submission_time) for r in history_rows(ex).collect()}
+    assert rows == {"1": ("2024-03-03", "2024-03-03T10:00:00.123000+00:00"), "2": ("2024-03-03", "2024-03-03T10:00:00Z")}
+    assert undated_executions(ex).first()["undated"] == 1
+
+
 def test_absent_root_is_an_error(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         read_trail(spark, str(tmp_path / "typo"), days=["2024-03-02"])

@@ -22,6 +22,12 @@ def test_pass1_becomes_left_outer(spark, sf_small):
     assert "LeftOuter" in p and "FullOuter" not in p
 
 
+def test_history_only_is_an_anti_join_on_keys(spark, sf_small):
+    inp = audit_inputs(spark, sf_small)
+    p = plan(EN.history_only(inp.trail, inp.history))
+    assert "LeftAnti" in p and "FullOuter" not in p
+
+
 def test_tier_lookup_is_broadcast_and_no_nested_loops(spark, sf_small):
     inp = audit_inputs(spark, sf_small)
     p = plan(CL.classify(EN.staging(inp.trail, inp.history), inp.tiers))

@@ -182,14 +182,21 @@ def test_t8_workgroup_filter_is_plain_substring(spark):
     assert ids(st) == ["a", "h"]
 
 
-def test_salted_tier_join_matches_broadcast(spark):
+def test_tier_join_without_broadcast_matches_broadcast(spark):
     trail = trail_df(spark, [trail_row(f"q{i}", text=f"SELECT * FROM t{i % 3} JOIN db.t{(i + 1) % 3} ON 1=1")
                              for i in range(60)])
     st = EN.staging(trail, history_df(spark, []))
     tiers = _tiers(spark, (("db", "t0", "tier_3"), ("db", "t1", "tier_2"), ("db", "t2", "tier_1")))
     a = sorted(map(tuple, CL.classify(st, tiers).select("query_id", "classification_tier").collect()))
-    salted = AuditConfig(tier_broadcast_max_rows=1, tier_salt_buckets=4)
-    b = sorted(map(tuple, CL.classify(st, tiers, salted).select("query_id", "classification_tier").collect()))
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = [spark.conf.get(n, None) for n in names]
+    try:
+        for n in names:
+            spark.conf.set(n, "-1")
+        b = sorted(map(tuple, CL.classify(st, tiers).select("query_id", "classification_tier").collect()))
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
     assert a == b and any(t is not None for _, t in a)
 
 
