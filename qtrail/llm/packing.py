@@ -11,16 +11,20 @@ the demands (a few hundred sequences at most, whatever the input) is filled by
 a bounded knapsack. Patterns then claim rank ranges of their classes, and each
 piece finds its sequence from its rank among the pieces of its class.
 
-Scale. Tokenizing is one map. What is shuffled is one narrow row per piece;
-ranks are counted in two steps (within an input split, then over splits), so
-no class is gathered in one task. The driver holds the histogram (``capacity /
-UNIT`` classes) and the patterns, both bounded by constants, and broadcasts
-the rank ranges. Pieces are written under the shared checkpoint folder first:
-ranks refer to rows that no lost executor can change.
+Scale. Tokenizing is one map. Pieces are written with their ids once, under
+the shared checkpoint folder: ranks refer to rows that no lost executor can
+change. Ranking and placing read and shuffle one narrow row per piece, without
+ids; ranks are counted in two steps (within an input split, then over splits),
+so no class is gathered in one task. One hash join on a number of the piece
+brings the places back to the ids, which are shuffled there once and never
+sorted. Where the vocabulary allows, ids take two bytes until then. The driver
+holds the histogram (``capacity / UNIT`` classes) and the patterns, both
+bounded by constants, and broadcasts the rank ranges.
 
 Defined results: a null text is empty and packs as its end id alone; repeated
 rows are packed one by one; equal lengths are ranked by key and start; an
-empty table gives an empty result.
+empty table gives an empty result. The rows of a sequence are found by
+``sequence_id`` and ``offset``; they come in no order.
 """
 
 from __future__ import annotations
@@ -90,9 +94,10 @@ def encode_batch(memo: WordMemo, texts: list[str]) -> Iterator[bytes]:
 
 
 def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, key: str = "doc_id",
-                 text: str = "text", end_id: int = END_ID) -> DataFrame:
+                 text: str = "text", end_id: int = END_ID, id_bytes: int = 4) -> DataFrame:
     """One row per piece: key, ``start``, ``length``, ``doc_tokens`` and
-    ``ids`` (little-endian unsigned 32-bit), the document's end id included."""
+    ``ids`` (little-endian, unsigned, of ``id_bytes``), the document's end id
+    included."""
     path = path or tokenizer_file("word_bpe_49k.json")
     schema = T.StructType([docs.schema[key], *(T.StructField(c, T.LongType()) for c in ("start", "length", "doc_tokens")),
                            T.StructField("ids", T.BinaryType())])
@@ -106,16 +111,18 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
             def flush() -> pa.RecordBatch:
                 return pa.RecordBatch.from_arrays(
                     [b.column(0).take(pa.array(rows, pa.int64())), pa.array(starts, pa.int64()),
-                     pa.array([len(i) // 4 for i in ids], pa.int64()), pa.array(tokens, pa.int64()),
+                     pa.array([len(i) // id_bytes for i in ids], pa.int64()), pa.array(tokens, pa.int64()),
                      pa.array(ids, pa.binary())], names=schema.names)
 
             for row, raw in enumerate(encode_batch(memo, b.column(1).fill_null("").to_pylist())):
                 raw += end
-                for at in range(0, len(raw), 4 * capacity):
+                if id_bytes != 4:
+                    raw = np.frombuffer(raw, "<u4").astype(f"<u{id_bytes}").tobytes()
+                for at in range(0, len(raw), id_bytes * capacity):
                     rows.append(row)
-                    starts.append(at // 4)
-                    tokens.append(len(raw) // 4)
-                    ids.append(raw[at:at + 4 * capacity])
+                    starts.append(at // id_bytes)
+                    tokens.append(len(raw) // id_bytes)
+                    ids.append(raw[at:at + id_bytes * capacity])
                 held += len(raw)
                 if held > 8 * BATCH_BYTES:
                     yield flush()
@@ -126,6 +133,25 @@ def token_pieces(docs: DataFrame, path: str | None = None, capacity: int = CAPAC
     return docs.select(F.col(key), F.col(text).alias("_text")).mapInArrow(run, schema)
 
 
+def id_width(path: str, end_id: int = END_ID) -> int:
+    """Bytes that hold every id of the vocabulary: 2 or 4."""
+    return 2 if max(end_id, *load_tokenizer(path).get_vocab().values()) < 1 << 16 else 4
+
+
+def widened(pieces: DataFrame, id_bytes: int) -> DataFrame:
+    """The same rows with ``ids`` of four bytes."""
+    if id_bytes == 4:
+        return pieces
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            at = b.schema.get_field_index("ids")
+            ids = [np.frombuffer(i, f"<u{id_bytes}").astype("<u4").tobytes() for i in b.column(at).to_pylist()]
+            yield b.set_column(at, "ids", pa.array(ids, pa.binary()))
+
+    return pieces.mapInArrow(run, pieces.schema)
+
+
 # -- cutting stock -----------------------------------------------------------
 def best_pattern(values: np.ndarray, widths: np.ndarray, capacity: int) -> tuple[float, np.ndarray]:
     """Unbounded knapsack: the pattern of the largest total value."""
@@ -250,10 +276,12 @@ def assign_sequences(pieces: DataFrame, capacity: int = CAPACITY, unit: int = UN
     """``pieces`` (rows with a ``length`` from 1 to ``capacity``) with
     ``sequence_id`` and ``offset`` (gapless within a sequence)."""
     spark = pieces.sparkSession
-    rows = materialize(pieces.withColumns({
+    rows = materialize(pieces.withColumn("_piece", F.monotonically_increasing_id()), "pieces")
+    narrow = rows.select("_piece", "length", *order).withColumns({
         "_class": F.ceil(F.col("length") / unit).cast("int"),
-        "_split": F.spark_partition_id()}), "pieces")
-    counts = rows.groupBy("_class", "_split").agg(F.count(F.lit(1)).alias("_n"))
+        "_split": F.shiftrightunsigned("_piece", 33)})  # the partition that wrote it
+    order = (*order, "_piece")
+    counts = narrow.groupBy("_class", "_split").agg(F.count(F.lit(1)).alias("_n"))
     before = (Window.partitionBy("_class").orderBy("_split")
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("_class", "_split", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
@@ -261,7 +289,7 @@ def assign_sequences(pieces: DataFrame, capacity: int = CAPACITY, unit: int = UN
     ranges = local_rows(spark, rank_ranges(cutting_stock(demand, capacity // unit)),
                         "_c int, _lo long, _hi long, _per long, _first long")
     within = Window.partitionBy("_class", "_split").orderBy(*order)
-    ranked = (rows.withColumn("_k", F.row_number().over(within) - 1)
+    ranked = (narrow.withColumn("_k", F.row_number().over(within) - 1)
               .join(offsets, ["_class", "_split"])
               .withColumn("_rank", F.col("_k") + F.col("_before")))
     # At most (capacity / unit) ** 2 rank ranges, whatever the input.
@@ -270,13 +298,17 @@ def assign_sequences(pieces: DataFrame, capacity: int = CAPACITY, unit: int = UN
     placed = placed.withColumn("sequence_id", F.col("_first") + F.floor((F.col("_rank") - F.col("_lo")) / F.col("_per")))
     inside = (Window.partitionBy("sequence_id").orderBy(F.desc("length"), *order)
               .rowsBetween(Window.unboundedPreceding, -1))
-    return placed.select(*pieces.columns, "sequence_id",
-                         F.coalesce(F.sum("length").over(inside), F.lit(0)).cast("long").alias("offset"))
+    places = placed.select("_piece", "sequence_id",
+                           F.coalesce(F.sum("length").over(inside), F.lit(0)).cast("long").alias("offset"))
+    return rows.join(places.hint("shuffle_hash"), "_piece").select(*pieces.columns, "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, unit: int = UNIT,
-                   key: str = "doc_id", text: str = "text", with_ids: bool = True) -> DataFrame:
-    """Pieces with their place. ``with_ids=False`` keeps ``ids_crc32`` instead
-    of the ids, so that only narrow rows are written and shuffled."""
-    pieces = token_pieces(docs, path, capacity, key, text).withColumn("ids_crc32", F.crc32("ids"))
-    return assign_sequences(pieces if with_ids else pieces.drop("ids"), capacity, unit, (key, "start"))
+                   key: str = "doc_id", text: str = "text") -> DataFrame:
+    """Pieces with their ids and their place; ``ids_crc32`` is taken from the
+    ids as they are returned."""
+    path = path or tokenizer_file("word_bpe_49k.json")
+    id_bytes = id_width(path)
+    pieces = token_pieces(docs, path, capacity, key, text, id_bytes=id_bytes)
+    packed = widened(assign_sequences(pieces, capacity, unit, (key, "start")), id_bytes)
+    return packed.withColumn("ids_crc32", F.crc32("ids"))

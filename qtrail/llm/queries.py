@@ -33,8 +33,9 @@ def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack_documents(table(spark, sf_dir, "documents"), with_ids=False)
-    return packed.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+    packed = packing.pack_documents(table(spark, sf_dir, "documents"))
+    return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id",
+                         "offset")
 
 
 def op3_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,8 +1,16 @@
 """The corpus pipeline on the smallest table: what each stage drops, and that
 the rest arrives whole."""
 
+import zlib
+
+import numpy as np
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 import __spark_entry__ as entry
+from qtrail.llm import packing
+from qtrail.llm.common import tokenizer_file
+from qtrail.llm.wordmemo import load_tokenizer
 
 
 def test_stages_keep_columns_and_drop_what_they_should(spark, sf_small):
@@ -25,6 +33,34 @@ def test_copies_and_rows_without_ids(spark, sf_small):
     assert corpus_pipeline.keep_one_of_each(spark, docs.limit(0), sf_small).count() == 0
 
 
+def test_last_stage_returns_whole_sequences(spark, sf_small):
+    texts = {i: f"word{i} again, " * n for i, n in enumerate((0, 3, 900, 900, 2500, 40))}
+    docs = spark.createDataFrame([*texts.items(), (3, texts[3])], "doc_id long, text string")
+    sequences = {}
+    for r in corpus_pipeline.pack(spark, docs, sf_small).collect():
+        sequences.setdefault(r.sequence_id, []).append(r)
+    found = {}
+    for parts in sequences.values():  # each sequence laid out as one array, then cut again
+        parts.sort(key=lambda r: r.offset)
+        laid = np.concatenate([np.frombuffer(r.ids, "<u4") for r in parts])
+        assert laid.size <= packing.CAPACITY
+        for r in parts:
+            found.setdefault((r.doc_id, r.start), []).append(laid[r.offset:r.offset + r.length].tolist())
+    tok = load_tokenizer(tokenizer_file("word_bpe_49k.json"))
+    want = {}
+    for i, t in [*texts.items(), (3, texts[3])]:
+        ids = [*tok.encode(t, add_special_tokens=False).ids, packing.END_ID]
+        for at in range(0, len(ids), packing.CAPACITY):
+            want.setdefault((i, at), []).append(ids[at:at + packing.CAPACITY])
+    assert found == want
+
+
+def test_checksum_is_that_of_the_packed_ids(spark, sf_small, monkeypatch):
+    pack = packing.pack_documents
+    monkeypatch.setattr(packing, "pack_documents", lambda *a, **b: pack(*a, **b).withColumn("ids", F.encode(F.lit("x"), "utf-8")))
+    assert {r.ids_crc32 for r in entry.queries()["op2_packing"](spark, sf_small).collect()} == {zlib.crc32(b"x")}
+
+
 def test_registered():
     names = list(entry.queries())
     assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10 and "pipeline" in names
