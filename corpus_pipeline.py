@@ -5,14 +5,15 @@
 2. toxicity: positive-unlabelled classifier; documents that score one half or
    more go;
 3. near duplicates: n-gram Jaccard join; of each group of linked documents the
-   one with the smallest id stays;
+   one with the smallest id stays (of equal ids, one by the hash of its text);
 4. packing: what is left, as pieces of fixed-length sequences with their ids.
 
 Each stage works on all that its predecessor kept, learns from that and from
 the labels, and returns the columns of ``documents`` (the last: pieces).
 Defined results: null texts count as empty and pass like any other text;
-repeated rows and texts end as one document in stage 3; documents without an
-id stand behind those with one; extra columns pass through, whatever their
+repeated rows and texts end as one document in stage 3; unrelated texts under
+one id are documents of their own; documents without an id stand behind those
+with one; extra columns pass through, whatever their
 names; an empty table gives empty results.
 
 ``ORACLE_SQL`` is None: learned models and tokenizers have no SQL form; the
@@ -48,14 +49,17 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    # Documents without an id get one from their text, above all real ids.
-    above = F.shiftrightunsigned(F.xxhash64("text"), 3) + F.lit(1 << 62)
+    # Documents without an id get one from their text, above all real ids. The
+    # text's hash tells rows of one id apart.
+    mark = F.xxhash64(F.coalesce("text", F.lit("")))
+    above = F.shiftrightunsigned(mark, 3) + F.lit(1 << 62)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                       F.coalesce(F.col("doc_id").cast("long"), above).alias("key"), "text")
+                       F.struct(F.coalesce(F.col("doc_id").cast("long"), above).alias("id"), mark.alias("mark")).alias("key"),
+                       "text")
     grouped = materialize(ngram_join.linked_components(rows, key="key"), "grouped")
     kept = grouped.where("key = component_id").groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     left = rows.join(kept.select("key"), "key", "left_semi")
-    if not kept.where("n > 1").isEmpty():  # repeated rows of one id
+    if not kept.where("n > 1").isEmpty():  # rows of one id and one text
         left = left.dropDuplicates(["key"])
     return left.select("row.*")
 
