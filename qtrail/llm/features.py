@@ -61,10 +61,15 @@ def _beginnings(buf: np.ndarray, starts: np.ndarray, kind: np.ndarray) -> np.nda
     return mix(values.sum(1, dtype=np.uint64) + U64(BEGINNING))
 
 
-def _found(h: np.ndarray, kind: np.ndarray, begin: np.ndarray, shift: np.uint64) -> np.ndarray:
-    marks, counts = np.unique(h[kind == 3], return_counts=True)
+def _counted(marks: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Hashes of marks with the step of their counts over the whole text."""
     steps = np.log2(counts).astype(np.uint64) if counts.size else counts.astype(np.uint64)
-    return np.unique(np.concatenate([h[kind > 0], begin, mix(marks + steps + U64(1))]) >> shift).astype(np.int64)
+    return mix(marks + steps + U64(1))
+
+
+def _found(h: np.ndarray, kind: np.ndarray, begin: np.ndarray, shift: np.uint64) -> np.ndarray:
+    marks = _counted(*np.unique(h[kind == 3], return_counts=True))
+    return np.unique(np.concatenate([h[kind > 0], begin, marks]) >> shift).astype(np.int64)
 
 
 def features(texts: list[bytes], bits: int = BITS) -> Iterator[np.ndarray]:
@@ -94,9 +99,11 @@ def features(texts: list[bytes], bits: int = BITS) -> Iterator[np.ndarray]:
 
 
 def _long(text: bytes, bits: int) -> np.ndarray:
-    """One text of many megabytes, in parts cut at white space."""
+    """One text of many megabytes, in parts cut at white space; the same
+    features as of the whole at once."""
     buf, at, shift = np.frombuffer(text, np.uint8), 0, U64(64 - bits)
-    found, words, totals = [], [], np.zeros(5, np.int64)
+    found, words, marks, totals = [], [], [], np.zeros(5, np.int64)
+    last = np.empty(0, U64)  # the last word so far
     while at < buf.size:
         stop = min(at + SEGMENT, buf.size)
         while stop < buf.size and _KIND[buf[stop]]:
@@ -104,12 +111,18 @@ def _long(text: bytes, bits: int) -> np.ndarray:
         part = buf[at:stop]
         starts, kind = _runs(part)
         h = hash_runs(part, starts, BYTE_LOWER)
-        found.append(_found(h, kind, _beginnings(part, starts, kind), shift))
+        found.append(np.unique(np.concatenate([h[kind > 0], _beginnings(part, starts, kind)]) >> shift).astype(np.int64))
+        marks.append(np.unique(h[kind == 3], return_counts=True))
         run = h[kind == 1]
         words.append(np.unique(run))
         totals += [(_KIND[part] == 1).sum(), ((part >= 65) & (part <= 90)).sum(), (kind == 3).sum(), run.size,
-                   (run[1:] == run[:-1]).sum()]
+                   (run[1:] == run[:-1]).sum() + int(last.size and run.size and last[0] == run[0])]
+        last = run[-1:] if run.size else last
         at = stop
+    each, place = np.unique(np.concatenate([m for m, _ in marks]), return_inverse=True)
+    counts = np.zeros(each.size, np.int64)
+    np.add.at(counts, place, np.concatenate([c for _, c in marks]))
+    found.append((_counted(each, counts) >> shift).astype(np.int64))
     distinct = np.unique(np.concatenate(words)).size
     extra = _shape(1 << bits, *totals.tolist(), distinct, buf.size + 1)
     return np.concatenate([np.unique(np.concatenate(found)), extra])

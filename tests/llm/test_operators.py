@@ -13,7 +13,7 @@ import pytest
 
 from qtrail.llm import ann_multi_index as ann
 from qtrail.llm import chat_format as chat
-from qtrail.llm import ngram_join, packing, piece_lattice, quality_ordinal, spotsigs, token_counts, toxicity_pu, warc_zip
+from qtrail.llm import features, ngram_join, packing, piece_lattice, quality_ordinal, spotsigs, token_counts, toxicity_pu, warc_zip
 from qtrail.llm.common import ship_package, tokenizer_file
 from qtrail.llm.components import components
 from qtrail.llm.count_rtree import CountRTree, count_vector, fold, may_link, needed
@@ -201,6 +201,13 @@ def test_piece_lattice_equals_the_library(spark, texts):
     assert piece_lattice.encode(docs_of(spark, some).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("word", ["w w ", "a, b; c. ", "x! 12 "])
+def test_long_texts_have_the_features_of_the_whole(word):
+    text = ("Some (odd) words. " * 3 + word * (2 * features.SEGMENT // len(word) - 100)).encode()
+    assert features.SEGMENT < len(text) < 2 * features.SEGMENT
+    assert features._long(text, features.BITS).tolist() == next(features.features([text])).tolist()
+
+
 def test_nearest_neighbours(spark):
     rng = np.random.default_rng(8)
     x = rng.normal(size=(1200, 16)).astype(np.float32)
