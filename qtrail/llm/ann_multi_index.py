@@ -23,8 +23,10 @@ spread over all blocks. Nothing but the codes' model goes to the driver.
 Defined results: null, zero, non-finite or null-holding vectors take no part,
 nor do vectors whose length is not the most common one of the sample (ties to
 the longer); null ids take no part; equal distances go to the smaller id;
-repeated ids count as rows of their own, but for the query's own id; an empty
-table gives an empty result.
+repeated ids count as rows of their own, but for the query's own id; equal
+query rows (id and vector) are asked once, different vectors under one query
+id each have their own k neighbours, ranked apart; an empty table gives an
+empty result.
 """
 
 from __future__ import annotations
@@ -123,7 +125,7 @@ class MultiIndex:
 
 def search_block(model: BinaryCodes, ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray,
                  queries: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Query ids, row ids and distances: the k best of this block for each."""
+    """Places of queries, row ids and distances: the k best of this block for each."""
     index, codes = MultiIndex(model.encode(vectors)), model.encode(queries)
     bits = model.projection.shape[1]
     out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
@@ -137,7 +139,7 @@ def search_block(model: BinaryCodes, ids: np.ndarray, vectors: np.ndarray, query
             radius = min(bits, radius + max(1, bits // 16))
         distance = np.sqrt(((vectors[rows] - queries[q]) ** 2).sum(1))
         best = np.lexsort((ids[rows], distance))[:k]
-        out.append((np.full(best.size, query_ids[q]), ids[rows][best], distance[best]))
+        out.append((np.full(best.size, q), ids[rows][best], distance[best]))
     if not out:
         empty = np.empty(0, np.int64)
         return empty, empty, np.empty(0)
@@ -176,7 +178,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, key: st
     own id is no candidate."""
     rows, asked = usable(vectors, key, vector), usable(queries, key, vector)
     trained = train(rows, sample_rows)
-    schema = "query_id long, vec_id long, score double"
+    asked = asked.dropDuplicates(["id", "v"]).withColumn("query", F.xxhash64("v"))
+    schema = "query_id long, query long, vec_id long, score double"
     if trained is None:
         return vectors.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     model, dim = trained
@@ -186,8 +189,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, key: st
     spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     left = rows.select("id", "v", F.pmod(F.xxhash64("id", "v"), F.lit(blocks)).cast("int").alias("block"),
                        spread(query_blocks).alias("asked"))
-    right = asked.select("id", "v", spread(blocks).alias("block"),
-                         F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int").alias("asked"))
+    right = asked.select("id", "query", "v", spread(blocks).alias("block"),
+                         F.pmod(F.xxhash64("id", "query"), F.lit(query_blocks)).cast("int").alias("asked"))
 
     def run(a: pa.Table, b: pa.Table) -> pa.Table:
         if a.num_rows and b.num_rows:
@@ -195,9 +198,10 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = NEIGHBOURS, key: st
                                _matrix(b.column("v")), k)
         else:
             got = (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))
-        return pa.table({"query_id": got[0], "vec_id": got[1], "score": got[2]})
+        return pa.table({"query_id": b.column("id").take(pa.array(got[0])), "query": b.column("query").take(pa.array(got[0])),
+                         "vec_id": got[1], "score": got[2]})
 
     found = (left.groupBy("block", "asked").cogroup(right.groupBy("block", "asked")).applyInArrow(run, schema))
-    best = Window.partitionBy("query_id").orderBy("score", "vec_id")
+    best = Window.partitionBy("query_id", "query").orderBy("score", "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

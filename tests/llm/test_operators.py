@@ -232,6 +232,20 @@ def test_nearest_neighbours(spark):
     assert ann.nearest(few, few.where("vec_id = 0")).count() == 2
 
 
+def test_repeated_query_rows(spark):
+    x = np.random.default_rng(9).normal(size=(60, 16))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    queries = spark.createDataFrame([(0, x[0].tolist()), (0, x[0].tolist()), (0, x[1].tolist())],
+                                    "vec_id long, embedding array<double>")
+    got = ann.nearest(df, queries).collect()
+    assert sorted(r.rank for r in got) == sorted([*range(1, 11)] * 2)
+    for v in (x[0], x[1]):
+        d = np.sqrt(((x - v) ** 2).sum(1))
+        mine = [r for r in got if abs(r.score - d[r.vec_id]) < 1e-9]
+        assert sorted(r.rank for r in mine) == list(range(1, 11)) and len({r.vec_id for r in mine}) == 10
+        assert 0 not in {r.vec_id for r in mine}
+
+
 def test_spotsigs(spark):
     rng = random.Random(9)
     texts = ODD + [" ".join(rng.choice(["the", "of", f"w{rng.randrange(900)}"]) for _ in range(200)) for _ in range(30)]
