@@ -207,6 +207,26 @@ def fullest(left: np.ndarray, widths: np.ndarray, capacity: int) -> np.ndarray:
     return pattern
 
 
+def inverted(matrix: np.ndarray) -> np.ndarray:
+    """Inverse by Gauss-Jordan elimination with row pivots. Plain row steps: a
+    threaded library call can hang in a driver that holds a Spark session."""
+    m = matrix.shape[0]
+    work = np.concatenate([matrix, np.eye(m)], axis=1)
+    for k in range(m):
+        pivot = k + int(np.abs(work[k:, k]).argmax())
+        if pivot != k:
+            work[[k, pivot]] = work[[pivot, k]]
+        work[k] /= work[k, k]
+        others = work[:, k].copy()
+        others[k] = 0
+        work -= others[:, None] * work[k]
+    return work[:, m:]
+
+
+def times(matrix: np.ndarray, vector: np.ndarray) -> np.ndarray:
+    return (matrix * vector).sum(1)
+
+
 def cutting_stock(demand: dict[int, int], capacity: int) -> list[tuple[dict[int, int], int]]:
     """Patterns ``{width: count}`` with how often each is used; together they
     cover every demand."""
@@ -217,16 +237,16 @@ def cutting_stock(demand: dict[int, int], capacity: int) -> list[tuple[dict[int,
     m = widths.size
     columns = [np.where(np.arange(m) == k, capacity // int(w), 0) for k, w in enumerate(widths)]
     inverse = np.diag(1.0 / np.array([c[k] for k, c in enumerate(columns)], dtype=np.float64))
-    amount = inverse @ need
+    amount = times(inverse, need)
     for step in range(MAX_PIVOTS):
         if step % 200 == 199:
-            inverse = np.linalg.inv(np.stack(columns, 1).astype(np.float64))
-            amount = np.maximum(inverse @ need, 0)
+            inverse = inverted(np.stack(columns, 1).astype(np.float64))
+            amount = np.maximum(times(inverse, need), 0)
         duals = inverse.sum(0)
         value, column = best_pattern(duals, widths, capacity)
         if value <= 1 + GAP:
             break
-        entering = inverse @ column
+        entering = times(inverse, column)
         up = entering > 1e-9
         if not up.any():
             break
@@ -236,17 +256,17 @@ def cutting_stock(demand: dict[int, int], capacity: int) -> list[tuple[dict[int,
         amount[out] = ratio[out]
         amount = np.maximum(amount, 0)
         row = inverse[out] / entering[out]
-        inverse -= np.outer(entering, row)
+        inverse -= entering[:, None] * row
         inverse[out] = row
         columns[out] = column
     left = need.astype(np.int64)
     plan: list[tuple[dict[int, int], int]] = []
 
-    def use(pattern: np.ndarray, times: int) -> None:
-        taken = np.minimum(pattern * times, left)
-        if times and taken.any():
+    def use(pattern: np.ndarray, often: int) -> None:
+        taken = np.minimum(pattern * often, left)
+        if often and taken.any():
             left[:] -= taken
-            plan.append(({int(w): int(c) for w, c in zip(widths, pattern) if c}, times))
+            plan.append(({int(w): int(c) for w, c in zip(widths, pattern) if c}, often))
 
     for pattern, x in zip(columns, amount):
         fits = min((int(left[k]) // int(pattern[k]) for k in np.flatnonzero(pattern)), default=0)

@@ -52,6 +52,26 @@ def test_token_counts_equal_the_library(spark, texts):
     assert token_counts.token_counts(docs_of(spark, texts).limit(0)).count() == 0
 
 
+def test_cutting_stock_past_its_refreshes_beside_a_session(spark):
+    """Enough classes for over 400 pivots, so the basis is inverted anew twice."""
+    rng = random.Random(3)
+    demand = {w: rng.randrange(1, 60) ** 2 for w in range(1, 129)}
+    steps = []
+    known = packing.inverted
+    packing.inverted = lambda m: steps.append(1) or known(m)
+    try:
+        plan = packing.cutting_stock(demand, 128)
+    finally:
+        packing.inverted = known
+    assert len(steps) >= 2
+    assert all(sum(w * c for w, c in pattern.items()) <= 128 for pattern, _ in plan)
+    assert all(sum(pattern.get(w, 0) * n for pattern, n in plan) >= need for w, need in demand.items())
+    used = sum(n for _, n in plan)
+    assert used <= 1.05 * sum(w * n for w, n in demand.items()) / 128 + 1
+    m = np.array([[rng.random() for _ in range(40)] for _ in range(40)])
+    assert np.allclose((packing.inverted(m)[:, :, None] * m[None]).sum(1), np.eye(40), atol=1e-7)
+
+
 def test_packing_places_every_id_once(spark, texts):
     tok = load_tokenizer(tokenizer_file("word_bpe_49k.json"))
     rows = packing.pack_documents(docs_of(spark, texts), capacity=256).collect()
