@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from qtrail.llm import ann_multi_index as ann
 from qtrail.llm import chat_format as chat
-from qtrail.llm import ngram_join, packing, piece_lattice, quality_ordinal, spotsigs, token_counts, toxicity_pu, warc_zip
+from qtrail.llm import (ngram_join, packing, piece_lattice, quality_ordinal, source_divergence, spotsigs, token_counts,
+                        toxicity_pu, warc_zip)
 
 from qtrail.llm.common import materialize, ship_package
 
@@ -100,6 +101,13 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs, terms = source_divergence.divergence(table(spark, sf_dir, "documents"))
+    columns = ("lang", "source", "part", "item", "value", "rank")
+    return (pairs.withColumn("part", F.lit("pair")).select(*columns)
+            .unionByName(terms.withColumn("part", F.lit("term")).select(*columns)))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline.py`` over ``documents``."""
     import corpus_pipeline
@@ -109,9 +117,45 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_chat_format, op2_packing, op3_ngram_join, op4_token_counts, op5_quality_ordinal, op6_piece_lattice, op7_multi_index, op8_spotsigs,
-        op9_warc, op10_toxicity, pipeline)}
+        op9_warc, op10_toxicity, op11_source_divergence, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
     """Only what SQL can express: tokenizers, models and archives it can't."""
-    return {}
+    return {"op11_source_divergence": OP11_SQL}
+
+
+_SHARE = "(1 + (1000000000::HUGEINT * ({n} + 2)) // ({total} + 2 * v))"
+OP11_SQL = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS id, COALESCE(lang, '') AS lang, COALESCE(source, '') AS source,
+    regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS ts
+  FROM documents),
+occ AS (SELECT id, lang, source, unnest(ts) AS term FROM d),
+kept AS (SELECT lang, term, COUNT(*) AS n FROM occ GROUP BY 1, 2 HAVING COUNT(DISTINCT id) >= 10),
+cnt AS (SELECT o.lang, o.source, o.term, COUNT(*) AS n FROM occ o JOIN kept k ON o.lang = k.lang AND o.term = k.term
+  GROUP BY 1, 2, 3),
+grp AS (SELECT DISTINCT lang, source FROM d),
+lang_of AS (SELECT lang, SUM(n) AS lang_n, COUNT(*) AS v FROM kept GROUP BY 1),
+own AS (SELECT lang, source, SUM(n) AS group_n FROM cnt GROUP BY 1, 2),
+shares AS (
+  SELECT g.lang, g.source, k.term, COALESCE(c.n, 0) AS n,
+    {_SHARE.format(n="COALESCE(c.n, 0)", total="COALESCE(group_n, 0)")} AS p,
+    {_SHARE.format(n="k.n", total="lang_n")} AS q
+  FROM grp g JOIN lang_of l ON g.lang = l.lang JOIN kept k ON k.lang = g.lang
+  LEFT JOIN own w ON w.lang = g.lang AND w.source = g.source
+  LEFT JOIN cnt c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+prices AS (
+  SELECT a.lang, a.source, b.source AS item, SUM(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY 1, 2, 3),
+parts AS (
+  SELECT g.lang, g.source, 'pair' AS part, h.source AS item, COALESCE(value, 0) AS value
+  FROM grp g JOIN grp h ON g.lang = h.lang AND g.source <> h.source
+  LEFT JOIN prices p ON p.lang = g.lang AND p.source = g.source AND p.item = h.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM shares WHERE n > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM parts)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM ranked WHERE part = 'pair' OR rank <= 10
+"""
