@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from qtrail.llm import ann_multi_index as ann
 from qtrail.llm import chat_format as chat
 from qtrail.llm import (ngram_join, packing, piece_lattice, quality_ordinal, source_divergence, spotsigs, token_counts,
-                        toxicity_pu, warc_zip)
+                        toxicity_pu, warc_zip, whitening)
 
 from qtrail.llm.common import materialize, ship_package
 
@@ -108,6 +108,11 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(terms.withColumn("part", F.lit("term")).select(*columns)))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A deviation past 64 bits is null here; the operator's is exact."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of ``corpus_pipeline.py`` over ``documents``."""
     import corpus_pipeline
@@ -117,7 +122,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_chat_format, op2_packing, op3_ngram_join, op4_token_counts, op5_quality_ordinal, op6_piece_lattice, op7_multi_index, op8_spotsigs,
-        op9_warc, op10_toxicity, op11_source_divergence, pipeline)}
+        op9_warc, op10_toxicity, op11_source_divergence, op13_whitening, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
