@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from qtrail.llm import ann_multi_index as ann
 from qtrail.llm import chat_format as chat
-from qtrail.llm import (ngram_join, packing, piece_lattice, quality_ordinal, source_divergence, spotsigs, token_counts,
+from qtrail.llm import (license_scan, ngram_join, packing, piece_lattice, quality_ordinal, source_divergence, spotsigs, token_counts,
                         toxicity_pu, warc_zip, whitening)
 
 from qtrail.llm.common import materialize, ship_package
@@ -108,6 +108,20 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
             .unionByName(terms.withColumn("part", F.lit("term")).select(*columns)))
 
 
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scanned = license_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    starts = F.transform(base, lambda s: s["first"])
+
+    def joined(spans):
+        return F.array_join(F.array_sort(F.array_distinct(F.transform(spans, lambda s: s["label"]))), ",")
+
+    return scanned.select(
+        "doc_id", "n_words", F.size(base).cast("long").alias("n_base"), F.array_min(starts).alias("first_word"),
+        F.array_max(starts).alias("last_word"), joined(base).alias("base_labels"), joined(F.col("spans")).alias("labels"),
+        F.coalesce(F.array_max(F.transform("spans", lambda s: s["share"])), F.lit(0.0)).alias("score"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A deviation past 64 bits is null here; the operator's is exact."""
     return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.expr("try_cast(deviation AS BIGINT)"))
@@ -122,7 +136,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_chat_format, op2_packing, op3_ngram_join, op4_token_counts, op5_quality_ordinal, op6_piece_lattice, op7_multi_index, op8_spotsigs,
-        op9_warc, op10_toxicity, op11_source_divergence, op13_whitening, pipeline)}
+        op9_warc, op10_toxicity, op11_source_divergence, op12_license_scan,
+        op13_whitening, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
