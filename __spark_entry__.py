@@ -19,11 +19,13 @@ from qtrail.functions import predicates as P
 from qtrail.functions.calendar import days_between
 from qtrail.operators import classify as CL
 from qtrail.operators import enrich as EN
+from qtrail.operators import grants as G
+from qtrail.operators import monitoring as MON
 from qtrail.operators import reports as R
 from qtrail.operators.ingest import history_rows
 from qtrail.plans.events_job import run_range
 from qtrail.session import scratch_path
-from qtrail.sources.derived import audit_inputs
+from qtrail.sources.derived import audit_inputs, derived_grants
 from qtrail.sources.events import read_events, write_events
 from qtrail.sources.executions import derived_executions
 from qtrail.sources.history import read_history, write_history
@@ -102,6 +104,14 @@ def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_events(spark, root)
 
 
+def _shared_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches stored by day, merged over the range, exact for those near a threshold."""
+    events = _audit(spark, sf_dir)
+    root = scratch_path(spark, "identity-sketches")
+    MON.write_identity_sketches(events, root)
+    return MON.shared_identities(events, MON.read_identity_sketches(spark, root, FROM_DAY, TO_DAY), FROM_DAY, TO_DAY)
+
+
 def _csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     search = R.user_search(_audit(spark, sf_dir), _search_pred())
     root = scratch_path(spark, "export")
@@ -160,6 +170,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "events_sink_roundtrip": _events_roundtrip,
         "backfill": _backfill,
         "csv_export": _csv_export,
+        "scan_scores": lambda s, d: MON.scan_scores(_audit(s, d), FROM_DAY, TO_DAY),
+        "scan_anomalies": lambda s, d: MON.scan_anomalies(_audit(s, d), FROM_DAY, TO_DAY),
+        "failure_rate": lambda s, d: MON.failure_rate(_audit(s, d), _range_pred()),
+        "shared_identities": _shared_identities,
+        "unused_grants": lambda s, d: G.unused_grants(derived_grants(s, d), _audit(s, d)),
+        "grant_usage": lambda s, d: G.grant_usage(derived_grants(s, d), _audit(s, d)),
         **(_llm.queries() if _llm else {}),
     }
 
@@ -171,6 +187,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # references, MIN(tier) per (day, query_id), and a LEFT JOIN write-back.
 # ---------------------------------------------------------------------------
 _PATTERN = TABLE_REF_PATTERN.replace("(?iU)", "")  # DuckDB takes the flags as 'i'
+REFS = G.QUALIFIED_REF_PATTERN.replace("(?iU)", "")
+PART = G.NAME_PART
 SRC = QUERY_SERVICE_SOURCE
 ROLE1, ROLE2 = SELF_ROLE_MARKERS
 _COST = "CAST(COALESCE(h.data_scanned, 0) / 1099511627776.0 * 5.00 AS DECIMAL(12,8))"
@@ -187,13 +205,20 @@ WITH ev AS (
     CASE WHEN user_id % 2 = 0 THEN 'us-east-1' ELSE 'eu-west-1' END AS region,
     'wg-' || CAST(user_id % 4 AS VARCHAR) AS wg,
     strftime(ts, '%Y-%m-%d') AS day,
-    strftime(CASE WHEN event_id % 17 = 0 THEN ts + INTERVAL 30 MINUTE ELSE ts END, '%Y-%m-%d') AS hday,
+    strftime(CASE WHEN event_id % 17 = 0 THEN ts + INTERVAL 8 HOUR ELSE ts END, '%Y-%m-%d') AS hday,
     strftime(ts, {_ISO}) AS iso,
-    CASE event_id % 5 WHEN 0 THEN 'SELECT * FROM sales.orders'
+    CASE event_id % 9 WHEN 0 THEN 'SELECT * FROM sales.orders'
       WHEN 1 THEN 'SELECT * FROM orders JOIN hr.people ON 1=1'
       WHEN 2 THEN 'select * from `hr`.`people`'
-      WHEN 3 THEN 'SELECT 1' ELSE 'SELECT * FROM orders' END AS qt
+      WHEN 3 THEN 'SELECT 1' WHEN 4 THEN 'SELECT * FROM orders'
+      WHEN 5 THEN 'SELECT o.id' || chr(10) || 'FROM sales.orders AS o' || chr(10) || chr(9)
+        || 'JOIN lake.raw.clicks c ON c.id = o.id'
+      WHEN 6 THEN 'SELECT "a b", ''x'' FROM "hr"."people" -- FROM finance.ledger'
+      WHEN 7 THEN 'INSERT INTO finance.ledger' || chr(13) || chr(10)
+        || 'SELECT * FROM sales.orders WHERE note = ''say "hi" ' || chr(92) || ' {{}}, ok'''
+      ELSE 'SELECT * FROM Sales.Orders, hr.people' END AS qt
   FROM events),
+delivered AS (SELECT * FROM ev WHERE event_id % 7 <> 0 UNION ALL SELECT * FROM ev WHERE event_id % 7 <> 0 AND event_id % 29 = 0),
 trail AS (
   SELECT region, day, iso AS eventtime,
     CASE WHEN event_id % 11 = 0 THEN 'storage.example.com' ELSE '{SRC}' END AS eventsource,
@@ -205,11 +230,11 @@ trail AS (
     CASE WHEN user_id % 5 = 0 THEN NULL ELSE 'user' || CAST(user_id AS VARCHAR) END AS source_identity,
     CASE WHEN user_id % 7 = 3 THEN 'idc-' || CAST(user_id AS VARCHAR) END AS on_behalf_of_user_id,
     '10.0.' || CAST(user_id % 200 AS VARCHAR) || '.' || CAST(event_id % 250 AS VARCHAR) AS source_ip,
-    CASE user_id % 3 WHEN 0 THEN 'sdk-python/1.26' WHEN 1 THEN 'cli/2.15' ELSE 'jdbc/2.1' END AS user_agent,
-    '{{"queryString":"' || CASE WHEN user_id % 2 = 0 THEN '***OMITTED***' ELSE qt END
-      || '","queryExecutionContext":{{"database":"sales"}},"workGroup":"' || wg || '"}}' AS requestparameters,
+    CASE (user_id + CASE WHEN user_id % 8 = 1 THEN event_id % 2 ELSE 0 END) % 3 WHEN 0 THEN 'sdk-python/1.26' WHEN 1 THEN 'cli/2.15' ELSE 'jdbc/2.1' END AS user_agent,
+    json_object('queryString', CASE WHEN user_id % 2 = 0 THEN '***OMITTED***' ELSE qt END,
+      'queryExecutionContext', json_object('database', 'sales'), 'workGroup', wg) AS requestparameters,
     CASE WHEN event_id % 97 = 0 THEN NULL ELSE '{{"queryExecutionId":"' || qid || '"}}' END AS responseelements
-  FROM ev WHERE event_id % 7 <> 0),
+  FROM delivered),
 history AS (
   SELECT qid AS query_id, qt AS query, CAST(floor(value * 1e9) AS BIGINT) AS data_scanned,
     CASE WHEN event_type = 'error' THEN 'FAILED' WHEN event_id % 10 = 1 THEN 'CANCELLED' ELSE 'SUCCEEDED' END AS status,
@@ -219,7 +244,7 @@ history AS (
   FROM ev WHERE event_id % 3 <> 0 OR event_id % 7 = 0),
 tiers AS (
   SELECT * FROM (VALUES ('sales', 'orders', 'tier_2'), ('hr', 'people', 'tier_1'),
-    ('default', 'orders', 'tier_3')) t(db, tbl, tier)),
+    ('default', 'orders', 'tier_3'), ('finance', 'ledger', 'tier_10'), ('lake', 'raw', 'tier_9')) t(db, tbl, tier)),
 starts AS (
   SELECT t.*, json_extract_string(responseelements, '$.queryExecutionId') AS query_id,
     json_extract_string(requestparameters, '$.queryString') AS query_string,
@@ -291,6 +316,23 @@ hist_day AS (
     COALESCE(strftime(submitted_ts, '%Y-%m-%dT%H:%M:%S.%f+00:00'), '') AS submission_time,
     region, strftime(COALESCE(submitted_ts, completed_ts), '%Y-%m-%d') AS day, workgroup
   FROM execs WHERE state IN ('SUCCEEDED', 'FAILED', 'CANCELLED')),
+grants AS (
+  SELECT CASE WHEN user_id % 5 = 0 THEN 'arn:u' ELSE 'user' END || CAST(user_id AS VARCHAR) AS principal,
+    g.catalog, g.db, g.tbl, 'SELECT' AS privileges
+  FROM (SELECT DISTINCT user_id FROM events) u JOIN (VALUES
+    (NULL, 'sales', 'orders', 1), (NULL, 'HR', '*', 2), ('lake', 'raw', 'clicks', 1), ('lake', 'raw', '*', 3),
+    (NULL, 'raw', 'clicks', 2), (NULL, 'finance', 'ledger', 1), (NULL, 'finance', 'budget', 1), (NULL, '*', '*', 7),
+    ('other', '*', '*', 5)) g(catalog, db, tbl, each) ON u.user_id % g.each = 0),
+used_refs AS (
+  SELECT day, lower(COALESCE(NULLIF(database, ''), 'default')) AS dbf,
+    list_distinct(list_filter([source_identity, user_identity_arn, on_behalf_of_user_id], lambda x: x IS NOT NULL)) AS names,
+    list_distinct(list_transform(list_transform(regexp_extract_all(query, '{REFS}', 0, 'i'),
+        lambda r: regexp_extract_all(regexp_replace(r, '^\\w+\\s+', ''), '{PART}')),
+      lambda p: list_transform(p, lambda x: lower(regexp_replace(x, '[`"]', '', 'g'))))) AS refs
+  FROM audit),
+used_tables AS (
+  SELECT principal, day, COALESCE(r[-3], 'awsdatacatalog') AS catalog, COALESCE(r[-2], dbf) AS db, r[-1] AS tbl
+  FROM (SELECT day, dbf, refs, unnest(names) AS principal FROM used_refs), unnest(refs) AS u(r)),
 rng AS (SELECT * FROM audit WHERE day BETWEEN '{FROM_DAY}' AND '{TO_DAY}'),
 search AS (
   SELECT event_time, source_identity, workgroup, status, substr(query, 1, 300) AS query_text, database,
@@ -306,6 +348,33 @@ _MB_SUM = "CAST(ROUND(SUM(data_scanned) / 1048576.0, 2) AS DECIMAL(18,2))"
 _COST4 = "CAST(ROUND(SUM(cost), 4) AS DECIMAL(18,4))"
 _USER = "COALESCE(source_identity, user_identity_type)"
 
+# A grant against a use: equal principal and catalog, and the table, its
+# database or everything.
+_COVERS = """u.principal = g.principal AND u.catalog = lower(COALESCE(g.catalog, 'awsdatacatalog'))
+        AND (g.db = '*' OR (lower(g.db) = u.db AND (g.tbl = '*' OR lower(g.tbl) = u.tbl)))"""
+
+# The dense series of each user joined to the days of its own baseline.
+_SCORES = f"""
+  , sums AS (SELECT {_USER} AS user_name, CAST(day AS DATE) AS d, COUNT(*) AS queries, SUM(data_scanned) AS bytes
+      FROM audit WHERE CAST(day AS DATE) BETWEEN DATE '{FROM_DAY}' - INTERVAL 14 DAY AND DATE '{TO_DAY}' GROUP BY 1, 2),
+  spans AS (SELECT user_name, unnest(range(MIN(d), DATE '{TO_DAY}' + INTERVAL 1 DAY, INTERVAL 1 DAY))::DATE AS d
+      FROM sums GROUP BY 1),
+  dense AS (SELECT p.user_name, p.d, COALESCE(s.queries, 0) AS queries, COALESCE(s.bytes, 0)::HUGEINT AS bytes
+      FROM spans p LEFT JOIN sums s ON p.d = s.d AND p.user_name IS NOT DISTINCT FROM s.user_name),
+  base AS (SELECT a.user_name, a.d, a.queries, a.bytes, COUNT(b.d) AS n, COALESCE(SUM(b.bytes), 0)::HUGEINT AS s,
+        COALESCE(SUM(b.bytes * b.bytes), 0)::HUGEINT AS q
+      FROM dense a LEFT JOIN dense b ON a.user_name IS NOT DISTINCT FROM b.user_name AND b.d < a.d AND b.d >= a.d - 14
+      GROUP BY ALL),
+  spread AS (SELECT *, sqrt((n * q - s * s)::DOUBLE) AS dev, (n * bytes - s)::DOUBLE AS above FROM base),
+  scores AS (SELECT user_name, strftime(d, '%Y-%m-%d') AS day, queries, CAST(bytes AS BIGINT) AS bytes,
+      CAST(n AS INTEGER) AS baseline_days,
+      CASE WHEN n > 0 THEN CAST(s::DOUBLE / n AS DECIMAL(28,2)) END AS baseline_bytes,
+      CASE WHEN n > 0 THEN CAST(dev / n AS DECIMAL(28,2)) END AS deviation_bytes,
+      CASE WHEN n >= 7 AND dev > 0 THEN CAST(above / dev AS DECIMAL(18,3)) END AS z_score,
+      CASE WHEN n >= 7 AND above > 3.0 * dev THEN CASE WHEN dev > 0 THEN 'spike' WHEN s > 0 THEN 'above_constant'
+        ELSE 'after_silence' END END AS reason FROM spread)
+"""
+
 _FINAL = {
     "events_pass1": "SELECT * FROM pass1",
     "events_history_only": "SELECT * FROM hist_only",
@@ -387,6 +456,17 @@ _FINAL = {
     "events_sink_roundtrip": "SELECT * FROM audit",
     "backfill": "SELECT * FROM audit",
     "csv_export": "SELECT * FROM search",
+    "scan_scores": f"{_SCORES} SELECT * FROM scores WHERE day >= '{FROM_DAY}'",
+    "scan_anomalies": f"{_SCORES} SELECT * FROM scores WHERE day >= '{FROM_DAY}' AND reason IS NOT NULL",
+    "failure_rate": """SELECT workgroup, day, COUNT(*) AS total, COUNT(*) FILTER (status = 'FAILED') AS failed,
+      CAST(ROUND(COUNT(*) FILTER (status = 'FAILED') / COUNT(*), 4) AS DECIMAL(18,4)) AS failure_rate FROM rng GROUP BY 1, 2""",
+    "shared_identities": """SELECT user_identity_arn, COUNT(*) AS queries, COUNT(DISTINCT user_agent) AS agents,
+      COUNT(DISTINCT source_ip) AS ips FROM rng WHERE user_identity_arn IS NOT NULL
+      GROUP BY 1 HAVING COUNT(DISTINCT user_agent) >= 2 OR COUNT(DISTINCT source_ip) >= 40""",
+    "unused_grants": f"SELECT * FROM grants g WHERE NOT EXISTS (SELECT 1 FROM used_tables u WHERE {_COVERS})",
+    "grant_usage": f"""SELECT principal, catalog, db, tbl, privileges,
+      (SELECT COUNT(*) FROM used_tables u WHERE {_COVERS}) AS uses,
+      (SELECT MAX(u.day) FROM used_tables u WHERE {_COVERS}) AS last_day FROM grants g""",
     "run_report": f"""SELECT '{FROM_DAY}' AS from_day, '{TO_DAY}' AS to_day, COUNT(*) AS events
       FROM audit WHERE day BETWEEN '{FROM_DAY}' AND '{TO_DAY}'""",
 }

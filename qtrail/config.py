@@ -37,6 +37,17 @@ TOP_USER_STATUS = 50
 TOP_ADHOC = 50
 TOP_USERS_BY_SCAN = 100
 LATEST_EVENTS = 20
+# Monitoring defaults.
+BASELINE_DAYS = 14  # trailing calendar days a user's day is compared with
+BASELINE_LEAST_DAYS = 7
+ANOMALY_Z = 3.0
+SKETCH_LOG2 = 12  # registers of a distinct-count sketch, as a power of two
+SKETCH_MARGIN = 0.2  # an estimate this far under a threshold is still counted exactly
+SHARED_AGENTS = 2
+SHARED_IPS = 40
+# Grants.
+DEFAULT_CATALOG = "awsdatacatalog"  # the catalog of names without one, lower case
+WILDCARD = "*"
 
 
 @dataclass(frozen=True)

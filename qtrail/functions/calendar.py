@@ -29,6 +29,11 @@ def days_between(from_day: str, to_day: str) -> list[str]:
     return [str(a + timedelta(days=i)) for i in range((b - a).days + 1)]
 
 
+def day_range_start(from_day: str, n: int) -> str:
+    """The day ``n`` days before ``from_day``."""
+    return str(_parse(from_day) - timedelta(days=n))
+
+
 def day_range_df(spark: SparkSession, from_day: str, to_day: str) -> DataFrame:
     """The inclusive range as a one-column DataFrame (``sequence`` + ``explode``)."""
     _parse(from_day), _parse(to_day)

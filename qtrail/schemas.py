@@ -101,3 +101,20 @@ TAG_SEARCH = T.StructType([
     ]))),
 ])
 TIER_TAG_KEY = "classification_tier"
+
+GRANTS = T.StructType([T.StructField(c, S) for c in ("principal", "catalog", "db", "tbl", "privileges")])
+
+# Listing of permissions (input of the grants source).
+_TABLE_RESOURCE = T.StructType([T.StructField("DatabaseName", S), T.StructField("Name", S)])
+PERMISSION_DUMP = T.StructType([
+    T.StructField("PrincipalResourcePermissions", T.ArrayType(T.StructType([
+        T.StructField("Principal", T.StructType([T.StructField("DataLakePrincipalIdentifier", S)])),
+        T.StructField("Resource", T.StructType([
+            T.StructField("Catalog", T.MapType(S, S)),
+            T.StructField("Database", T.StructType([T.StructField("Name", S)])),
+            T.StructField("Table", _TABLE_RESOURCE),
+            T.StructField("TableWithColumns", _TABLE_RESOURCE),
+        ])),
+        T.StructField("Permissions", T.ArrayType(S)),
+    ]))),
+])

@@ -30,11 +30,29 @@ QUERY_TEXTS = (
     "select * from `hr`.`people`",
     "SELECT 1",
     "SELECT * FROM orders",
+    "SELECT o.id\nFROM sales.orders AS o\n\tJOIN lake.raw.clicks c ON c.id = o.id",
+    "SELECT \"a b\", 'x' FROM \"hr\".\"people\" -- FROM finance.ledger",
+    "INSERT INTO finance.ledger\r\nSELECT * FROM sales.orders WHERE note = 'say \"hi\" \\ {}, ok'",
+    "SELECT * FROM Sales.Orders, hr.people",
 )
 TIER_ROWS = (
     ("sales", "orders", "tier_2"),
     ("hr", "people", "tier_1"),
     ("default", "orders", "tier_3"),
+    ("finance", "ledger", "tier_10"),
+    ("lake", "raw", "tier_9"),
+)
+# Grants of every user: (catalog, db, tbl, the users it is for: id % n = 0).
+GRANT_ROWS = (
+    (None, "sales", "orders", 1),
+    (None, "HR", "*", 2),
+    ("lake", "raw", "clicks", 1),
+    ("lake", "raw", "*", 3),
+    (None, "raw", "clicks", 2),
+    (None, "finance", "ledger", 1),
+    (None, "finance", "budget", 1),
+    (None, "*", "*", 7),
+    ("other", "*", "*", 5),
 )
 IDENTITY_TYPES = ("Root", "IAMUser", "AssumedRole")
 USER_AGENTS = ("sdk-python/1.26", "cli/2.15", "jdbc/2.1")
@@ -69,18 +87,20 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("wg-"), (uid % 4).cast("string")).alias("wg"),
         F.date_format("ts", "yyyy-MM-dd").alias("day"),
         # The history job files some executions under the day their record
-        # was closed: 30 minutes later, so late-evening ones fall on the next
-        # day (the midnight case of the cross-day duplicate check).
-        F.date_format(F.when(eid % 17 == 0, F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(30)))
+        # was closed: hours later, so evening ones fall on the next day (the
+        # midnight case of the cross-day duplicate check).
+        F.date_format(F.when(eid % 17 == 0, F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(8)))
                       .otherwise(F.col("ts")), "yyyy-MM-dd").alias("hday"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("iso"),
-        _case(eid % 5, QUERY_TEXTS).alias("qt"),
+        _case(eid % len(QUERY_TEXTS), QUERY_TEXTS).alias("qt"),
     )
 
 
 def derived_trail(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
     b = (base if base is not None else _base(spark, sf_dir)).where(F.col("event_id") % 7 != 0)
     eid, uid = F.col("event_id"), F.col("user_id")
+    # The trail delivers some records twice.
+    b = b.withColumn("_copy", F.explode(F.when(eid % 29 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))))
     arn = (F.when(uid == 11, F.lit(f"arn:x/{C.SELF_ROLE_MARKERS[0]}-R"))
            .when(uid == 12, F.lit(f"arn:x/{C.SELF_ROLE_MARKERS[1]}-R"))
            .when(uid % 50 == 13, F.lit(None).cast("string"))
@@ -88,10 +108,9 @@ def derived_trail(spark: SparkSession, sf_dir: str, base: DataFrame | None = Non
     source_identity = F.when(uid % 5 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("user"), uid.cast("string")))
     on_behalf = F.when(uid % 7 == 3, F.concat(F.lit("idc-"), uid.cast("string"))).otherwise(F.lit(None).cast("string"))
     shown_text = F.when(uid % 2 == 0, F.lit(C.REDACTED_QUERY_TEXT)).otherwise(F.col("qt"))
-    request = F.concat(
-        F.lit('{"queryString":"'), shown_text,
-        F.lit('","queryExecutionContext":{"database":"' + TRAIL_DATABASE + '"},"workGroup":"'), F.col("wg"),
-        F.lit('"}'))
+    request = F.to_json(F.struct(
+        shown_text.alias("queryString"), F.struct(F.lit(TRAIL_DATABASE).alias("database")).alias("queryExecutionContext"),
+        F.col("wg").alias("workGroup")))
     response = F.when(eid % 97 == 0, F.lit(None).cast("string")).otherwise(
         F.concat(F.lit('{"queryExecutionId":"'), F.col("qid"), F.lit('"}')))
     identity = F.struct(
@@ -112,7 +131,8 @@ def derived_trail(spark: SparkSession, sf_dir: str, base: DataFrame | None = Non
         F.when(F.col("event_type") == "signup", F.lit("GetQueryExecution"))
          .otherwise(F.lit(C.START_EVENT_NAMES[0])).alias("eventName"),
         F.concat(F.lit("10.0."), (uid % 200).cast("string"), F.lit("."), (eid % 250).cast("string")).alias("sourceIPAddress"),
-        _case(uid % 3, USER_AGENTS).alias("userAgent"),
+        # Some users run under two applications.
+        _case((uid + F.when(uid % 8 == 1, eid % 2).otherwise(F.lit(0))) % 3, USER_AGENTS).alias("userAgent"),
         request.alias("requestParameters"),
         response.alias("responseElements"),
         "region", "day",
@@ -145,6 +165,18 @@ def derived_tiers(spark: SparkSession) -> DataFrame:
     return tiers_from_rows(spark, TIER_ROWS)
 
 
+def derived_grants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The grants of every user of the events, by name or by ARN."""
+    users = spark.read.parquet(f"{sf_dir}/events.parquet").select("user_id").distinct()
+    uid = F.col("user_id")
+    principal = F.concat(F.when(uid % 5 == 0, F.lit("arn:u")).otherwise(F.lit("user")), uid.cast("string"))
+    rows = F.array(*[F.struct(F.lit(c).cast("string").alias("catalog"), F.lit(d).alias("db"), F.lit(t).alias("tbl"),
+                              F.lit(n).alias("each")) for c, d, t, n in GRANT_ROWS])
+    return (users.select("user_id", principal.alias("principal"), F.explode(rows).alias("g"))
+            .where(uid % F.col("g.each") == 0)
+            .select("principal", "g.catalog", "g.db", "g.tbl", F.lit("SELECT").alias("privileges")))
+
+
 def audit_inputs(spark: SparkSession, sf_dir: str) -> AuditInputs:
     base = _base(spark, sf_dir)
     return AuditInputs(derived_trail(spark, sf_dir, base), derived_history(spark, sf_dir, base),

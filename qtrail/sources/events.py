@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qtrail.schemas import EVENT_COLUMNS, EVENT_PARTITIONS, EVENTS
-from qtrail.sources.trail import hive_glob
+from qtrail.sources.trail import empty_or_raise, hive_glob
 
 
 def read_events(spark: SparkSession, root: str, days=None, regions=None) -> DataFrame:
@@ -22,7 +22,7 @@ def read_events(spark: SparkSession, root: str, days=None, regions=None) -> Data
         return spark.read.schema(EVENTS).option("basePath", root).parquet(glob)
     except AnalysisException as e:
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return spark.createDataFrame([], EVENTS)
+            return empty_or_raise(spark, root, EVENTS)
         raise
 
 
