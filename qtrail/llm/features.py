@@ -20,6 +20,7 @@ from qtrail.llm.common import BYTE_LOWER, SEGMENT, U64, by_bytes, hash_runs, mix
 
 BITS = 18
 BEGINNING = 5  # bytes
+CHUNK = 1 << 20  # features that a step of the training handles at once
 SHAPES = 64  # buckets of shape features, above the hashed ones
 #: Classes of bytes: 0 white space and control, 1 letter (all bytes of multi-byte characters), 2 digit, 3 mark.
 _KIND = np.full(256, 3, np.uint8)
@@ -128,33 +129,72 @@ def _long(text: bytes, bits: int) -> np.ndarray:
     return np.concatenate([np.unique(np.concatenate(found)), extra])
 
 
-class Rows:
-    """Texts' features as one ragged array, for training in numpy."""
+class Ragged:
+    """Features of many texts in one array: those of text ``i`` are
+    ``flat[at[i]:at[i + 1]]``."""
 
-    def __init__(self, rows: list[np.ndarray], chosen: np.ndarray):
+    def __init__(self, flat: np.ndarray, at: np.ndarray):
+        self.flat, self.at = flat, at
+
+    @classmethod
+    def of(cls, rows: Ragged | list[np.ndarray]) -> Ragged:
+        if isinstance(rows, Ragged):
+            return rows
+        flat = np.concatenate(rows).astype(np.int32) if rows else np.empty(0, np.int32)
+        return cls(flat, np.concatenate([[0], np.cumsum([r.size for r in rows], dtype=np.int64)]))
+
+    def __len__(self) -> int:
+        return self.at.size - 1
+
+    def chunks(self) -> Iterator[tuple[int, int]]:
+        """Ranges of texts with about ``CHUNK`` features."""
+        lo = 0
+        while lo < len(self):
+            hi = max(lo + 1, int(np.searchsorted(self.at, self.at[lo] + CHUNK, "right")) - 1)
+            yield lo, hi
+            lo = hi
+
+
+class Rows(Ragged):
+    """Texts' features for training in numpy, numbered by weight. Products
+    run over ``chunks``, so that what a step allocates stays small."""
+
+    def __init__(self, rows: Ragged | list[np.ndarray], chosen: np.ndarray):
         """``chosen``: the features that have a weight, sorted."""
-        kept = []
-        for r in rows:
-            at = np.minimum(np.searchsorted(chosen, r), max(0, chosen.size - 1))
-            kept.append(at[chosen[at] == r] if chosen.size else at[:0])
-        self.n = len(rows)
-        self.row = np.repeat(np.arange(self.n), [k.size for k in kept])
-        self.col = np.concatenate(kept) if kept else np.empty(0, np.int64)
-        self.width = chosen.size
+        rows = Ragged.of(rows)
+        kept, sizes = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
+        for lo, hi in rows.chunks():
+            part = rows.flat[rows.at[lo]:rows.at[hi]]
+            place = np.minimum(np.searchsorted(chosen, part), max(0, chosen.size - 1))
+            known = chosen[place] == part if chosen.size else np.zeros(part.size, bool)
+            kept.append(place[known].astype(np.int32))
+            sizes.append(np.diff(np.concatenate([[0], np.cumsum(known)])[rows.at[lo:hi + 1] - rows.at[lo]]))
+        super().__init__(np.concatenate(kept), np.cumsum(np.concatenate(sizes)))
+        self.n, self.width = len(rows), chosen.size
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weights[self.col], self.n)
+        out = np.zeros(self.n)
+        for lo, hi in self.chunks():
+            some = np.flatnonzero(np.diff(self.at[lo:hi + 1]))
+            if some.size:
+                part = weights[self.flat[self.at[lo]:self.at[hi]]]
+                out[lo + some] = np.add.reduceat(part, self.at[lo + some] - self.at[lo])
+        return out
 
     def back(self, values: np.ndarray) -> np.ndarray:
         """Transposed product: the gradient of the weights."""
-        return np.bincount(self.col, values[self.row], self.width)
+        out = np.zeros(self.width)
+        for lo, hi in self.chunks():
+            each = np.repeat(values[lo:hi], np.diff(self.at[lo:hi + 1]))
+            out += np.bincount(self.flat[self.at[lo]:self.at[hi]], each, self.width)
+        return out
 
 
-def document_counts(rows: list[np.ndarray], total: int) -> np.ndarray:
+def document_counts(rows: Ragged | list[np.ndarray], total: int) -> np.ndarray:
     """How many rows have each feature."""
-    counts = np.zeros(total)
-    for r in rows:
-        counts[r] += 1
+    rows, counts = Ragged.of(rows), np.zeros(total)
+    for lo, hi in rows.chunks():
+        counts += np.bincount(rows.flat[rows.at[lo]:rows.at[hi]], minlength=total)
     return counts
 
 
@@ -175,7 +215,7 @@ class Adam:
 
 # -- Spark -------------------------------------------------------------------
 def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int, key: str = "doc_id",
-                    text: str = "text") -> tuple[list[np.ndarray], list[tuple]]:
+                    text: str = "text") -> tuple[Ragged, list[tuple]]:
     """Features and label values (the other columns of ``labels``) of at most
     ``limit`` labelled documents, those whose ids have the smallest hashes.
     The limit bounds what is broadcast and what reaches the driver."""
@@ -194,7 +234,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int, key: str = "
     schema = T.StructType([rows.schema["_key"], T.StructField("features", T.BinaryType()),
                            T.StructField("label", rows.schema["_label"].dataType)])
     got = rows.mapInArrow(run, schema).toArrow().sort_by("_key")
-    return ([np.frombuffer(f, "<i4").astype(np.int64) for f in got.column("features").to_pylist()],
+    found = got.column("features").cast(pa.large_binary()).combine_chunks()
+    found = found if isinstance(found, pa.Array) else pa.concat_arrays(found.chunks or [pa.array([], pa.large_binary())])
+    ends = np.frombuffer(found.buffers()[1], np.int64, len(found) + 1, found.offset * 8) if len(found) else np.zeros(1, np.int64)
+    flat = np.frombuffer(found.buffers()[2], "<i4", (ends[-1] - ends[0]) // 4, int(ends[0])) if len(found) else np.empty(0, "<i4")
+    return (Ragged(flat, (ends - ends[0]) // 4),
             [tuple(v[c] for c in values) for v in got.column("label").to_pylist()])
 
 

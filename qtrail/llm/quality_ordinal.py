@@ -26,7 +26,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from qtrail.llm.features import Adam, Rows, document_counts, labelled_sample, score_texts, sigmoid, width
+from qtrail.llm.features import Adam, Ragged, Rows, document_counts, labelled_sample, score_texts, sigmoid, width
 
 SAMPLE_ROWS = 12_000
 LEAST_DOCS = 5
@@ -59,7 +59,7 @@ class OrdinalModel:
         return score
 
 
-def fit(rows: list[np.ndarray], grades: np.ndarray, steps: int = STEPS) -> OrdinalModel:
+def fit(rows: Ragged | list[np.ndarray], grades: np.ndarray, steps: int = STEPS) -> OrdinalModel:
     values = np.unique(grades) if grades.size else np.zeros(1)
     weights = np.zeros(width())
     if values.size < 2:

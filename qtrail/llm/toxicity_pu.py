@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from qtrail.llm.features import Adam, Rows, document_counts, labelled_sample, score_texts, sigmoid, width
+from qtrail.llm.features import Adam, Ragged, Rows, document_counts, labelled_sample, score_texts, sigmoid, width
 
 POSITIVE_ROWS = 6_000
 UNLABELLED_ROWS = 20_000
@@ -58,16 +58,16 @@ def fold(key: str = "doc_id", folds: int = HELD_OUT_FOLDS) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")) % folds
 
 
-def telling_features(positive: list[np.ndarray], unlabelled: list[np.ndarray]) -> np.ndarray:
+def telling_features(positive: Ragged | list[np.ndarray], unlabelled: Ragged | list[np.ndarray]) -> np.ndarray:
     seen = document_counts(positive, width())
     expected = document_counts(unlabelled, width()) * (len(positive) / max(1, len(unlabelled)))
     least = min(LEAST_EXAMPLES, max(1, len(positive) // 4))
     return np.flatnonzero((seen >= least) & (seen - expected > LEAST_Z * np.sqrt(expected + 1)))
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, steps: int = STEPS) -> ToxicityModel:
+def fit(positive: Ragged | list[np.ndarray], unlabelled: Ragged | list[np.ndarray], prior: float, steps: int = STEPS) -> ToxicityModel:
     weights = np.zeros(width())
-    if not positive or not unlabelled or prior <= 0:
+    if not len(positive) or not len(unlabelled) or prior <= 0:
         return ToxicityModel(weights, -1e3)
     chosen = telling_features(positive, unlabelled)
     p, u, m = Rows(positive, chosen), Rows(unlabelled, chosen), chosen.size
