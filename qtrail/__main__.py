@@ -1,6 +1,6 @@
 """Command line: ``python -m qtrail {events,history,report} ...``.
 
-tables   create (or force re-create) the catalog tables and register partitions (S9-S13)
+tables   create (or force re-create) the catalog tables and register partitions (S9-S13), or report on them
 events   rebuild a day / day range of the events table (X4, X5)
 history  build history partitions from landed execution records (X3)
 report   run one report over the events table and print or export it
@@ -27,12 +27,30 @@ def _whole_range(a) -> None:
         raise SystemExit("--from and --to go together")
 
 
+def _pairs(items) -> dict[str, str]:
+    out = dict(i.split("=", 1) for i in items or [] if "=" in i)
+    if len(out) != len(items or []):
+        raise SystemExit("give kind=value, each kind once")
+    return out
+
+
+def _tables(a):
+    """The catalog tables of ``--db`` (None without it); roots named by other
+    options are those tables' folders."""
+    from qtrail.plans.tables import TableSet
+    if not a.db:
+        return None
+    roots = {"events": a.events_root, "history": a.history_root, "cloud_trail": a.trail_root}
+    return TableSet(a.db, a.root or "", _pairs(a.table), {k: v for k, v in roots.items() if v} | _pairs(a.folder))
+
+
 def cmd_events(spark, a) -> dict:
     from qtrail.plans.events_job import range_for, run_range
     from qtrail.sources.history import read_history
     from qtrail.sources.tiers import tiers_from_rows, tiers_from_table, tiers_from_tag_dump
     from qtrail.sources.trail import read_trail
     from qtrail.functions.calendar import days_between
+    from qtrail.plans.tables import add_trail_partitions, init_tables
     cfg = _cfg(a)
     _whole_range(a)
     if a.from_day and a.to_day:
@@ -41,6 +59,11 @@ def cmd_events(spark, a) -> dict:
         lo, hi = range_for(a.force_recreate, a.day)
     days = days_between(lo, hi)
     regions = list(cfg.regions) or None
+    tables = _tables(a)
+    if tables:
+        init_tables(spark, tables, cfg.regions, force=a.force_recreate)
+        if a.trail_layout == "native":
+            add_trail_partitions(spark, tables, days, cfg.regions)
     trail = read_trail(spark, a.trail_root, days, regions, layout=a.trail_layout)
     hist = read_history(spark, a.history_root, days, regions)
     if a.tiers:
@@ -49,7 +72,7 @@ def cmd_events(spark, a) -> dict:
         tiers = tiers_from_table(spark, a.tiers_table)
     else:  # no tier map: every event keeps a NULL tier
         tiers = tiers_from_rows(spark, [])
-    run = run_range(spark, trail, hist, tiers, a.events_root, lo, hi, cfg)
+    run = run_range(spark, trail, hist, tiers, a.events_root, lo, hi, cfg, tables and tables.name("events"))
     return {"from_day": run.from_day, "to_day": run.to_day, "events": run.events, "classified": run.classified}
 
 
@@ -67,9 +90,13 @@ def cmd_history(spark, a) -> dict:
 
 
 def cmd_tables(spark, a) -> dict:
-    from qtrail.plans.tables import init_tables
-    created = init_tables(spark, a.db, a.events_root, a.history_root, force=a.force)
-    return {"created": created}
+    from qtrail.plans.tables import KINDS, init_tables, latest_partition, tables_report
+    tables = _tables(a)
+    regions = [r for r in (a.regions or "").split(",") if r]
+    created = init_tables(spark, tables, regions, a.days_back, a.force)
+    report = tables_report(spark, [tables.name(k) for k in KINDS])
+    return {"created": created, "latest_day": latest_partition(spark, tables.folder("events")),
+            "tables": [r.asDict() for r in report.collect()]}
 
 
 REPORTS = ("summary", "queries_per_user_status", "status_breakdown", "queries_per_day", "workgroup_usage",
@@ -121,23 +148,29 @@ def main(argv=None) -> None:
     common.add_argument("--workgroups-filter", default="")
     common.add_argument("--input-bytes", type=int, help="expected input size; sizes shuffle partitions")
     common.add_argument("--total-cores", type=int, default=0, help="cluster cores (default: session parallelism)")
-    e = sub.add_parser("events", parents=[common])
+    catalog = argparse.ArgumentParser(add_help=False)
+    catalog.add_argument("--root", help="base folder of the tables")
+    catalog.add_argument("--table", action="append", metavar="KIND=NAME", help="name of a table, default its kind")
+    catalog.add_argument("--folder", action="append", metavar="KIND=PATH", help="folder of a table, default its kind")
+    catalog.add_argument("--regions", help="comma-separated; default: all there are")
+    e = sub.add_parser("events", parents=[common, catalog])
+    e.add_argument("--db", help="publish through the catalog tables of this database")
     e.add_argument("--trail-root", required=True)
     e.add_argument("--trail-layout", choices=("native", "hive"), default="native")
     e.add_argument("--history-root", required=True)
     e.add_argument("--events-root", required=True)
     e.add_argument("--tiers", help="tag-search JSON dump")
     e.add_argument("--tiers-table", help="(db, tbl, tier) table: .parquet folder, .csv or .json")
-    e.add_argument("--regions")
     e.add_argument("--audit-db", default="default")
     e.add_argument("--cost-per-tb", default=DEFAULT_COST_PER_TB)
     e.add_argument("--force-recreate", action="store_true")
     e.add_argument("--strict-not-in", action="store_true")
     e.add_argument("--keep-null-arn", action="store_true")
-    t = sub.add_parser("tables", parents=[common])
+    t = sub.add_parser("tables", parents=[common, catalog])
     t.add_argument("--db", default="default")
-    t.add_argument("--events-root", required=True)
-    t.add_argument("--history-root", required=True)
+    for kind in ("events", "history", "trail"):
+        t.add_argument(f"--{kind}-root")
+    t.add_argument("--days-back", type=int, default=14)
     t.add_argument("--force", action="store_true")
     h = sub.add_parser("history", parents=[common])
     h.add_argument("--executions", required=True)

@@ -2,17 +2,18 @@
 
 sources -> enrich (pass 1 + pass 2 from one full outer join) -> table
 references -> tier lookup -> min tier per (day, query_id) -> write-back ->
-dynamic partition overwrite of exactly the (region, day) partitions built.
-All regions and days run together; nothing is looped on the driver except
-the tiny list of (region, day) pairs that turned out empty, whose stale
-partitions are removed so a re-run leaves exactly what the inputs say.
+a version folder of its own, published whole (``plans/publish.py``) as exactly
+the (region, day) partitions built. All regions and days run together; the
+driver handles only names of (region, day) partitions, of which those of the
+range that turned out empty are taken away, so a re-run leaves exactly what
+the inputs say.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from qtrail.config import BACKFILL_DAYS_ON_RECREATE, AuditConfig
@@ -20,8 +21,9 @@ from qtrail.functions.calendar import day_back, days_between, yesterday
 from qtrail.operators import classify as CL
 from qtrail.operators import enrich as EN
 from qtrail.operators import reports as R
-from qtrail.plans.tables import delete_partition_dirs
-from qtrail.sources.events import read_events, write_events
+from qtrail.plans import publish as PUB
+from qtrail.schemas import EVENT_COLUMNS, EVENT_PARTITIONS
+from qtrail.sources.events import read_events
 
 
 @dataclass(frozen=True)
@@ -42,36 +44,32 @@ def build_events(trail: DataFrame, history: DataFrame, tiers: DataFrame,
 
 def run_range(spark: SparkSession, trail: DataFrame, history: DataFrame, tiers: DataFrame,
               events_root: str, from_day: str, to_day: str,
-              cfg: AuditConfig = AuditConfig()) -> EventsRun:
+              cfg: AuditConfig = AuditConfig(), table: str | None = None, keep_old: bool = False) -> EventsRun:
     """Rebuild every (region, day) in [from_day, to_day] and replace them in
-    the events table at ``events_root``. Idempotent: re-running gives the
-    same table."""
+    the events at ``events_root``: by moving folders, or, with ``table``, by
+    switching the locations of that catalog table's partitions. Idempotent:
+    re-running gives the same table. A build that fails changes nothing."""
     days = days_between(from_day, to_day)  # raises on a reversed range
     regions = list(cfg.regions) or None
-    # The (region, day) partitions written are observed during the write (at
-    # most regions x days values; a retried task can only re-add members), so
-    # the build runs exactly once and nothing is cached.
-    obs = Observation("events_build")
     out = build_events(trail, history, tiers, cfg, days, regions)
-    write_events(out, events_root, seen=obs)
-    try:
-        pairs = obs.get.get("pairs") or []
-    except Exception:  # noqa: BLE001 -- no task ran (empty input): no metrics row
-        if out.limit(1).count():
-            raise
-        pairs = []
-    built = {(p["region"], p["day"]) for p in pairs}
-    table = read_events(spark, events_root, days, regions).where(F.col("day").isin(*days))
-    present = {(r["region"], r["day"]) for r in table.select("region", "day").distinct().collect()}
-    stale = sorted(present - built)
+    version = PUB.write_version(out.select(*EVENT_COLUMNS), events_root, EVENT_PARTITIONS)
+    built = set(PUB.built_partitions(spark, version, EVENT_PARTITIONS))
+    present = (PUB.registered(spark, table, EVENT_PARTITIONS) if table
+               else set(PUB.built_partitions(spark, events_root.rstrip("/"), EVENT_PARTITIONS)))
+    wanted = set(days)
+    stale = {p for p in present - built if p[1] in wanted and (not regions or p[0] in regions)}
     if stale and not regions:
         # Only regions that the inputs speak for are cleared; inputs that are
         # there but hold nothing clear the requested days of every region.
         spoken = {r["region"] for r in trail.select("region").union(history.select("region")).distinct().collect()}
-        stale = [p for p in stale if not spoken or p[0] in spoken]
-    if stale:  # (region, day) that is empty now but held rows from an earlier run
-        delete_partition_dirs(spark, events_root, stale)
-    row = (read_events(spark, events_root, days).where(F.col("day").isin(*days))
+        stale = {p for p in stale if not spoken or p[0] in spoken}
+    if table:
+        PUB.publish_to_table(spark, version, table, EVENT_PARTITIONS, sorted(stale), keep_old)
+        events = spark.table(table)
+    else:
+        PUB.publish_to_folders(spark, version, events_root, EVENT_PARTITIONS, sorted(stale))
+        events = read_events(spark, events_root, days)
+    row = (events.where(F.col("day").isin(*days))
            .agg(F.count(F.lit(1)).alias("n"), F.count("classification_tier").alias("c")).first())
     return EventsRun(from_day, to_day, int(row["n"]), int(row["c"]))
 

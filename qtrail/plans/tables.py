@@ -1,95 +1,185 @@
-"""Table maintenance (S8-S13, S17): create / check / repair catalog tables
-and drop stale partitions. Catalog statements are plain Spark SQL."""
+"""The catalog side (S9-S13, S17, U2): the four tables, made or made anew from
+one configuration, checked by planning a query on them, and told of the
+partitions there are. Catalog statements are plain Spark SQL; partition names
+come from folder or catalog names, so no data file is opened."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-
-from qtrail.schemas import EVENTS, HISTORY
-
-
-def _ddl(schema, skip=()) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields if f.name not in skip)
-
-
-def table_names(db: str) -> dict[str, str]:
-    return {"events": f"{db}.events", "history": f"{db}.history"}
-
-
-def tables_exist(spark: SparkSession, tables) -> bool:
-    """True only if every table is known to the catalog."""
-    return all(spark.catalog.tableExists(t) for t in tables)
-
-
-def create_tables(spark: SparkSession, db: str, events_root: str, history_root: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
-    names = table_names(db)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {names['events']} ({_ddl(EVENTS)}) USING parquet "
-              f"PARTITIONED BY (region, day) LOCATION '{events_root}'")
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {names['history']} ({_ddl(HISTORY)}) USING json "
-              f"PARTITIONED BY (region, day, workgroup) LOCATION '{history_root}'")
-
-
-def init_tables(spark: SparkSession, db: str, events_root: str, history_root: str,
+import re
+from collections.abc import Iterable
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from qtrail.functions.calendar import day_back
+from qtrail.plans import publish as PUB
+from qtrail.schemas import EVENT_PARTITIONS, EVENTS, HISTORY, HISTORY_PARTITIONS, STAGING, TRAIL_FILE
+from qtrail.sources import folders as FS
+
+KINDS = ("cloud_trail", "history", "events_staging", "events")
+TRAIL_PARTITIONS = ("region", "year", "month", "day")
+
+
+@dataclass(frozen=True)
+class TableSet:
+    """Database, base folder, and for each kind of table its name (default:
+    the kind) and folder (default: the kind, under the base folder)."""
+    db: str = "default"
+    root: str = ""
+    names: dict[str, str] = field(default_factory=dict)
+    folders: dict[str, str] = field(default_factory=dict)
+
+    def __post_init__(self):
+        if unknown := (set(self.names) | set(self.folders)) - set(KINDS):
+            raise ValueError(f"unknown tables {sorted(unknown)}; there are {KINDS}")
+
+    def name(self, kind: str) -> str:
+        return f"`{self.db}`.`{self.names.get(kind, kind)}`"
+
+    def folder(self, kind: str) -> str:
+        place = self.folders.get(kind, kind)
+        return place.rstrip("/") if "/" in place else f"{self.root.rstrip('/')}/{place}"
+
+    @property
+    def trail_files(self) -> str:
+        """The files behind ``cloud_trail``, which is a view of their records."""
+        return f"`{self.db}`.`{self.names.get('cloud_trail', 'cloud_trail')}_files`"
+
+
+def _ddl(schema) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
+# -- tables ------------------------------------------------------------------
+def create_table(spark: SparkSession, tables: TableSet, kind: str) -> None:
+    """Create one table anew over its folder; the data stays."""
+    name, place = tables.name(kind), tables.folder(kind)
+    if kind == "cloud_trail":
+        files = tables.trail_files
+        spark.sql(f"DROP VIEW IF EXISTS {name}")
+        spark.sql(f"DROP TABLE IF EXISTS {files}")
+        parts = ", ".join(f"`{p}` string" for p in TRAIL_PARTITIONS)
+        spark.sql(f"CREATE TABLE {files} ({_ddl(TRAIL_FILE)}, {parts}) USING json OPTIONS (multiLine 'true') "
+                  f"PARTITIONED BY ({', '.join(TRAIL_PARTITIONS)}) LOCATION '{place}'")
+        spark.sql(f"CREATE VIEW {name} AS SELECT r.*, {', '.join(TRAIL_PARTITIONS)} "
+                  f"FROM {files} LATERAL VIEW explode(Records) e AS r")
+        return
+    schema, fmt, keys = {"history": (HISTORY, "json", HISTORY_PARTITIONS), "events": (EVENTS, "parquet", EVENT_PARTITIONS),
+                         "events_staging": (STAGING, "parquet", EVENT_PARTITIONS)}[kind]
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({_ddl(schema)}) USING {fmt} PARTITIONED BY ({', '.join(keys)}) LOCATION '{place}'")
+
+
+def init_tables(spark: SparkSession, tables: TableSet, regions: Iterable[str] = (), days_back: int = 14,
                 force: bool = False) -> bool:
-    """Create the database and tables when any is missing, or drop and
-    re-create all when ``force``; then register existing partitions. Returns
-    True when tables were (re)created. Dropping an external table keeps data."""
-    names = list(table_names(db).values())
-    if not force and tables_exist(spark, names):
+    """Make the database and all four tables if any cannot be planned, or
+    in any case when ``force``d; then register the history, and the events of
+    the last ``days_back`` days of ``regions`` (all days there are if no
+    region is given). Returns True when tables were made."""
+    if not force and tables_exist(spark, [tables.name(k) for k in KINDS]):
         return False
-    for t in names:
-        spark.sql(f"DROP TABLE IF EXISTS {t}")
-    create_tables(spark, db, events_root, history_root)
-    for t in names:
-        repair(spark, t)
+    place = f" LOCATION '{tables.root}'" if tables.root else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{tables.db}`{place}")
+    for kind in KINDS:
+        create_table(spark, tables, kind)
+    repair_history(spark, tables)
+    repair_events(spark, tables, days_back, regions)
     return True
 
 
-def repair(spark: SparkSession, table: str) -> None:
-    """Register the partitions found under the table's location. A
-    location that does not exist yet has none."""
-    where = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").first()
-    if where is not None and folder_exists(spark, where["data_type"]):
-        spark.sql(f"MSCK REPAIR TABLE {table}")
-
-
-def add_partitions(spark: SparkSession, table: str, root: str, days, regions) -> None:
-    """S11 / S12 for named days and regions: registers those whose folder
-    exists, without listing the whole table."""
-    specs = [f"PARTITION (region='{r}', day='{d}')" for r in regions for d in days
-             if folder_exists(spark, f"{root.rstrip('/')}/region={r}/day={d}")]
-    if specs:
-        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {' '.join(specs)}")
+def tables_exist(spark: SparkSession, names: Iterable[str]) -> bool:
+    """True only if one query over all tables can be planned."""
+    query = " UNION ALL ".join(f"(SELECT 1 FROM {n} LIMIT 1)" for n in names)
+    return not query or _planned(spark, query)
+
+
+def _planned(spark: SparkSession, query: str) -> bool:
+    text = spark.sql(f"EXPLAIN {query}").first()[0]
+    return "Physical Plan" in text and "Error occurred during query planning" not in text
+
+
+def tables_report(spark: SparkSession, names: Iterable[str]) -> DataFrame:
+    """``table, planned, location, folder_exists`` of each table, from the
+    catalog and folder names alone. A view has no location."""
+    rows = []
+    for n in names:
+        planned = _planned(spark, f"SELECT 1 FROM {n} LIMIT 1")
+        place = None
+        if planned:
+            described = spark.sql(f"DESCRIBE FORMATTED {n}").collect()
+            place = next((r["data_type"] for r in described if r["col_name"] == "Location"), None)
+        rows.append((n, planned, place or None, FS.exists(spark, place) if place else None))
+    return spark.createDataFrame(rows, "table string, planned boolean, location string, folder_exists boolean")
+
+
+# -- partitions --------------------------------------------------------------
+def repair_history(spark: SparkSession, tables: TableSet) -> None:
+    """Register every history partition there is, drop those gone."""
+    if FS.exists(spark, tables.folder("history")):
+        spark.sql(f"MSCK REPAIR TABLE {tables.name('history')} SYNC PARTITIONS")
+
+
+def event_places(spark: SparkSession, root: str) -> dict[tuple[str, ...], str]:
+    """Folder of each (region, day) of the events: of the newest version that
+    was written whole, else the plain partition folder."""
+    out = PUB.built_partitions(spark, root, EVENT_PARTITIONS)
+    for done in FS.matching(spark, f"{root}/{PUB.VERSIONS}/*/_SUCCESS"):  # names sort by time
+        out |= PUB.built_partitions(spark, done.removesuffix("/_SUCCESS"), EVENT_PARTITIONS)
+    return out
+
+
+def repair_events(spark: SparkSession, tables: TableSet, days_back: int | None = None,
+                  regions: Iterable[str] = ()) -> int:
+    """Register the events of the last ``days_back`` days (to yesterday)
+    of ``regions``; None or no region: of all there are. Returns how many."""
+    wanted, days = set(regions), days_back and {day_back(i) for i in range(1, days_back + 1)}
+    places = {v: p for v, p in event_places(spark, tables.folder("events")).items()
+              if not wanted or (v[0] in wanted and (not days or v[1] in days))}
+    PUB.register(spark, tables.name("events"), EVENT_PARTITIONS, places)
+    return len(places)
+
+
+def add_trail_partitions(spark: SparkSession, tables: TableSet, days: Iterable[str], regions: Iterable[str]) -> int:
+    """Register the delivery folders ``<root>/<region>/YYYY/MM/DD`` of
+    these days and regions that exist, each by its explicit location, without
+    listing the trail. Returns how many."""
+    root, places = tables.folder("cloud_trail"), {}
+    for r in regions:
+        for d in days:
+            path = f"{root}/{r}/{d[:4]}/{d[5:7]}/{d[8:10]}"
+            if FS.exists(spark, path):
+                places[(r, d[:4], d[5:7], d[8:10])] = path
+    PUB.register(spark, tables.trail_files, TRAIL_PARTITIONS, places)
+    return len(places)
 
 
 def drop_partitions(spark: SparkSession, table: str, pairs) -> None:
-    """S8 for a catalog table: drop (region, day) partitions (data included
-    for managed tables, registration only for external ones)."""
-    specs = ", ".join(f"PARTITION (region='{r}', day='{d}')" for r, d in pairs)
-    if specs:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+    """S8 for a catalog table: drop (region, day) partitions (the registration
+    alone: the tables are external)."""
+    PUB.unregister(spark, table, EVENT_PARTITIONS, pairs)
 
 
-def _folder(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+def delete_partition_dirs(spark: SparkSession, root: str, pairs) -> int:
+    """S8 for a table by path: exactly the ``region=r/day=d`` folders."""
+    return FS.delete(spark, [PUB.partition_folder(root, EVENT_PARTITIONS, p) for p in pairs])
 
 
-def folder_exists(spark: SparkSession, path: str) -> bool:
-    p, fs = _folder(spark, path)
-    return fs.exists(p)
+# -- newest day --------------------------------------------------------------
+_DAY = re.compile(r"/day=(\d{4}-\d{2}-\d{2})$")
 
 
-def delete_folders(spark: SparkSession, paths) -> int:
-    """Deletes exactly these folders (no prefix matching); returns how many there were."""
-    removed = 0
-    for path in paths:
-        p, fs = _folder(spark, path)
-        removed += bool(fs.exists(p) and fs.delete(p, True))
-    return removed
+def latest_partition(spark: SparkSession, root: str) -> str | None:
+    """The largest ``day=`` among the folder names right under ``root``,
+    or, if there is none, one level below."""
+    for pattern in ("day=*", "*/day=*"):
+        days = [m.group(1) for p in FS.matching(spark, f"{root.rstrip('/')}/{pattern}") if (m := _DAY.search(p))]
+        if days:
+            return max(days)
+    return None
 
 
-def delete_partition_dirs(spark: SparkSession, root: str, pairs) -> int:
-    """S8 for a path-based table: the ``region=r/day=d`` folders."""
-    return delete_folders(spark, [f"{root.rstrip('/')}/region={r}/day={d}" for r, d in pairs])
+def latest_registered(spark: SparkSession, table: str) -> DataFrame:
+    """S17 for a catalog table: ``latest_day`` from its partition names."""
+    return spark.sql(f"SHOW PARTITIONS {table}").agg(
+        F.max(F.nullif(F.regexp_extract("partition", r"(?:^|/)day=(\d{4}-\d{2}-\d{2})(?:/|$)", 1), F.lit(""))).alias("latest_day"))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from qtrail.schemas import EVENT_COLUMNS, EVENT_PARTITIONS, EVENTS
 from qtrail.sources.trail import empty_or_raise, hive_glob
@@ -26,18 +25,15 @@ def read_events(spark: SparkSession, root: str, days=None, regions=None) -> Data
         raise
 
 
-def write_events(df: DataFrame, root: str, seen=None) -> None:
+def write_events(df: DataFrame, root: str) -> None:
     """Replace exactly the (region, day) partitions present in ``df``; other
     days are left alone. Columns are selected by name in declared order, so
     positional writers can never swap values. The REBALANCE hint lets
     adaptive execution gather each partition's rows into few, evenly sized
     files and split an oversized (region, day) over several tasks, instead of
     every task writing a small file into every partition it holds rows for.
-    ``seen`` (an Observation) takes the (region, day) pairs written; it stands
-    behind the rebalance, where a task holds few of them."""
+    (Builds publish whole versions instead: ``plans/publish.py``.)"""
     out = df.select(*EVENT_COLUMNS).hint("rebalance", *EVENT_PARTITIONS)
-    if seen is not None:
-        out = out.observe(seen, F.collect_set(F.struct(*EVENT_PARTITIONS)).alias("pairs"))
     (out.write.mode("overwrite")
        .option("partitionOverwriteMode", "dynamic")
        .partitionBy(*EVENT_PARTITIONS).parquet(root))

@@ -3,10 +3,10 @@
 
 import json
 
+import pytest
 from pyspark.sql import types as T
 
 from qtrail.operators.ingest import history_rows
-from qtrail.plans import tables as TB
 from qtrail.schemas import EXECUTION
 from qtrail.sources.tiers import tiers_from_tag_dump
 from qtrail.sources.trail import read_trail, trail_glob
@@ -30,29 +30,6 @@ def test_tag_dump(spark, tmp_path):
     assert got == [("hr", "salaries", "tier_1"), ("sales", "orders", "tier_2")]
 
 
-def test_catalog_maintenance(spark, tmp_path):
-    from qtrail.operators import classify as CL, enrich as EN
-    from qtrail.sources.events import write_events
-    from qtrail.sources.tiers import tiers_from_rows
-    from tests.fixtures import history_df, trail_df, trail_row
-    db = "qtrail_test_db"
-    ev_root, h_root = str(tmp_path / "events"), str(tmp_path / "history")
-    ev = CL.classify(EN.staging(trail_df(spark, [trail_row("a"), trail_row("b", day="2024-01-03")]),
-                                history_df(spark, [])), tiers_from_rows(spark, []))
-    write_events(ev, ev_root)
-    names = list(TB.table_names(db).values())
-    assert not TB.tables_exist(spark, names)
-    assert TB.init_tables(spark, db, ev_root, h_root) is True
-    assert TB.tables_exist(spark, names)
-    assert TB.init_tables(spark, db, ev_root, h_root) is False
-    assert spark.table(f"{db}.events").count() == 2
-    TB.drop_partitions(spark, f"{db}.events", [("us-east-1", "2024-01-03")])
-    assert spark.table(f"{db}.events").count() == 1
-    assert TB.init_tables(spark, db, ev_root, h_root, force=True) is True  # re-created, partitions repaired
-    assert spark.table(f"{db}.events").count() == 2
-    spark.sql(f"DROP DATABASE {db} CASCADE")
-
-
 def test_execution_ingest(spark):
     schema = T.StructType(EXECUTION.fields + [T.StructField("region", T.StringType())])
     rows = [
@@ -97,7 +74,10 @@ def test_day_globs_for_hive_tables(spark, tmp_path):
     assert {(r.region, r.day, r.workgroup) for r in h.collect()} == {("eu-west-1", "2024-03-04", "wg2")}
     assert read_history(spark, str(tmp_path / "h"), days=["2030-01-01"]).count() == 0
     assert read_history(spark, str(tmp_path / "h")).count() == 6
+    (tmp_path / "nothing").mkdir()
     assert read_events(spark, str(tmp_path / "nothing"), days=["2024-03-04"]).count() == 0
+    with pytest.raises(FileNotFoundError):  # a mistyped root is not an empty table
+        read_events(spark, str(tmp_path / "typo"), days=["2024-03-04"])
 
 
 def test_tiers_from_table(spark, tmp_path):
