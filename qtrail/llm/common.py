@@ -59,9 +59,13 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield b.slice(at, rows)
 
 
+def utf8(texts: pa.Array) -> list[bytes]:
+    """UTF-8 bytes of texts, null as empty."""
+    return texts.fill_null("").cast(pa.large_binary()).to_pylist()
+
+
 def text_column(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
-    """UTF-8 bytes of a text column, null as empty."""
-    return batch.column(name).fill_null("").cast(pa.large_binary()).to_pylist()
+    return utf8(batch.column(name))
 
 
 # -- word hashing ------------------------------------------------------------

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qtrail.llm.common import BYTE_LOWER, SEGMENT, U64, by_bytes, hash_runs, mix, slices, text_column
+from qtrail.llm.common import BYTE_LOWER, SEGMENT, U64, by_bytes, hash_runs, mix, slices, text_column, utf8
 
 BITS = 18
 BEGINNING = 5  # bytes
@@ -245,13 +245,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, limit: int, key: str = "
 def score_texts(docs: DataFrame, score: Callable[[list[np.ndarray]], dict[str, np.ndarray]], names: list[str],
                 text: str = "text") -> DataFrame:
     """``row`` (a struct of all columns of ``docs``, so that no name clashes)
-    and the double columns ``names`` that ``score`` gives for features."""
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text).alias("_text"))
+    and the double columns ``names`` that ``score`` gives for features. Texts
+    are read from the struct: they cross to Python once."""
+    rows, at = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")), docs.columns.index(text)
     schema = T.StructType([rows.schema["row"], *(T.StructField(n, T.DoubleType()) for n in names)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            got = score(list(features(text_column(b, "_text"))))
+            got = score(list(features(utf8(b.column(0).field(at)))))
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(got[n], pa.float64()) for n in names)],
                                              names=schema.names)
 
