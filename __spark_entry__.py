@@ -23,7 +23,7 @@ from qtrail.operators import grants as G
 from qtrail.operators import monitoring as MON
 from qtrail.operators import reports as R
 from qtrail.operators.ingest import history_rows
-from qtrail.plans.events_job import run_range
+from qtrail.plans.events_job import build_events, run_range
 from qtrail.session import scratch_path
 from qtrail.sources.derived import audit_inputs, derived_grants
 from qtrail.sources.events import read_events, write_events
@@ -46,7 +46,7 @@ def _staging(spark: SparkSession, sf_dir: str, cfg: AuditConfig = AuditConfig())
 
 def _audit(spark: SparkSession, sf_dir: str, cfg: AuditConfig = AuditConfig()) -> DataFrame:
     inp = audit_inputs(spark, sf_dir)
-    return CL.classify(EN.staging(inp.trail, inp.history, cfg), inp.tiers, cfg)
+    return build_events(inp.trail, inp.history, inp.tiers, cfg)
 
 
 def _days_of(df: DataFrame) -> tuple[str, str]:
@@ -134,6 +134,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "events_history_only": _inputs_q(lambda i: EN.history_only(i.trail, i.history)),
         "events_history_only_strict": _inputs_q(lambda i: EN.history_only(i.trail, i.history, strict)),
         "events_enriched": lambda s, d: _staging(s, d),
+        "events_enriched_strict": lambda s, d: _staging(s, d, strict),
         "workgroup_filtered": lambda s, d: _staging(s, d, AuditConfig(workgroups_filter=WG_FILTER)),
         "table_refs": lambda s, d: CL.table_refs(_staging(s, d)),
         "classified_events": lambda s, d: _audit(s, d),
@@ -380,6 +381,7 @@ _FINAL = {
     "events_history_only": "SELECT * FROM hist_only",
     "events_history_only_strict": "SELECT * FROM hist_only_strict",
     "events_enriched": "SELECT * FROM staging",
+    "events_enriched_strict": "SELECT * FROM pass1 UNION ALL SELECT * FROM hist_only_strict",
     "table_refs": "SELECT day, query_id, db, tbl FROM refs",
     "classified_events": "SELECT * FROM audit",
     "tier_counts": f"""

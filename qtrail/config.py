@@ -68,12 +68,9 @@ class AuditConfig:
     strict_not_in: bool = False
     keep_null_arn: bool = False
     tiers_case_insensitive: bool = False
-    # Tier write-back: "window" (default; one shuffle of the enriched rows) or
-    # "join" (min per (day, query_id) as a partially aggregated group-by,
-    # joined back; survives a single query id holding a large share of rows
-    # because AQE splits the hot join partition, at the cost of evaluating the
-    # enriched rows twice unless the caller persists them).
-    tier_writeback: str = "window"
+    # A (region, day, query_id) with more rows than this on one side is joined
+    # by split rows; 0 looks for none.
+    heavy_rows: int = 500_000
 
     @property
     def wg_filter(self) -> str:

@@ -2,15 +2,16 @@
 tier per query (A13), write-back onto every row of that query (J4), and the
 per-tier counts (A14).
 
-Plan shape: regex extraction and ``explode`` run map-side; the tier lookup is
-a plain equi-join whose strategy Spark picks by measured bytes. The write-back
-is a window ``min`` over (day, query_id), so the enriched rows are computed
-once and shuffled once (see ``classify``).
+Plan shape: the wide rows are never exploded, sorted or gathered by key. A
+row's own tier depends only on the set of tables its text names, and there are
+few such sets: they are aggregated, looked up once each, and joined back. Ids
+whose rows differ in tier come from a narrow aggregate; only those are joined
+to the rows again (see ``classify``).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from qtrail.config import AuditConfig
@@ -34,8 +35,7 @@ def table_refs(events: DataFrame, cfg: AuditConfig = AuditConfig(), keys=("day",
 
 
 def _normalised_tiers(tiers: DataFrame, cfg: AuditConfig) -> DataFrame:
-    """One tier per (db, tbl): the lookup is a left join, so a repeated key
-    would duplicate events. A repeated key (or two names that fold together
+    """One tier per (db, tbl): a repeated key (or two names that fold together
     when matching case-insensitively) keeps its most sensitive tier."""
     t = tiers.select("db", "tbl", "tier").where(F.col("tier").isNotNull())
     if cfg.tiers_case_insensitive:
@@ -43,22 +43,14 @@ def _normalised_tiers(tiers: DataFrame, cfg: AuditConfig) -> DataFrame:
     return t.groupBy("db", "tbl").agg(F.min("tier").alias("tier"))
 
 
-def tier_lookup(refs: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfig(),
-                row_cols=("day", "query_id"), how: str = "inner") -> DataFrame:
-    """Join of references with the tier map on (db, tbl) -> ``tier``.
-    ``how="left"`` keeps references without a tier (tier NULL). One plan at
-    every size: Spark broadcasts the map where its measured bytes are under
-    the session's threshold, and else splits the tasks of a hot table (AQE
-    skew join). A row without a table gets a key hashed from ``row_cols``, so
-    such rows do not meet in one task."""
-    t = _normalised_tiers(tiers, cfg).withColumnRenamed("tbl", "_tbl")
+def tier_lookup(refs: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfig()) -> DataFrame:
+    """Join of references with the tier map on (db, tbl) -> ``tier``;
+    references without a tier fall out. One plan at every size: Spark
+    broadcasts the map where its measured bytes are under the session's
+    threshold, and else splits the tasks of a hot table (AQE skew join)."""
     if cfg.tiers_case_insensitive:
         refs = refs.withColumn("db", F.lower("db")).withColumn("tbl", F.lower("tbl"))
-    if how == "left":
-        refs = refs.withColumn("_tbl", X.null_safe_join_key("tbl", "r", row_cols))
-    else:
-        refs = refs.where(F.col("tbl").isNotNull()).withColumn("_tbl", F.col("tbl"))
-    return refs.join(t, ["db", "_tbl"], how).drop("_tbl")
+    return refs.join(_normalised_tiers(tiers, cfg), ["db", "tbl"])
 
 
 def best_tiers(events: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfig()) -> DataFrame:
@@ -67,54 +59,53 @@ def best_tiers(events: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConf
     return hits.groupBy("day", "query_id").agg(F.min("tier").alias("classification_tier"))
 
 
+def named_tables(cfg: AuditConfig = AuditConfig()) -> Column:
+    """The set of (db, tbl) a row's text names, resolved and in one order, so
+    that texts over the same tables have the same value."""
+    fallback = F.coalesce(F.nullif(F.col("database"), F.lit("")), F.lit(cfg.audit_db))
+    return F.array_sort(F.array_distinct(F.transform(table_refs_col("query"), lambda r: F.named_struct(
+        F.lit("db"), F.coalesce(r["db"], fallback), F.lit("tbl"), r["tbl"]))))
+
+
+def set_tiers(rows: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfig()) -> DataFrame:
+    """``_named, _own``: the smallest tier of each set of tables that has one."""
+    sets = rows.where(F.size("_named") > 0).select("_named").distinct()
+    each = sets.select("_named", F.inline("_named"))
+    return tier_lookup(each, tiers, cfg).groupBy("_named").agg(F.min("tier").alias("_own"))
+
+
 def classify(staging: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfig()) -> DataFrame:
     """Staging rows + ``classification_tier``; every row sharing a
     (day, query_id) gets the smallest tier any of those rows' texts reach.
 
-    One pass, one shuffle: each row is exploded into its table references
-    (``posexplode_outer`` keeps rows without any), the tier of each reference
-    is looked up, and ``min(tier)`` is taken over a
-    window partitioned by (day, query_id); then only the first element of
-    every row is kept. Elements after the first carry nothing but the window
-    key and the tier through the shuffle. NULL query ids never share a tier
-    (an id test never matches NULL), so they get per-row window keys hashed
-    from the row itself -- no single task receives them all -- and a NULL tier.
-    """
-    if cfg.tier_writeback == "join":
-        return _classify_by_join(staging, tiers, cfg)
-    fallback = F.coalesce(F.nullif(F.col("database"), F.lit("")), F.lit(cfg.audit_db))
-    x = (staging.withColumn("_kk", X.null_safe_join_key("query_id", "e", staging.columns))
-         .select("*", F.posexplode_outer(table_refs_col("query")).alias("_pos", "_ref")))
-    refs = x.select(
-        *[F.when(F.col("_pos") > 0, F.lit(None)).otherwise(F.col(c)).alias(c)
-          if c not in ("day", "query_id") else F.col(c) for c in staging.columns],
-        "_kk", "_pos",
-        F.coalesce(F.col("_ref.db"), fallback).alias("db"), F.col("_ref.tbl").alias("tbl"))
-    tagged = tier_lookup(refs, tiers, cfg, row_cols=("day", "_kk"), how="left")
-    w = Window.partitionBy("day", "_kk")
-    tier = F.when(F.col("query_id").isNull(), F.lit(None).cast("string")).otherwise(F.min("tier").over(w))
-    out = tagged.withColumn("classification_tier", tier).where(F.col("_pos").isNull() | (F.col("_pos") == 0))
-    return out.select(*EVENT_COLUMNS)
-
-
-def _classify_by_join(staging: DataFrame, tiers: DataFrame, cfg: AuditConfig) -> DataFrame:
-    """Skew-safe write-back: ``best_tiers`` is a group-by with map-side partial
-    aggregation (a hot id collapses to one row per task), and the left join
-    back on (day, key) lets AQE split a hot partition of the enriched side."""
-    best = best_tiers(staging.where(F.col("query_id").isNotNull()), tiers, cfg).select(
-        F.col("day").alias("_bday"), F.col("query_id").alias("_bqid"), "classification_tier")
-    left = staging.withColumn("_k", X.null_safe_join_key("query_id", "e", staging.columns))
-    out = left.join(best, (F.col("day") == F.col("_bday")) & (F.col("_k") == F.col("_bqid")), "left")
-    return out.select(*EVENT_COLUMNS)
+    Three reads of ``staging``, so give it written (``events_job.staged``),
+    not as the plan of the joins: (1) the sets of tables its texts name, a
+    distinct that collapses in each task; (2) ids and own tiers alone, to
+    find the (day, query_id) whose rows differ, also pre-aggregated, so an id
+    with half of all rows costs each task one row; (3) the wide rows, joined
+    to the tiers of the sets and to those few ids. Both joins keep the left
+    side's rows, so Spark broadcasts the small side by its measured size, and
+    beyond that splits a hot key's rows over tasks (AQE). NULL query ids
+    never share a tier (an id test never matches NULL) and get none."""
+    rows = staging.withColumn("_named", named_tables(cfg))
+    own = set_tiers(rows, tiers, cfg)
+    mine = F.when(F.col("query_id").isNotNull(), F.col("_own")).alias("_own")
+    ids = rows.where(F.col("query_id").isNotNull()).select("day", "query_id", "_named").join(own, "_named", "left")
+    differ = (F.min("_own") != F.max("_own")) | ((F.count("_own") > 0) & (F.count("_own") < F.count(F.lit(1))))
+    mixed = (ids.groupBy("day", "query_id").agg(F.min("_own").alias("_best"), differ.alias("_differ"))
+             .where("_differ").select(F.col("day").alias("_bday"), F.col("query_id").alias("_bqid"), "_best"))
+    tagged = rows.join(own, "_named", "left").select(*staging.columns, mine)
+    out = tagged.join(mixed, (F.col("day") == F.col("_bday")) & (F.col("query_id") == F.col("_bqid")), "left")
+    return out.withColumn("classification_tier", F.coalesce("_best", "_own")).select(*EVENT_COLUMNS)
 
 
 def tier_counts(staging: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfig()) -> DataFrame:
     """How many staged records were classified, by the record's own best
-    tier. A record's tier depends only on (query, database), so records are
-    first collapsed to those pairs with a count (map-side combined)."""
-    recs = (staging.where(F.col("query").isNotNull())
-            .groupBy("query", "database").agg(F.count(F.lit(1)).alias("n")))
-    refs = table_refs(recs, cfg, keys=("query", "database", "n"), distinct=False)
-    per_rec = (tier_lookup(refs, tiers, cfg)
-               .groupBy("query", "database", "n").agg(F.min("tier").alias("classification_tier")))
-    return per_rec.groupBy("classification_tier").agg(F.sum("n").alias("classified"))
+    tier. It depends only on the set of tables a record names, so records are
+    first collapsed to those sets with a count (map-side combined); no text is
+    shuffled."""
+    sets = (staging.where(F.col("query").isNotNull()).select(named_tables(cfg).alias("_named"))
+            .where(F.size("_named") > 0).groupBy("_named").agg(F.count(F.lit(1)).alias("n")))
+    per_set = (tier_lookup(sets.select("_named", "n", F.inline("_named")), tiers, cfg)
+               .groupBy("_named", "n").agg(F.min("tier").alias("classification_tier")))
+    return per_set.groupBy("classification_tier").agg(F.sum("n").alias("classified"))

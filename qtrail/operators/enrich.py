@@ -16,6 +16,12 @@ before the shuffle (SQL equality never matches NULL) so that a flood of
 failed starts cannot pile into one reducer; the keys hash the row's own
 columns, so a recomputed task routes every row the same way.
 
+Repeated ids (a replayed trail) can put a large share of the rows on one key,
+and a full outer join cannot be split at run time. ``heavy_keys`` finds such
+keys beforehand with a bounded frequency sketch; in the same join, the rows of
+their larger side are then dealt over ``splits`` numbers and those of the other
+side copied to each, which keeps every pair and adds none (see ``joined``).
+
 ``strict_not_in`` reproduces the null-aware ``NOT IN`` of the original pass 2
 for every (region, day): a start record with a NULL id in that region/day
 empties pass 2 there, and a NULL history id survives only where the day has
@@ -26,6 +32,8 @@ its real size is known.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -70,24 +78,97 @@ def _strict_flags(starts: DataFrame) -> DataFrame:
 
 
 def _strict_history(history: DataFrame, starts: DataFrame) -> DataFrame:
+    """``history`` with ``_may_stand_alone``: what NOT IN leaves of it."""
+    alone = F.col("_null_ids").isNull() | ((F.col("_null_ids") == 0) & F.col("query_id").isNotNull())
     return (history.join(_strict_flags(starts), ["region", "day"], "left")
-            .where(F.col("_null_ids").isNull()
-                   | ((F.col("_null_ids") == 0) & F.col("query_id").isNotNull())).drop("_null_ids"))
+            .withColumn("_may_stand_alone", alone).drop("_null_ids"))
+
+
+# At most so many keys are joined apart: any other has a smaller share of its
+# side's rows than one in HEAVY_KEYS, or than the sketch's error.
+HEAVY_KEYS = 64
+SKETCHED_KEYS = 10_000
+MOST_SPLITS = 1024
+
+
+@dataclass(frozen=True)
+class HeavyKeys:
+    """Keys whose trail rows, or whose history rows, are dealt over ``splits``
+    numbers. No key is in both."""
+    trail: tuple[str, ...] = ()
+    history: tuple[str, ...] = ()
+    splits: int = 1
+
+
+def _whole_key() -> Column:
+    return F.concat_ws("\u0000", "region", "day", "query_id")
+
+
+def heavy_keys(trail: DataFrame, history: DataFrame, cfg: AuditConfig = AuditConfig(), days=None,
+               regions=None) -> HeavyKeys:
+    """Keys with over ``cfg.heavy_rows`` rows on one side. One narrow pass
+    over the ids of both inputs; each task keeps a sketch of
+    ``SKETCHED_KEYS`` counters, and ``HEAVY_KEYS`` keys reach the driver. A
+    key returned does occur on that side; a count is good to a few
+    ten-thousandths of the rows, which only matters to what is split."""
+    if not cfg.heavy_rows:
+        return HeavyKeys()
+    starts = (trail.where(P.all_of(P.start_query_only(), P.in_days(days), P.in_regions(regions)))
+              .select("region", "day", X.trail_query_id().alias("query_id")))
+    rows = history.where(P.all_of(P.in_days(days), P.in_regions(regions))).select("region", "day", "query_id")
+
+    def heaviest(ids: DataFrame) -> dict[str, int]:
+        top = F.expr(f"approx_top_k(_key, {HEAVY_KEYS}, {SKETCHED_KEYS})")
+        found = ids.where(F.col("query_id").isNotNull()).select(_whole_key().alias("_key")).agg(top.alias("t")).first()["t"]
+        return {x["item"]: x["count"] for x in found or [] if x["count"] > cfg.heavy_rows}
+
+    t, h = heaviest(starts), heaviest(rows)
+    most = max([*t.values(), *h.values()], default=0)
+    return HeavyKeys(tuple(k for k in t if t[k] >= h.get(k, 0)), tuple(k for k in h if h[k] > t.get(k, 0)),
+                     min(MOST_SPLITS, max(2, -(-most // cfg.heavy_rows))) if most else 1)
+
+
+def _dealt(rows: DataFrame, split: tuple[str, ...], copied: tuple[str, ...], splits: int) -> DataFrame:
+    """``rows`` with ``_split``: rows of ``split`` keys in turn 0 to
+    ``splits`` - 1 (by their place in the input, which a retried task finds
+    again), rows of ``copied`` keys once for each, all others 0; ``_copied``
+    marks the copies."""
+    key = _whole_key()
+    copy = key.isin(*copied) if copied else F.lit(False)
+    turn = F.pmod(F.monotonically_increasing_id(), F.lit(splits)).cast("int") if split else F.lit(0)
+    numbers = F.when(F.coalesce(copy, F.lit(False)), F.sequence(F.lit(0), F.lit(splits - 1))).otherwise(
+        F.array(F.when(key.isin(*split), F.col("_turn")).otherwise(F.lit(0)) if split else F.lit(0)))
+    return (rows.withColumn("_turn", turn)
+            .withColumns({"_copied": F.coalesce(copy, F.lit(False)), "_split": F.explode(numbers)}).drop("_turn"))
 
 
 def joined(trail: DataFrame, history: DataFrame, cfg: AuditConfig = AuditConfig(),
-           days=None, regions=None) -> DataFrame:
+           days=None, regions=None, heavy: HeavyKeys = HeavyKeys()) -> DataFrame:
     """Full outer join of starts and history; columns in staging order plus a
-    boolean ``from_trail`` (True = pass 1, False = history-only pass 2)."""
+    boolean ``from_trail`` (True = pass 1, False = history-only pass 2).
+
+    With ``heavy`` keys the join is on the split number as well. A key whose
+    trail rows are split occurs in the trail, so its history rows, copied to
+    each split, are claimed: copies that meet no trail row in their split are
+    no history-only rows and go. A key whose history rows are split occurs in
+    the history, so a copied trail row has its history rows elsewhere: copies
+    that meet none go. Every pair meets in exactly one split."""
     s = trail_starts(trail, days, regions, cfg.keep_null_arn)
     h = history_rows(history, days, regions)
     if cfg.strict_not_in:
         h = _strict_history(h, s)
     s = s.withColumn("_k", X.null_safe_join_key("query_id", "s", s.columns))
     h = h.withColumn("_k", X.null_safe_join_key("query_id", "h", h.columns))
+    split = bool(heavy.trail or heavy.history)
+    if split:
+        s = _dealt(s, heavy.trail, heavy.history, heavy.splits)
+        h = _dealt(h, heavy.history, heavy.trail, heavy.splits)
     s, h = s.alias("s"), h.alias("h")
-    j = s.join(h, (F.col("s.region") == F.col("h.region")) & (F.col("s.day") == F.col("h.day"))
-               & (F.col("s._k") == F.col("h._k")), "full_outer")
+    same = [F.col(f"s.{c}") == F.col(f"h.{c}") for c in ("region", "day", "_k", *(["_split"] if split else []))]
+    j = s.join(h, same, "full_outer")
+    if split:
+        alone = F.col("h._k").isNull() & F.col("s._copied") | F.col("s._k").isNull() & F.col("h._copied")
+        j = j.where(~F.coalesce(alone, F.lit(False)))
 
     t = F.col("s._k").isNotNull()  # the row has a trail side -> pass 1
 
@@ -98,7 +179,7 @@ def joined(trail: DataFrame, history: DataFrame, cfg: AuditConfig = AuditConfig(
     scanned = X.bytes_or_zero("h.data_scanned")
     keep1 = P.all_of(t, P.exclude_self("s.user_identity_arn", cfg.keep_null_arn),
                      P.workgroup_contains("s.workgroup", cfg.wg_filter), text.isNotNull())
-    keep2 = P.all_of(~t, F.col("h.query").isNotNull(),
+    keep2 = P.all_of(~t, F.col("h.query").isNotNull(), F.col("h._may_stand_alone") if cfg.strict_not_in else None,
                      P.workgroup_contains("h.workgroup", cfg.wg_filter))
     cols = {
         "query_id": trail_or("query_id", F.col("h.query_id")),
@@ -125,9 +206,9 @@ def joined(trail: DataFrame, history: DataFrame, cfg: AuditConfig = AuditConfig(
 
 
 def staging(trail: DataFrame, history: DataFrame, cfg: AuditConfig = AuditConfig(),
-            days=None, regions=None) -> DataFrame:
+            days=None, regions=None, heavy: HeavyKeys = HeavyKeys()) -> DataFrame:
     """Pass 1 UNION ALL pass 2, in declared column order."""
-    return joined(trail, history, cfg, days, regions).drop("from_trail")
+    return joined(trail, history, cfg, days, regions, heavy).drop("from_trail")
 
 
 def pass1(trail: DataFrame, history: DataFrame, cfg: AuditConfig = AuditConfig(),
@@ -146,7 +227,7 @@ def history_only(trail: DataFrame, history: DataFrame, cfg: AuditConfig = AuditC
               .select("region", "day", X.trail_query_id().alias("query_id")))
     h = history_rows(history, days, regions)
     if cfg.strict_not_in:
-        h = _strict_history(h, starts)
+        h = _strict_history(h, starts).where("_may_stand_alone").drop("_may_stand_alone")
     h = h.where(P.all_of(F.col("query").isNotNull(), P.workgroup_contains("workgroup", cfg.wg_filter)))
     h = h.withColumn("_k", X.null_safe_join_key("query_id", "h", h.columns))
     claimed = starts.where(F.col("query_id").isNotNull()).withColumnRenamed("query_id", "_k")

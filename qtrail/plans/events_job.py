@@ -1,8 +1,7 @@
 """Build the enriched, classified events for a day range in ONE job.
 
-sources -> enrich (pass 1 + pass 2 from one full outer join) -> table
-references -> tier lookup -> min tier per (day, query_id) -> write-back ->
-a version folder of its own, published whole (``plans/publish.py``) as exactly
+sources -> enrich (pass 1 + pass 2 from one full outer join) -> staging, written
+once (S7) -> tiers of the tables named -> write-back -> a version folder of its own, published whole (``plans/publish.py``) as exactly
 the (region, day) partitions built. All regions and days run together; the
 driver handles only names of (region, day) partitions, of which those of the
 range that turned out empty are taken away, so a re-run leaves exactly what
@@ -22,7 +21,9 @@ from qtrail.operators import classify as CL
 from qtrail.operators import enrich as EN
 from qtrail.operators import reports as R
 from qtrail.plans import publish as PUB
-from qtrail.schemas import EVENT_COLUMNS, EVENT_PARTITIONS
+from qtrail.schemas import EVENT_COLUMNS, EVENT_PARTITIONS, STAGING
+from qtrail.session import scratch_path
+from qtrail.sources import folders as FS
 from qtrail.sources.events import read_events
 
 
@@ -34,12 +35,22 @@ class EventsRun:
     classified: int
 
 
-def build_events(trail: DataFrame, history: DataFrame, tiers: DataFrame,
-                 cfg: AuditConfig = AuditConfig(), days=None, regions=None) -> DataFrame:
-    """The events of the given days/regions as a DataFrame (no write)."""
+def staged(staging: DataFrame, folder: str | None = None) -> DataFrame:
+    """The enriched rows, written once (default: under the checkpoint
+    folder) and read back, for classification reads them three times."""
+    spark = staging.sparkSession
+    folder = folder or scratch_path(spark, "staging")
+    staging.write.mode("error").parquet(folder)
+    return spark.read.schema(STAGING).parquet(folder)
+
+
+def build_events(trail: DataFrame, history: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfig(),
+                 days=None, regions=None, staging_folder: str | None = None) -> DataFrame:
+    """The events of the given days/regions as a DataFrame; looks for heavy
+    ids and writes the staging."""
     regions = regions or (list(cfg.regions) or None)
-    staged = EN.staging(trail, history, cfg, days, regions)
-    return CL.classify(staged, tiers, cfg)
+    heavy = EN.heavy_keys(trail, history, cfg, days, regions)
+    return CL.classify(staged(EN.staging(trail, history, cfg, days, regions, heavy), staging_folder), tiers, cfg)
 
 
 def run_range(spark: SparkSession, trail: DataFrame, history: DataFrame, tiers: DataFrame,
@@ -51,8 +62,11 @@ def run_range(spark: SparkSession, trail: DataFrame, history: DataFrame, tiers:
     re-running gives the same table. A build that fails changes nothing."""
     days = days_between(from_day, to_day)  # raises on a reversed range
     regions = list(cfg.regions) or None
-    out = build_events(trail, history, tiers, cfg, days, regions)
-    version = PUB.write_version(out.select(*EVENT_COLUMNS), events_root, EVENT_PARTITIONS)
+    run = PUB.new_run()
+    staging = PUB.version_folder(events_root, f"{run}-staging")
+    out = build_events(trail, history, tiers, cfg, days, regions, staging)
+    version = PUB.write_version(out.select(*EVENT_COLUMNS), events_root, EVENT_PARTITIONS, run=run)
+    FS.delete(spark, [staging])
     built = set(PUB.built_partitions(spark, version, EVENT_PARTITIONS))
     present = (PUB.registered(spark, table, EVENT_PARTITIONS) if table
                else set(PUB.built_partitions(spark, events_root.rstrip("/"), EVENT_PARTITIONS)))

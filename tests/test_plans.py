@@ -56,12 +56,32 @@ def test_reports_read_only_needed_columns(spark, tmp_path, sf_small):
     assert "query" not in schema and "workgroup" in schema and "cost" in schema
 
 
-def test_events_build_has_no_python_and_three_big_exchanges(spark, sf_small):
+def test_events_build_has_no_python_and_shuffles_wide_rows_once(spark, sf_small):
+    from qtrail.plans.events_job import staged
     inp = audit_inputs(spark, sf_small)
-    p = plan(CL.classify(EN.staging(inp.trail, inp.history), inp.tiers))
-    for py in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas"):
-        assert py not in p
-    hashed = [l for l in p.splitlines() if "Exchange hashpartitioning" in l and "db#" not in l]
-    # trail starts, history (region, day, key) and the tier window (day, key)
-    assert len(hashed) == 3, hashed
-    assert sum("hashpartitioning(day#" in l for l in hashed) == 1
+    joins = EN.staging(inp.trail, inp.history)
+    out = CL.classify(staged(joins), inp.tiers)
+    p = plan(out)
+    for word in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "Window", "posexplode"):
+        assert word not in p and word not in plan(joins)
+    hashed = [l for l in plan(joins).splitlines() if "Exchange hashpartitioning" in l]
+    assert len(hashed) == 2  # trail starts and history on (region, day, key)
+    # After the staging, exchanges carry sets of tables or (day, id): the wide rows stay where they are read.
+    wide = [n for n in p.split("Exchange hashpartitioning")[1:] if "state_change_reason" in n.split("Exchange")[0].split("FileScan")[0]]
+    assert not wide
+
+
+def test_a_frequent_id_needs_no_window_or_sort(spark):
+    """Half of the rows under one id: classified as a plain statement says."""
+    from qtrail.sources.tiers import tiers_from_rows
+    from tests.fixtures import history_df, trail_df, trail_row
+    rows = [trail_row("hot" if n % 2 else f"q{n}", text=f"SELECT * FROM t{n % 5}", region=f"r{n % 3}") for n in range(400)]
+    tiers = tiers_from_rows(spark, [("db", "t1", "tier_2"), ("db", "t3", "tier_1")])
+    out = CL.classify(EN.staging(trail_df(spark, rows), history_df(spark, [])), tiers)
+    got = {(r.query_id, r.query, r.classification_tier) for r in out.collect()}
+    own = {"SELECT * FROM t1": "tier_2", "SELECT * FROM t3": "tier_1"}
+    want = {("hot", f"SELECT * FROM t{n % 5}", "tier_1") for n in range(1, 400, 2)}
+    want |= {(f"q{n}", f"SELECT * FROM t{n % 5}", own.get(f"SELECT * FROM t{n % 5}")) for n in range(0, 400, 2)}
+    assert got == want
+    p = plan(out)
+    assert "Window" not in p and "SortMergeJoin" not in p.split("AdaptiveSparkPlan")[0]

@@ -226,19 +226,3 @@ def test_t23_force_recreate_range_ignores_day():
     assert range_for(False, "2020-01-01") == ("2020-01-01", "2020-01-01")
     assert range_for(False) == (yesterday(), yesterday())
     assert day_back(1, date(2024, 3, 1)) == "2024-02-29"
-
-
-def test_join_writeback_equals_window(spark, sf_small):
-    from qtrail.sources.derived import audit_inputs
-    inp = audit_inputs(spark, sf_small)
-    st = EN.staging(inp.trail, inp.history)
-    a = sorted(map(tuple, CL.classify(st, inp.tiers).collect()), key=str)
-    b = sorted(map(tuple, CL.classify(st, inp.tiers, AuditConfig(tier_writeback="join")).collect()), key=str)
-    assert a == b
-    t = trail_df(spark, [trail_row("a", text="SELECT * FROM t1"), trail_row("a", text="SELECT * FROM t2",
-                                                                             region="eu-west-1"),
-                         trail_row(None, text="SELECT * FROM t2", with_response=False)])
-    got = sorted((r.query_id or "", r.classification_tier) for r in
-                 CL.classify(EN.staging(t, history_df(spark, [])), _tiers(spark),
-                             AuditConfig(tier_writeback="join")).collect())
-    assert got == [("", None), ("a", "tier_1"), ("a", "tier_1")]
