@@ -48,7 +48,8 @@ def cmd_events(spark, a) -> dict:
     from qtrail.plans.events_job import range_for, run_range
     from qtrail.sources.history import read_history
     from qtrail.sources.tiers import tiers_from_rows, tiers_from_table, tiers_from_tag_dump
-    from qtrail.sources.trail import read_trail
+    from qtrail.plans.publish import new_run
+    from qtrail.sources.trail import read_trail, set_aside
     from qtrail.functions.calendar import days_between
     from qtrail.plans.tables import add_trail_partitions, init_tables
     cfg = _cfg(a)
@@ -64,6 +65,10 @@ def cmd_events(spark, a) -> dict:
         init_tables(spark, tables, cfg.regions, force=a.force_recreate)
         if a.trail_layout == "native":
             add_trail_partitions(spark, tables, days, cfg.regions)
+    aside = {}
+    if a.quarantine:
+        target = f"{a.quarantine.rstrip('/')}/{new_run()}"
+        aside["unreadable"] = set_aside(spark, a.trail_root, target, days, regions, a.trail_layout, a.max_bad)
     trail = read_trail(spark, a.trail_root, days, regions, layout=a.trail_layout)
     hist = read_history(spark, a.history_root, days, regions)
     if a.tiers:
@@ -73,7 +78,7 @@ def cmd_events(spark, a) -> dict:
     else:  # no tier map: every event keeps a NULL tier
         tiers = tiers_from_rows(spark, [])
     run = run_range(spark, trail, hist, tiers, a.events_root, lo, hi, cfg, tables and tables.name("events"))
-    return {"from_day": run.from_day, "to_day": run.to_day, "events": run.events, "classified": run.classified}
+    return {"from_day": run.from_day, "to_day": run.to_day, "events": run.events, "classified": run.classified} | aside
 
 
 def cmd_history(spark, a) -> dict:
@@ -157,6 +162,8 @@ def main(argv=None) -> None:
     e.add_argument("--db", help="publish through the catalog tables of this database")
     e.add_argument("--trail-root", required=True)
     e.add_argument("--trail-layout", choices=("native", "hive"), default="native")
+    e.add_argument("--quarantine", help="write unreadable parts of trail files under this folder, and count them")
+    e.add_argument("--max-bad", type=int, help="fail before the build if there are more of them")
     e.add_argument("--history-root", required=True)
     e.add_argument("--events-root", required=True)
     e.add_argument("--tiers", help="tag-search JSON dump")

@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from qtrail.functions.calendar import day_back
 from qtrail.plans import publish as PUB
-from qtrail.schemas import EVENT_PARTITIONS, EVENTS, HISTORY, HISTORY_PARTITIONS, STAGING, TRAIL_FILE
+from qtrail.schemas import EVENT_PARTITIONS, EVENTS, HISTORY, HISTORY_PARTITIONS, STAGING
 from qtrail.sources import folders as FS
+from qtrail.sources import trail as TRAIL
 
 KINDS = ("cloud_trail", "history", "events_staging", "events")
 TRAIL_PARTITIONS = ("region", "year", "month", "day")
@@ -60,10 +61,12 @@ def create_table(spark: SparkSession, tables: TableSet, kind: str) -> None:
         spark.sql(f"DROP VIEW IF EXISTS {name}")
         spark.sql(f"DROP TABLE IF EXISTS {files}")
         parts = ", ".join(f"`{p}` string" for p in TRAIL_PARTITIONS)
-        spark.sql(f"CREATE TABLE {files} ({_ddl(TRAIL_FILE)}, {parts}) USING json OPTIONS (multiLine 'true') "
-                  f"PARTITIONED BY ({', '.join(TRAIL_PARTITIONS)}) LOCATION '{place}'")
-        spark.sql(f"CREATE VIEW {name} AS SELECT r.*, {', '.join(TRAIL_PARTITIONS)} "
-                  f"FROM {files} LATERAL VIEW explode(Records) e AS r")
+        keys = ", ".join(TRAIL_PARTITIONS)
+        spark.sql(f"CREATE TABLE {files} (value string, {parts}) USING text OPTIONS (wholetext 'true') "
+                  f"PARTITIONED BY ({keys}) LOCATION '{place}'")
+        spark.sql(f"CREATE VIEW {name} AS SELECT r.*, {keys} FROM (SELECT explode({TRAIL.RECORDS_SQL}) AS r, {keys} FROM ("
+                  f"SELECT {TRAIL.USED_SQL} AS used, {keys} FROM (SELECT *, {TRAIL.WHOLE_SQL} AS whole FROM ("
+                  f"SELECT *, {TRAIL.PARTS_SQL} AS parts FROM {files}))))")
         return
     schema, fmt, keys = {"history": (HISTORY, "json", HISTORY_PARTITIONS), "events": (EVENTS, "parquet", EVENT_PARTITIONS),
                          "events_staging": (STAGING, "parquet", EVENT_PARTITIONS)}[kind]

@@ -1,13 +1,21 @@
 """Audit-trail JSON files -> one row per record.
 
-Files hold JSON objects ``{"Records": [...]}`` (one per line, optionally
-gzip-compressed), laid out as ``<root>/<region>/<YYYY>/<MM>/<DD>/<file>``
-(the delivery layout) or the Hive-style equivalent
+Files hold ``{"Records": [...]}`` objects (one, or several, on lines of their
+own or pretty-printed; optionally gzip-compressed), laid out as
+``<root>/<region>/<YYYY>/<MM>/<DD>/<file>`` (the delivery layout) or the
+Hive-style equivalent
 ``<root>/region=<r>/year=<YYYY>/month=<MM>/day=<DD>/<file>``. Region and day
 come from the file path (``_metadata.file_path``), never from ``eventTime``.
 
 Only the requested (region, day) folders are listed: the reader builds one
 brace-glob over them instead of listing the whole trail root.
+
+A file is read as one text (delivered files are small, and compressed ones
+cannot be split anyway) and cut before each line that begins with ``{``; a
+part that cannot be parsed, or holds no records, is what ``trail_quarantine``
+returns, with its raw text. Where the first part is broken and the whole file
+is not, the cut was wrong (nested braces without indentation) and the whole
+file counts. Records beside a broken part are kept.
 """
 
 from __future__ import annotations
@@ -67,23 +75,74 @@ def empty_or_raise(spark: SparkSession, root: str, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def read_trail(spark: SparkSession, root: str, days=None, regions=None, layout: str = "native",
-               multiline: bool = False) -> DataFrame:
-    """Trail records with ``region`` and ``day`` ('YYYY-MM-DD') columns."""
+_FILE = (", ".join(f"{f.name} {f.dataType.simpleString()}" for f in TRAIL_FILE.fields) + ", _corrupt string")
+
+
+def _parsed(text: str) -> str:
+    return f"from_json({text}, '{_FILE}', map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '_corrupt'))"
+
+
+# Steps from a file's text ``value`` to its parts (text, file), as SQL: the
+# catalog's view of the trail is made of the same.
+PARTS_SQL = ("transform(filter(split(value, '[\r]?\n(?=[{])'), c -> c RLIKE '[^ \\t\\r\\n]'), "
+             f"c -> named_struct('text', c, 'file', {_parsed('c')}))")
+WHOLE_SQL = f"CASE WHEN size(parts) > 1 AND parts[0].file._corrupt IS NOT NULL THEN {_parsed('value')} END"
+USED_SQL = ("CASE WHEN whole._corrupt IS NULL AND whole.Records IS NOT NULL "
+            "THEN array(named_struct('text', value, 'file', whole)) ELSE parts END")
+RECORDS_SQL = "filter(flatten(transform(used, p -> coalesce(p.file.Records, array()))), r -> r IS NOT NULL)"
+
+
+class BadTrailParts(ValueError):
+    """More parts of trail files than allowed could not be read."""
+
+
+def trail_files(spark: SparkSession, root: str, days=None, regions=None, layout: str = "native") -> DataFrame:
+    """``file, region, day, used``: one row per file with its parsed parts."""
+    schema = "file string, region string, day string, used array<struct<text: string, file: struct<%s>>>" % _FILE
     path = trail_glob(root, days, regions, layout)
     try:
-        raw = (spark.read.schema(TRAIL_FILE).option("multiLine", multiline)
-               .option("mode", "PERMISSIVE").json(path))
+        raw = spark.read.text(path, wholetext=True)
     except AnalysisException as e:  # no folder matched: an empty day is not an error
         if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e):
-            return empty_or_raise(spark, root, TRAIL)
+            return empty_or_raise(spark, root, schema)
         raise
     p = F.col("_metadata.file_path")
-    rec = raw.select(F.explode("Records").alias("r"), p.alias("_p"))
-    day = F.concat_ws("-", *[F.regexp_extract("_p", _PATH_RE, i) for i in (2, 3, 4)])
-    out = rec.select(*[F.col(f"r.{f.name}").alias(f.name) for f in TRAIL_RECORD.fields],
-                     F.regexp_extract("_p", _PATH_RE, 1).alias("region"), day.alias("day"))
-    return out
+    day = F.concat_ws("-", *[F.regexp_extract(p, _PATH_RE, i) for i in (2, 3, 4)])
+    parts = raw.select(p.alias("file"), F.regexp_extract(p, _PATH_RE, 1).alias("region"), day.alias("day"), "value",
+                       F.expr(PARTS_SQL).alias("parts"))
+    return (parts.withColumn("whole", F.expr(WHOLE_SQL)).withColumn("used", F.expr(USED_SQL))
+            .select("file", "region", "day", "used"))
+
+
+def read_trail(spark: SparkSession, root: str, days=None, regions=None, layout: str = "native") -> DataFrame:
+    """Trail records with ``region`` and ``day`` ('YYYY-MM-DD') columns."""
+    files = trail_files(spark, root, days, regions, layout)
+    rec = files.select("region", "day", F.explode(F.expr(RECORDS_SQL)).alias("r"))
+    return rec.select(*[F.col(f"r.{f.name}").alias(f.name) for f in TRAIL_RECORD.fields], "region", "day")
+
+
+def trail_quarantine(spark: SparkSession, root: str, days=None, regions=None, layout: str = "native") -> DataFrame:
+    """``file, region, day, part, reason, text`` of the parts that do not
+    parse (``corrupt``) or hold no ``Records`` (``no_records``)."""
+    files = trail_files(spark, root, days, regions, layout)
+    part = files.select("file", "region", "day", F.posexplode("used").alias("part", "p"))
+    reason = (F.when(F.col("p.file._corrupt").isNotNull() | F.col("p.file").isNull(), F.lit("corrupt"))
+              .when(F.col("p.file.Records").isNull(), F.lit("no_records")))
+    return (part.withColumn("reason", reason).where(F.col("reason").isNotNull())
+            .select("file", "region", "day", "part", "reason", F.col("p.text").alias("text")))
+
+
+def set_aside(spark: SparkSession, root: str, target: str, days=None, regions=None, layout: str = "native",
+              most: int | None = None) -> int:
+    """Write the quarantine of these days to a new folder ``target`` and
+    return its rows; more than ``most`` of them fail the job."""
+    trail_quarantine(spark, root, days, regions, layout).write.mode("error").option("compression", "gzip").json(target)
+    kept = spark.read.schema("file string, reason string").json(target)
+    n = kept.count()
+    if most is not None and n > most:
+        sample = [f"{r['file']} ({r['reason']})" for r in kept.orderBy("file").limit(5).collect()]
+        raise BadTrailParts(f"{n} unreadable parts of trail files, {most} allowed; see {target}: {', '.join(sample)}")
+    return n
 
 
 def write_trail(df: DataFrame, root: str, mode: str = "overwrite", compression: str = "gzip") -> None:
