@@ -9,7 +9,9 @@ key, the reports included, runs the build over them on each call.
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date
 from importlib.util import find_spec
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,13 +25,16 @@ from qtrail.operators import grants as G
 from qtrail.operators import monitoring as MON
 from qtrail.operators import reports as R
 from qtrail.operators.ingest import history_rows
+from qtrail.plans import tables as TB
 from qtrail.plans.events_job import build_events, run_range
+from qtrail.plans.history_job import build_history
 from qtrail.session import scratch_path
 from qtrail.sources.derived import audit_inputs, derived_grants
 from qtrail.sources.events import read_events, write_events
 from qtrail.sources.executions import derived_executions
 from qtrail.sources.history import read_history, write_history
-from qtrail.sources.trail import read_trail, write_trail
+from qtrail.sources.tiers import derived_tag_dump, tiers_from_tag_dump
+from qtrail.sources.trail import read_trail, trail_quarantine, write_trail, write_trail_delivery
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 # The range of the reports, the same in both engines.
@@ -104,6 +109,127 @@ def _backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_events(spark, root)
 
 
+# Days and region that the maintenance queries choose.
+ONE_DAY, GONE_DAY, DROPPED_DAY, ONE_REGION = "2024-01-05", "2024-01-10", "2024-01-25", "us-east-1"
+REPAIR_AS_OF, REPAIR_BACK = date(2024, 1, 31), 10
+DELIVERED_DAYS = ("2024-01-08", "2024-01-09")
+SEARCHED = {"user": "user18", "workgroup": "wg-2", "status": "SUCCEEDED"}
+ADHOC = ("SELECT region, status, COUNT(*) AS cnt, CAST(SUM(data_scanned) AS BIGINT) AS bytes FROM events "
+         "WHERE classification_tier = 'tier_1' GROUP BY region, status")
+
+
+def _range_of(inp) -> tuple[str, str]:
+    return _days_of(inp.trail.select("day").union(inp.history.select("day")))
+
+
+def _catalog(spark: SparkSession) -> TB.TableSet:
+    """Tables of a database of their own, over a scratch folder."""
+    tables = TB.TableSet(f"qtrail_{uuid4().hex[:12]}", scratch_path(spark, "catalog"), {"events": "audit_events"})
+    TB.init_tables(spark, tables)
+    return tables
+
+
+def _catalog_build(spark: SparkSession, sf_dir: str, tables: TB.TableSet) -> None:
+    inp = audit_inputs(spark, sf_dir)
+    lo, hi = _range_of(inp)
+    # Twice: the second build switches every location of the first.
+    for _ in range(2):
+        run_range(spark, inp.trail, inp.history, inp.tiers, tables.folder("events"), lo, hi, table=tables.name("events"))
+
+
+def _events_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _catalog(spark)
+    _catalog_build(spark, sf_dir, tables)
+    return spark.table(tables.name("events"))
+
+
+def _catalog_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every table of a built catalog, planned and counted, after it was made
+    anew and its partitions registered from folder names."""
+    tables = _catalog(spark)
+    inp = audit_inputs(spark, sf_dir)
+    lo, hi = _range_of(inp)
+    write_history(inp.history, tables.folder("history"))
+    write_trail_delivery(inp.trail, tables.folder("cloud_trail"))
+    run_range(spark, inp.trail, inp.history, inp.tiers, tables.folder("events"), lo, hi)
+    TB.init_tables(spark, tables, force=True)
+    TB.add_trail_partitions(spark, tables, days_between(lo, hi), ["us-east-1", "eu-west-1"])
+    kinds = {tables.name(k): k for k in TB.KINDS}
+    counts = None
+    for name, kind in kinds.items():
+        n = spark.table(name).agg(F.lit(name).alias("table"), F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("rows"))
+        counts = n if counts is None else counts.unionByName(n)
+    report = TB.tables_report(spark, [*kinds, f"{tables.db}.absent"])
+    return report.join(counts, "table", "left").select(F.coalesce("kind", F.lit("absent")).alias("kind"), "planned", "rows")
+
+
+def _events_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written by path, registered for some days of a region, one day dropped."""
+    tables = _catalog(spark)
+    write_events(_audit(spark, sf_dir), tables.folder("events"))
+    TB.repair_events(spark, tables, REPAIR_BACK, [ONE_REGION], REPAIR_AS_OF)
+    TB.drop_partitions(spark, tables.name("events"), [(ONE_REGION, DROPPED_DAY)])
+    return spark.table(tables.name("events"))
+
+
+def _backfill_shrunk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second build, from inputs without a day, takes that day's partitions away."""
+    inp = audit_inputs(spark, sf_dir)
+    root = scratch_path(spark, "events")
+    lo, hi = _range_of(inp)
+    run_range(spark, inp.trail, inp.history, inp.tiers, root, lo, hi)
+    left = F.col("day") != GONE_DAY
+    run_range(spark, inp.trail.where(left), inp.history.where(left), inp.tiers, root, lo, hi)
+    return read_events(spark, root)
+
+
+def _trail_delivered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Delivery layout, many records per object, two of the days read back."""
+    inp = audit_inputs(spark, sf_dir)
+    root = scratch_path(spark, "delivery")
+    write_trail_delivery(inp.trail, root)
+    return EN.staging(read_trail(spark, root, days=DELIVERED_DAYS), inp.history, days=DELIVERED_DAYS)
+
+
+def _trail_quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unreadable parts by day of a trail into which every 50th event has put
+    a broken line; the records beside them are counted too."""
+    inp = audit_inputs(spark, sf_dir)
+    root = scratch_path(spark, "trail")
+    write_trail(inp.trail, root)
+    broken = (spark.read.parquet(f"{sf_dir}/events.parquet").where("event_id % 50 = 0")
+              .select(F.concat(F.lit('{"Records": [{"eventTime": "'), F.col("event_id").cast("string")).alias("value"),
+                      F.lit("us-east-1").alias("region"), *[F.date_format("ts", p).alias(n) for n, p in
+                                                            (("year", "yyyy"), ("month", "MM"), ("day", "dd"))]))
+    broken.write.mode("append").partitionBy("region", "year", "month", "day").text(root)
+    bad = trail_quarantine(spark, root, layout="hive").groupBy("day").agg(F.count(F.lit(1)).alias("bad"))
+    good = read_trail(spark, root, layout="hive").groupBy("day").agg(F.count(F.lit(1)).alias("records"))
+    return good.join(bad, "day", "full").select("day", "records", "bad")
+
+
+def _history_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return build_history(derived_executions(spark, sf_dir), scratch_path(spark, "history"))
+
+
+def _tag_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "tags")
+    derived_tag_dump(spark, sf_dir).write.json(root)
+    return tiers_from_tag_dump(spark, root)
+
+
+def _latest_partition_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root = scratch_path(spark, "events")
+    write_events(_audit(spark, sf_dir), root)
+    return spark.createDataFrame([(TB.latest_partition(spark, root),)], "latest_day string")
+
+
+def _heavy_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The redelivered ids joined by split rows."""
+    inp = audit_inputs(spark, sf_dir)
+    cfg = AuditConfig(heavy_rows=1)
+    return EN.staging(inp.trail, inp.history, cfg, heavy=EN.heavy_keys(inp.trail, inp.history, cfg))
+
+
 def _shared_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches stored by day, merged over the range, exact for those near a threshold."""
     events = _audit(spark, sf_dir)
@@ -135,6 +261,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "events_history_only_strict": _inputs_q(lambda i: EN.history_only(i.trail, i.history, strict)),
         "events_enriched": lambda s, d: _staging(s, d),
         "events_enriched_strict": lambda s, d: _staging(s, d, strict),
+        "events_heavy_split": _heavy_split,
+        "null_arn_kept": lambda s, d: _staging(s, d, AuditConfig(keep_null_arn=True)),
+        "region_filtered": _inputs_q(lambda i: EN.staging(i.trail, i.history, regions=[ONE_REGION])),
         "workgroup_filtered": lambda s, d: _staging(s, d, AuditConfig(workgroups_filter=WG_FILTER)),
         "table_refs": lambda s, d: CL.table_refs(_staging(s, d)),
         "classified_events": lambda s, d: _audit(s, d),
@@ -171,6 +300,19 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "events_sink_roundtrip": _events_roundtrip,
         "backfill": _backfill,
         "csv_export": _csv_export,
+        "user_search_filtered": lambda s, d: R.user_search(_audit(s, d), P.search_filter(
+            FROM_DAY, TO_DAY, query_contains=SEARCH_TEXT, **SEARCHED)),
+        "adhoc_sql": lambda s, d: R.adhoc_sql(_audit(s, d), ADHOC),
+        "history_one_day": lambda s, d: history_rows(derived_executions(s, d), days=[ONE_DAY]),
+        "history_run_report": _history_report,
+        "tag_source": _tag_source,
+        "trail_delivered": _trail_delivered,
+        "trail_quarantined": _trail_quarantined,
+        "events_catalog": _events_catalog,
+        "events_repaired": _events_repaired,
+        "catalog_report": _catalog_report,
+        "backfill_shrunk": _backfill_shrunk,
+        "latest_partition_name": _latest_partition_name,
         "scan_scores": lambda s, d: MON.scan_scores(_audit(s, d), FROM_DAY, TO_DAY),
         "scan_anomalies": lambda s, d: MON.scan_anomalies(_audit(s, d), FROM_DAY, TO_DAY),
         "failure_rate": lambda s, d: MON.failure_rate(_audit(s, d), _range_pred()),
@@ -196,7 +338,8 @@ _COST = "CAST(COALESCE(h.data_scanned, 0) / 1099511627776.0 * 5.00 AS DECIMAL(12
 _ISO = "'%Y-%m-%dT%H:%M:%SZ'"
 
 
-def _prefix(wg_filter: str = "") -> str:
+def _prefix(wg_filter: str = "", arn_kept: bool = False) -> str:
+    null_arn = " OR s.arn IS NULL" if arn_kept else ""
     wg1 = f"\n    AND lower(s.workgroup) LIKE '%{wg_filter}%'" if wg_filter else ""
     wg2 = f"\n    AND lower(h.workgroup) LIKE '%{wg_filter}%'" if wg_filter else ""
     return f"""
@@ -262,7 +405,7 @@ pass1 AS (
     s.region, s.day
   FROM starts s LEFT JOIN history h
     ON s.query_id = h.query_id AND h.day = s.day AND h.region = s.region
-  WHERE s.arn NOT LIKE '%{ROLE1}%' AND s.arn NOT LIKE '%{ROLE2}%'
+  WHERE (s.arn NOT LIKE '%{ROLE1}%' AND s.arn NOT LIKE '%{ROLE2}%'{null_arn})
     AND COALESCE(h.query, NULLIF(s.query_string, '***OMITTED***')) IS NOT NULL{wg1}),
 hist_cols AS (
   SELECT h.query_id, try_strptime(h.submission_time, {_ISO}) AS event_time,
@@ -458,6 +601,33 @@ _FINAL = {
     "events_sink_roundtrip": "SELECT * FROM audit",
     "backfill": "SELECT * FROM audit",
     "csv_export": "SELECT * FROM search",
+    "events_heavy_split": "SELECT * FROM staging",
+    "region_filtered": f"SELECT * FROM staging WHERE region = '{ONE_REGION}'",
+    "user_search_filtered": f"""SELECT event_time, source_identity, workgroup, status, substr(query, 1, 300) AS query_text,
+      database, CAST(ROUND(data_scanned / 1048576.0, 2) AS DECIMAL(18,2)) AS data_mb,
+      CAST(ROUND(cost, 6) AS DECIMAL(18,6)) AS cost_usd FROM rng
+      WHERE lower(query) LIKE '%{SEARCH_TEXT}%' AND source_identity = '{SEARCHED["user"]}'
+        AND workgroup = '{SEARCHED["workgroup"]}' AND status = '{SEARCHED["status"]}'
+      ORDER BY event_time DESC NULLS LAST, query_id ASC NULLS LAST, region ASC LIMIT 200""",
+    "adhoc_sql": ADHOC.replace("FROM events", "FROM audit"),
+    "history_one_day": f"SELECT * FROM hist_day WHERE day = '{ONE_DAY}'",
+    "history_run_report": """SELECT day, COUNT(DISTINCT workgroup) AS workgroups, CAST(0 AS BIGINT) AS skipped_workgroups,
+      COUNT(*) AS records FROM hist_day GROUP BY day""",
+    "tag_source": """SELECT p_brand AS db, 'p' || CAST(p_partkey AS VARCHAR) AS tbl,
+      CASE WHEN p_partkey % 7 = 0 THEN 'tier_0' ELSE 'tier_' || CAST(p_partkey % 12 AS VARCHAR) END AS tier
+      FROM part WHERE p_partkey % 7 = 0 OR p_partkey % 5 <> 0""",
+    "trail_delivered": f"SELECT * FROM staging WHERE day IN {DELIVERED_DAYS}",
+    "trail_quarantined": """SELECT day, r.n AS records, b.n AS bad
+      FROM (SELECT day, COUNT(*) AS n FROM trail GROUP BY day) r
+      FULL JOIN (SELECT strftime(ts, '%Y-%m-%d') AS day, COUNT(*) AS n FROM events WHERE event_id % 50 = 0 GROUP BY 1) b USING (day)""",
+    "events_catalog": "SELECT * FROM audit",
+    "events_repaired": f"""SELECT * FROM audit WHERE region = '{ONE_REGION}' AND day <> '{DROPPED_DAY}'
+      AND CAST(day AS DATE) BETWEEN DATE '{REPAIR_AS_OF}' - {REPAIR_BACK} AND DATE '{REPAIR_AS_OF}' - 1""",
+    "catalog_report": """SELECT * FROM (SELECT 'cloud_trail' AS kind, TRUE AS planned, COUNT(*) AS rows FROM trail
+      UNION ALL SELECT 'history', TRUE, COUNT(*) FROM history UNION ALL SELECT 'events_staging', TRUE, 0
+      UNION ALL SELECT 'events', TRUE, COUNT(*) FROM audit UNION ALL SELECT 'absent', FALSE, NULL)""",
+    "backfill_shrunk": f"SELECT * FROM audit WHERE day <> '{GONE_DAY}'",
+    "latest_partition_name": "SELECT MAX(day) AS latest_day FROM audit",
     "scan_scores": f"{_SCORES} SELECT * FROM scores WHERE day >= '{FROM_DAY}'",
     "scan_anomalies": f"{_SCORES} SELECT * FROM scores WHERE day >= '{FROM_DAY}' AND reason IS NOT NULL",
     "failure_rate": """SELECT workgroup, day, COUNT(*) AS total, COUNT(*) FILTER (status = 'FAILED') AS failed,
@@ -482,5 +652,6 @@ def oracle_sql() -> dict[str, str]:
             out[name] = prefix.rstrip() + final
         else:
             out[name] = prefix + final
+    out["null_arn_kept"] = _prefix(arn_kept=True) + "SELECT * FROM staging"
     out["workgroup_filtered"] = _prefix(WG_FILTER.strip().lower()) + "SELECT * FROM staging"
     return out | (_llm.oracle_sql() if _llm else {})

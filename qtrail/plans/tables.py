@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 from dataclasses import dataclass, field
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,10 +134,11 @@ def event_places(spark: SparkSession, root: str) -> dict[tuple[str, ...], str]:
 
 
 def repair_events(spark: SparkSession, tables: TableSet, days_back: int | None = None,
-                  regions: Iterable[str] = ()) -> int:
-    """Register the events of the last ``days_back`` days (to yesterday)
-    of ``regions``; None or no region: of all there are. Returns how many."""
-    wanted, days = set(regions), days_back and {day_back(i) for i in range(1, days_back + 1)}
+                  regions: Iterable[str] = (), as_of: date | None = None) -> int:
+    """Register the events of the ``days_back`` days before ``as_of``
+    (default today) of ``regions``; None or no region: of all there are.
+    Returns how many."""
+    wanted, days = set(regions), days_back and {day_back(i, as_of) for i in range(1, days_back + 1)}
     places = {v: p for v, p in event_places(spark, tables.folder("events")).items()
               if not wanted or (v[0] in wanted and (not days or v[1] in days))}
     PUB.register(spark, tables.name("events"), EVENT_PARTITIONS, places)

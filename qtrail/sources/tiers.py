@@ -51,3 +51,21 @@ def tiers_from_rows(spark: SparkSession, rows) -> DataFrame:
         args.update({f"d{i}": db, f"t{i}": tbl, f"r{i}": tier})
         tuples.append(f"(CAST(:d{i} AS STRING), CAST(:t{i} AS STRING), CAST(:r{i} AS STRING))")
     return spark.sql(f"SELECT * FROM VALUES {', '.join(tuples)} AS t(db, tbl, tier)", args=args)
+
+
+def derived_tag_dump(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A tag-search dump made from the driver's ``part`` table, one page per
+    part: a tagged table, listed a second time with another tier for every
+    seventh part; the values of every fifth are empty."""
+    key = F.col("p_partkey")
+
+    def listed(values, owner):
+        tag = lambda k, v: F.struct(F.lit(k).alias("TagKey"), v.alias("TagValues"))
+        return F.struct(F.struct(F.col("p_brand").alias("DatabaseName"), F.concat(F.lit("p"), key.cast("string")).alias("Name")).alias("Table"),
+                        F.array(tag("owner", F.array(F.lit(owner))), tag(TIER_TAG_KEY, values)).alias("LFTagsOnTable"))
+
+    tier = F.concat(F.lit("tier_"), (key % 12).cast("string"))
+    first = listed(F.when(key % 5 == 0, F.array().cast("array<string>")).otherwise(F.array(tier, F.lit("tier_x"))), "a")
+    again = listed(F.array(F.lit("tier_0")), "b")
+    return spark.read.parquet(f"{sf_dir}/part.parquet").select(
+        F.when(key % 7 == 0, F.array(first, again)).otherwise(F.array(first)).alias("TableList"))

@@ -20,6 +20,7 @@ file counts. Records beside a broken part are kept.
 
 from __future__ import annotations
 
+import uuid
 from collections import defaultdict
 
 from pyspark.errors import AnalysisException
@@ -28,6 +29,7 @@ from pyspark.sql import functions as F
 
 from qtrail.functions.columns import day_parts
 from qtrail.schemas import TRAIL, TRAIL_FILE, TRAIL_RECORD
+from qtrail.sources import folders as FS
 
 _PATH_RE = r"/(?:region=)?([^/]+)/(?:year=)?(\d{4})/(?:month=)?(\d{2})/(?:day=)?(\d{2})/[^/]*$"
 
@@ -154,3 +156,23 @@ def write_trail(df: DataFrame, root: str, mode: str = "overwrite", compression:
     parts = ("region", "year", "month", "day")
     (out.hint("rebalance", *parts).write.mode(mode).option("compression", compression)
         .partitionBy(*parts).json(root))
+
+
+def write_trail_delivery(df: DataFrame, root: str, per_object: int = 50) -> None:
+    """Write trail rows as they are delivered: gzip files of ``Records``
+    objects with up to ``per_object`` records each, under
+    ``<root>/<region>/YYYY/MM/DD``. Rows that stand together in the input make
+    an object, so no group grows with the data."""
+    spark = df.sparkSession
+    names = ("region", "year", "month", "day")
+    y, m, d = day_parts("day")
+    rows = df.select(F.struct(*[F.col(f.name) for f in TRAIL_RECORD.fields]).alias("r"), "region", y.alias("year"),
+                     m.alias("month"), d.alias("day"),
+                     F.floor(F.monotonically_increasing_id() / per_object).alias("_object"))
+    objects = rows.groupBy(*names, "_object").agg(F.collect_list("r").alias("Records")).drop("_object")
+    version = f"{root.rstrip('/')}/_version/{uuid.uuid4().hex}"
+    (objects.hint("rebalance", *names).write.mode("error").option("compression", "gzip")
+     .partitionBy(*names).json(version))
+    for path in FS.matching(spark, "/".join([version, *(f"{k}=*" for k in names)])):
+        FS.move(spark, path, "/".join([root.rstrip("/"), *FS.partition_values(path, names)]))
+    FS.delete(spark, [version])
