@@ -24,6 +24,7 @@ from qtrail.operators import enrich as EN
 from qtrail.operators import grants as G
 from qtrail.operators import monitoring as MON
 from qtrail.operators import reports as R
+from qtrail.operators import textsearch as TS
 from qtrail.operators.ingest import history_rows
 from qtrail.plans import tables as TB
 from qtrail.plans.events_job import build_events, run_range
@@ -114,6 +115,7 @@ ONE_DAY, GONE_DAY, DROPPED_DAY, ONE_REGION = "2024-01-05", "2024-01-10", "2024-0
 REPAIR_AS_OF, REPAIR_BACK = date(2024, 1, 31), 10
 DELIVERED_DAYS = ("2024-01-08", "2024-01-09")
 SEARCHED = {"user": "user18", "workgroup": "wg-2", "status": "SUCCEEDED"}
+RARE_TEXT = "ticket aud-"
 ADHOC = ("SELECT region, status, COUNT(*) AS cnt, CAST(SUM(data_scanned) AS BIGINT) AS bytes FROM events "
          "WHERE classification_tier = 'tier_1' GROUP BY region, status")
 
@@ -223,6 +225,14 @@ def _latest_partition_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(TB.latest_partition(spark, root),)], "latest_day string")
 
 
+def _text_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A rare text, found through the trigram index of the files."""
+    root = scratch_path(spark, "events")
+    write_events(_audit(spark, sf_dir), root)
+    TS.write_index(spark, root)
+    return TS.events_containing(spark, root, RARE_TEXT)
+
+
 def _heavy_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The redelivered ids joined by split rows."""
     inp = audit_inputs(spark, sf_dir)
@@ -302,6 +312,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "csv_export": _csv_export,
         "user_search_filtered": lambda s, d: R.user_search(_audit(s, d), P.search_filter(
             FROM_DAY, TO_DAY, query_contains=SEARCH_TEXT, **SEARCHED)),
+        "text_search": _text_search,
         "adhoc_sql": lambda s, d: R.adhoc_sql(_audit(s, d), ADHOC),
         "history_one_day": lambda s, d: history_rows(derived_executions(s, d), days=[ONE_DAY]),
         "history_run_report": _history_report,
@@ -360,7 +371,8 @@ WITH ev AS (
       WHEN 6 THEN 'SELECT "a b", ''x'' FROM "hr"."people" -- FROM finance.ledger'
       WHEN 7 THEN 'INSERT INTO finance.ledger' || chr(13) || chr(10)
         || 'SELECT * FROM sales.orders WHERE note = ''say "hi" ' || chr(92) || ' {{}}, ok'''
-      ELSE 'SELECT * FROM Sales.Orders, hr.people' END AS qt
+      ELSE 'SELECT * FROM Sales.Orders, hr.people' END
+      || CASE WHEN event_id % 1999 = 7 THEN ' -- Ticket AUD-' || CAST(event_id AS VARCHAR) ELSE '' END AS qt
   FROM events),
 delivered AS (SELECT * FROM ev WHERE event_id % 7 <> 0 UNION ALL SELECT * FROM ev WHERE event_id % 7 <> 0 AND event_id % 29 = 0),
 trail AS (
@@ -609,6 +621,7 @@ _FINAL = {
       WHERE lower(query) LIKE '%{SEARCH_TEXT}%' AND source_identity = '{SEARCHED["user"]}'
         AND workgroup = '{SEARCHED["workgroup"]}' AND status = '{SEARCHED["status"]}'
       ORDER BY event_time DESC NULLS LAST, query_id ASC NULLS LAST, region ASC LIMIT 200""",
+    "text_search": f"SELECT * FROM audit WHERE lower(query) LIKE '%{RARE_TEXT}%'",
     "adhoc_sql": ADHOC.replace("FROM events", "FROM audit"),
     "history_one_day": f"SELECT * FROM hist_day WHERE day = '{ONE_DAY}'",
     "history_run_report": """SELECT day, COUNT(DISTINCT workgroup) AS workgroups, CAST(0 AS BIGINT) AS skipped_workgroups,

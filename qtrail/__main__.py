@@ -48,7 +48,11 @@ def cmd_events(spark, a) -> dict:
     from qtrail.plans.events_job import range_for, run_range
     from qtrail.sources.history import read_history
     from qtrail.sources.tiers import tiers_from_rows, tiers_from_table, tiers_from_tag_dump
+    from qtrail.functions import predicates as P
+    from qtrail.operators.monitoring import write_identity_sketches
+    from qtrail.operators.textsearch import write_index
     from qtrail.plans.publish import new_run
+    from qtrail.sources.events import read_events
     from qtrail.sources.trail import read_trail, set_aside
     from qtrail.functions.calendar import days_between
     from qtrail.plans.tables import add_trail_partitions, init_tables
@@ -78,6 +82,11 @@ def cmd_events(spark, a) -> dict:
     else:  # no tier map: every event keeps a NULL tier
         tiers = tiers_from_rows(spark, [])
     run = run_range(spark, trail, hist, tiers, a.events_root, lo, hi, cfg, tables and tables.name("events"))
+    if a.text_index and not tables:
+        write_index(spark, a.events_root, days)
+    if a.sketches:
+        built = spark.table(tables.name("events")) if tables else read_events(spark, a.events_root, days)
+        write_identity_sketches(built.where(P.in_days(days)), a.sketches)
     return {"from_day": run.from_day, "to_day": run.to_day, "events": run.events, "classified": run.classified} | aside
 
 
@@ -108,22 +117,43 @@ REPORTS = ("summary", "queries_per_user_status", "status_breakdown", "queries_pe
            "cost_per_user", "available_users", "available_workgroups", "distinct_users",
            "distinct_workgroups", "user_search", "search_status_summary", "top_users_by_scan",
            "cost_listing", "audit_report", "adhoc_rollup", "latest_events", "classified_only",
-           "events_count", "latest_day", "sql")
+           "events_count", "latest_day", "failure_rate", "scan_scores", "scan_anomalies", "shared_identities",
+           "unused_grants", "grant_usage", "sql")
 
 
 def cmd_report(spark, a):
     from qtrail.functions import predicates as P
+    from qtrail.operators import grants as G
+    from qtrail.operators import monitoring as M
     from qtrail.operators import reports as R
+    from qtrail.operators.textsearch import events_containing
     from qtrail.sources.events import read_events
-    from qtrail.functions.calendar import day_back, days_between
+    from qtrail.sources.grants import grants_from_permission_dump, grants_from_table
+    from qtrail.config import BASELINE_DAYS
+    from qtrail.functions.calendar import day_back, day_range_start, days_between
     days = days_between(a.from_day, a.to_day) if a.from_day and a.to_day else None
     lo, hi = a.from_day or "0000-01-01", a.to_day or "9999-12-31"
     # A bounded range lists only its day folders; the range holds for every report.
-    ev = read_events(spark, a.events_root, days)
+    # A text is looked for only in files that can hold it.
+    ev = events_containing(spark, a.events_root, a.contains, days) if a.contains else read_events(spark, a.events_root, days)
     if a.from_day or a.to_day:
         ev = ev.where(P.search_filter(lo, hi))
     pred = P.search_filter(lo, hi, a.user, a.workgroup, a.status, a.contains)
     n = a.name
+    if n in ("unused_grants", "grant_usage"):
+        if not (a.grants or a.grants_table):
+            raise SystemExit(f"{n} needs --grants or --grants-table")
+        grants = grants_from_permission_dump(spark, a.grants) if a.grants else grants_from_table(spark, a.grants_table)
+        return getattr(G, n)(grants, ev, AuditConfig(audit_db=a.audit_db))
+    if n in ("scan_scores", "scan_anomalies"):
+        if not days:
+            raise SystemExit(f"{n} needs --from and --to")
+        # The baseline reaches back before the range.
+        back = read_events(spark, a.events_root, days_between(day_range_start(lo, BASELINE_DAYS), hi))
+        return getattr(M, n)(back, lo, hi)
+    if n == "shared_identities":
+        sketches = (M.read_identity_sketches(spark, a.sketches, lo, hi) if a.sketches else M.identity_sketches(ev))
+        return M.shared_identities(ev, sketches, lo, hi)
     if n == "sql":
         return R.adhoc_sql(ev, a.sql)
     if n in ("user_search", "search_status_summary"):
@@ -139,7 +169,7 @@ def cmd_report(spark, a):
         return R.adhoc_rollup(ev, lo)
     if n in ("latest_events", "classified_only"):
         return R.latest_events(ev, classified_only=n == "classified_only")
-    return getattr(R, n)(ev, pred)
+    return getattr(M if n == "failure_rate" else R, n)(ev, pred)
 
 
 def main(argv=None) -> None:
@@ -170,6 +200,8 @@ def main(argv=None) -> None:
     e.add_argument("--tiers-table", help="(db, tbl, tier) table: .parquet folder, .csv or .json")
     e.add_argument("--audit-db", default="default")
     e.add_argument("--cost-per-tb", default=DEFAULT_COST_PER_TB)
+    e.add_argument("--text-index", action="store_true", help="index the texts of the days for searches")
+    e.add_argument("--sketches", help="store the identity sketches of the days in this folder")
     e.add_argument("--force-recreate", action="store_true")
     e.add_argument("--strict-not-in", action="store_true")
     e.add_argument("--keep-null-arn", action="store_true")
@@ -195,6 +227,10 @@ def main(argv=None) -> None:
     r.add_argument("--limit", type=int, default=200)
     r.add_argument("--as-of")
     r.add_argument("--sql")
+    r.add_argument("--grants", help="permission listing (JSON)")
+    r.add_argument("--grants-table", help="(principal, catalog, db, tbl, privileges): .parquet folder, .csv or .json")
+    r.add_argument("--audit-db", default="default")
+    r.add_argument("--sketches", help="folder of stored identity sketches (default: made from the events)")
     r.add_argument("--csv", help="export the result as CSV to this folder")
     r.add_argument("--show", type=int, default=2**31 - 2)
     a = ap.parse_args(argv)

@@ -73,16 +73,20 @@ def all_of(*preds) -> Column:
     return reduce(lambda a, b: a & b, ps) if ps else F.lit(True)
 
 
+def contains_text(needle: str | None, query="query") -> Column | None:
+    text = (needle or "").strip().lower()
+    return F.lower(_c(query)).contains(text) if text else None
+
+
 # F8 -- the report search: day range + optional exact user / workgroup /
 # status + optional case-insensitive text search, all conjunctive.
 def search_filter(from_day: str, to_day: str, user: str | None = None,
                   workgroup: str | None = None, status: str | None = None,
                   query_contains: str | None = None) -> Column:
-    text = (query_contains or "").strip().lower()
     return all_of(
         day_between(from_day, to_day),
         (F.col("source_identity") == F.lit(user)) if user else None,
         (F.col("workgroup") == F.lit(workgroup)) if workgroup else None,
         (F.col("status") == F.lit(status)) if status else None,
-        F.lower(F.col("query")).contains(text) if text else None,
+        contains_text(query_contains),
     )

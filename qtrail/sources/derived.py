@@ -35,6 +35,7 @@ QUERY_TEXTS = (
     "INSERT INTO finance.ledger\r\nSELECT * FROM sales.orders WHERE note = 'say \"hi\" \\ {}, ok'",
     "SELECT * FROM Sales.Orders, hr.people",
 )
+RARE_EVERY = 1999  # of so many executions one names a ticket in its text
 TIER_ROWS = (
     ("sales", "orders", "tier_2"),
     ("hr", "people", "tier_1"),
@@ -92,7 +93,9 @@ def _base(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format(F.when(eid % 17 == 0, F.col("ts") + F.make_dt_interval(F.lit(0), F.lit(8)))
                       .otherwise(F.col("ts")), "yyyy-MM-dd").alias("hday"),
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("iso"),
-        _case(eid % len(QUERY_TEXTS), QUERY_TEXTS).alias("qt"),
+        F.concat(_case(eid % len(QUERY_TEXTS), QUERY_TEXTS),
+                 F.when(eid % RARE_EVERY == 7, F.concat(F.lit(" -- Ticket AUD-"), eid.cast("string"))).otherwise(F.lit(""))
+                 ).alias("qt"),
     )
 
 

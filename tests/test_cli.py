@@ -33,6 +33,9 @@ def test_cli_every_report_runs(spark, sf_small, tmp_path, capsys):
     for name in REPORTS:
         args = ["report", name, "--events-root", root, "--from", "2024-01-01", "--to", "2024-01-31",
                 "--as-of", "2024-01-31", "--show", "1"]
+        if name in ("unused_grants", "grant_usage"):
+            (tmp_path / "grants.csv").write_text("principal,catalog,db,tbl,privileges\nuser1,,sales,*,SELECT\n")
+            args += ["--grants-table", str(tmp_path / "grants.csv")]
         if name == "sql":
             args += ["--sql", "SELECT count(1) AS n FROM events"]
         main(args)
