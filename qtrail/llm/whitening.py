@@ -23,7 +23,7 @@ non-finite entry are dropped; vectors of another length are a fit list of
 their own (their ``n``, components and errors are those of their length);
 repeated rows and ids count as often as they stand there; components whose
 variance is 0 to double precision have no whitened values and are left out;
-an empty table gives an empty result; entries beyond 2 ** 40 in size raise
+an empty table gives an empty result; entries c beyond 2 ** 19 in size raise
 an error. Other columns are not read.
 """
 
@@ -43,7 +43,7 @@ from qtrail.llm.common import materialize
 
 COMPONENTS = 8
 SCALE, SHIFT = 1024, 100_000
-LARGEST = 1 << 40
+LARGEST = 1 << 29  # of 1024 c: products of two distances fit 62 bits
 EXACT = 1 << 62
 
 
@@ -276,8 +276,9 @@ def whitened(vectors: DataFrame, model: dict[int, Whitener], key: str = "vec_id"
                     middle = m.middle
                     off = [s - m.n * c for s, c in zip(m.total, middle)]  # n * mean less n * middle
                     y = x - np.array(middle)
-                    exact = np.int64 if np.abs(y).max(initial=1) * max(map(abs, off), default=1) * y.shape[1] < EXACT else object
-                    square, cross = (y * y).sum(1), (y.astype(exact) * np.array(off, dtype=exact)).sum(1)
+                    most = int(np.abs(y).max(initial=1))
+                    exact = np.int64 if most * max(most, *map(abs, off)) * y.shape[1] < EXACT else object
+                    square, cross = (y.astype(exact) ** 2).sum(1), (y.astype(exact) * np.array(off, dtype=exact)).sum(1)
                     rest = sum(o * o for o in off)
                     far = [m.n * m.n * int(a) - 2 * m.n * int(c) + rest for a, c in zip(square, cross)]
                     z = y - np.array([o / m.n for o in off])
