@@ -141,8 +141,35 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    """Only what SQL can express: tokenizers, models and archives it can't."""
-    return {"op11_source_divergence": OP11_SQL}
+    """Only what SQL can express: tokenizers, models and fingerprints by hash it
+    can't."""
+    return {"op3_ngram_join": OP3_SQL, "op9_warc": OP9_SQL, "op11_source_divergence": OP11_SQL}
+
+
+OP3_SQL = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(ws) < 5 THEN array_to_string(ws, ' ') ELSE array_to_string(ws[i:i + 4], ' ') END AS sh
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(2, len(ws) - 3))) AS i FROM w WHERE len(ws) > 0)),
+n AS (SELECT doc_id, COUNT(*) AS n FROM s GROUP BY 1),
+links AS (
+  SELECT a, b FROM (SELECT x.doc_id AS a, y.doc_id AS b, COUNT(*) AS c FROM s x JOIN s y ON x.sh = y.sh AND x.doc_id <> y.doc_id
+    GROUP BY 1, 2) JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT d.doc_id, COALESCE(n.n, 0) AS n_shingles, r.component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT a AS doc_id, MIN(b) AS component_id FROM reach GROUP BY 1) r USING (doc_id)
+"""
+
+# The largest page_id of equal payloads of 1000 bytes and more is the response.
+OP9_SQL = """
+SELECT page_id, CAST(strlen(h) AS BIGINT) AS payload_bytes, sha1(h) AS payload_digest,
+  CASE WHEN page_id < last_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id < last_id THEN last_id END AS refers_to
+FROM (SELECT page_id, h, CASE WHEN strlen(h) >= 1000 THEN MAX(page_id) OVER (PARTITION BY h) ELSE page_id END AS last_id
+  FROM (SELECT page_id, COALESCE(html, '') AS h FROM pages))
+"""
 
 
 _SHARE = "(1 + (1000000000::HUGEINT * ({n} + 2)) // ({total} + 2 * v))"
