@@ -1,23 +1,29 @@
-"""SentencePiece encoding and decoding as joins.
+"""SentencePiece encoding and decoding over a relational lattice.
 
 Method. A text is cut into words where no piece can span; the distinct words
 are exploded into substrings of bounded length, which are equi-joined to the
 piece table; the edges found are grouped by word into a lattice, and a
-higher-order ``aggregate`` folds over it. Word ids join back to the words'
-occurrences. Decoding joins ids to the piece table and strings bytes together.
-
-The model at hand is a BPE model, whose segmentation is not the best path of
-its scores: Viterbi gives other results than the library. So the fold merges
-as BPE does: from single characters, each step takes the edge of the best
-score (leftmost of equals) that spans exactly two neighbouring symbols. The
-state is a bit mask of symbol boundaries. Characters without a piece fall back
-to byte pieces. Words of more than ``LONG`` characters do not fit the mask and
-are merged by the same rule in an Arrow function.
-
-Scale. The piece table is fixed by the model and broadcast; words are joined
-by hash, their number grows slower than the text; frequent words are a skewed
-join key that adaptive execution splits, and the smaller side has one row per
-word. Rows of one text meet again in one task, by row id.
+higher-order ``aggregate`` folds over it, by the kind of the model:
+
+* unigram: Viterbi, position by position: the best score of a path that ends
+  there, and the edge it ends with; a second fold walks back;
+* BPE: its library does not take the path of the best score sum, so the fold
+  merges: from single characters, each step takes the edge of the best score
+  (leftmost of equals) that spans exactly two neighbouring symbols. The state
+  is a bit mask of symbol boundaries.
+
+Characters without a piece fall back to byte pieces. Words of more than
+``LONG`` characters do not fit the mask; an Arrow function folds these by the
+same rules, in n log n steps. Decoding takes pieces by id and strings their
+bytes together.
+
+Scale. Texts are dealt to chunks of about ``CHUNK`` bytes, in their input
+order, and written once with the number of their chunk. A chunk gives its
+distinct words; all distinct words (a number that grows slower than the text)
+pass the lattice once; the pairs (chunk, word), joined to the ids, come back
+to their chunk as its dictionary, and meet its texts there. So a frequent word
+costs one row a chunk, whatever its number, texts are shuffled once, and a
+task holds one chunk: some megabytes, or one longer text. Decoding is a map.
 
 Defined results: a null or empty text has no pieces; repeated rows stay apart
 (row ids); an empty table gives an empty result. Spaces and the piece mark are
@@ -26,16 +32,25 @@ one and the same, as in the library.
 
 from __future__ import annotations
 
+import heapq
+import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from qtrail.llm.common import materialize, tokenizer_file
+from qtrail.llm.common import materialize, slices, tokenizer_file
 
 MARK = "▁"
 LONG = 60
+CHUNK = 4 << 20
+UNIGRAM, BPE = 1, 2
+UNKNOWN_COST = 10.0  # under the worst score, for a character without a piece
 
 
 def piece_table(path: str) -> list[tuple[int, str, float, bool]]:
@@ -46,6 +61,36 @@ def piece_table(path: str) -> list[tuple[int, str, float, bool]]:
             if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))]
 
 
+def model_kind(model: bytes) -> int:
+    """``model_type`` (field 3) of the trainer's settings (field 2) of a model
+    file; a file that names none is a unigram model."""
+    def fields(buf: bytes) -> Iterator[tuple[int, int | bytes]]:
+        at = 0
+
+        def number() -> int:
+            nonlocal at
+            out = shift = 0
+            while True:
+                byte = buf[at]
+                at += 1
+                out |= (byte & 127) << shift
+                if byte < 128:
+                    return out
+                shift += 7
+
+        while at < len(buf):
+            tag = number()
+            if tag & 7 == 0:
+                yield tag >> 3, number()
+            else:
+                size = {1: 8, 5: 4}.get(tag & 7) or number()
+                yield tag >> 3, buf[at:at + size]
+                at += size
+
+    trainer = b"".join(v for k, v in fields(model) if k == 2)
+    return next((v for k, v in fields(trainer) if k == 3), UNIGRAM)
+
+
 def word_pattern(pieces: list[tuple[int, str, float, bool]]) -> str:
     """Words: marks with the merging characters behind them, or marks alone,
     or one character that is part of no longer piece."""
@@ -54,106 +99,265 @@ def word_pattern(pieces: list[tuple[int, str, float, bool]]) -> str:
     for a, b in zip(codes, [*codes[1:], -1]):
         start = a if start is None else start
         if b != a + 1:
-            ranges.append(f"\\x{{{start:X}}}-\\x{{{a:X}}}")
+            ranges.append(f"\\U{start:08X}-\\U{a:08X}")
             start = None
     merging = "".join(ranges)
-    return f"(?s){MARK}*[{merging}]+|{MARK}+|[^{merging}{MARK}]"
+    return f"(?s){MARK}*[{merging}]+|{MARK}+|[^{merging}{MARK}]" if merging else f"(?s){MARK}|[^{MARK}]"
 
 
+# -- long words --------------------------------------------------------------
 def merge_plainly(word: str, scores: dict[str, float]) -> list[str]:
-    """The merging rule for one long word."""
-    parts = list(word)
-    while len(parts) > 1:
-        best = max(((scores[p], -i) for i, p in enumerate(map("".join, zip(parts, parts[1:]))) if p in scores),
-                   default=None)
-        if best is None:
-            break
-        i = -best[1]
-        parts[i:i + 2] = [parts[i] + parts[i + 1]]
-    return parts
+    """The merging rule for one word: a heap of neighbouring pairs, the best
+    score first, leftmost of equals. A pair whose symbols have changed since is
+    passed over."""
+    n = len(word)
+    end = list(range(1, n + 1))  # of the symbol that starts here; 0 where none does any more
+    start = list(range(-1, n))  # of the symbol that ends here
+    heap: list[tuple[float, int, int, int]] = []
 
+    def offer(a: int, b: int) -> None:
+        if 0 <= a and b < n:
+            score = scores.get(word[a:end[b]])
+            if score is not None:
+                heapq.heappush(heap, (-score, a, b, end[b]))
 
+    for i in range(n - 1):
+        offer(i, i + 1)
+    while heap:
+        _, a, b, stop = heapq.heappop(heap)
+        if end[a] != b or end[b] != stop:
+            continue
+        end[a], end[b], start[stop] = stop, 0, a
+        if a:
+            offer(start[a], a)
+        offer(a, stop)
+    out, at = [], 0
+    while at < n:
+        out.append(word[at:end[at]])
+        at = end[at]
+    return out
+
+
+def best_path_plainly(word: str, scores: dict[str, float], longest: int, unknown: float) -> list[str]:
+    """Viterbi for one word; of equal paths the one whose last piece is longest."""
+    best, back = [0.0] + [-np.inf] * len(word), [0] * (len(word) + 1)
+    for e in range(1, len(word) + 1):
+        for s in range(max(0, e - longest), e):
+            piece = word[s:e]
+            score = scores.get(piece, unknown if e - s == 1 else None)
+            if score is not None and best[s] + score > best[e]:
+                best[e], back[e] = best[s] + score, s
+    out, at = [], len(word)
+    while at:
+        out.append(word[back[at]:at])
+        at = back[at]
+    return out[::-1]
+
+
+# -- lattice -----------------------------------------------------------------
 def _byte_ids(char: Column, base: int) -> Column:
     code = F.hex(F.encode(char, "UTF-8"))
     return F.transform(F.sequence(F.lit(0), F.octet_length(char) - 1), lambda j: (
         F.conv(code.substr(j * 2 + 1, F.lit(2)), 16, 10).cast("int") + base))
 
 
-def word_ids(words: DataFrame, pieces: DataFrame, longest: int, byte_base: int) -> DataFrame:
-    """``word, ids`` for distinct words of at most ``LONG`` characters."""
+def _edges(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
+    """``word, s, e, id, score`` of every piece within a word."""
     n = F.char_length("word")
     spans = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda s: F.transform(
         F.sequence(F.lit(1), F.least(F.lit(longest), n - s)),
         lambda k: F.struct(s.alias("s"), (s + k).alias("e")))))
-    edges = (words.select("word", F.explode(spans).alias("x"))
-             .withColumn("piece", F.col("word").substr(F.col("x.s") + 1, F.col("x.e") - F.col("x.s")))
-             .join(F.broadcast(pieces), "piece", "left"))
+    return (words.select("word", F.explode(spans).alias("x")).select("word", "x.s", "x.e")
+            .withColumn("piece", F.col("word").substr(F.col("s") + 1, F.col("e") - F.col("s")))
+            .join(F.broadcast(pieces), "piece", "left").drop("piece"))  # the model fixes the table
+
+
+def _cut_ids(cut: DataFrame, byte_base: int) -> DataFrame:
+    """``word, ids`` of ``word, edges, at``: the ids of the edges between the
+    boundaries ``at``, or bytes where there is none."""
+    symbol = lambda p, i: F.get(F.filter("edges", lambda e: (
+        e["s"] == p) & (e["e"] == F.get(F.col("at"), i + 1))), F.lit(0))["id"]
+    ids = F.flatten(F.transform(F.slice("at", F.lit(1), F.size("at") - 1), lambda p, i: F.coalesce(
+        F.when(symbol(p, i).isNotNull(), F.array(symbol(p, i))), _byte_ids(F.col("word").substr(p + 1, F.lit(1)), byte_base))))
+    return cut.select("word", ids.alias("ids"))
+
+
+def merged_ids(words: DataFrame, pieces: DataFrame, longest: int, byte_base: int) -> DataFrame:
+    """``word, ids`` for distinct words of at most ``LONG`` characters, by
+    merging."""
+    n = F.char_length("word")
     # shiftleft of a long, by column: powers of two.
     bit = lambda p: F.expr("1L") * F.pow(F.lit(2.0), p).cast("long")
-    edge = F.struct((-F.col("score")).alias("cost"), F.col("x.s").alias("s"), F.col("x.e").alias("e"),
-                    F.col("id").alias("id"), (bit(F.col("x.s")) + bit(F.col("x.e"))).alias("ends"),
-                    (bit(F.col("x.e")) - bit(F.col("x.s") + 1)).alias("inner"))
-    lattice = (edges.groupBy("word").agg(F.sort_array(F.collect_list(F.when(F.col("id").isNotNull(), edge))).alias("edges"))
+    edge = F.struct((-F.col("score")).alias("cost"), "s", "e", "id", (bit(F.col("s")) + bit(F.col("e"))).alias("ends"),
+                    (bit(F.col("e")) - bit(F.col("s") + 1)).alias("inner"))
+    lattice = (_edges(words, pieces, longest).groupBy("word")
+               .agg(F.sort_array(F.collect_list(F.when(F.col("id").isNotNull(), edge))).alias("edges"))
                .withColumn("merges", F.filter("edges", lambda e: e["e"] - e["s"] > 1)))
     merges = F.col("merges")
     open_ = lambda mask: F.filter(merges, lambda m: (
         mask.bitwiseAND(m["ends"]) == m["ends"]) & (F.bit_count(mask.bitwiseAND(m["inner"])) == 1))
     folded = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), bit(n + 1) - 1, lambda mask, _: F.coalesce(
         mask.bitwiseAND(F.bitwise_not(F.get(open_(mask), F.lit(0))["inner"])), mask))
-    cut = lattice.withColumn("mask", folded).withColumn(
-        "at", F.filter(F.sequence(F.lit(0), n), lambda p: F.col("mask").bitwiseAND(bit(p)) != 0))
-    symbol = lambda p, i: F.get(F.filter("edges", lambda e: (
-        e["s"] == p) & (e["e"] == F.get(F.col("at"), i + 1))), F.lit(0))["id"]
-    ids = F.flatten(F.transform(F.slice("at", F.lit(1), F.size("at") - 1), lambda p, i: F.coalesce(
-        F.when(symbol(p, i).isNotNull(), F.array(symbol(p, i))), _byte_ids(F.col("word").substr(p + 1, F.lit(1)), byte_base))))
-    return cut.select("word", ids.alias("ids"))
+    return _cut_ids(lattice.withColumn("mask", folded).withColumn(
+        "at", F.filter(F.sequence(F.lit(0), n), lambda p: F.col("mask").bitwiseAND(bit(p)) != 0)), byte_base)
+
 
+def viterbi_ids(words: DataFrame, pieces: DataFrame, longest: int, byte_base: int, unknown: float) -> DataFrame:
+    """``word, ids`` for distinct words, by the best sum of scores; of equal
+    paths the one whose last piece is longest. A character without a piece is
+    an edge of score ``unknown``."""
+    n = F.char_length("word")
+    known = F.col("id").isNotNull() | (F.col("e") - F.col("s") == 1)
+    edge = F.struct("s", "e", "id", F.coalesce("score", F.lit(unknown)).alias("score"))
+    lattice = _edges(words, pieces, longest).where(known).groupBy("word").agg(F.collect_list(edge).alias("edges"))
+    state = "array<struct<score: double, back: int>>"  # by position: the best path to it, and where its last edge starts
 
-def _long_ids(words: DataFrame, table: list[tuple[int, str, float, bool]], byte_base: int) -> DataFrame:
-    scores = {p: s for _, p, s, byte in table if not byte}
-    ids = {p: i for i, p, _, byte in table if not byte}
+    def step(best: Column, e: Column) -> Column:
+        ending = F.filter("edges", lambda x: x["e"] == e)
+        paths = F.transform(ending, lambda x: F.named_struct(
+            F.lit("score"), F.get(best, x["s"])["score"] + x["score"], F.lit("back"), -x["s"]))
+        top = F.array_max(paths)
+        return F.concat(best, F.array(F.named_struct(F.lit("score"), top["score"], F.lit("back"), -top["back"])))
+
+    first = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"))).cast(state)
+    best = F.aggregate(F.sequence(F.lit(1), n), first, lambda a, e: step(a, e).cast(state))
+    walked = F.aggregate(F.sequence(F.lit(1), n), F.array(n), lambda at, _: F.when(
+        F.get(at, F.lit(0)) > 0, F.concat(F.array(F.get(F.col("best"), F.get(at, F.lit(0)))["back"]), at)).otherwise(at))
+    return _cut_ids(lattice.withColumn("best", best).withColumn("at", walked), byte_base)
+
+
+def word_ids(words: DataFrame, table: list[tuple[int, str, float, bool]], kind: int) -> DataFrame:
+    """``word, ids`` of distinct words of any length."""
+    spark = words.sparkSession
+    plain = [(p, i, float(s)) for i, p, s, byte in table if not byte]
+    byte_base = next((i for i, p, _, byte in table if byte and p == "<0x00>"), 0)
+    pieces = spark.createDataFrame(plain, "piece string, id int, score double")
+    longest = max(len(p) for p, _, _ in plain)
+    unknown = min(s for _, _, s in plain) - UNKNOWN_COST
+    scores, ids = {p: s for p, _, s in plain}, {p: i for p, i, _ in plain}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            got = [[x for p in merge_plainly(w, scores)
+        for b in slices(batches, 64):
+            got = [[x for p in (merge_plainly(w, scores) if kind == BPE else best_path_plainly(w, scores, longest, unknown))
                     for x in ([ids[p]] if p in ids else [byte_base + c for c in p.encode()])]
                    for w in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.int32()))], names=["word", "ids"])
 
-    return words.mapInArrow(run, "word string, ids array<int>")
+    short, long = words.where(F.char_length("word") <= LONG), words.where(F.char_length("word") > LONG)
+    folded = (merged_ids(short, pieces, longest, byte_base) if kind == BPE
+              else viterbi_ids(short, pieces, longest, byte_base, unknown))
+    return folded.unionByName(long.mapInArrow(run, "word string, ids array<int>"))
+
+
+# -- texts -------------------------------------------------------------------
+def _words(text: str | None, pattern: re.Pattern) -> list[str]:
+    return pattern.findall(MARK + text.replace(" ", MARK)) if text else []
+
+
+def _chunked(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``row, chunk, key, text``: rows numbered, and dealt to chunks of
+    ``CHUNK`` bytes, within each task."""
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("chunk", T.LongType()), *rows.schema.fields])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 33
+        done, held, chunk = 0, 0, 0
+        for b in slices(batches):
+            sizes = pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False)
+            chunks = np.empty(b.num_rows, np.int64)
+            for i, size in enumerate(sizes.tolist()):
+                if held and held + size > CHUNK:
+                    chunk, held = chunk + 1, 0
+                held += size
+                chunks[i] = first + chunk
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.arange(done, done + b.num_rows) + first), pa.array(chunks), *b.columns], names=schema.names)
+            done += b.num_rows
+
+    return rows.mapInArrow(run, schema)
+
+
+def chunk_words(chunked: DataFrame, pattern: str) -> DataFrame:
+    """``chunk, word``: the distinct words of each chunk (its rows stand
+    together in one task)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        find = re.compile(pattern)
+        current, found = None, set()
+
+        def out() -> pa.RecordBatch:
+            words = sorted(found)
+            return pa.RecordBatch.from_arrays([pa.array([current] * len(words), pa.int64()), pa.array(words, pa.string())],
+                                              names=["chunk", "word"])
+
+        for b in slices(batches):
+            for chunk, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                if chunk != current:
+                    if found:
+                        yield out()
+                    current, found = chunk, set()
+                found.update(_words(text, find))
+        if found:
+            yield out()
+
+    # A file may be read in parts: a chunk that comes twice has words twice.
+    return chunked.select("chunk", "text").mapInArrow(run, "chunk long, word string").distinct()
 
 
 def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``row`` (an id of the row), ``key`` and ``ids`` of every text."""
-    spark = docs.sparkSession
-    table = piece_table(path or tokenizer_file("piece_bpe_32k.model"))
-    plain = [(p, i, float(s)) for i, p, s, byte in table if not byte]
-    byte_base = next(i for i, p, _, byte in table if byte and p == "<0x00>")
-    pieces = spark.createDataFrame(plain, "piece string, id int, score double")
-    body = F.coalesce(F.col(text), F.lit(""))
-    words = F.when(F.length(body) > 0, F.regexp_extract_all(
-        F.concat(F.lit(MARK), F.translate(body, " ", MARK)), F.lit(word_pattern(table)), F.lit(0)))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), words.alias("words"))
-    placed = rows.select("row", "key", F.posexplode_outer("words").alias("at", "word"))
-    distinct = placed.select("word").where("word IS NOT NULL").distinct()
-    short = word_ids(distinct.where(F.char_length("word") <= LONG), pieces, max(len(p) for p, _, _ in plain), byte_base)
-    long = _long_ids(distinct.where(F.char_length("word") > LONG), table, byte_base)
-    known = materialize(short.unionByName(long), "word-ids")
-    parts = placed.join(known, "word", "left").groupBy("row", "key").agg(F.sort_array(F.collect_list(
-        F.when(F.col("at").isNotNull(), F.struct("at", "ids")))).alias("parts"))
-    return parts.select("row", F.col("key").alias(key), F.flatten(F.col("parts.ids")).alias("ids"))
+    path = path or tokenizer_file("piece_bpe_32k.model")
+    table = piece_table(path)
+    with open(path, "rb") as f:
+        kind = model_kind(f.read())
+    return encode_with(docs, table, kind, key, text)
+
+
+def encode_with(docs: DataFrame, table: list[tuple[int, str, float, bool]], kind: int, key: str = "doc_id",
+                text: str = "text") -> DataFrame:
+    """``encode`` with a piece table and the kind of its model."""
+    pattern = word_pattern(table)
+    chunked = materialize(_chunked(docs, key, text), "chunked-texts")
+    found = materialize(chunk_words(chunked, pattern), "chunk-words")
+    known = materialize(word_ids(found.select("word").distinct(), table, kind), "word-ids")
+    dictionary = found.join(known, "word").select("chunk", "word", "ids")
+    schema = T.StructType([chunked.schema["row"], T.StructField(key, chunked.schema["key"].dataType),
+                           T.StructField("ids", T.ArrayType(T.IntegerType()))])
+
+    def look_up(texts: pa.Table, words: pa.Table) -> pa.Table:
+        find = re.compile(pattern)
+        ids = words.column("ids").combine_chunks()
+        ids = ids if isinstance(ids, pa.ListArray) else pa.concat_arrays(ids.chunks or [pa.array([], pa.list_(pa.int32()))])
+        place = {w: i for i, w in enumerate(words.column("word").to_pylist())}
+        at, counts = [], []
+        for t in texts.column("text").to_pylist():
+            mine = [place[w] for w in _words(t, find)]
+            at.append(np.array(mine, np.int32))
+            counts.append(len(mine))
+        taken = ids.take(pa.array(np.concatenate(at) if at else np.empty(0, np.int32)))
+        cuts = np.concatenate([[0], np.cumsum(counts)])
+        ends = taken.offsets.to_numpy()[cuts]
+        lists = pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), taken.flatten())
+        return pa.table([texts.column("row"), texts.column("key"), lists], names=schema.names)
+
+    return chunked.groupBy("chunk").cogroup(dictionary.groupBy("chunk")).applyInArrow(look_up, schema)
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """``row`` and ``text`` of ``row, ids``."""
-    spark: SparkSession = encoded.sparkSession
+    """``encoded`` (with ``ids``) and ``text``."""
     table = piece_table(path or tokenizer_file("piece_bpe_32k.model"))
-    raw = [(i, bytes([int(p[3:5], 16)]) if byte else p.replace(MARK, " ").encode()) for i, p, _, byte in table]
-    pieces = spark.createDataFrame(raw, "id int, raw binary")
-    parts = encoded.select("row", F.posexplode_outer("ids").alias("at", "id")).join(F.broadcast(pieces), "id", "left")
-    joined = parts.groupBy("row").agg(F.sort_array(F.collect_list(
-        F.when(F.col("at").isNotNull(), F.struct("at", F.hex("raw").alias("raw"))))).alias("parts"))
-    whole = F.decode(F.unhex(F.array_join(F.col("parts.raw"), "")), "UTF-8")
-    # The mark in front of the text is no part of it.
-    return joined.select("row", F.when(F.size("parts") > 0, whole.substr(F.lit(2), F.char_length(whole))).otherwise("")
-                         .alias("text"))
+    raw = [b""] * (max(i for i, *_ in table) + 1)
+    for i, p, _, byte in table:
+        raw[i] = bytes([int(p[3:5], 16)]) if byte else p.replace(MARK, " ").encode()
+    schema = T.StructType([*encoded.schema.fields, T.StructField("text", T.StringType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = pa.array(raw, pa.binary())
+        for b in slices(batches):
+            ids = b.column("ids")
+            parts = pa.ListArray.from_arrays(pc.subtract(ids.offsets, ids.offsets[0]), pieces.take(ids.flatten()))
+            # The mark in front of the text is no part of it.
+            texts = [t[1:] for t in pc.binary_join(parts, b"").to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.binary()).cast(pa.string())], names=schema.names)
+
+    return encoded.mapInArrow(run, schema)

@@ -13,7 +13,7 @@ from qtrail.llm import chat_format as chat
 from qtrail.llm import (license_scan, ngram_join, packing, piece_lattice, quality_ordinal, source_divergence, spotsigs, token_counts,
                         toxicity_pu, warc_zip, whitening)
 
-from qtrail.llm.common import materialize, ship_package
+from qtrail.llm.common import ship_package
 
 TOKEN_LIMIT = 1024
 KEEP_FROM = 0.5  # tail probability from which a document is kept
@@ -64,10 +64,9 @@ def op5_quality_ordinal(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_piece_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = materialize(piece_lattice.encode(table(spark, sf_dir, "documents")), "encoded")
-    decoded = piece_lattice.decode(encoded).select("row", F.sha2("text", 256).alias("decoded_sha256"))
-    return encoded.join(decoded, "row").select(
-        "doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "decoded_sha256")
+    decoded = piece_lattice.decode(piece_lattice.encode(table(spark, sf_dir, "documents")))
+    return decoded.select("doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids",
+                          F.sha2("text", 256).alias("decoded_sha256"))
 
 
 def op7_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:

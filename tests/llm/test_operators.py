@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from qtrail.llm import ann_multi_index as ann
 from qtrail.llm import chat_format as chat
@@ -212,15 +213,72 @@ def test_toxicity_on_held_out_rows(spark):
 
 def test_piece_lattice_equals_the_library(spark, texts):
     sp = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=tokenizer_file("piece_bpe_32k.model"))
-    some = [t for t in texts if t is None or len(t) < 4000] + ["x" * 70 + " " + "ab" * 50, "don't ((( --- 😀"]
-    encoded = piece_lattice.encode(docs_of(spark, some))
-    rows = encoded.collect()
+    # Long texts, runs without a space, and one word of a megabyte.
+    rng = random.Random(6)
+    run = "".join(rng.choices("abcdeinorst", k=1 << 20))
+    some = [*texts, "x" * 70 + " " + "ab" * 50, "don't ((( --- 😀", "日本語" * 3000, " " * 5000, "a " * 70_000, run]
+    rows = piece_lattice.decode(piece_lattice.encode(docs_of(spark, some))).collect()
+    assert len({r.row for r in rows}) == len(rows) == len(some)
     assert {r.doc_id: r.ids for r in rows} == {i: sp.encode(t or "") for i, t in enumerate(some)}
-    back = {r.row: r.text for r in piece_lattice.decode(spark.createDataFrame(rows, encoded.schema)).collect()}
-    assert {r.doc_id: back[r.row] for r in rows} == {i: (t or "") for i, t in enumerate(some)}
+    assert {r.doc_id: r.text for r in rows} == {i: (t or "") for i, t in enumerate(some)}
     assert piece_lattice.encode(docs_of(spark, some).limit(0)).count() == 0
 
 
+def test_piece_lattice_over_small_chunks(spark, texts, monkeypatch):
+    sp = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=tokenizer_file("piece_bpe_32k.model"))
+    monkeypatch.setattr(piece_lattice, "CHUNK", 100)
+    some = [t for t in texts if t is None or len(t) < 4000] * 3
+    df = docs_of(spark, some).repartition(5).select("text", "score", F.when(F.col("doc_id") % 7 > 0, F.col("doc_id")).alias("doc_id"))
+    rows = piece_lattice.encode(df).collect()
+    want = [(i if i % 7 else None, sp.encode(t or "")) for i, t in enumerate(some)]
+    assert sorted(map(repr, ((r.doc_id, r.ids) for r in rows))) == sorted(map(repr, want))
+
+
+def best_by_hand(word, scores, unknown):
+    """The best segmentation of all, ties to the longest last piece."""
+    if not word:
+        return 0.0, ()
+    ways = []
+    for s in range(len(word)):
+        piece = word[s:]
+        if piece in scores or len(piece) == 1:
+            score, path = best_by_hand(word[:s], scores, unknown)
+            ways.append((score + scores.get(piece, unknown), -s, path + (piece,)))
+    return max(ways)[0], max(ways)[2]
+
+
+def test_viterbi_fold_takes_the_best_path(spark):
+    rng = random.Random(7)
+    parts = sorted({"".join(rng.choices("abc", k=rng.randrange(1, 5))) for _ in range(25)} | {"▁", "▁a", "a"})
+    table = [(i, f"<0x{i:02X}>", 0.0, True) for i in range(256)]
+    table += [(256 + i, p, -rng.randrange(1, 40) / 4, False) for i, p in enumerate(parts)]
+    scores = {p: s for _, p, s, byte in table if not byte}
+    unknown, ids = min(scores.values()) - piece_lattice.UNKNOWN_COST, {p: i for i, p, _, byte in table if not byte}
+    some = [" ".join("".join(rng.choices("abcé", k=rng.randrange(1, 9))) for _ in range(6)) for _ in range(20)]
+    rows = piece_lattice.encode_with(docs_of(spark, some), table, piece_lattice.UNIGRAM).collect()
+    longest = max(map(len, scores))
+
+    def by_hand(text):
+        out = []
+        for word in piece_lattice._words(text, piece_lattice.re.compile(piece_lattice.word_pattern(table))):
+            path = best_by_hand(word, scores, unknown)[1]
+            assert piece_lattice.best_path_plainly(word, scores, longest, unknown) == list(path)
+            out += [x for p in path for x in ([ids[p]] if p in ids else list(p.encode()))]
+        return out
+
+    assert {r.doc_id: r.ids for r in rows} == {i: by_hand(t) for i, t in enumerate(some)}
+    long = "ab" * 400
+    [r] = piece_lattice.encode_with(docs_of(spark, [long]), table, piece_lattice.UNIGRAM).collect()
+    assert r.ids == [ids[p] for p in piece_lattice.best_path_plainly("▁" + long, scores, longest, unknown)]
+
+
+def test_kind_of_a_model():
+    with open(tokenizer_file("piece_bpe_32k.model"), "rb") as f:
+        assert piece_lattice.model_kind(f.read()) == piece_lattice.BPE
+    assert piece_lattice.model_kind(b"\x0a\x02\x0a\x00\x12\x04\x18\x02\x20\x05") == piece_lattice.BPE
+    assert piece_lattice.model_kind(b"\x12\x02\x20\x05") == piece_lattice.UNIGRAM
+
+
 @pytest.mark.parametrize("word", ["w w ", "a, b; c. ", "x! 12 "])
 def test_long_texts_have_the_features_of_the_whole(word):
     text = ("Some (odd) words. " * 3 + word * (2 * features.SEGMENT // len(word) - 100)).encode()
