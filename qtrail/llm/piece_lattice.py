@@ -48,7 +48,7 @@ from qtrail.llm.common import materialize, slices, tokenizer_file
 
 MARK = "▁"
 LONG = 60
-CHUNK = 4 << 20
+CHUNK = 16 << 20
 UNIGRAM, BPE = 1, 2
 UNKNOWN_COST = 10.0  # under the worst score, for a character without a piece
 
@@ -162,14 +162,14 @@ def _byte_ids(char: Column, base: int) -> Column:
 
 
 def _edges(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """``word, s, e, id, score`` of every piece within a word."""
+    """``word, s, e, id, score`` of every piece within a word, and of every
+    character (``id`` NULL where it is no piece)."""
     n = F.char_length("word")
-    spans = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), lambda s: F.transform(
-        F.sequence(F.lit(1), F.least(F.lit(longest), n - s)),
-        lambda k: F.struct(s.alias("s"), (s + k).alias("e")))))
-    return (words.select("word", F.explode(spans).alias("x")).select("word", "x.s", "x.e")
-            .withColumn("piece", F.col("word").substr(F.col("s") + 1, F.col("e") - F.col("s")))
-            .join(F.broadcast(pieces), "piece", "left").drop("piece"))  # the model fixes the table
+    spans = (words.select("word", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
+             .select("word", "s", F.explode(F.sequence(F.col("s") + 1, F.least(n, F.col("s") + longest))).alias("e"))
+             .withColumn("piece", F.col("word").substr(F.col("s") + 1, F.col("e") - F.col("s"))))
+    found = spans.join(F.broadcast(pieces), "piece", "left")  # the model fixes the table
+    return found.where(F.col("id").isNotNull() | (F.col("e") - F.col("s") == 1)).drop("piece")
 
 
 def _cut_ids(cut: DataFrame, byte_base: int) -> DataFrame:
@@ -207,9 +207,8 @@ def viterbi_ids(words: DataFrame, pieces: DataFrame, longest: int, byte_base: in
     paths the one whose last piece is longest. A character without a piece is
     an edge of score ``unknown``."""
     n = F.char_length("word")
-    known = F.col("id").isNotNull() | (F.col("e") - F.col("s") == 1)
     edge = F.struct("s", "e", "id", F.coalesce("score", F.lit(unknown)).alias("score"))
-    lattice = _edges(words, pieces, longest).where(known).groupBy("word").agg(F.collect_list(edge).alias("edges"))
+    lattice = _edges(words, pieces, longest).groupBy("word").agg(F.collect_list(edge).alias("edges"))
     state = "array<struct<score: double, back: int>>"  # by position: the best path to it, and where its last edge starts
 
     def step(best: Column, e: Column) -> Column:
