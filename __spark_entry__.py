@@ -3,7 +3,8 @@
 
 The audit inputs (trail records, query history, tier map) are derived from
 the driver's ``events`` table by fixed column rules (FIXTURES.md §5). Every
-key, the reports included, runs the build over them on each call.
+key runs the build over them on each call: reports that show no tier up to
+the enriched rows, the others with classification as well.
 """
 
 from __future__ import annotations
@@ -242,14 +243,14 @@ def _heavy_split(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _shared_identities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketches stored by day, merged over the range, exact for those near a threshold."""
-    events = _audit(spark, sf_dir)
+    events = _staging(spark, sf_dir)
     root = scratch_path(spark, "identity-sketches")
     MON.write_identity_sketches(events, root)
     return MON.shared_identities(events, MON.read_identity_sketches(spark, root, FROM_DAY, TO_DAY), FROM_DAY, TO_DAY)
 
 
 def _csv_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    search = R.user_search(_audit(spark, sf_dir), _search_pred())
+    search = R.user_search(_staging(spark, sf_dir), _search_pred())
     root = scratch_path(spark, "export")
     R.export_csv(search, root)
     return (spark.read.schema(search.schema).option("header", True).option("escape", '"')
@@ -280,37 +281,37 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "tier_counts": _inputs_q(lambda i: CL.tier_counts(EN.staging(i.trail, i.history), i.tiers)),
         "classified_only": lambda s, d: R.latest_events(_audit(s, d), classified_only=True),
         "latest_events": lambda s, d: R.latest_events(_audit(s, d)),
-        "summary": lambda s, d: R.summary(_audit(s, d), _range_pred()),
-        "queries_per_user_status": lambda s, d: R.queries_per_user_status(_audit(s, d), _range_pred()),
-        "status_breakdown": lambda s, d: R.status_breakdown(_audit(s, d), _range_pred()),
-        "queries_per_day": lambda s, d: R.queries_per_day(_audit(s, d), _range_pred()),
-        "workgroup_usage": lambda s, d: R.workgroup_usage(_audit(s, d), _range_pred()),
-        "cost_per_user": lambda s, d: R.cost_per_user(_audit(s, d), _range_pred()),
-        "available_users": lambda s, d: R.available_users(_audit(s, d), FROM_DAY, TO_DAY),
-        "available_workgroups": lambda s, d: R.available_workgroups(_audit(s, d), FROM_DAY, TO_DAY),
-        "distinct_users": lambda s, d: R.distinct_users(_audit(s, d)),
-        "distinct_workgroups": lambda s, d: R.distinct_workgroups(_audit(s, d)),
-        "user_search": lambda s, d: R.user_search(_audit(s, d), _search_pred()),
-        "search_status_summary": lambda s, d: R.search_status_summary(R.user_search(_audit(s, d), _search_pred())),
-        "top_users_by_scan": lambda s, d: R.top_users_by_scan(_audit(s, d), AS_OF),
-        "cost_listing": lambda s, d: R.cost_listing(_audit(s, d)),
-        "audit_report": lambda s, d: R.audit_report(_audit(s, d)),
-        "adhoc_rollup": lambda s, d: R.adhoc_rollup(_audit(s, d), FROM_DAY),
-        "events_count": lambda s, d: R.events_count(_audit(s, d), FROM_DAY, TO_DAY),
-        "latest_partition": lambda s, d: R.latest_day(_audit(s, d)),
-        "run_report": lambda s, d: R.events_run_report(_audit(s, d), FROM_DAY, TO_DAY),
-        "summary_no_cost": lambda s, d: R.summary(_audit(s, d), _range_pred(), with_cost=False),
-        "workgroup_usage_by_gb": lambda s, d: R.workgroup_usage(_audit(s, d), _range_pred(), with_cost=False),
-        "user_search_no_cost": lambda s, d: R.user_search(_audit(s, d), _search_pred(), with_cost=False),
-        "search_total_cost": lambda s, d: R.search_total_cost(R.user_search(_audit(s, d), _search_pred())),
-        "cross_day_duplicates": lambda s, d: R.cross_day_duplicates(_audit(s, d)),
+        "summary": lambda s, d: R.summary(_staging(s, d), _range_pred()),
+        "queries_per_user_status": lambda s, d: R.queries_per_user_status(_staging(s, d), _range_pred()),
+        "status_breakdown": lambda s, d: R.status_breakdown(_staging(s, d), _range_pred()),
+        "queries_per_day": lambda s, d: R.queries_per_day(_staging(s, d), _range_pred()),
+        "workgroup_usage": lambda s, d: R.workgroup_usage(_staging(s, d), _range_pred()),
+        "cost_per_user": lambda s, d: R.cost_per_user(_staging(s, d), _range_pred()),
+        "available_users": lambda s, d: R.available_users(_staging(s, d), FROM_DAY, TO_DAY),
+        "available_workgroups": lambda s, d: R.available_workgroups(_staging(s, d), FROM_DAY, TO_DAY),
+        "distinct_users": lambda s, d: R.distinct_users(_staging(s, d)),
+        "distinct_workgroups": lambda s, d: R.distinct_workgroups(_staging(s, d)),
+        "user_search": lambda s, d: R.user_search(_staging(s, d), _search_pred()),
+        "search_status_summary": lambda s, d: R.search_status_summary(R.user_search(_staging(s, d), _search_pred())),
+        "top_users_by_scan": lambda s, d: R.top_users_by_scan(_staging(s, d), AS_OF),
+        "cost_listing": lambda s, d: R.cost_listing(_staging(s, d)),
+        "audit_report": lambda s, d: R.audit_report(_staging(s, d)),
+        "adhoc_rollup": lambda s, d: R.adhoc_rollup(_staging(s, d), FROM_DAY),
+        "events_count": lambda s, d: R.events_count(_staging(s, d), FROM_DAY, TO_DAY),
+        "latest_partition": lambda s, d: R.latest_day(_staging(s, d)),
+        "run_report": lambda s, d: R.events_run_report(_staging(s, d), FROM_DAY, TO_DAY),
+        "summary_no_cost": lambda s, d: R.summary(_staging(s, d), _range_pred(), with_cost=False),
+        "workgroup_usage_by_gb": lambda s, d: R.workgroup_usage(_staging(s, d), _range_pred(), with_cost=False),
+        "user_search_no_cost": lambda s, d: R.user_search(_staging(s, d), _search_pred(), with_cost=False),
+        "search_total_cost": lambda s, d: R.search_total_cost(R.user_search(_staging(s, d), _search_pred())),
+        "cross_day_duplicates": lambda s, d: R.cross_day_duplicates(_staging(s, d)),
         "history_day": lambda s, d: history_rows(derived_executions(s, d)),
         "history_scan": _history_scan,
         "trail_scan": _trail_scan,
         "events_sink_roundtrip": _events_roundtrip,
         "backfill": _backfill,
         "csv_export": _csv_export,
-        "user_search_filtered": lambda s, d: R.user_search(_audit(s, d), P.search_filter(
+        "user_search_filtered": lambda s, d: R.user_search(_staging(s, d), P.search_filter(
             FROM_DAY, TO_DAY, query_contains=SEARCH_TEXT, **SEARCHED)),
         "text_search": _text_search,
         "adhoc_sql": lambda s, d: R.adhoc_sql(_audit(s, d), ADHOC),
@@ -324,12 +325,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "catalog_report": _catalog_report,
         "backfill_shrunk": _backfill_shrunk,
         "latest_partition_name": _latest_partition_name,
-        "scan_scores": lambda s, d: MON.scan_scores(_audit(s, d), FROM_DAY, TO_DAY),
-        "scan_anomalies": lambda s, d: MON.scan_anomalies(_audit(s, d), FROM_DAY, TO_DAY),
-        "failure_rate": lambda s, d: MON.failure_rate(_audit(s, d), _range_pred()),
+        "scan_scores": lambda s, d: MON.scan_scores(_staging(s, d), FROM_DAY, TO_DAY),
+        "scan_anomalies": lambda s, d: MON.scan_anomalies(_staging(s, d), FROM_DAY, TO_DAY),
+        "failure_rate": lambda s, d: MON.failure_rate(_staging(s, d), _range_pred()),
         "shared_identities": _shared_identities,
-        "unused_grants": lambda s, d: G.unused_grants(derived_grants(s, d), _audit(s, d)),
-        "grant_usage": lambda s, d: G.grant_usage(derived_grants(s, d), _audit(s, d)),
+        "unused_grants": lambda s, d: G.unused_grants(derived_grants(s, d), _staging(s, d)),
+        "grant_usage": lambda s, d: G.grant_usage(derived_grants(s, d), _staging(s, d)),
         **(_llm.queries() if _llm else {}),
     }
 

@@ -117,12 +117,12 @@ def heavy_keys(trail: DataFrame, history: DataFrame, cfg: AuditConfig = AuditCon
               .select("region", "day", X.trail_query_id().alias("query_id")))
     rows = history.where(P.all_of(P.in_days(days), P.in_regions(regions))).select("region", "day", "query_id")
 
-    def heaviest(ids: DataFrame) -> dict[str, int]:
-        top = F.expr(f"approx_top_k(_key, {HEAVY_KEYS}, {SKETCHED_KEYS})")
-        found = ids.where(F.col("query_id").isNotNull()).select(_whole_key().alias("_key")).agg(top.alias("t")).first()["t"]
-        return {x["item"]: x["count"] for x in found or [] if x["count"] > cfg.heavy_rows}
-
-    t, h = heaviest(starts), heaviest(rows)
+    ids = starts.withColumn("_side", F.lit("t")).unionByName(rows.withColumn("_side", F.lit("h")))
+    top = F.expr(f"approx_top_k(_key, {HEAVY_KEYS}, {SKETCHED_KEYS})")
+    found = (ids.where(F.col("query_id").isNotNull()).select("_side", _whole_key().alias("_key"))
+             .groupBy("_side").agg(top.alias("top")).collect())
+    heaviest = {r["_side"]: {x["item"]: x["count"] for x in r["top"] if x["count"] > cfg.heavy_rows} for r in found}
+    t, h = heaviest.get("t", {}), heaviest.get("h", {})
     most = max([*t.values(), *h.values()], default=0)
     return HeavyKeys(tuple(k for k in t if t[k] >= h.get(k, 0)), tuple(k for k in h if h[k] > t.get(k, 0)),
                      min(MOST_SPLITS, max(2, -(-most // cfg.heavy_rows))) if most else 1)

@@ -66,7 +66,7 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
       cores, so each reducer's sort / window buffer fits in executor memory;
       adaptive execution then coalesces small ones and splits skewed ones;
     * file splits of the same size for splittable inputs (Parquet);
-    * broadcast only below 64 MB (the tier map is checked separately by rows).
+    * broadcast only below 64 MB.
     """
     parts = max(2 * total_cores, -(-input_bytes // target_partition_bytes))
     return {
