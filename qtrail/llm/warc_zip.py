@@ -46,7 +46,7 @@ from qtrail.session import scratch_path
 
 ARCHIVE, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 MIN_REVISIT = 1000
-SPLIT_ROWS = 4096  # index rows per read task, about
+SPLIT_BYTES = 16 << 20  # of a package, read by one task
 DATE = "2024-01-01T00:00:00Z"
 
 
@@ -285,6 +285,7 @@ def archive_round_trip(pages: DataFrame, min_revisit: int = MIN_REVISIT, with_pa
         root = root.removeprefix("file:")
     manifest = write_packages(with_revisits(pages, min_revisit), root)
     index = materialize(read_index(manifest, root), "warc-index")
-    tasks = max(1, -(-index.count() // SPLIT_ROWS))
-    spread = index.repartitionByRange(tasks, "path", "offset").sortWithinPartitions("path", "offset")
+    # Neighbouring records of a package are read by one task, in order.
+    spread = (index.withColumn("_part", F.floor(F.col("offset") / SPLIT_BYTES)).repartition("path", "_part")
+              .sortWithinPartitions("path", "offset").drop("_part"))
     return read_records(spread, root, with_payload)
