@@ -235,9 +235,20 @@ def main(argv=None) -> None:
     r.add_argument("--show", type=int, default=2**31 - 2)
     a = ap.parse_args(argv)
 
-    from qtrail.operators.reports import export_csv
-    from qtrail.session import apply_conf, build_session, cluster_conf
+    from pyspark.sql import SparkSession
+    from qtrail.session import build_session, clean_scratch
+    own = SparkSession.getActiveSession() is None
     spark = build_session(master=a.master)
+    try:
+        run(spark, a)
+    finally:
+        if own:  # not in a session that others go on with
+            clean_scratch(spark)
+
+
+def run(spark, a) -> None:
+    from qtrail.operators.reports import export_csv
+    from qtrail.session import apply_conf, cluster_conf
     if a.input_bytes:
         cores = a.total_cores or spark.sparkContext.defaultParallelism
         apply_conf(spark, cluster_conf(a.input_bytes, cores))

@@ -52,10 +52,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint location."""
+def scratch_root(spark: SparkSession) -> str:
+    """The application's own folder under the shared checkpoint location."""
     base = spark.conf.get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
-    return f"{base.rstrip('/')}/qtrail/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{base.rstrip('/')}/qtrail/{spark.sparkContext.applicationId}"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for a table of this application."""
+    return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clean_scratch(spark: SparkSession) -> bool:
+    """Remove all scratch tables of this application, at its end: frames that
+    read them can run no more."""
+    from qtrail.sources.folders import delete
+    return delete(spark, [scratch_root(spark)]) > 0
 
 
 def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict:

@@ -10,9 +10,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark():
-    from qtrail.session import build_session
+    from qtrail.session import build_session, clean_scratch
     s = build_session(master="local[4]", shuffle_partitions=8, app="qtrail-tests")
     yield s
+    clean_scratch(s)
 
 
 @pytest.fixture(scope="session")

@@ -239,3 +239,13 @@ def test_cli_builds_into_the_catalog(spark, tmp_path, capsys):
         assert out["created"] and [t["planned"] for t in out["tables"]] == [True] * 4
     finally:
         spark.sql("DROP DATABASE IF EXISTS qtrail_cli CASCADE")
+
+
+def test_scratch_is_the_applications_own_and_goes(spark):
+    from qtrail.session import clean_scratch, scratch_path, scratch_root
+    other = spark.newSession()
+    path = scratch_path(other, "x")
+    assert path.startswith(scratch_root(spark)) and spark.sparkContext.applicationId in path
+    spark.range(3).write.parquet(path)
+    assert PUB.FS.exists(spark, path)
+    assert clean_scratch(spark) and not PUB.FS.exists(spark, path) and not clean_scratch(spark)
