@@ -1,6 +1,7 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-Method. A text is cut into words where no piece can span; the distinct words
+Method. A text is cut into words where no piece can span (at white space, and
+between two characters that stand side by side in no piece); the distinct words
 are exploded into substrings of bounded length, which are equi-joined to the
 piece table; the edges found are grouped by word into a lattice, and a
 higher-order ``aggregate`` folds over it, by the kind of the model:
@@ -49,6 +50,7 @@ from qtrail.llm.common import materialize, slices, tokenizer_file
 MARK = "▁"
 LONG = 60
 CHUNK = 16 << 20
+TASK_WORDS = 20_000
 UNIGRAM, BPE = 1, 2
 UNKNOWN_COST = 10.0  # under the worst score, for a character without a piece
 
@@ -253,6 +255,21 @@ def _words(text: str | None, pattern: re.Pattern) -> list[str]:
     return pattern.findall(MARK + text.replace(" ", MARK)) if text else []
 
 
+def inner_pairs(table: list[tuple[int, str, float, bool]]) -> frozenset[str]:
+    """Neighbouring characters within pieces: no piece spans any other two."""
+    return frozenset(p[i:i + 2] for _, p, _, byte in table if not byte for i in range(len(p) - 1))
+
+
+def cut_word(word: str, pairs: frozenset[str]) -> list[str]:
+    out, at = [], 0
+    for i in range(1, len(word)):
+        if word[i - 1:i + 1] not in pairs:
+            out.append(word[at:i])
+            at = i
+    out.append(word[at:])
+    return out
+
+
 def _chunked(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``row, chunk, key, text``: rows numbered, and dealt to chunks of
     ``CHUNK`` bytes, within each task."""
@@ -277,15 +294,15 @@ def _chunked(docs: DataFrame, key: str, text: str) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
-def chunk_words(chunked: DataFrame, pattern: str) -> DataFrame:
+def chunk_words(chunked: DataFrame, pattern: str, pairs: frozenset[str]) -> DataFrame:
     """``chunk, word``: the distinct words of each chunk (its rows stand
-    together in one task)."""
+    together in one task; a chunk read in two parts has some words twice)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = re.compile(pattern)
         current, found = None, set()
 
         def out() -> pa.RecordBatch:
-            words = sorted(found)
+            words = sorted({part for word in found for part in cut_word(word, pairs)})
             return pa.RecordBatch.from_arrays([pa.array([current] * len(words), pa.int64()), pa.array(words, pa.string())],
                                               names=["chunk", "word"])
 
@@ -299,8 +316,7 @@ def chunk_words(chunked: DataFrame, pattern: str) -> DataFrame:
         if found:
             yield out()
 
-    # A file may be read in parts: a chunk that comes twice has words twice.
-    return chunked.select("chunk", "text").mapInArrow(run, "chunk long, word string").distinct()
+    return chunked.select("chunk", "text").mapInArrow(run, "chunk long, word string")
 
 
 def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -315,10 +331,12 @@ def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text:
 def encode_with(docs: DataFrame, table: list[tuple[int, str, float, bool]], kind: int, key: str = "doc_id",
                 text: str = "text") -> DataFrame:
     """``encode`` with a piece table and the kind of its model."""
-    pattern = word_pattern(table)
+    pattern, pairs = word_pattern(table), inner_pairs(table)
     chunked = materialize(_chunked(docs, key, text), "chunked-texts")
-    found = materialize(chunk_words(chunked, pattern), "chunk-words")
-    known = materialize(word_ids(found.select("word").distinct(), table, kind), "word-ids")
+    found = materialize(chunk_words(chunked, pattern, pairs), "chunk-words")
+    # The lattice is long work on few bytes: tasks are counted by words.
+    tasks = max(1, -(-found.count() // TASK_WORDS))
+    known = materialize(word_ids(found.select("word").repartition(tasks, "word").distinct(), table, kind), "word-ids")
     dictionary = found.join(known, "word").select("chunk", "word", "ids")
     schema = T.StructType([chunked.schema["row"], T.StructField(key, chunked.schema["key"].dataType),
                            T.StructField("ids", T.ArrayType(T.IntegerType()))])
@@ -328,9 +346,14 @@ def encode_with(docs: DataFrame, table: list[tuple[int, str, float, bool]], kind
         ids = words.column("ids").combine_chunks()
         ids = ids if isinstance(ids, pa.ListArray) else pa.concat_arrays(ids.chunks or [pa.array([], pa.list_(pa.int32()))])
         place = {w: i for i, w in enumerate(words.column("word").to_pylist())}
+        of_word: dict[str, list[int]] = {}
         at, counts = [], []
         for t in texts.column("text").to_pylist():
-            mine = [place[w] for w in _words(t, find)]
+            mine: list[int] = []
+            for w in _words(t, find):
+                if (places := of_word.get(w)) is None:
+                    places = of_word[w] = [place[part] for part in cut_word(w, pairs)]
+                mine += places
             at.append(np.array(mine, np.int32))
             counts.append(len(mine))
         taken = ids.take(pa.array(np.concatenate(at) if at else np.empty(0, np.int32)))
