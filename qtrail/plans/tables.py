@@ -66,8 +66,8 @@ def create_table(spark: SparkSession, tables: TableSet, kind: str) -> None:
         spark.sql(f"CREATE TABLE {files} (value string, {parts}) USING text OPTIONS (wholetext 'true') "
                   f"PARTITIONED BY ({keys}) LOCATION '{place}'")
         spark.sql(f"CREATE VIEW {name} AS SELECT r.*, {keys} FROM (SELECT explode({TRAIL.RECORDS_SQL}) AS r, {keys} FROM ("
-                  f"SELECT {TRAIL.USED_SQL} AS used, {keys} FROM (SELECT *, {TRAIL.WHOLE_SQL} AS whole FROM ("
-                  f"SELECT *, {TRAIL.PARTS_SQL} AS parts FROM {files}))))")
+                  f"SELECT explode({TRAIL.USED_SQL}) AS text, {keys} FROM ("
+                  f"SELECT *, {TRAIL.PARTS_SQL} AS parts FROM {files})))")
         return
     schema, fmt, keys = {"history": (HISTORY, "json", HISTORY_PARTITIONS), "events": (EVENTS, "parquet", EVENT_PARTITIONS),
                          "events_staging": (STAGING, "parquet", EVENT_PARTITIONS)}[kind]

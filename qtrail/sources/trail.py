@@ -11,11 +11,13 @@ Only the requested (region, day) folders are listed: the reader builds one
 brace-glob over them instead of listing the whole trail root.
 
 A file is read as one text (delivered files are small, and compressed ones
-cannot be split anyway) and cut before each line that begins with ``{``; a
-part that cannot be parsed, or holds no records, is what ``trail_quarantine``
-returns, with its raw text. Where the first part is broken and the whole file
-is not, the cut was wrong (nested braces without indentation) and the whole
-file counts. Records beside a broken part are kept.
+cannot be split anyway) and cut before each line that begins with ``{``; the
+parts are then rows of their own, parsed one by one. The writers here keep
+files small too (``FILE_RECORDS``), whatever a day holds. A part that cannot
+be parsed, or holds no records, is what ``trail_quarantine`` returns, with its
+raw text. Where the first part is broken and the whole file is not, the cut
+was wrong (nested braces without indentation) and the whole file counts.
+Records beside a broken part are kept.
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from qtrail.functions.columns import day_parts
 from qtrail.schemas import TRAIL, TRAIL_FILE, TRAIL_RECORD
 from qtrail.sources import folders as FS
 
+FILE_RECORDS = 5_000  # of a written file: a reader holds its whole text
 _PATH_RE = r"/(?:region=)?([^/]+)/(?:year=)?(\d{4})/(?:month=)?(\d{2})/(?:day=)?(\d{2})/[^/]*$"
 
 
@@ -84,23 +87,24 @@ def _parsed(text: str) -> str:
     return f"from_json({text}, '{_FILE}', map('mode', 'PERMISSIVE', 'columnNameOfCorruptRecord', '_corrupt'))"
 
 
-# Steps from a file's text ``value`` to its parts (text, file), as SQL: the
-# catalog's view of the trail is made of the same.
-PARTS_SQL = ("transform(filter(split(value, '[\r]?\n(?=[{])'), c -> c RLIKE '[^ \\t\\r\\n]'), "
-             f"c -> named_struct('text', c, 'file', {_parsed('c')}))")
-WHOLE_SQL = f"CASE WHEN size(parts) > 1 AND parts[0].file._corrupt IS NOT NULL THEN {_parsed('value')} END"
-USED_SQL = ("CASE WHEN whole._corrupt IS NULL AND whole.Records IS NOT NULL "
-            "THEN array(named_struct('text', value, 'file', whole)) ELSE parts END")
-RECORDS_SQL = "filter(flatten(transform(used, p -> coalesce(p.file.Records, array()))), r -> r IS NOT NULL)"
+# Steps from a file's text ``value`` to the texts of its parts, and from such
+# a ``text`` to records, as SQL: the catalog's view of the trail is made of the
+# same. Parts are parsed one row at a time, so that beside a file's text no
+# more than one part's records are held.
+PARTS_SQL = "filter(split(value, '[\r]?\n(?=[{])'), c -> c RLIKE '[^ \\t\\r\\n]')"
+USED_SQL = (f"CASE WHEN size(parts) > 1 AND {_parsed('parts[0]')}._corrupt IS NOT NULL "
+            f"AND exists(array({_parsed('value')}), w -> w._corrupt IS NULL AND w.Records IS NOT NULL) "
+            "THEN array(value) ELSE parts END")
+RECORDS_SQL = f"filter(coalesce({_parsed('text')}.Records, array()), r -> r IS NOT NULL)"
 
 
 class BadTrailParts(ValueError):
     """More parts of trail files than allowed could not be read."""
 
 
-def trail_files(spark: SparkSession, root: str, days=None, regions=None, layout: str = "native") -> DataFrame:
-    """``file, region, day, used``: one row per file with its parsed parts."""
-    schema = "file string, region string, day string, used array<struct<text: string, file: struct<%s>>>" % _FILE
+def trail_parts(spark: SparkSession, root: str, days=None, regions=None, layout: str = "native") -> DataFrame:
+    """``file, region, day, part, text``: one row per part of a file."""
+    schema = "file string, region string, day string, part int, text string"
     path = trail_glob(root, days, regions, layout)
     try:
         raw = spark.read.text(path, wholetext=True)
@@ -112,26 +116,25 @@ def trail_files(spark: SparkSession, root: str, days=None, regions=None, layout:
     day = F.concat_ws("-", *[F.regexp_extract(p, _PATH_RE, i) for i in (2, 3, 4)])
     parts = raw.select(p.alias("file"), F.regexp_extract(p, _PATH_RE, 1).alias("region"), day.alias("day"), "value",
                        F.expr(PARTS_SQL).alias("parts"))
-    return (parts.withColumn("whole", F.expr(WHOLE_SQL)).withColumn("used", F.expr(USED_SQL))
-            .select("file", "region", "day", "used"))
+    return parts.select("file", "region", "day", F.posexplode(F.expr(USED_SQL)).alias("part", "text"))
 
 
 def read_trail(spark: SparkSession, root: str, days=None, regions=None, layout: str = "native") -> DataFrame:
     """Trail records with ``region`` and ``day`` ('YYYY-MM-DD') columns."""
-    files = trail_files(spark, root, days, regions, layout)
-    rec = files.select("region", "day", F.explode(F.expr(RECORDS_SQL)).alias("r"))
+    parts = trail_parts(spark, root, days, regions, layout)
+    rec = parts.select("region", "day", F.explode(F.expr(RECORDS_SQL)).alias("r"))
     return rec.select(*[F.col(f"r.{f.name}").alias(f.name) for f in TRAIL_RECORD.fields], "region", "day")
 
 
 def trail_quarantine(spark: SparkSession, root: str, days=None, regions=None, layout: str = "native") -> DataFrame:
     """``file, region, day, part, reason, text`` of the parts that do not
     parse (``corrupt``) or hold no ``Records`` (``no_records``)."""
-    files = trail_files(spark, root, days, regions, layout)
-    part = files.select("file", "region", "day", F.posexplode("used").alias("part", "p"))
-    reason = (F.when(F.col("p.file._corrupt").isNotNull() | F.col("p.file").isNull(), F.lit("corrupt"))
-              .when(F.col("p.file.Records").isNull(), F.lit("no_records")))
-    return (part.withColumn("reason", reason).where(F.col("reason").isNotNull())
-            .select("file", "region", "day", "part", "reason", F.col("p.text").alias("text")))
+    parts = trail_parts(spark, root, days, regions, layout)
+    # exploded, not a column: a part is parsed once
+    reasons = (f"transform(array({_parsed('text')}), f -> CASE WHEN f._corrupt IS NOT NULL OR f IS NULL THEN 'corrupt' "
+               "WHEN f.Records IS NULL THEN 'no_records' END)")
+    return (parts.select("file", "region", "day", "part", F.explode(F.expr(reasons)).alias("reason"), "text")
+            .where(F.col("reason").isNotNull()))
 
 
 def set_aside(spark: SparkSession, root: str, target: str, days=None, regions=None, layout: str = "native",
@@ -155,7 +158,7 @@ def write_trail(df: DataFrame, root: str, mode: str = "overwrite", compression:
     out = df.select(rec.alias("Records"), "region", y.alias("year"), m.alias("month"), d.alias("day"))
     parts = ("region", "year", "month", "day")
     (out.hint("rebalance", *parts).write.mode(mode).option("compression", compression)
-        .partitionBy(*parts).json(root))
+        .option("maxRecordsPerFile", FILE_RECORDS).partitionBy(*parts).json(root))
 
 
 def write_trail_delivery(df: DataFrame, root: str, per_object: int = 50) -> None:
@@ -172,7 +175,7 @@ def write_trail_delivery(df: DataFrame, root: str, per_object: int = 50) -> None
     objects = rows.groupBy(*names, "_object").agg(F.collect_list("r").alias("Records")).drop("_object")
     version = f"{root.rstrip('/')}/_version/{uuid.uuid4().hex}"
     (objects.hint("rebalance", *names).write.mode("error").option("compression", "gzip")
-     .partitionBy(*names).json(version))
+     .option("maxRecordsPerFile", max(1, FILE_RECORDS // per_object)).partitionBy(*names).json(version))
     for path in FS.matching(spark, "/".join([version, *(f"{k}=*" for k in names)])):
         FS.move(spark, path, "/".join([root.rstrip("/"), *FS.partition_values(path, names)]))
     FS.delete(spark, [version])

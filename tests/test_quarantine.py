@@ -7,6 +7,8 @@ import os
 
 import pytest
 
+from qtrail.schemas import TRAIL
+from qtrail.sources import trail as T
 from qtrail.sources.trail import BadTrailParts, read_trail, set_aside, trail_quarantine
 from tests.fixtures import GOLDEN_RECORD
 
@@ -108,3 +110,26 @@ def test_cli_quarantine(spark, tmp_path, capsys):
     assert out["unreadable"] == 1 and out["events"] == 2
     with pytest.raises(BadTrailParts):
         main([*args, "--max-bad", "0"])
+
+
+@pytest.mark.parametrize("layout", ["hive", "native"])
+def test_written_files_stay_small_however_large_a_day(spark, tmp_path, layout):
+    n, root = 2 * T.FILE_RECORDS + 7, str(tmp_path / "t")
+    one = spark.createDataFrame([{f.name: GOLDEN_RECORD.get(f.name) for f in TRAIL.fields} | {
+        "requestParameters": "{}", "responseElements": "{}", "region": "us-east-1", "day": DAY}], TRAIL)
+    rows = spark.range(n, numPartitions=1).crossJoin(one).drop("id")
+    (T.write_trail if layout == "hive" else T.write_trail_delivery)(rows, root)
+    held = [sum(len(json.loads(line)["Records"]) for line in gzip.open(f, "rt")) for f in (tmp_path / "t").rglob("*.json.gz")]
+    assert sum(held) == n and max(held) <= T.FILE_RECORDS
+    assert read_trail(spark, root, layout=layout).count() == n
+    assert trail_quarantine(spark, root, layout=layout).count() == 0
+
+
+def test_parts_are_rows_before_they_are_parsed(spark, tmp_path):
+    put(str(tmp_path), "lines.json", "\n".join([*(json.dumps(named(f"i{i}")) for i in range(50)), '{"Records": [']))
+    parts = T.trail_parts(spark, str(tmp_path))
+    assert {f.name: f.dataType.simpleString() for f in parts.schema.fields}["text"] == "string"
+    assert sorted(r.part for r in parts.collect()) == list(range(51))
+    [bad] = trail_quarantine(spark, str(tmp_path)).collect()
+    assert (bad.part, bad.reason, bad.text) == (50, "corrupt", '{"Records": [')
+    assert ids(read_trail(spark, str(tmp_path))) == sorted(f"i{i}" for i in range(50))
