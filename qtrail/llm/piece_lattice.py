@@ -1,30 +1,29 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
 Method. A text is cut into words where no piece can span (at white space, and
-between two characters that stand side by side in no piece); the distinct words
-are exploded into substrings of bounded length, which are equi-joined to the
-piece table; the edges found are grouped by word into a lattice, and a
-higher-order ``aggregate`` folds over it, by the kind of the model:
+at characters that are part of no longer piece). The substrings of
+bounded length of many distinct words at once are joined to the piece table,
+by array keys; the edges found are the words' lattices, and a fold goes over
+all of them together, by the kind of the model:
 
 * unigram: Viterbi, position by position: the best score of a path that ends
-  there, and the edge it ends with; a second fold walks back;
+  there, and where its last edge starts; then it walks back;
 * BPE: its library does not take the path of the best score sum, so the fold
   merges: from single characters, each step takes the edge of the best score
-  (leftmost of equals) that spans exactly two neighbouring symbols. The state
-  is a bit mask of symbol boundaries.
-
-Characters without a piece fall back to byte pieces. Words of more than
-``LONG`` characters do not fit the mask; an Arrow function folds these by the
-same rules, in n log n steps. Decoding takes pieces by id and strings their
-bytes together.
-
-Scale. Texts are dealt to chunks of about ``CHUNK`` bytes, in their input
-order, and written once with the number of their chunk. A chunk gives its
-distinct words; all distinct words (a number that grows slower than the text)
-pass the lattice once; the pairs (chunk, word), joined to the ids, come back
-to their chunk as its dictionary, and meet its texts there. So a frequent word
-costs one row a chunk, whatever its number, texts are shuffled once, and a
-task holds one chunk: some megabytes, or one longer text. Decoding is a map.
+  (leftmost of equals) that spans exactly two neighbouring symbols.
+
+The state is a bit mask of symbol boundaries for each word. Characters without
+a piece fall back to byte pieces. Words of more than ``LONG`` characters do
+not fit the mask; they are cut between two characters that stand side by side
+in no piece, and what is still long is folded by itself, in n log n steps.
+Decoding takes pieces by id and strings their bytes together.
+
+Scale. Both ways are maps over the rows: nothing is shuffled or written aside,
+for the words of natural text are so many that a dictionary of their ids,
+joined back to the texts, is larger than the texts (measured: 3.8 x the input
+on disk). A worker keeps the ids of the words it met first, by count bounded;
+the others pass the lattice where they stand, some thousands together. A task
+holds ``CHUNK`` bytes of texts, or one longer text.
 
 Defined results: a null or empty text has no pieces; repeated rows stay apart
 (row ids); an empty table gives an empty result. Spaces and the piece mark are
@@ -33,24 +32,27 @@ one and the same, as in the library.
 
 from __future__ import annotations
 
+import gc
 import heapq
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from qtrail.llm.common import materialize, slices, tokenizer_file
+from qtrail.llm.common import by_bytes, slices, tokenizer_file
 
 MARK = "▁"
 LONG = 60
-CHUNK = 16 << 20
-TASK_WORDS = 20_000
+CHUNK = 4 << 20  # bytes of texts whose words are looked up together
+LATTICE_WORDS = 8_192  # folded together
+MEMO_WORDS = 400_000  # kept words of a worker, some 80 MB
 UNIGRAM, BPE = 1, 2
 UNKNOWN_COST = 10.0  # under the worst score, for a character without a piece
 
@@ -157,97 +159,157 @@ def best_path_plainly(word: str, scores: dict[str, float], longest: int, unknown
 
 
 # -- lattice -----------------------------------------------------------------
-def _byte_ids(char: Column, base: int) -> Column:
-    code = F.hex(F.encode(char, "UTF-8"))
-    return F.transform(F.sequence(F.lit(0), F.octet_length(char) - 1), lambda j: (
-        F.conv(code.substr(j * 2 + 1, F.lit(2)), 16, 10).cast("int") + base))
-
-
-def _edges(words: DataFrame, pieces: DataFrame, longest: int) -> DataFrame:
-    """``word, s, e, id, score`` of every piece within a word, and of every
-    character (``id`` NULL where it is no piece)."""
-    n = F.char_length("word")
-    spans = (words.select("word", F.explode(F.sequence(F.lit(0), n - 1)).alias("s"))
-             .select("word", "s", F.explode(F.sequence(F.col("s") + 1, F.least(n, F.col("s") + longest))).alias("e"))
-             .withColumn("piece", F.col("word").substr(F.col("s") + 1, F.col("e") - F.col("s"))))
-    found = spans.join(F.broadcast(pieces), "piece", "left")  # the model fixes the table
-    return found.where(F.col("id").isNotNull() | (F.col("e") - F.col("s") == 1)).drop("piece")
-
-
-def _cut_ids(cut: DataFrame, byte_base: int) -> DataFrame:
-    """``word, ids`` of ``word, edges, at``: the ids of the edges between the
-    boundaries ``at``, or bytes where there is none."""
-    symbol = lambda p, i: F.get(F.filter("edges", lambda e: (
-        e["s"] == p) & (e["e"] == F.get(F.col("at"), i + 1))), F.lit(0))["id"]
-    ids = F.flatten(F.transform(F.slice("at", F.lit(1), F.size("at") - 1), lambda p, i: F.coalesce(
-        F.when(symbol(p, i).isNotNull(), F.array(symbol(p, i))), _byte_ids(F.col("word").substr(p + 1, F.lit(1)), byte_base))))
-    return cut.select("word", ids.alias("ids"))
-
-
-def merged_ids(words: DataFrame, pieces: DataFrame, longest: int, byte_base: int) -> DataFrame:
-    """``word, ids`` for distinct words of at most ``LONG`` characters, by
-    merging."""
-    n = F.char_length("word")
-    # shiftleft of a long, by column: powers of two.
-    bit = lambda p: F.expr("1L") * F.pow(F.lit(2.0), p).cast("long")
-    edge = F.struct((-F.col("score")).alias("cost"), "s", "e", "id", (bit(F.col("s")) + bit(F.col("e"))).alias("ends"),
-                    (bit(F.col("e")) - bit(F.col("s") + 1)).alias("inner"))
-    lattice = (_edges(words, pieces, longest).groupBy("word")
-               .agg(F.sort_array(F.collect_list(F.when(F.col("id").isNotNull(), edge))).alias("edges"))
-               .withColumn("merges", F.filter("edges", lambda e: e["e"] - e["s"] > 1)))
-    merges = F.col("merges")
-    open_ = lambda mask: F.filter(merges, lambda m: (
-        mask.bitwiseAND(m["ends"]) == m["ends"]) & (F.bit_count(mask.bitwiseAND(m["inner"])) == 1))
-    folded = F.aggregate(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), bit(n + 1) - 1, lambda mask, _: F.coalesce(
-        mask.bitwiseAND(F.bitwise_not(F.get(open_(mask), F.lit(0))["inner"])), mask))
-    return _cut_ids(lattice.withColumn("mask", folded).withColumn(
-        "at", F.filter(F.sequence(F.lit(0), n), lambda p: F.col("mask").bitwiseAND(bit(p)) != 0)), byte_base)
-
-
-def viterbi_ids(words: DataFrame, pieces: DataFrame, longest: int, byte_base: int, unknown: float) -> DataFrame:
-    """``word, ids`` for distinct words, by the best sum of scores; of equal
-    paths the one whose last piece is longest. A character without a piece is
-    an edge of score ``unknown``."""
-    n = F.char_length("word")
-    edge = F.struct("s", "e", "id", F.coalesce("score", F.lit(unknown)).alias("score"))
-    lattice = _edges(words, pieces, longest).groupBy("word").agg(F.collect_list(edge).alias("edges"))
-    state = "array<struct<score: double, back: int>>"  # by position: the best path to it, and where its last edge starts
-
-    def step(best: Column, e: Column) -> Column:
-        ending = F.filter("edges", lambda x: x["e"] == e)
-        paths = F.transform(ending, lambda x: F.named_struct(
-            F.lit("score"), F.get(best, x["s"])["score"] + x["score"], F.lit("back"), -x["s"]))
-        top = F.array_max(paths)
-        return F.concat(best, F.array(F.named_struct(F.lit("score"), top["score"], F.lit("back"), -top["back"])))
-
-    first = F.array(F.struct(F.lit(0.0).alias("score"), F.lit(0).alias("back"))).cast(state)
-    best = F.aggregate(F.sequence(F.lit(1), n), first, lambda a, e: step(a, e).cast(state))
-    walked = F.aggregate(F.sequence(F.lit(1), n), F.array(n), lambda at, _: F.when(
-        F.get(at, F.lit(0)) > 0, F.concat(F.array(F.get(F.col("best"), F.get(at, F.lit(0)))["back"]), at)).otherwise(at))
-    return _cut_ids(lattice.withColumn("best", best).withColumn("at", walked), byte_base)
-
-
-def word_ids(words: DataFrame, table: list[tuple[int, str, float, bool]], kind: int) -> DataFrame:
-    """``word, ids`` of distinct words of any length."""
-    spark = words.sparkSession
-    plain = [(p, i, float(s)) for i, p, s, byte in table if not byte]
-    byte_base = next((i for i, p, _, byte in table if byte and p == "<0x00>"), 0)
-    pieces = spark.createDataFrame(plain, "piece string, id int, score double")
-    longest = max(len(p) for p, _, _ in plain)
-    unknown = min(s for _, _, s in plain) - UNKNOWN_COST
-    scores, ids = {p: s for p, _, s in plain}, {p: i for p, i, _ in plain}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, 64):
-            got = [[x for p in (merge_plainly(w, scores) if kind == BPE else best_path_plainly(w, scores, longest, unknown))
-                    for x in ([ids[p]] if p in ids else [byte_base + c for c in p.encode()])]
-                   for w in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(got, pa.list_(pa.int32()))], names=["word", "ids"])
-
-    short, long = words.where(F.char_length("word") <= LONG), words.where(F.char_length("word") > LONG)
-    folded = (merged_ids(short, pieces, longest, byte_base) if kind == BPE
-              else viterbi_ids(short, pieces, longest, byte_base, unknown))
-    return folded.unionByName(long.mapInArrow(run, "word string, ids array<int>"))
+class Lattice:
+    """The edges of many words at once: ``word, s, e, id, score``, one for each
+    piece within a word (by word, then start, then end)."""
+
+    def __init__(self, word: np.ndarray, s: np.ndarray, e: np.ndarray, id: np.ndarray, score: np.ndarray):
+        self.word, self.s, self.e, self.id, self.score = word, s, e, id, score
+
+    def taken(self, keep: np.ndarray) -> Lattice:
+        return Lattice(self.word[keep], self.s[keep], self.e[keep], self.id[keep], self.score[keep])
+
+
+class PieceTable:
+    """The pieces as a table of steps: (state, character) to the next state,
+    where a state is a beginning of a piece. All places of all words step
+    together, so an edge is an equal key in this table."""
+
+    def __init__(self, table: list[tuple[int, str, float, bool]]):
+        plain = [(p, i, float(s)) for i, p, s, byte in table if not byte]
+        self.byte_base = next((i for i, p, _, byte in table if byte and p == "<0x00>"), 0)
+        self.unknown = min(s for _, _, s in plain) - UNKNOWN_COST
+        begun = sorted({p[:n] for p, _, _ in plain for n in range(1, len(p) + 1)})
+        state = {"": 0, **{p: n for n, p in enumerate(begun, 1)}}
+        keys = np.array([state[p[:-1]] << 21 | ord(p[-1]) for p in begun], np.int64)
+        order = np.argsort(keys)
+        # Of each state, the piece that it is (-1: it is none).
+        self.id, self.score = np.full(len(state), -1, np.int32), np.zeros(len(state))
+        for p, i, score in plain:
+            self.id[state[p]], self.score[state[p]] = i, score
+        self.keys, self.next = keys[order], (order + 1).astype(np.int64)
+
+        self.ids, self.scores = {p: i for p, i, _ in plain}, {p: s for p, _, s in plain}
+
+    def long_ids(self, word: str, kind: int) -> list[int]:
+        cut = (merge_plainly(word, self.scores) if kind == BPE
+               else best_path_plainly(word, self.scores, max(map(len, self.scores)), self.unknown))
+        return [x for p in cut for x in ([self.ids[p]] if p in self.ids else [self.byte_base + c for c in p.encode()])]
+
+    def step(self, state: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Which places go on, and their next states."""
+        key = state << 21 | code
+        at = np.searchsorted(self.keys, key)
+        at[at == self.keys.size] = 0
+        on = self.keys[at] == key
+        return on, self.next[at[on]]
+
+    def lattice(self, codes: np.ndarray, word: np.ndarray, start: np.ndarray, end: np.ndarray) -> Lattice:
+        """Of words written one behind the other: ``codes``, the word of each
+        place, and by word its first place and the one behind its last."""
+        place, state, length, found = np.arange(codes.size), np.zeros(codes.size, np.int64), 0, []
+        while place.size:
+            on, state = self.step(state, codes[place + length])
+            place, length = place[on], length + 1
+            here = self.id[state] >= 0
+            found.append((place[here], np.full(int(here.sum()), length), state[here]))
+            inside = place + length < end[word[place]]
+            place, state = place[inside], state[inside]
+        s, n, state = (np.concatenate(x) for x in zip(*found))
+        order = np.argsort(s, kind="stable")  # ends already stand in rising order
+        s, n, state = s[order], n[order], state[order]
+        w = word[s]
+        return Lattice(w, s - start[w], s - start[w] + n, self.id[state], self.score[state])
+
+
+def merged(edges: Lattice, sizes: np.ndarray) -> np.ndarray:
+    """By word the mask of its symbol boundaries after merging. In each round
+    every word takes its first open edge: the best score, leftmost of equals,
+    over exactly two symbols. An edge with a lost end can't open any more."""
+    one = np.int64(1)
+    mask = (one << (sizes + 1)) - 1
+    e = edges.taken(edges.e - edges.s > 1)
+    e = e.taken(np.lexsort((e.e, e.s, -e.score, e.word)))
+    word, ends, inner = e.word, (one << e.s) + (one << e.e), (one << e.e) - (one << (e.s + 1))
+    while word.size:
+        now = mask[word]
+        left = now & inner
+        alive = ((now & ends) == ends) & (left != 0)
+        word, ends, inner, left = word[alive], ends[alive], inner[alive], left[alive]
+        open_ = np.flatnonzero((left & (left - 1)) == 0)
+        first = open_[np.flatnonzero(np.diff(word[open_], prepend=-1))]
+        if not first.size:
+            break
+        mask[word[first]] &= ~inner[first]
+        # Only words that changed have something to do.
+        changed = np.zeros(sizes.size, bool)
+        changed[word[first]] = True
+        on = changed[word]
+        word, ends, inner = word[on], ends[on], inner[on]
+    return mask
+
+
+def best_paths(edges: Lattice, sizes: np.ndarray, unknown: float) -> np.ndarray:
+    """By word the mask of the boundaries of its best path (Viterbi, all words
+    position by position); of equal paths the one whose last piece is longest.
+    A character without a piece is an edge of score ``unknown``."""
+    words, most = np.arange(sizes.size), int(sizes.max(initial=0))
+    best, back = np.full((sizes.size, most + 1), -np.inf), np.zeros((sizes.size, most + 1), np.int64)
+    best[:, 0] = 0.0
+    single = np.full((sizes.size, most + 1), unknown)
+    alone = edges.e - edges.s == 1
+    single[edges.word[alone], edges.s[alone]] = edges.score[alone]
+    longer = edges.taken(~alone)
+    longer = longer.taken(np.lexsort((longer.s, longer.word, longer.e)))
+    bounds = np.searchsorted(longer.e, np.arange(most + 2))
+    for e in range(1, most + 1):
+        to = words[sizes >= e]
+        best[to, e], back[to, e] = best[to, e - 1] + single[to, e - 1], e - 1
+        here = longer.taken(slice(bounds[e], bounds[e + 1]))
+        score = best[here.word, here.s] + here.score
+        # Per word the best score, then the longest piece.
+        order = np.lexsort((here.s, -score, here.word))
+        first = order[np.flatnonzero(np.diff(here.word[order], prepend=-1))]
+        first = first[score[first] >= best[here.word[first], e]]
+        best[here.word[first], e], back[here.word[first], e] = score[first], here.s[first]
+    one, at, mask = np.int64(1), sizes.copy(), np.zeros(sizes.size, np.int64)
+    while (open_ := at > 0).any():
+        mask[open_] |= one << at[open_]
+        at[open_] = back[words[open_], at[open_]]
+    return mask | one
+
+
+def cut_ids(codes: np.ndarray, word: np.ndarray, start: np.ndarray, mask: np.ndarray, edges: Lattice,
+            byte_base: int) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the edges between the boundaries of ``mask``, or bytes where
+    there is none; and where each word's begin."""
+    one = np.int64(1)
+    inner = (one << edges.e) - (one << (edges.s + 1))
+    ends = (one << edges.s) + (one << edges.e)
+    used = ((mask[edges.word] & ends) == ends) & ((mask[edges.word] & inner) == 0)
+    id_at = np.full(codes.size, -1, np.int64)  # by the place where a symbol starts
+    id_at[start[edges.word[used]] + edges.s[used]] = edges.id[used]
+    starts = ((mask[word] >> (np.arange(codes.size) - start[word])) & 1) == 1
+    width = 1 + (codes >= 0x80) + (codes >= 0x800) + (codes >= 0x10000)  # bytes in UTF-8
+    count = np.where(starts, np.where(id_at >= 0, 1, width), 0)
+    first = np.concatenate([[0], np.cumsum(count)])
+    out = np.zeros(first[-1], np.int32)
+    known = starts & (id_at >= 0)
+    out[first[:-1][known]] = id_at[known]
+    for at in np.flatnonzero(starts & (id_at < 0)).tolist():  # rare characters
+        out[first[at]:first[at + 1]] = [byte_base + c for c in chr(codes[at]).encode()]
+    return out, np.append(first[start], first[-1])
+
+
+def short_ids(words: list[str], pieces: PieceTable, kind: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of words of 1 to ``LONG`` characters, and where each word's begin."""
+    codes = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype(np.int64)
+    sizes = np.fromiter(map(len, words), np.int64, len(words))
+    end = np.cumsum(sizes)
+    start, word = end - sizes, np.repeat(np.arange(sizes.size), sizes)
+    edges = pieces.lattice(codes, word, start, end)
+    mask = merged(edges, sizes) if kind == BPE else best_paths(edges, sizes, pieces.unknown)
+    return cut_ids(codes, word, start, mask, edges, pieces.byte_base)
 
 
 # -- texts -------------------------------------------------------------------
@@ -270,53 +332,46 @@ def cut_word(word: str, pairs: frozenset[str]) -> list[str]:
     return out
 
 
-def _chunked(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """``row, chunk, key, text``: rows numbered, and dealt to chunks of
-    ``CHUNK`` bytes, within each task."""
-    rows = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField("chunk", T.LongType()), *rows.schema.fields])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = TaskContext.get().partitionId() << 33
-        done, held, chunk = 0, 0, 0
-        for b in slices(batches):
-            sizes = pc.binary_length(b.column(1)).to_numpy(zero_copy_only=False)
-            chunks = np.empty(b.num_rows, np.int64)
-            for i, size in enumerate(sizes.tolist()):
-                if held and held + size > CHUNK:
-                    chunk, held = chunk + 1, 0
-                held += size
-                chunks[i] = first + chunk
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(done, done + b.num_rows) + first), pa.array(chunks), *b.columns], names=schema.names)
-            done += b.num_rows
-
-    return rows.mapInArrow(run, schema)
-
-
-def chunk_words(chunked: DataFrame, pattern: str, pairs: frozenset[str]) -> DataFrame:
-    """``chunk, word``: the distinct words of each chunk (its rows stand
-    together in one task; a chunk read in two parts has some words twice)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        find = re.compile(pattern)
-        current, found = None, set()
-
-        def out() -> pa.RecordBatch:
-            words = sorted({part for word in found for part in cut_word(word, pairs)})
-            return pa.RecordBatch.from_arrays([pa.array([current] * len(words), pa.int64()), pa.array(words, pa.string())],
-                                              names=["chunk", "word"])
-
-        for b in slices(batches):
-            for chunk, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                if chunk != current:
-                    if found:
-                        yield out()
-                    current, found = chunk, set()
-                found.update(_words(text, find))
-        if found:
-            yield out()
-
-    return chunked.select("chunk", "text").mapInArrow(run, "chunk long, word string")
+class WordIds:
+    """Ids of words, as the bytes of 32-bit numbers: the lattice is passed by
+    the words that the worker does not hold yet, many at a time."""
+
+    def __init__(self, table: list[tuple[int, str, float, bool]], kind: int):
+        self.pieces, self.kind, self.pairs = PieceTable(table), kind, inner_pairs(table)
+        self.find = re.compile(word_pattern(table)).findall
+        self.words: dict[str, bytes] = {}
+
+    def _learn(self, missing: list[str]) -> None:
+        short = [w for w in missing if len(w) <= LONG]
+        for at in range(0, len(short), LATTICE_WORDS):
+            some = short[at:at + LATTICE_WORDS]
+            ids, cuts = short_ids(some, self.pieces, self.kind)
+            raw, ends = ids.tobytes(), (cuts * 4).tolist()
+            self.words.update(zip(some, [raw[i:j] for i, j in zip(ends, ends[1:])]))
+        for word in missing:
+            if len(word) > LONG:
+                parts = cut_word(word, self.pairs)
+                if len(parts) == 1:
+                    self.words[word] = np.array(self.pieces.long_ids(word, self.kind), np.int32).tobytes()
+                else:
+                    self._learn(list(set(parts).difference(self.words)))
+                    self.words[word] = b"".join([self.words[p] for p in parts])
+
+    def texts(self, texts: list[str | None]) -> list[bytes]:
+        """The ids of every text."""
+        found = [self.find(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        if missing := set().union(*found).difference(self.words):
+            self._learn(list(missing))
+        out = [b"".join(map(self.words.__getitem__, words)) for words in found]
+        while len(self.words) > MEMO_WORDS:  # the newest go: frequent words were met early
+            self.words.popitem()
+        return out
+
+
+@lru_cache(maxsize=1)
+def _word_ids(table: tuple[tuple[int, str, float, bool], ...], kind: int) -> WordIds:
+    gc.disable()  # in this worker: the memo holds no cycles, and scanning it is slow
+    return WordIds(table, kind)  # kept from task to task
 
 
 def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -331,38 +386,24 @@ def encode(docs: DataFrame, path: str | None = None, key: str = "doc_id", text:
 def encode_with(docs: DataFrame, table: list[tuple[int, str, float, bool]], kind: int, key: str = "doc_id",
                 text: str = "text") -> DataFrame:
     """``encode`` with a piece table and the kind of its model."""
-    pattern, pairs = word_pattern(table), inner_pairs(table)
-    chunked = materialize(_chunked(docs, key, text), "chunked-texts")
-    found = materialize(chunk_words(chunked, pattern, pairs), "chunk-words")
-    # The lattice is long work on few bytes: tasks are counted by words.
-    tasks = max(1, -(-found.count() // TASK_WORDS))
-    known = materialize(word_ids(found.select("word").repartition(tasks, "word").distinct(), table, kind), "word-ids")
-    dictionary = found.join(known, "word").select("chunk", "word", "ids")
-    schema = T.StructType([chunked.schema["row"], T.StructField(key, chunked.schema["key"].dataType),
+    known = tuple(table)
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    schema = T.StructType([T.StructField("row", T.LongType()), T.StructField(key, rows.schema["key"].dataType),
                            T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
-    def look_up(texts: pa.Table, words: pa.Table) -> pa.Table:
-        find = re.compile(pattern)
-        ids = words.column("ids").combine_chunks()
-        ids = ids if isinstance(ids, pa.ListArray) else pa.concat_arrays(ids.chunks or [pa.array([], pa.list_(pa.int32()))])
-        place = {w: i for i, w in enumerate(words.column("word").to_pylist())}
-        of_word: dict[str, list[int]] = {}
-        at, counts = [], []
-        for t in texts.column("text").to_pylist():
-            mine: list[int] = []
-            for w in _words(t, find):
-                if (places := of_word.get(w)) is None:
-                    places = of_word[w] = [place[part] for part in cut_word(w, pairs)]
-                mine += places
-            at.append(np.array(mine, np.int32))
-            counts.append(len(mine))
-        taken = ids.take(pa.array(np.concatenate(at) if at else np.empty(0, np.int32)))
-        cuts = np.concatenate([[0], np.cumsum(counts)])
-        ends = taken.offsets.to_numpy()[cuts]
-        lists = pa.ListArray.from_arrays(pa.array(ends - ends[0], pa.int32()), taken.flatten())
-        return pa.table([texts.column("row"), texts.column("key"), lists], names=schema.names)
-
-    return chunked.groupBy("chunk").cogroup(dictionary.groupBy("chunk")).applyInArrow(look_up, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo, done = _word_ids(known, kind), TaskContext.get().partitionId() << 33
+        for b in slices(batches):
+            sizes = pc.fill_null(pc.binary_length(b.column(1)), 0).to_pylist()
+            for lo, hi in by_bytes([n + 1 for n in sizes], CHUNK):
+                raw = memo.texts(b.column(1).slice(lo, hi - lo).to_pylist())
+                cuts = np.concatenate([[0], np.cumsum([len(r) >> 2 for r in raw])]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.frombuffer(b"".join(raw), np.int32)))
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(done, done + hi - lo)), b.column(0).slice(lo, hi - lo), ids],
+                                                 names=schema.names)
+                done += hi - lo
+
+    return rows.mapInArrow(run, schema)
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:

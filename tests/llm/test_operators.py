@@ -234,6 +234,25 @@ def test_piece_lattice_over_small_chunks(spark, texts, monkeypatch):
     assert sorted(map(repr, ((r.doc_id, r.ids) for r in rows))) == sorted(map(repr, want))
 
 
+def test_word_ids_of_a_worker_are_bounded_and_exact(texts, monkeypatch):
+    path = tokenizer_file("piece_bpe_32k.model")
+    sp = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=path)
+    monkeypatch.setattr(piece_lattice, "LATTICE_WORDS", 7)
+    monkeypatch.setattr(piece_lattice, "MEMO_WORDS", 50)
+    memo = piece_lattice.WordIds(piece_lattice.piece_table(path), piece_lattice.BPE)
+    some = [*texts, "x" * 61 + "日本" * 40, "y" * 60, "ab" * 31, "é😀" * 45, None, ""]
+    for at in range(0, len(some), 3):
+        got = [np.frombuffer(b, np.int32).tolist() for b in memo.texts(some[at:at + 3])]
+        assert got == [sp.encode(t or "") for t in some[at:at + 3]]
+        assert len(memo.words) <= 50
+
+
+def test_piece_lattice_moves_no_texts(spark):
+    # One map: a dictionary of all words, joined back to the texts, took 3.8 x the input on disk.
+    plan = piece_lattice.encode(docs_of(spark, ["a few words", None]))._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
 def best_by_hand(word, scores, unknown):
     """The best segmentation of all, ties to the longest last piece."""
     if not word:
