@@ -31,6 +31,7 @@ from __future__ import annotations
 
 import struct
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import islice
 
 import numpy as np
@@ -55,9 +56,11 @@ def little_endian(ids) -> bytes:
     return np.asarray(ids, dtype="<u4").tobytes()
 
 
+@lru_cache(maxsize=1)
 def word_encoder(path: str) -> WordMemo:
     """Little-endian id bytes of pieces, for a lower-casing vocabulary with
-    word ends that drops white space."""
+    word ends that drops white space. A worker keeps it from task to task, so
+    that frequent words are encoded once in a worker and not once in a task."""
     tok = load_tokenizer(path)
     vocab = tok.get_vocab()
     ends = np.zeros(max(vocab.values()) + 1, bool)
@@ -67,7 +70,8 @@ def word_encoder(path: str) -> WordMemo:
         return [little_endian(e.ids) for e in tok.encode_batch_fast(pieces, add_special_tokens=False)]
 
     def joined(words: list[str]) -> list[bytes] | None:
-        ids = np.array(tok.encode(" ".join(words), add_special_tokens=False).ids, dtype="<u4")
+        [joint] = tok.encode_batch_fast([" ".join(words)], add_special_tokens=False)  # without offsets
+        ids = np.array(joint.ids, dtype="<u4")
         cut = split_flags(ids, ends, len(words), first=False)
         if cut is None:
             return None

@@ -234,6 +234,17 @@ def test_piece_lattice_over_small_chunks(spark, texts, monkeypatch):
     assert sorted(map(repr, ((r.doc_id, r.ids) for r in rows))) == sorted(map(repr, want))
 
 
+def test_a_worker_keeps_its_packing_memo(texts):
+    from qtrail.llm import packing
+    path = tokenizer_file("word_bpe_49k.json")
+    tok = pytest.importorskip("tokenizers").Tokenizer.from_file(path)
+    for _ in range(2):  # the second time from the words kept
+        memo = packing.word_encoder(path)
+        got = [np.frombuffer(b, "<u4").tolist() for b in packing.encode_batch(memo, [t or "" for t in texts])]
+        assert got == [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert packing.word_encoder(path) is memo
+
+
 def test_word_ids_of_a_worker_are_bounded_and_exact(texts, monkeypatch):
     path = tokenizer_file("piece_bpe_32k.model")
     sp = pytest.importorskip("sentencepiece").SentencePieceProcessor(model_file=path)
