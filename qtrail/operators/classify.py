@@ -78,8 +78,9 @@ def classify(staging: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfi
     """Staging rows + ``classification_tier``; every row sharing a
     (day, query_id) gets the smallest tier any of those rows' texts reach.
 
-    Three reads of ``staging``, so give it written (``events_job.staged``),
-    not as the plan of the joins: (1) the sets of tables its texts name, a
+    Three reads of ``staging``, so give it written (``events_job.staged``,
+    with the tables named in ``_named``, so that texts are searched once), not
+    as the plan of the joins: (1) the sets of tables its texts name, a
     distinct that collapses in each task; (2) ids and own tiers alone, to
     find the (day, query_id) whose rows differ, also pre-aggregated, so an id
     with half of all rows costs each task one row; (3) the wide rows, joined
@@ -87,7 +88,7 @@ def classify(staging: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfi
     side's rows, so Spark broadcasts the small side by its measured size, and
     beyond that splits a hot key's rows over tasks (AQE). NULL query ids
     never share a tier (an id test never matches NULL) and get none."""
-    rows = staging.withColumn("_named", named_tables(cfg))
+    rows = staging if "_named" in staging.columns else staging.withColumn("_named", named_tables(cfg))
     own = set_tiers(rows, tiers, cfg)
     mine = F.when(F.col("query_id").isNotNull(), F.col("_own")).alias("_own")
     ids = rows.where(F.col("query_id").isNotNull()).select("day", "query_id", "_named").join(own, "_named", "left")

@@ -1,7 +1,7 @@
 """Build the enriched, classified events for a day range in ONE job.
 
 sources -> enrich (pass 1 + pass 2 from one full outer join) -> staging, written
-once (S7) -> tiers of the tables named -> write-back -> a version folder of its own, published whole (``plans/publish.py``) as exactly
+once with the tables its texts name (S7) -> tiers of the tables named -> write-back -> a version folder of its own, published whole (``plans/publish.py``) as exactly
 the (region, day) partitions built. All regions and days run together; the
 driver handles only names of (region, day) partitions, of which those of the
 range that turned out empty are taken away, so a re-run leaves exactly what
@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from qtrail.config import BACKFILL_DAYS_ON_RECREATE, AuditConfig
 from qtrail.functions.calendar import day_back, days_between, yesterday
@@ -37,11 +38,13 @@ class EventsRun:
 
 def staged(staging: DataFrame, folder: str | None = None) -> DataFrame:
     """The enriched rows, written once (default: under the checkpoint
-    folder) and read back, for classification reads them three times."""
+    folder) and read back, for classification reads them three times. A column
+    ``_named`` (``classify.named_tables``) is kept beside them."""
     spark = staging.sparkSession
     folder = folder or scratch_path(spark, "staging")
     staging.write.mode("error").parquet(folder)
-    return spark.read.schema(STAGING).parquet(folder)
+    named = [f for f in staging.schema.fields if f.name == "_named"]
+    return spark.read.schema(StructType([*STAGING.fields, *named])).parquet(folder)
 
 
 def build_events(trail: DataFrame, history: DataFrame, tiers: DataFrame, cfg: AuditConfig = AuditConfig(),
@@ -50,7 +53,8 @@ def build_events(trail: DataFrame, history: DataFrame, tiers: DataFrame, cfg: Au
     ids and writes the staging."""
     regions = regions or (list(cfg.regions) or None)
     heavy = EN.heavy_keys(trail, history, cfg, days, regions)
-    return CL.classify(staged(EN.staging(trail, history, cfg, days, regions, heavy), staging_folder), tiers, cfg)
+    rows = EN.staging(trail, history, cfg, days, regions, heavy).withColumn("_named", CL.named_tables(cfg))
+    return CL.classify(staged(rows, staging_folder), tiers, cfg)
 
 
 def run_range(spark: SparkSession, trail: DataFrame, history: DataFrame, tiers: DataFrame,

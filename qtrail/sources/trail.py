@@ -33,7 +33,8 @@ from qtrail.functions.columns import day_parts
 from qtrail.schemas import TRAIL, TRAIL_FILE, TRAIL_RECORD
 from qtrail.sources import folders as FS
 
-FILE_RECORDS = 5_000  # of a written file: a reader holds its whole text
+FILE_RECORDS = 5_000  # of a written file, one a line: a reader holds its whole text
+FILE_OBJECTS = 500  # of a written file in the delivery layout
 _PATH_RE = r"/(?:region=)?([^/]+)/(?:year=)?(\d{4})/(?:month=)?(\d{2})/(?:day=)?(\d{2})/[^/]*$"
 
 
@@ -175,7 +176,7 @@ def write_trail_delivery(df: DataFrame, root: str, per_object: int = 50) -> None
     objects = rows.groupBy(*names, "_object").agg(F.collect_list("r").alias("Records")).drop("_object")
     version = f"{root.rstrip('/')}/_version/{uuid.uuid4().hex}"
     (objects.hint("rebalance", *names).write.mode("error").option("compression", "gzip")
-     .option("maxRecordsPerFile", max(1, FILE_RECORDS // per_object)).partitionBy(*names).json(version))
+     .option("maxRecordsPerFile", FILE_OBJECTS).partitionBy(*names).json(version))
     for path in FS.matching(spark, "/".join([version, *(f"{k}=*" for k in names)])):
         FS.move(spark, path, "/".join([root.rstrip("/"), *FS.partition_values(path, names)]))
     FS.delete(spark, [version])

@@ -2,6 +2,8 @@
 
 from qtrail.operators import classify as CL
 from qtrail.operators import enrich as EN
+from qtrail.plans.events_job import build_events
+from qtrail.schemas import EVENT_COLUMNS
 from qtrail.sources.derived import audit_inputs
 
 
@@ -85,3 +87,14 @@ def test_a_frequent_id_needs_no_window_or_sort(spark):
     assert got == want
     p = plan(out)
     assert "Window" not in p and "SortMergeJoin" not in p.split("AdaptiveSparkPlan")[0]
+
+
+def test_a_build_searches_texts_once(spark, sf_small):
+    inp = audit_inputs(spark, sf_small)
+    out = build_events(inp.trail, inp.history, inp.tiers)
+    # The tables named stand in the written staging; its three reads search no text.
+    assert "regexp_extract_all" not in out._jdf.queryExecution().optimizedPlan().toString()
+    key = ["query_id", "day", "classification_tier"]
+    want = CL.classify(EN.staging(inp.trail, inp.history), inp.tiers).select(*key)
+    assert out.select(*key).exceptAll(want).count() == want.exceptAll(out.select(*key)).count() == 0
+    assert out.columns == list(EVENT_COLUMNS)
